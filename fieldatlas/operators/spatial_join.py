@@ -1,0 +1,288 @@
+"""Point-in-polygon join (``ST_Contains(polygon, point)``) as an equi join.
+
+Plain Spark plans a theta join on a spatial predicate as a nested loop over
+all pairs. Here it becomes an equi join on grid cells followed by an exact
+refinement:
+
+1. every polygon gets a *level*: cells of ``cell_size * 2**level`` degrees,
+   the finest level at which its bounding box covers at most
+   ``max_cells_per_polygon`` cells, and one row per covered cell;
+2. every point gets one cell per level in use (usually a single level);
+3. ``(level, cell_x, cell_y)`` is joined as an equi join, so Spark can use a
+   broadcast hash join or a shuffled join with skew handling;
+4. candidates are refined with the bounding box and the exact even-odd test
+   with boundary exclusion (:func:`fieldatlas.functions.contains_point`).
+
+A point falls into exactly one cell per level and a polygon uses exactly one
+level, so every (point, polygon) pair meets at most once: no deduplication.
+The result does not depend on the cell size; only the speed does.
+
+Physical strategy, decided from one aggregation over the polygon side:
+
+* ``broadcast`` when the polygon cells (edges included) are estimated below
+  ``broadcast_limit_bytes``. The point side is never shuffled; skew among
+  points cannot hurt.
+* ``shuffle`` otherwise. Cells holding more than ``rows_per_task`` points are
+  salted: their points are spread over ``ceil(n / rows_per_task)`` salt values
+  and the polygon cells of those cells are replicated once per salt value.
+  The hot-cell table has at most ``points / rows_per_task`` rows and is only
+  broadcast below the same byte limit.
+"""
+
+from __future__ import annotations
+
+import math
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from fieldatlas.functions.geo import bbox, contains_point, polygon_edges
+
+_MAX_LEVEL = 40
+_EDGE_BYTES = 32
+_CELL_ROW_BYTES = 48
+_HOT_ROW_BYTES = 40
+
+
+@dataclass(frozen=True)
+class GridPlan:
+    """What the planner decided, from statistics of the polygon side."""
+
+    cell_size: float
+    levels: tuple[int, ...]
+    polygons: int
+    cell_rows: int
+    estimated_bytes: int
+    strategy: str
+
+    def size(self, level: int) -> float:
+        return self.cell_size * (2.0**level)
+
+
+def _q(name: str) -> Column:
+    return F.col(f"`{name}`")
+
+
+def prepare_polygons(
+    polygons: DataFrame, rings: str = "rings", attrs: list[str] | None = None
+) -> DataFrame:
+    """Attributes + edges + bounding box; polygons without edges are dropped."""
+    attrs = [c for c in polygons.columns if c != rings] if attrs is None else attrs
+    with_edges = polygons.select(
+        *[_q(c) for c in attrs], polygon_edges(_q(rings)).alias("_fa_edges")
+    ).where(F.size("_fa_edges") > 0)
+    minx, miny, maxx, maxy = bbox("_fa_edges")
+    return with_edges.select(
+        "*",
+        minx.alias("_fa_minx"),
+        miny.alias("_fa_miny"),
+        maxx.alias("_fa_maxx"),
+        maxy.alias("_fa_maxy"),
+    )
+
+
+def _cells_at(level: Column, cell_size: float) -> tuple[Column, Column]:
+    size = F.lit(float(cell_size)) * F.pow(F.lit(2.0), level.cast("double"))
+    nx = F.floor(F.col("_fa_maxx") / size) - F.floor(F.col("_fa_minx") / size) + 1
+    ny = F.floor(F.col("_fa_maxy") / size) - F.floor(F.col("_fa_miny") / size) + 1
+    return nx, ny
+
+
+def _with_level(geo: DataFrame, cell_size: float, max_cells: int) -> DataFrame:
+    def fits(lv: Column) -> Column:
+        nx, ny = _cells_at(lv, cell_size)
+        return nx * ny <= max_cells
+
+    level = F.coalesce(
+        F.array_min(F.filter(F.sequence(F.lit(0), F.lit(_MAX_LEVEL)), fits)),
+        F.lit(_MAX_LEVEL),
+    )
+    geo = geo.withColumn("_fa_level", level)
+    nx, ny = _cells_at(F.col("_fa_level"), cell_size)
+    return geo.withColumn("_fa_ncells", nx * ny)
+
+
+def plan_grid(
+    geo: DataFrame,
+    cell_size: float | None = None,
+    max_cells_per_polygon: int = 256,
+    strategy: str = "auto",
+    broadcast_limit_bytes: int = 64 << 20,
+) -> tuple[GridPlan, DataFrame]:
+    """Choose the cell size, levels and join strategy from the polygon side.
+
+    Two single-row aggregations over the (small) polygon table; nothing of
+    the point side is read.
+    """
+    if cell_size is None:
+        ext = F.greatest(
+            F.col("_fa_maxx") - F.col("_fa_minx"), F.col("_fa_maxy") - F.col("_fa_miny")
+        )
+        median = geo.agg(F.percentile_approx(ext, 0.5).alias("m")).first()["m"]
+        cell_size = float(median) / 4.0 if median and median > 0 else 1.0
+    geo = _with_level(geo, cell_size, max_cells_per_polygon)
+    attr_cols = [c for c in geo.columns if not c.startswith("_fa_")]
+    attr_bytes = (
+        F.length(F.to_json(F.struct(*[_q(c) for c in attr_cols]))) if attr_cols else F.lit(0)
+    )
+    row_bytes = F.size("_fa_edges") * _EDGE_BYTES + _CELL_ROW_BYTES + attr_bytes
+    stats = geo.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.collect_set("_fa_level").alias("levels"),  # at most _MAX_LEVEL + 1 values
+        F.sum("_fa_ncells").alias("cells"),
+        F.sum(F.col("_fa_ncells") * row_bytes).alias("bytes"),
+    ).first()
+    est = int(stats["bytes"] or 0)
+    if strategy == "auto":
+        strategy = "broadcast" if est <= broadcast_limit_bytes else "shuffle"
+    if strategy not in ("broadcast", "shuffle"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    plan = GridPlan(
+        cell_size=cell_size,
+        levels=tuple(sorted(stats["levels"] or [0])),
+        polygons=int(stats["n"]),
+        cell_rows=int(stats["cells"] or 0),
+        estimated_bytes=est,
+        strategy=strategy,
+    )
+    return plan, geo
+
+
+def polygon_cells(geo: DataFrame, plan: GridPlan) -> DataFrame:
+    """One row per (polygon, covered cell) at the polygon's level."""
+    size = F.lit(plan.cell_size) * F.pow(F.lit(2.0), F.col("_fa_level").cast("double"))
+    xs = F.sequence(F.floor(F.col("_fa_minx") / size), F.floor(F.col("_fa_maxx") / size))
+    ys = F.sequence(F.floor(F.col("_fa_miny") / size), F.floor(F.col("_fa_maxy") / size))
+    return (
+        geo.drop("_fa_ncells")
+        .withColumn("_fa_cx", F.explode(xs))
+        .withColumn("_fa_cy", F.explode(ys))
+    )
+
+
+def point_cells(points: DataFrame, plan: GridPlan, lon: str, lat: str) -> DataFrame:
+    """One row per point and level in use (one row when one level is used)."""
+    x, y = _q(lon), _q(lat)
+    if len(plan.levels) == 1:
+        lv = plan.levels[0]
+        size = plan.size(lv)
+        return points.select(
+            "*",
+            F.lit(lv).alias("_fa_level"),
+            F.floor(x / F.lit(size)).alias("_fa_cx"),
+            F.floor(y / F.lit(size)).alias("_fa_cy"),
+        )
+    keys = F.array(
+        *[
+            F.struct(
+                F.lit(lv).alias("l"),
+                F.floor(x / F.lit(plan.size(lv))).alias("cx"),
+                F.floor(y / F.lit(plan.size(lv))).alias("cy"),
+            )
+            for lv in plan.levels
+        ]
+    )
+    return (
+        points.withColumn("_fa_k", F.explode(keys))
+        .withColumn("_fa_level", F.col("_fa_k.l"))
+        .withColumn("_fa_cx", F.col("_fa_k.cx"))
+        .withColumn("_fa_cy", F.col("_fa_k.cy"))
+        .drop("_fa_k")
+    )
+
+
+_KEYS = ["_fa_level", "_fa_cx", "_fa_cy"]
+
+
+def _refine(lon: str, lat: str) -> Column:
+    x, y = _q(lon), _q(lat)
+    in_box = x.between(F.col("_fa_minx"), F.col("_fa_maxx")) & y.between(
+        F.col("_fa_miny"), F.col("_fa_maxy")
+    )
+    return in_box & contains_point(F.col("_fa_edges"), x, y)
+
+
+def _salted(
+    pts: DataFrame,
+    cells: DataFrame,
+    rows_per_task: int,
+    broadcast_limit_bytes: int,
+) -> tuple[DataFrame, DataFrame]:
+    """Spread points of hot cells over salt values; replicate their polygon cells."""
+    hot = (
+        pts.groupBy(*_KEYS)
+        .agg(F.count(F.lit(1)).alias("_fa_n"))  # partial aggregation, one row per cell
+        .where(F.col("_fa_n") > rows_per_task)
+        .select(*_KEYS, F.ceil(F.col("_fa_n") / F.lit(rows_per_task)).alias("_fa_salts"))
+    )
+    n_hot = hot.count()  # bounded by points / rows_per_task
+    if n_hot == 0:
+        return pts.withColumn("_fa_salt", F.lit(0)), cells.withColumn("_fa_salt", F.lit(0))
+    hot_side = F.broadcast(hot) if n_hot * _HOT_ROW_BYTES <= broadcast_limit_bytes else hot
+    salts = F.coalesce(F.col("_fa_salts"), F.lit(1))
+    pts = pts.join(hot_side, _KEYS, "left").withColumn(
+        "_fa_salt", F.pmod(F.monotonically_increasing_id(), salts).cast("int")
+    )
+    cells = cells.join(hot_side, _KEYS, "left").withColumn(
+        "_fa_salt", F.explode(F.sequence(F.lit(0), (salts - 1).cast("int")))
+    )
+    return pts.drop("_fa_salts"), cells.drop("_fa_salts")
+
+
+def spatial_join(
+    points: DataFrame,
+    polygons: DataFrame,
+    *,
+    lon: str = "lon",
+    lat: str = "lat",
+    rings: str = "rings",
+    cell_size: float | None = None,
+    max_cells_per_polygon: int = 256,
+    strategy: str = "auto",
+    broadcast_limit_bytes: int = 64 << 20,
+    rows_per_task: int = 2_000_000,
+    collision_prefix: str = "community_",
+    return_plan: bool = False,
+):
+    """Inner join of points with the polygons that contain them.
+
+    Output columns: point columns except ``lon``/``lat``, then polygon
+    attribute columns (a name already used by the point side is emitted as
+    ``collision_prefix + name``), then ``lon``, ``lat`` last. Unmatched points
+    are dropped, a point inside two polygons yields two rows, and a point with
+    a null coordinate or lying on a polygon's boundary matches nothing.
+    """
+    point_attrs = [c for c in points.columns if c not in (lon, lat)]
+    poly_attrs = [c for c in polygons.columns if c != rings]
+    taken = set(points.columns)
+    renamed = polygons.select(
+        *[
+            _q(c).alias(collision_prefix + c if c in taken else c)
+            for c in poly_attrs
+        ],
+        _q(rings),
+    )
+    out_poly = [collision_prefix + c if c in taken else c for c in poly_attrs]
+
+    geo = prepare_polygons(renamed, rings)
+    plan, geo = plan_grid(
+        geo, cell_size, max_cells_per_polygon, strategy, broadcast_limit_bytes
+    )
+    cells = polygon_cells(geo, plan)
+    pts = point_cells(points, plan, lon, lat)
+
+    if plan.strategy == "broadcast":
+        joined = pts.join(F.broadcast(cells), _KEYS, "inner")
+    else:
+        pts, cells = _salted(pts, cells, rows_per_task, broadcast_limit_bytes)
+        joined = pts.join(cells, _KEYS + ["_fa_salt"], "inner")
+    result = joined.where(_refine(lon, lat)).select(
+        *[_q(c) for c in point_attrs], *[_q(c) for c in out_poly], _q(lon), _q(lat)
+    )
+    return (result, plan) if return_plan else result
+
+
+def cells_per_polygon(plan: GridPlan) -> float:
+    """Average number of cell rows per polygon (for reporting)."""
+    return plan.cell_rows / plan.polygons if plan.polygons else math.nan
