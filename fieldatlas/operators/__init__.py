@@ -18,8 +18,8 @@ from fieldatlas.operators.documents import (
 from fieldatlas.operators.nearest import (
     find_first,
     has_position,
+    k_nearest,
     name_or_default,
-    nearest,
     points_only,
 )
 from fieldatlas.operators.similarity import most_similar, pair_overlaps
@@ -46,10 +46,10 @@ __all__ = [
     "from_json_text",
     "geojson_documents",
     "has_position",
+    "k_nearest",
     "most_diverse",
     "most_similar",
     "name_or_default",
-    "nearest",
     "null_profile",
     "pair_overlaps",
     "plan_grid",

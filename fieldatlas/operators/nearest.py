@@ -48,7 +48,7 @@ def name_or_default(name: str = "name", default: str = UNNAMED) -> Column:
     return F.coalesce(_q(name), F.lit(default))
 
 
-def nearest(candidates: DataFrame, anchor: DataFrame, k: int = 10, *,
+def k_nearest(candidates: DataFrame, anchor: DataFrame, k: int = 10, *,
             lon: str = "lon", lat: str = "lat", keep: Sequence[str] = ("place_id",),
             name: str = "name", decimals: int | None = 3) -> DataFrame:
     """``(rank, *keep, name, distance_m)`` for the ``k`` nearest candidates.

@@ -123,7 +123,7 @@ def q_nearest_places(spark, sf_dir):
     pts = _loaded_points(spark, sf_dir)
     anchor = nearest.find_first(pts, ANCHOR_PATTERN)
     restaurants = pts.where(F.col("amenity") == AMENITY)
-    return nearest.nearest(restaurants, anchor, TOP_K)
+    return nearest.k_nearest(restaurants, anchor, TOP_K)
 
 
 def q_place_lookup_regex(spark, sf_dir):

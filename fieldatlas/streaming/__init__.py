@@ -19,5 +19,11 @@ def enrich_stream(points: DataFrame, polygons: DataFrame, **kw) -> DataFrame:
     """Spatial join of a streaming point DataFrame with static polygons."""
     if not points.isStreaming or polygons.isStreaming:
         raise ValueError("expects a streaming point side and a static polygon side")
-    kw["strategy"] = "broadcast"
-    return spatial_join(points, polygons, **kw)
+    if kw.get("strategy", "auto") == "shuffle":
+        raise ValueError("a streaming point side needs the broadcast strategy")
+    out, plan = spatial_join(points, polygons, return_plan=True, **kw)
+    if plan.strategy != "broadcast":
+        raise ValueError(
+            f"polygon side estimated at {plan.estimated_bytes} bytes, above the broadcast limit"
+        )
+    return out
