@@ -48,6 +48,12 @@ def cell_index(coord, size: float) -> Column:
     return F.floor(_c(coord) / F.lit(float(size)))
 
 
+def _name(c: str) -> str:
+    if not isinstance(c, str):
+        raise TypeError("pass a column name; build derived values as columns first")
+    return ".".join(f"`{p}`" for p in c.split("."))
+
+
 def close_ring(ring: Column) -> Column:
     """Append the first vertex when a ring is not closed."""
     first = F.element_at(ring, 1)
@@ -57,65 +63,60 @@ def close_ring(ring: Column) -> Column:
     ).otherwise(F.concat(ring, F.array(first)))
 
 
-def polygon_edges(rings) -> Column:
-    """All edges of all rings as ``array<struct<x1,y1,x2,y2>>``.
+def polygon_edges(rings: str) -> Column:
+    """All edges of all rings of column ``rings`` as
+    ``array<struct<x1,y1,x2,y2>>``.
 
     Rings with fewer than two vertices are dropped; open rings are closed.
+    Higher-order functions are written as one SQL expression, so the whole
+    expression is built by a single parse instead of many Python calls.
     """
-    kept = F.filter(_c(rings), lambda r: F.size(r) >= 2)
-
-    def ring_edges(r: Column) -> Column:
-        closed = close_ring(r)
-        return F.transform(
-            F.sequence(F.lit(0), F.size(closed) - 2),
-            lambda i: F.struct(
-                closed[i].x.alias("x1"),
-                closed[i].y.alias("y1"),
-                closed[i + 1].x.alias("x2"),
-                closed[i + 1].y.alias("y2"),
-            ),
-        )
-
-    return F.flatten(F.transform(kept, ring_edges))
+    r = _name(rings)
+    return F.expr(
+        f"""flatten(transform(filter({r}, r -> size(r) >= 2), r ->
+              transform(
+                sequence(0, size(r) - IF(r[0].x = r[size(r) - 1].x AND r[0].y = r[size(r) - 1].y, 2, 1)),
+                i -> named_struct(
+                  'x1', r[i].x, 'y1', r[i].y,
+                  'x2', r[(i + 1) % size(r)].x, 'y2', r[(i + 1) % size(r)].y))))"""
+    )
 
 
-def bbox(edges) -> list[Column]:
-    """``[min_x, min_y, max_x, max_y]`` of an edge array."""
-    e = _c(edges)
+def bbox(edges: str) -> list[Column]:
+    """``[min_x, min_y, max_x, max_y]`` of an edge array column."""
+    e = _name(edges)
     return [
-        F.array_min(F.transform(e, lambda s: F.least(s.x1, s.x2))),
-        F.array_min(F.transform(e, lambda s: F.least(s.y1, s.y2))),
-        F.array_max(F.transform(e, lambda s: F.greatest(s.x1, s.x2))),
-        F.array_max(F.transform(e, lambda s: F.greatest(s.y1, s.y2))),
+        F.expr(f"array_min(transform({e}, s -> least(s.x1, s.x2)))"),
+        F.expr(f"array_min(transform({e}, s -> least(s.y1, s.y2)))"),
+        F.expr(f"array_max(transform({e}, s -> greatest(s.x1, s.x2)))"),
+        F.expr(f"array_max(transform({e}, s -> greatest(s.y1, s.y2)))"),
     ]
 
 
-def contains_point(edges, x, y) -> Column:
-    """OGC *contains*: the point is in the interior of the polygon.
+def contains_sql(edges: str, x: str, y: str) -> str:
+    """SQL text of :func:`contains_point` over column names."""
+    e, x, y = _name(edges), _name(x), _name(y)
+    return f"""(size(filter({e}, s ->
+          CASE WHEN (s.y1 > {y}) <> (s.y2 > {y})
+               THEN {x} < (s.x2 - s.x1) * ({y} - s.y1) / (s.y2 - s.y1) + s.x1
+               ELSE false END)) % 2 = 1)
+      AND NOT exists({e}, s ->
+          (s.x2 - s.x1) * ({y} - s.y1) = (s.y2 - s.y1) * ({x} - s.x1)
+          AND {x} BETWEEN least(s.x1, s.x2) AND greatest(s.x1, s.x2)
+          AND {y} BETWEEN least(s.y1, s.y2) AND greatest(s.y1, s.y2))"""
+
+
+def contains_point(edges: str, x: str, y: str) -> Column:
+    """OGC *contains*: the point ``(x, y)`` is in the interior of the polygon
+    whose edges are in column ``edges``.
 
     Even-odd rule over the edges of all rings (so holes and disjoint parts
     are handled), then points lying on any edge are excluded, because a
     polygon does not contain its boundary. The division only runs for edges
     that straddle the point's latitude, so a horizontal edge never divides by
-    zero.
+    zero (Spark's ANSI mode would raise).
     """
-    e, x, y = _c(edges), _c(x), _c(y)
-
-    def crosses(s: Column) -> Column:
-        return F.when(
-            (s.y1 > y) != (s.y2 > y),
-            x < (s.x2 - s.x1) * (y - s.y1) / (s.y2 - s.y1) + s.x1,
-        ).otherwise(F.lit(False))
-
-    def on_edge(s: Column) -> Column:
-        return (
-            ((s.x2 - s.x1) * (y - s.y1) == (s.y2 - s.y1) * (x - s.x1))
-            & x.between(F.least(s.x1, s.x2), F.greatest(s.x1, s.x2))
-            & y.between(F.least(s.y1, s.y2), F.greatest(s.y1, s.y2))
-        )
-
-    odd = (F.size(F.filter(e, crosses)) % 2) == 1
-    return odd & ~F.exists(e, on_edge)
+    return F.expr(contains_sql(edges, x, y))
 
 
 def point_geometry(lon, lat) -> Column:

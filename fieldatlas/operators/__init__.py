@@ -32,7 +32,7 @@ from fieldatlas.operators.sinks import (
     write_documents,
     write_feature_collection,
 )
-from fieldatlas.operators.spatial_join import GridPlan, plan_grid, spatial_join
+from fieldatlas.operators.spatial import GridPlan, plan_grid, spatial_join
 
 __all__ = [
     "GridPlan",

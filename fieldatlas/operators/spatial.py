@@ -6,11 +6,12 @@ refinement:
 
 1. every polygon gets a *level*: cells of ``cell_size * 2**level`` degrees,
    the finest level at which its bounding box covers at most
-   ``max_cells_per_polygon`` cells, and one row per covered cell;
+   ``max_cells_per_polygon`` cells, and one row per covered cell that is
+   not wholly outside it (see :func:`polygon_cells`);
 2. every point gets one cell per level in use (usually a single level);
 3. ``(level, cell_x, cell_y)`` is joined as an equi join, so Spark can use a
    broadcast hash join or a shuffled join with skew handling;
-4. candidates are refined with the bounding box and the exact even-odd test
+4. candidates in boundary cells are refined with the exact even-odd test
    with boundary exclusion (:func:`fieldatlas.functions.contains_point`).
 
 A point falls into exactly one cell per level and a polygon uses exactly one
@@ -38,6 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldatlas.functions.geo import bbox, contains_point, polygon_edges
+from fieldatlas.session import shared_dir
 
 _MAX_LEVEL = 40
 _EDGE_BYTES = 32
@@ -70,7 +72,7 @@ def prepare_polygons(
     """Attributes + edges + bounding box; polygons without edges are dropped."""
     attrs = [c for c in polygons.columns if c != rings] if attrs is None else attrs
     with_edges = polygons.select(
-        *[_q(c) for c in attrs], polygon_edges(_q(rings)).alias("_fa_edges")
+        *[_q(c) for c in attrs], polygon_edges(rings).alias("_fa_edges")
     ).where(F.size("_fa_edges") > 0)
     minx, miny, maxx, maxy = bbox("_fa_edges")
     return with_edges.select(
@@ -98,40 +100,42 @@ def _with_level(geo: DataFrame, cell_size: float, max_cells: int) -> DataFrame:
         F.array_min(F.filter(F.sequence(F.lit(0), F.lit(_MAX_LEVEL)), fits)),
         F.lit(_MAX_LEVEL),
     )
-    geo = geo.withColumn("_fa_level", level)
-    nx, ny = _cells_at(F.col("_fa_level"), cell_size)
-    return geo.withColumn("_fa_ncells", nx * ny)
+    return geo.select("*", level.alias("_fa_level"))
 
 
 def plan_grid(
     geo: DataFrame,
     cell_size: float | None = None,
-    max_cells_per_polygon: int = 256,
+    max_cells_per_polygon: int = 1024,
     strategy: str = "auto",
     broadcast_limit_bytes: int = 64 << 20,
+    cells_per_extent: int = 16,
 ) -> tuple[GridPlan, DataFrame]:
-    """Choose the cell size, levels and join strategy from the polygon side.
+    """Choose the cell size, levels and join strategy; return the cell table.
 
-    Two single-row aggregations over the (small) polygon table; nothing of
-    the point side is read.
+    Two single-row aggregations over the (small) polygon side; nothing of the
+    point side is read. The default cell size is the median polygon extent
+    divided by ``cells_per_extent``.
     """
+    ext = F.greatest(
+        F.col("_fa_maxx") - F.col("_fa_minx"), F.col("_fa_maxy") - F.col("_fa_miny")
+    )
+    first = geo.agg(
+        F.count(F.lit(1)).alias("n"), F.percentile_approx(ext, 0.5).alias("m")
+    ).first()
     if cell_size is None:
-        ext = F.greatest(
-            F.col("_fa_maxx") - F.col("_fa_minx"), F.col("_fa_maxy") - F.col("_fa_miny")
-        )
-        median = geo.agg(F.percentile_approx(ext, 0.5).alias("m")).first()["m"]
-        cell_size = float(median) / 4.0 if median and median > 0 else 1.0
-    geo = _with_level(geo, cell_size, max_cells_per_polygon)
-    attr_cols = [c for c in geo.columns if not c.startswith("_fa_")]
+        median = first["m"]
+        cell_size = float(median) / cells_per_extent if median and median > 0 else 1.0
+    cells = polygon_cells(_with_level(geo, cell_size, max_cells_per_polygon), cell_size)
+    attr_cols = [c for c in cells.columns if not c.startswith("_fa_")]
     attr_bytes = (
         F.length(F.to_json(F.struct(*[_q(c) for c in attr_cols]))) if attr_cols else F.lit(0)
     )
-    row_bytes = F.size("_fa_edges") * _EDGE_BYTES + _CELL_ROW_BYTES + attr_bytes
-    stats = geo.agg(
-        F.count(F.lit(1)).alias("n"),
+    row_bytes = F.coalesce(F.size("_fa_edges"), F.lit(0)) * _EDGE_BYTES + _CELL_ROW_BYTES
+    stats = cells.agg(
         F.collect_set("_fa_level").alias("levels"),  # at most _MAX_LEVEL + 1 values
-        F.sum("_fa_ncells").alias("cells"),
-        F.sum(F.col("_fa_ncells") * row_bytes).alias("bytes"),
+        F.count(F.lit(1)).alias("cells"),
+        F.sum(row_bytes + attr_bytes).alias("bytes"),
     ).first()
     est = int(stats["bytes"] or 0)
     if strategy == "auto":
@@ -141,23 +145,69 @@ def plan_grid(
     plan = GridPlan(
         cell_size=cell_size,
         levels=tuple(sorted(stats["levels"] or [0])),
-        polygons=int(stats["n"]),
+        polygons=int(first["n"]),
         cell_rows=int(stats["cells"] or 0),
         estimated_bytes=est,
         strategy=strategy,
     )
-    return plan, geo
+    return plan, cells
+
 
+def polygon_cells(geo: DataFrame, cell_size: float) -> DataFrame:
+    """One row per (polygon, cell) that can hold a contained point.
 
-def polygon_cells(geo: DataFrame, plan: GridPlan) -> DataFrame:
-    """One row per (polygon, covered cell) at the polygon's level."""
-    size = F.lit(plan.cell_size) * F.pow(F.lit(2.0), F.col("_fa_level").cast("double"))
+    Each covered cell, widened by a margin far above rounding error, is
+    classified on the polygon side:
+
+    * no edge's bounding box touches it: the cell lies wholly inside or wholly
+      outside; its centre decides. Outside cells are dropped, inside cells
+      match every point without a test (``_fa_boundary = false``);
+    * otherwise it is a boundary cell and keeps only the edges that can
+      matter for a point in it: those overlapping its latitude band and
+      reaching its west side (the crossing ray runs east).
+    """
+    size = F.lit(float(cell_size)) * F.pow(F.lit(2.0), F.col("_fa_level").cast("double"))
     xs = F.sequence(F.floor(F.col("_fa_minx") / size), F.floor(F.col("_fa_maxx") / size))
     ys = F.sequence(F.floor(F.col("_fa_miny") / size), F.floor(F.col("_fa_maxy") / size))
+    exploded = geo.select("*", F.explode(xs).alias("_fa_cx")).select(
+        "*", F.explode(ys).alias("_fa_cy")
+    )
+    attrs = [_q(c) for c in geo.columns if not c.startswith("_fa_")]
+    keys = ["_fa_level", "_fa_cx", "_fa_cy"]
+    # Cell rectangle widened by a margin far above rounding error.
+    framed = exploded.select(
+        *attrs,
+        *keys,
+        "_fa_edges",
+        (F.col("_fa_cx") * size - size * 1e-6).alias("_fa_x0"),
+        ((F.col("_fa_cx") + 1) * size + size * 1e-6).alias("_fa_x1"),
+        (F.col("_fa_cy") * size - size * 1e-6).alias("_fa_y0"),
+        ((F.col("_fa_cy") + 1) * size + size * 1e-6).alias("_fa_y1"),
+        ((F.col("_fa_cx") + 0.5) * size).alias("_fa_mx"),
+        ((F.col("_fa_cy") + 0.5) * size).alias("_fa_my"),
+    )
+    band = F.expr(
+        """filter(_fa_edges, e -> greatest(e.y1, e.y2) >= _fa_y0
+                               AND least(e.y1, e.y2) <= _fa_y1
+                               AND greatest(e.x1, e.x2) >= _fa_x0)"""
+    )
+    with_band = framed.select(
+        *attrs, *keys, "_fa_x1", "_fa_mx", "_fa_my", band.alias("_fa_band")
+    )
+    boundary = F.expr("exists(_fa_band, e -> least(e.x1, e.x2) <= _fa_x1)")
+    centre_in = contains_point("_fa_band", "_fa_mx", "_fa_my")
     return (
-        geo.drop("_fa_ncells")
-        .withColumn("_fa_cx", F.explode(xs))
-        .withColumn("_fa_cy", F.explode(ys))
+        with_band.select(
+            *attrs, *keys, "_fa_band",
+            boundary.alias("_fa_boundary"), centre_in.alias("_fa_centre"),
+        )
+        .where(F.col("_fa_boundary") | F.col("_fa_centre"))
+        .select(
+            *attrs,
+            *keys,
+            "_fa_boundary",
+            F.when(F.col("_fa_boundary"), F.col("_fa_band")).alias("_fa_edges"),
+        )
     )
 
 
@@ -196,11 +246,8 @@ _KEYS = ["_fa_level", "_fa_cx", "_fa_cy"]
 
 
 def _refine(lon: str, lat: str) -> Column:
-    x, y = _q(lon), _q(lat)
-    in_box = x.between(F.col("_fa_minx"), F.col("_fa_maxx")) & y.between(
-        F.col("_fa_miny"), F.col("_fa_maxy")
-    )
-    return in_box & contains_point(F.col("_fa_edges"), x, y)
+    inside = contains_point("_fa_edges", lon, lat)
+    return ~F.col("_fa_boundary") | inside
 
 
 def _salted(
@@ -230,6 +277,20 @@ def _salted(
     return pts.drop("_fa_salts"), cells.drop("_fa_salts")
 
 
+def _spread(points: DataFrame) -> DataFrame:
+    """Guard for inputs Spark cannot split (one row group, one compressed
+    file): when the point side arrives in fewer partitions than the cluster
+    has cores, spread it round-robin before the per-point test. With
+    ordinary large inputs the partition count is far higher and nothing
+    happens."""
+    if points.isStreaming:
+        return points
+    cores = points.sparkSession.sparkContext.defaultParallelism
+    if points.rdd.getNumPartitions() < cores:
+        return points.repartition(cores)
+    return points
+
+
 def spatial_join(
     points: DataFrame,
     polygons: DataFrame,
@@ -238,7 +299,8 @@ def spatial_join(
     lat: str = "lat",
     rings: str = "rings",
     cell_size: float | None = None,
-    max_cells_per_polygon: int = 256,
+    max_cells_per_polygon: int = 1024,
+    cells_per_extent: int = 16,
     strategy: str = "auto",
     broadcast_limit_bytes: int = 64 << 20,
     rows_per_task: int = 2_000_000,
@@ -265,12 +327,16 @@ def spatial_join(
     )
     out_poly = [collision_prefix + c if c in taken else c for c in poly_attrs]
 
-    geo = prepare_polygons(renamed, rings)
-    plan, geo = plan_grid(
-        geo, cell_size, max_cells_per_polygon, strategy, broadcast_limit_bytes
+    # The polygon side is read by the planning aggregations and by the join:
+    # store it once (reliable checkpoint in the shared folder) instead of
+    # re-deriving edges and boxes in every job.
+    shared_dir(renamed.sparkSession)
+    geo = prepare_polygons(renamed, rings).checkpoint(eager=True)
+    plan, cells = plan_grid(
+        geo, cell_size, max_cells_per_polygon, strategy, broadcast_limit_bytes,
+        cells_per_extent,
     )
-    cells = polygon_cells(geo, plan)
-    pts = point_cells(points, plan, lon, lat)
+    pts = point_cells(_spread(points), plan, lon, lat)
 
     if plan.strategy == "broadcast":
         joined = pts.join(F.broadcast(cells), _KEYS, "inner")

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from fieldatlas import fixtures as fx
 from fieldatlas.operators import diversity, documents, nearest, similarity, sinks
-from fieldatlas.operators.spatial_join import spatial_join
+from fieldatlas.operators.spatial import spatial_join
 from fieldatlas.session import scratch_path
 from fieldatlas.sources import documents as docsrc
 from fieldatlas.sources import geojson

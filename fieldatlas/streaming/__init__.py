@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from fieldatlas.operators.spatial_join import spatial_join
+from fieldatlas.operators.spatial import spatial_join
 
 
 def enrich_stream(points: DataFrame, polygons: DataFrame, **kw) -> DataFrame:
