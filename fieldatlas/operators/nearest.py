@@ -1,9 +1,11 @@
 """Find a place by name, then rank other places by great-circle distance.
 
-The anchor enters the distance expression as a scalar subquery: Spark runs
-the one-row lookup once and substitutes the value, so the candidate side is
-scanned once with no join at all. Ranking keeps the best ``k`` per task and
-merges ``k`` per task (``TakeOrderedAndProject``).
+The anchor lookup returns at most one row (``limit(1)`` after the regex
+filter); its two coordinates are fetched once, exactly as Spark evaluates a
+scalar subquery, and enter the distance expression as literals, so the terms
+of the anchor are constant-folded and the candidate side is scanned once
+with no join at all. Ranking keeps the best ``k`` per task and merges ``k``
+per task (``TakeOrderedAndProject``).
 """
 
 from __future__ import annotations
@@ -58,8 +60,15 @@ def k_nearest(candidates: DataFrame, anchor: DataFrame, k: int = 10, *,
     default) before ranking, so equal rounded distances are ordered by name
     and then by the ``keep`` columns.
     """
-    at = anchor.select(F.struct(_q(lon).alias("x"), _q(lat).alias("y"))).scalar()
-    dist = haversine_m(at.getField("x"), at.getField("y"), _q(lon), _q(lat))
+    at = anchor.select(_q(lon).alias("x"), _q(lat).alias("y")).limit(1).first()
+    if at is None or at.x is None or at.y is None:
+        empty = candidates.select(
+            *[_q(c) for c in keep],
+            F.lit(None).cast("string").alias("name"),
+            F.lit(None).cast("double").alias("distance_m"),
+        ).limit(0)
+        return top_k(empty, [F.col("distance_m")], k)
+    dist = haversine_m(F.lit(float(at.x)), F.lit(float(at.y)), _q(lon), _q(lat))
     if decimals is not None:
         dist = F.round(dist, decimals)
     scored = has_position(candidates, lon, lat).select(

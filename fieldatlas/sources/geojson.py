@@ -28,12 +28,13 @@ _RS = "\u001e"
 
 
 def _collection_features(text: Column) -> Column:
-    trimmed = F.ltrim(text)
+    # First non-blank character; the anchored pattern stops reading there.
+    first = F.regexp_extract(text, r"^[\s\x{FEFF}]*([\[{])", 1)
     as_array = F.from_json(text, "array<string>")
     as_object = F.from_json(text, "struct<features: array<string>>").getField("features")
     return (
-        F.when(trimmed.startswith("["), as_array)
-        .when(trimmed.startswith("{"), as_object)
+        F.when(first == "[", as_array)
+        .when(first == "{", as_object)
         .otherwise(F.raise_error(F.lit("Invalid GeoJSON root: must start with '[' or '{'")))
     )
 

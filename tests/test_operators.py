@@ -1,0 +1,196 @@
+import math
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF01
+from fieldatlas import fixtures as fx
+from fieldatlas.functions.geo import haversine_m
+from fieldatlas.functions.sets import jaccard, set_from_list
+from fieldatlas.operators import diversity, documents, nearest, similarity
+from fieldatlas.operators.spatial import spatial_join
+from fieldatlas.plans.ranking import global_rank, top_k
+
+
+def test_haversine_identical_and_antipodal(spark):
+    df = spark.createDataFrame(
+        [(8.81, 50.8, 8.81, 50.8), (0.0, 0.0, 180.0, 0.0), (10.0, 45.0, -170.0, -45.0)],
+        "a double, b double, c double, d double",
+    )
+    got = [r.m for r in df.select(haversine_m("a", "b", "c", "d").alias("m")).collect()]
+    assert got[0] == 0.0
+    assert got[1] == pytest.approx(math.pi * 6371000.0)
+    assert got[2] == pytest.approx(math.pi * 6371000.0)
+    assert not any(math.isnan(g) for g in got)
+
+
+def test_haversine_known_distance(spark):
+    # one degree of latitude
+    df = spark.createDataFrame([(8.0, 50.0, 8.0, 51.0)], "a double, b double, c double, d double")
+    m = df.select(haversine_m("a", "b", "c", "d").alias("m")).first().m
+    assert m == pytest.approx(6371000.0 * math.radians(1.0))
+
+
+def test_jaccard_edge_cases(spark):
+    df = spark.createDataFrame([(0, 0, 0), (3, 3, 3), (0, 2, 5), (1, 2, 3)], "i long, a long, b long")
+    got = [r.j for r in df.select(jaccard("i", "a", "b").alias("j")).collect()]
+    assert got == [0.0, 1.0, 0.0, 0.25]
+
+
+def test_set_from_list(spark):
+    df = spark.createDataFrame([(["a", None, "b", "a"],), ([],), ([None],)], "v array<string>")
+    got = [sorted(r.s) for r in df.select(set_from_list("v").alias("s")).collect()]
+    assert got == [["a", "b"], [], []]
+
+
+def test_top_k_is_prefix_of_full_order(spark):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("v"), F.col("id"))
+    order = [F.col("v").desc(), F.col("id")]
+    head = [tuple(r) for r in top_k(df, order, 10).collect()]
+    full = [tuple(r) for r in df.orderBy(*order).collect()]
+    assert head == [(i + 1, *full[i]) for i in range(10)]
+
+
+def test_global_rank_numbers_all_rows_in_order(spark):
+    df = spark.range(5000).select(((F.col("id") * 104729) % 997).alias("v"), "id").repartition(7)
+    ranked = global_rank(df, [F.col("v"), F.col("id").desc()])
+    rows = sorted(ranked.collect(), key=lambda r: r["rank"])
+    assert [r["rank"] for r in rows] == list(range(1, 5001))
+    expected = sorted(((r.v, -r.id) for r in df.collect()))
+    assert [(r.v, -r.id) for r in rows] == expected
+
+
+def _joined(spark):
+    return spatial_join(fx.occurrences(spark, SF01), fx.communities(spark, SF01))
+
+
+def test_richness_ignores_null_values_and_keeps_null_group(spark):
+    df = spark.createDataFrame(
+        [("a", "x"), ("a", None), ("a", "x"), ("b", None), (None, "y")], "g string, v string"
+    )
+    got = {r.g: r.n for r in diversity.richness(df, "g", "v", "n").collect()}
+    assert got == {"a": 1, "b": 0, None: 1}
+
+
+def test_diversity_and_similarity_match_python(spark):
+    rows = _joined(spark).select("community", "species").collect()
+    sets = defaultdict(set)
+    for r in rows:
+        sets[r.community]  # every group exists, even with only null species
+        if r.species is not None:
+            sets[r.community].add(r.species)
+    ranked = sorted(sets, key=lambda g: (-len(sets[g]), g))[:10]
+    got = diversity.most_diverse(_joined(spark), 10).collect()
+    assert [(r["rank"], r.community, r.num_species) for r in got] == [
+        (i + 1, g, len(sets[g])) for i, g in enumerate(ranked)
+    ]
+    pairs = []
+    for i, a in enumerate(sorted(ranked)):
+        for b in sorted(ranked)[i + 1:]:
+            inter = len(sets[a] & sets[b])
+            union = len(sets[a] | sets[b])
+            pairs.append((a, b, inter, union, inter / union if union else 0.0))
+    got_pairs = similarity.pair_overlaps(_joined(spark), 10).collect()
+    assert sorted((r.community_1, r.community_2, r.n_inter, r.n_union, r.similarity) for r in got_pairs) == sorted(pairs)
+    best = sorted(pairs, key=lambda p: (-p[4], p[0], p[1]))[:10]
+    top = similarity.most_similar(_joined(spark), 10, 10).collect()
+    assert [(r.community_1, r.community_2, r.similarity) for r in top] == [(p[0], p[1], p[4]) for p in best]
+
+
+def test_similarity_symmetric_bounds_and_empty_sets(spark):
+    df = spark.createDataFrame(
+        [("a", "x"), ("a", "y"), ("b", "x"), ("b", "y"), ("c", "z"), ("d", None)],
+        "community string, species string",
+    )
+    got = {(r.community_1, r.community_2): r.similarity for r in similarity.pair_overlaps(df, 10).collect()}
+    assert got[("a", "b")] == 1.0
+    assert got[("a", "c")] == 0.0
+    assert got[("c", "d")] == 0.0  # d has an empty set: union 1, intersection 0
+    assert len(got) == 6
+    assert all(0.0 <= v <= 1.0 for v in got.values())
+
+
+def test_similarity_plan_has_no_cross_join(spark):
+    plan = similarity.most_similar(_joined(spark)).\
+        _jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+def test_nearest_matches_python(spark):
+    places = nearest.points_only(fx.places(spark, SF01))
+    rows = places.collect()
+    import re
+
+    pat = re.compile("customer#0000001", re.I)
+    anchor = sorted((r for r in rows if r.name and pat.search(r.name)), key=lambda r: (r.name, r.lon, r.lat))[0]
+
+    def hav(lon1, lat1, lon2, lat2):
+        dlat = math.radians(lat2 - lat1) / 2
+        dlon = math.radians(lon2 - lon1) / 2
+        a = math.sin(dlat) ** 2 + math.cos(math.radians(lat1)) * math.cos(math.radians(lat2)) * math.sin(dlon) ** 2
+        return 6371000.0 * 2 * math.atan2(math.sqrt(min(a, 1.0)), math.sqrt(1 - min(a, 1.0)))
+
+    cands = sorted(
+        (
+            (round(hav(anchor.lon, anchor.lat, r.lon, r.lat), 3), r.name or "Unnamed Restaurant", r.place_id)
+            for r in rows
+            if r.amenity == "restaurant"
+        )
+    )[:10]
+    got = nearest.k_nearest(
+        places.where(F.col("amenity") == "restaurant"), nearest.find_first(places, "(?i)customer#0000001.*"), 10
+    ).collect()
+    assert [(r.name, r.place_id) for r in got] == [(c[1], c[2]) for c in cands]
+    assert [r.distance_m for r in got] == pytest.approx([c[0] for c in cands], abs=2e-3)
+    assert [r["rank"] for r in got] == list(range(1, 11))
+
+
+def test_nearest_without_anchor_is_empty(spark):
+    places = nearest.points_only(fx.places(spark, SF01))
+    got = nearest.k_nearest(places, nearest.find_first(places, "no such place"), 10)
+    assert got.count() == 0
+
+
+def test_nearest_plan_is_scan_without_join(spark):
+    places = nearest.points_only(fx.places(spark, SF01))
+    q = nearest.k_nearest(places, nearest.find_first(places, "(?i)customer#0000001.*"), 10)
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
+    assert "Join" not in plan.replace("BroadcastExchange", "")
+
+
+def test_name_default(spark):
+    df = spark.createDataFrame([("a",), (None,)], "name string")
+    assert [r.n for r in df.select(nearest.name_or_default().alias("n")).collect()] == ["a", "Unnamed Restaurant"]
+
+
+def test_cancelled_flights_order_and_pushdown(spark, tmp_dir):
+    docs = fx.flight_documents(spark, SF01)
+    docs.write.mode("overwrite").parquet(tmp_dir + "/flights")
+    stored = spark.read.parquet(tmp_dir + "/flights")
+    q = documents.cancelled_flights(stored, "NATION_7", 30, extra={"year": "year"}, ranked=False)
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "statistics.flights.cancelled" in plan
+    rows = documents.cancelled_flights(stored, "NATION_7", 30, extra={"year": "year"}).collect()
+    rows.sort(key=lambda r: r["rank"])
+    assert len(rows) == 19
+    keys = [(r.carrier_name, -r.cancelled, r.year) for r in rows]
+    assert keys == sorted(keys)
+    assert all(r.cancelled > 30 and r.airport_code == "NATION_7" for r in rows)
+
+
+def test_nested_schema_pruning(spark, tmp_dir):
+    docs = fx.flight_documents(spark, SF01)
+    docs.write.mode("overwrite").parquet(tmp_dir + "/flights")
+    q = documents.flatten(spark.read.parquet(tmp_dir + "/flights"), {"c": "airport.code"})
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<airport:struct<code:string>>" in plan
+
+
+def test_window_free_of_single_partition_on_unbounded_rank(spark):
+    # global_rank must not contain a global window over all rows
+    df = spark.range(100).select("id")
+    ranked = global_rank(df, [F.col("id")])
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
