@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldatlas.functions.sets import jaccard
-from fieldatlas.operators.diversity import distinct_members, most_diverse
 from fieldatlas.plans.ranking import top_k
+from fieldatlas.session import materialize
 
 
 def _q(name: str):
@@ -33,15 +33,24 @@ def _q(name: str):
 def pair_overlaps(df: DataFrame, k_groups: int = 10, group: str = "community",
                   value: str = "species") -> DataFrame:
     """All pairs of the ``k_groups`` most diverse groups with
-    ``n1, n2, n_inter, n_union, similarity``; ``community_1 < community_2``."""
-    top = most_diverse(df, k_groups, group, value, "n").select(
-        _q(group).alias("g"), F.col("n")
+    ``n1, n2, n_inter, n_union, similarity``; ``community_1 < community_2``.
+
+    One distinct ``(group, value)`` table feeds everything (set sizes, the
+    top groups, the inverted index). It is written once to the shared folder,
+    so the input (typically a spatial join) is computed once however many
+    branches read it; null values are kept in it only so that groups whose
+    values are all null still count as groups of size 0.
+    """
+    pairs_gv = materialize(
+        df.select(_q(group).alias("g"), _q(value).alias("v")).distinct(), "group-values"
     )
-    members = distinct_members(df, group, value).join(
-        F.broadcast(top.select(F.col("g").alias(group))), group, "left_semi"
+    sizes = pairs_gv.groupBy("g").agg(F.count("v").alias("n"))
+    top = top_k(sizes, [F.col("n").desc(), F.col("g").asc_nulls_last()], k_groups).select("g", "n")
+    members = pairs_gv.where(F.col("v").isNotNull()).join(
+        F.broadcast(top.select("g")), "g", "left_semi"
     )
-    a = members.select(_q(group).alias("c1"), _q(value).alias("v"))
-    b = members.select(_q(group).alias("c2"), _q(value).alias("v"))
+    a = members.select(F.col("g").alias("c1"), "v")
+    b = members.select(F.col("g").alias("c2"), "v")
     inter = (
         a.join(b, "v")
         .where(F.col("c1") < F.col("c2"))

@@ -329,7 +329,8 @@ def spatial_join(
 
     # The polygon side is read by the planning aggregations and by the join:
     # store it once (reliable checkpoint in the shared folder) instead of
-    # re-deriving edges and boxes in every job.
+    # re-deriving edges and boxes in every job. It is the small side, so the
+    # second evaluation an eager checkpoint makes is cheap.
     shared_dir(renamed.sparkSession)
     geo = prepare_polygons(renamed, rings).checkpoint(eager=True)
     plan, cells = plan_grid(
