@@ -149,3 +149,24 @@ def test_shuffle_plan_is_salted_hash_join(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "_fa_salt" in plan
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_hot_cell_with_a_third_of_all_points(spark):
+    # a third of all points share one location; both strategies must give the full result
+    n = 30000
+    pts = spark.range(n).select(
+        F.col("id").alias("pid"),
+        F.when(F.col("id") % 3 == 0, F.lit(2.0)).otherwise((F.col("id") * 7919 % 4000) / 1000.0).alias("lon"),
+        F.when(F.col("id") % 3 == 0, F.lit(2.0)).otherwise((F.col("id") * 104729 % 4000) / 1000.0).alias("lat"),
+    )
+    polys = polygons(spark)
+    rows = [(r.pid, r.lon, r.lat) for r in pts.collect()]
+    rings = {r.name: [[(p.x, p.y) for p in rg] for rg in r.rings] for r in polys.collect()}
+    expected = brute_join(rows, list(rings.items()))
+    for kw in ({"strategy": "broadcast"}, {"strategy": "shuffle", "rows_per_task": 1000}):
+        out = spatial_join(pts, polys, cell_size=0.5, **kw)
+        got = [(r.pid, r.name) for r in out.collect()]
+        assert len(got) == len(set(got))
+        assert set(got) == expected
+    hot = sum(1 for pid, name in expected if pid % 3 == 0)
+    assert hot == n // 3  # (2, 2) is inside "square" and inside the hole of "holed"
