@@ -277,17 +277,16 @@ def _salted(
     return pts.drop("_fa_salts"), cells.drop("_fa_salts")
 
 
-def _spread(points: DataFrame) -> DataFrame:
-    """Guard for inputs Spark cannot split (one row group, one compressed
-    file): when the point side arrives in fewer partitions than the cluster
-    has cores, spread it round-robin before the per-point test. With
-    ordinary large inputs the partition count is far higher and nothing
-    happens."""
-    if points.isStreaming:
+def _spread(points: DataFrame, min_partitions: int | None) -> DataFrame:
+    """Guard for inputs Spark cannot split (a single Parquet row group, one
+    compressed file): when asked, and the point side arrives in fewer than
+    ``min_partitions`` partitions, spread it round-robin before the per-point
+    test. Off by default: large inputs arrive in many partitions, and for a
+    point side with shuffles inside, counting partitions would run them."""
+    if min_partitions is None or points.isStreaming:
         return points
-    cores = points.sparkSession.sparkContext.defaultParallelism
-    if points.rdd.getNumPartitions() < cores:
-        return points.repartition(cores)
+    if points.rdd.getNumPartitions() < min_partitions:
+        return points.repartition(min_partitions)
     return points
 
 
@@ -305,6 +304,7 @@ def spatial_join(
     broadcast_limit_bytes: int = 64 << 20,
     rows_per_task: int = 2_000_000,
     collision_prefix: str = "community_",
+    min_partitions: int | None = None,
     return_plan: bool = False,
 ):
     """Inner join of points with the polygons that contain them.
@@ -337,7 +337,7 @@ def spatial_join(
         geo, cell_size, max_cells_per_polygon, strategy, broadcast_limit_bytes,
         cells_per_extent,
     )
-    pts = point_cells(_spread(points), plan, lon, lat)
+    pts = point_cells(_spread(points, min_partitions), plan, lon, lat)
 
     if plan.strategy == "broadcast":
         joined = pts.join(F.broadcast(cells), _KEYS, "inner")

@@ -67,8 +67,16 @@ FLIGHT_FIELDS = {
 # --------------------------------------------------------------------------- inputs
 
 
+def _spread(spark: SparkSession) -> int:
+    # The driver's tables are single Parquet row groups (one scan task each).
+    return spark.sparkContext.defaultParallelism
+
+
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spatial_join(fx.occurrences(spark, sf_dir), fx.communities(spark, sf_dir))
+    return spatial_join(
+        fx.occurrences(spark, sf_dir), fx.communities(spark, sf_dir),
+        min_partitions=_spread(spark),
+    )
 
 
 def _loaded_points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,7 +105,9 @@ def q_spatial_join_colliding_names(spark, sf_dir):
         "occ_id", "species", F.concat(F.lit("occ_"), F.col("occ_id").cast("string")).alias("name"),
         "lon", "lat",
     )
-    return spatial_join(pts, fx.communities(spark, sf_dir, name_col="name"))
+    return spatial_join(
+        pts, fx.communities(spark, sf_dir, name_col="name"), min_partitions=_spread(spark)
+    )
 
 
 def q_similar_communities_top10(spark, sf_dir):
