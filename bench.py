@@ -23,6 +23,7 @@ from fieldatlas.plans.catalog import QUERIES  # noqa: E402
 HEADLINE = [
     "diverse_communities",
     "spatial_join_counts",
+    "spatial_join_shuffled",
     "similar_communities_top10",
     "species_distinct_with_nulls",
     "nearest_places",

@@ -141,3 +141,15 @@ def flight_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(F.col("total"), F.col("cancelled")).alias("flights")
         ).alias("statistics"),
     )
+
+
+def community_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The communities as GeoJSON ``Polygon`` feature text (closed rings)."""
+    c = communities(spark, sf_dir)
+    coords = F.transform("rings", lambda r: F.transform(r, lambda p: F.array(p.x, p.y)))
+    geometry = F.to_json(F.struct(F.lit("Polygon").alias("type"), coords.alias("coordinates")))
+    props = F.to_json(F.struct("community"))
+    text = F.concat(
+        F.lit('{"type":"Feature","properties":'), props, F.lit(',"geometry":'), geometry, F.lit("}")
+    )
+    return c.select(text.alias("value"))

@@ -31,6 +31,7 @@ from fieldatlas.operators.sinks import (
     write_clustered,
     write_documents,
     write_feature_collection,
+    write_feature_lines,
 )
 from fieldatlas.operators.spatial import GridPlan, plan_grid, spatial_join
 
@@ -62,4 +63,5 @@ __all__ = [
     "write_clustered",
     "write_documents",
     "write_feature_collection",
+    "write_feature_lines",
 ]

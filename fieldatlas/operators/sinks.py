@@ -117,3 +117,9 @@ def write_feature_collection(features: DataFrame, path: str, root: str = "object
     )
     grouped.write.mode("overwrite").partitionBy("file_no").text(path)
     return n
+
+
+def write_feature_lines(features: DataFrame, path: str, text: str = "value") -> int:
+    """Write one GeoJSON feature per line (a text sequence); files split and
+    are read back by Spark in parallel. Returns rows written."""
+    return write_documents(features.select(_q(text).alias("value")), path, fmt="text")

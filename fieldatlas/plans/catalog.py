@@ -200,6 +200,28 @@ def q_geojson_object_root(spark, sf_dir):
     return _geojson_points(spark, sf_dir, "object")
 
 
+def q_geojson_lines(spark, sf_dir):
+    path = scratch_path(spark, "places-lines")
+    sinks.write_feature_lines(fx.place_features(spark, sf_dir), path)
+    table = geojson.read_feature_table(spark, path, layout="lines")
+    return nearest.points_only(table).select("place_id", "name", "amenity", "lon", "lat")
+
+
+def q_boundaries_geojson_join(spark, sf_dir):
+    path = scratch_path(spark, "communities-geojson")
+    sinks.write_feature_collection(fx.community_features(spark, sf_dir), path, root="object")
+    com = geojson.read_polygons(spark, path, properties="community string")
+    joined = spatial_join(fx.occurrences(spark, sf_dir), com, min_partitions=_spread(spark))
+    return joined.groupBy("community").agg(F.count(F.lit(1)).alias("n_occurrences"))
+
+
+def q_spatial_join_shuffled(spark, sf_dir):
+    return spatial_join(
+        fx.occurrences(spark, sf_dir), fx.communities(spark, sf_dir),
+        strategy="shuffle", min_partitions=_spread(spark),
+    )
+
+
 def q_features_flatten(spark, sf_dir):
     path = scratch_path(spark, "places-flatten")
     sinks.write_feature_collection(fx.place_features(spark, sf_dir), path, root="object")
@@ -291,6 +313,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "geojson_array_root": q_geojson_array_root,
     "geojson_object_root": q_geojson_object_root,
     "features_flatten": q_features_flatten,
+    "geojson_lines": q_geojson_lines,
+    "boundaries_geojson_join": q_boundaries_geojson_join,
+    "spatial_join_shuffled": q_spatial_join_shuffled,
     "geojson_documents": q_geojson_documents,
     "write_count": q_write_count,
     "clustered_scan": q_clustered_scan,
@@ -436,6 +461,10 @@ SELECT place_id, name, amenity, geometry_type,
        CASE WHEN geometry_type = 'Point' THEN lon END AS lon,
        CASE WHEN geometry_type = 'Point' THEN lat END AS lat
 FROM places""",
+    "geojson_lines": f"WITH {_PLACES}\nSELECT place_id, name, amenity, lon, lat FROM pts",
+    "boundaries_geojson_join": _SPATIAL
+    + "SELECT community, count(*) AS n_occurrences FROM joined GROUP BY community",
+    "spatial_join_shuffled": _SPATIAL + "SELECT occ_id, species, community, lon, lat FROM joined",
     "geojson_documents": _SPATIAL
     + "SELECT occ_id, species, community, 'Point' AS geometry_type, lon, lat FROM joined",
     "write_count": _SPATIAL
