@@ -194,3 +194,12 @@ def test_window_free_of_single_partition_on_unbounded_rank(spark):
     ranked = global_rank(df, [F.col("id")])
     plan = ranked._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
+
+
+def test_global_rank_splits_a_hot_key(spark):
+    # a third of all rows share one sort key; they must not land in one partition
+    df = spark.range(30000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"))
+    ranked = global_rank(df, [F.col("k")])
+    rows = ranked.collect()
+    assert sorted(r["rank"] for r in rows) == list(range(1, 30001))
+    assert [r.k for r in sorted(rows, key=lambda r: r["rank"])][:10000] == [0] * 10000
