@@ -38,8 +38,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldatlas.functions.geo import bbox, contains_point, polygon_edges
-from fieldatlas.session import shared_dir
+from fieldatlas.functions.geo import bbox, contains_point, contains_sql, polygon_edges
 
 _MAX_LEVEL = 40
 _EDGE_BYTES = 32
@@ -84,23 +83,19 @@ def prepare_polygons(
     )
 
 
-def _cells_at(level: Column, cell_size: float) -> tuple[Column, Column]:
-    size = F.lit(float(cell_size)) * F.pow(F.lit(2.0), level.cast("double"))
-    nx = F.floor(F.col("_fa_maxx") / size) - F.floor(F.col("_fa_minx") / size) + 1
-    ny = F.floor(F.col("_fa_maxy") / size) - F.floor(F.col("_fa_miny") / size) + 1
-    return nx, ny
+_SIZE = "(_fa_base * pow(2, _fa_level))"
 
 
 def _with_level(geo: DataFrame, cell_size: float, max_cells: int) -> DataFrame:
-    def fits(lv: Column) -> Column:
-        nx, ny = _cells_at(lv, cell_size)
-        return nx * ny <= max_cells
-
-    level = F.coalesce(
-        F.array_min(F.filter(F.sequence(F.lit(0), F.lit(_MAX_LEVEL)), fits)),
-        F.lit(_MAX_LEVEL),
+    """Finest level whose cells of ``cell_size * 2**level`` degrees cover the
+    polygon's box with at most ``max_cells`` cells."""
+    fits = f"""l -> (floor(_fa_maxx / (_fa_base * pow(2, l))) - floor(_fa_minx / (_fa_base * pow(2, l))) + 1)
+                  * (floor(_fa_maxy / (_fa_base * pow(2, l))) - floor(_fa_miny / (_fa_base * pow(2, l))) + 1)
+                  <= {int(max_cells)}"""
+    return geo.select("*", F.lit(float(cell_size)).alias("_fa_base")).selectExpr(
+        "*",
+        f"coalesce(array_min(filter(sequence(0, {_MAX_LEVEL}), {fits})), {_MAX_LEVEL}) AS _fa_level",
     )
-    return geo.select("*", level.alias("_fa_level"))
 
 
 def plan_grid(
@@ -166,48 +161,40 @@ def polygon_cells(geo: DataFrame, cell_size: float) -> DataFrame:
       matter for a point in it: those overlapping its latitude band and
       reaching its west side (the crossing ray runs east).
     """
-    size = F.lit(float(cell_size)) * F.pow(F.lit(2.0), F.col("_fa_level").cast("double"))
-    xs = F.sequence(F.floor(F.col("_fa_minx") / size), F.floor(F.col("_fa_maxx") / size))
-    ys = F.sequence(F.floor(F.col("_fa_miny") / size), F.floor(F.col("_fa_maxy") / size))
-    exploded = geo.select("*", F.explode(xs).alias("_fa_cx")).select(
-        "*", F.explode(ys).alias("_fa_cy")
-    )
-    attrs = [_q(c) for c in geo.columns if not c.startswith("_fa_")]
+    attrs = [f"`{c}`" for c in geo.columns if not c.startswith("_fa_")]
     keys = ["_fa_level", "_fa_cx", "_fa_cy"]
+    exploded = geo.selectExpr(
+        *attrs, "_fa_edges", "_fa_minx", "_fa_maxx", "_fa_miny", "_fa_maxy", "_fa_level",
+        f"{_SIZE} AS _fa_size",
+    ).selectExpr(
+        "*", "explode(sequence(floor(_fa_minx / _fa_size), floor(_fa_maxx / _fa_size))) AS _fa_cx"
+    ).selectExpr(
+        *attrs, "_fa_edges", "_fa_level", "_fa_size", "_fa_cx",
+        "explode(sequence(floor(_fa_miny / _fa_size), floor(_fa_maxy / _fa_size))) AS _fa_cy",
+    )
     # Cell rectangle widened by a margin far above rounding error.
-    framed = exploded.select(
-        *attrs,
-        *keys,
-        "_fa_edges",
-        (F.col("_fa_cx") * size - size * 1e-6).alias("_fa_x0"),
-        ((F.col("_fa_cx") + 1) * size + size * 1e-6).alias("_fa_x1"),
-        (F.col("_fa_cy") * size - size * 1e-6).alias("_fa_y0"),
-        ((F.col("_fa_cy") + 1) * size + size * 1e-6).alias("_fa_y1"),
-        ((F.col("_fa_cx") + 0.5) * size).alias("_fa_mx"),
-        ((F.col("_fa_cy") + 0.5) * size).alias("_fa_my"),
+    framed = exploded.selectExpr(
+        *attrs, *keys, "_fa_edges",
+        "_fa_cx * _fa_size - _fa_size * 1e-6 AS _fa_x0",
+        "(_fa_cx + 1) * _fa_size + _fa_size * 1e-6 AS _fa_x1",
+        "_fa_cy * _fa_size - _fa_size * 1e-6 AS _fa_y0",
+        "(_fa_cy + 1) * _fa_size + _fa_size * 1e-6 AS _fa_y1",
+        "(_fa_cx + 0.5D) * _fa_size AS _fa_mx",
+        "(_fa_cy + 0.5D) * _fa_size AS _fa_my",
     )
-    band = F.expr(
+    with_band = framed.selectExpr(
+        *attrs, *keys, "_fa_x1", "_fa_mx", "_fa_my",
         """filter(_fa_edges, e -> greatest(e.y1, e.y2) >= _fa_y0
-                               AND least(e.y1, e.y2) <= _fa_y1
-                               AND greatest(e.x1, e.x2) >= _fa_x0)"""
+                              AND least(e.y1, e.y2) <= _fa_y1
+                              AND greatest(e.x1, e.x2) >= _fa_x0) AS _fa_band""",
     )
-    with_band = framed.select(
-        *attrs, *keys, "_fa_x1", "_fa_mx", "_fa_my", band.alias("_fa_band")
+    classified = with_band.selectExpr(
+        *attrs, *keys, "_fa_band",
+        "exists(_fa_band, e -> least(e.x1, e.x2) <= _fa_x1) AS _fa_boundary",
+        f"{contains_sql('_fa_band', '_fa_mx', '_fa_my')} AS _fa_centre",
     )
-    boundary = F.expr("exists(_fa_band, e -> least(e.x1, e.x2) <= _fa_x1)")
-    centre_in = contains_point("_fa_band", "_fa_mx", "_fa_my")
-    return (
-        with_band.select(
-            *attrs, *keys, "_fa_band",
-            boundary.alias("_fa_boundary"), centre_in.alias("_fa_centre"),
-        )
-        .where(F.col("_fa_boundary") | F.col("_fa_centre"))
-        .select(
-            *attrs,
-            *keys,
-            "_fa_boundary",
-            F.when(F.col("_fa_boundary"), F.col("_fa_band")).alias("_fa_edges"),
-        )
+    return classified.where("_fa_boundary OR _fa_centre").selectExpr(
+        *attrs, *keys, "_fa_boundary", "IF(_fa_boundary, _fa_band, NULL) AS _fa_edges"
     )
 
 
@@ -327,12 +314,10 @@ def spatial_join(
     )
     out_poly = [collision_prefix + c if c in taken else c for c in poly_attrs]
 
-    # The polygon side is read by the planning aggregations and by the join:
-    # store it once (reliable checkpoint in the shared folder) instead of
-    # re-deriving edges and boxes in every job. It is the small side, so the
-    # second evaluation an eager checkpoint makes is cheap.
-    shared_dir(renamed.sparkSession)
-    geo = prepare_polygons(renamed, rings).checkpoint(eager=True)
+    # The polygon side is the small side: the two planning aggregations and
+    # the join each derive edges and boxes from it again, which costs less
+    # than storing it.
+    geo = prepare_polygons(renamed, rings)
     plan, cells = plan_grid(
         geo, cell_size, max_cells_per_polygon, strategy, broadcast_limit_bytes,
         cells_per_extent,
