@@ -1,4 +1,4 @@
-"""Readers: JSON-lines documents, tables by format, GeoJSON features."""
+"""Readers: JSON-lines documents, tables by format, GeoJSON features, shapefiles."""
 
 from fieldatlas.sources.documents import read_json_lines, read_table, scan
 from fieldatlas.sources.geojson import (
@@ -7,6 +7,7 @@ from fieldatlas.sources.geojson import (
     read_feature_table,
     read_polygons,
 )
+from fieldatlas.sources.shapefile import read_shapefile
 
 __all__ = [
     "feature_columns",
@@ -14,6 +15,7 @@ __all__ = [
     "read_features",
     "read_json_lines",
     "read_polygons",
+    "read_shapefile",
     "read_table",
     "scan",
 ]
