@@ -23,11 +23,13 @@ Physical strategy, decided from one aggregation over the polygon side:
 * ``broadcast`` when the polygon cells (edges included) are estimated below
   ``broadcast_limit_bytes``. The point side is never shuffled; skew among
   points cannot hurt.
-* ``shuffle`` otherwise. Cells holding more than ``rows_per_task`` points are
-  salted: their points are spread over ``ceil(n / rows_per_task)`` salt values
-  and the polygon cells of those cells are replicated once per salt value.
-  The hot-cell table has at most ``points / rows_per_task`` rows and is only
-  broadcast below the same byte limit.
+* ``shuffle`` otherwise. Hot cells are split either by adaptive execution's
+  skew-join handling (default when enabled: no extra pass) or by salting:
+  cells holding more than ``rows_per_task`` points spread their points over
+  ``ceil(n / rows_per_task)`` salt values and replicate their polygon cells
+  once per salt value. The hot-cell table has at most
+  ``points / rows_per_task`` rows and is only broadcast below the same byte
+  limit.
 """
 
 from __future__ import annotations
@@ -264,6 +266,28 @@ def _salted(
     return pts.drop("_fa_salts"), cells.drop("_fa_salts")
 
 
+def _skew_mode(points: DataFrame, skew: str) -> str:
+    """How hot cells are split in the shuffled strategy.
+
+    ``aqe``: adaptive execution splits a skewed join partition at run time by
+    ranges of map output, so even a single cell holding a third of all points
+    is spread over several tasks, with no extra pass. ``salt``: one extra
+    aggregation over the points finds cells above ``rows_per_task`` and
+    salts them; it works whatever the session settings. ``auto`` picks
+    ``aqe`` when the session has adaptive skew-join handling on.
+    """
+    if skew not in ("auto", "aqe", "salt"):
+        raise ValueError(f"unknown skew mode {skew!r}")
+    if skew != "auto":
+        return skew
+    conf = points.sparkSession.conf
+    on = lambda k, d: (conf.get(k, d) or d).lower() == "true"
+    aqe = on("spark.sql.adaptive.enabled", "true") and on(
+        "spark.sql.adaptive.skewJoin.enabled", "true"
+    )
+    return "aqe" if aqe else "salt"
+
+
 def _spread(points: DataFrame, min_partitions: int | None) -> DataFrame:
     """Guard for inputs Spark cannot split (a single Parquet row group, one
     compressed file): when asked, and the point side arrives in fewer than
@@ -292,6 +316,7 @@ def spatial_join(
     rows_per_task: int = 2_000_000,
     collision_prefix: str = "community_",
     min_partitions: int | None = None,
+    skew: str = "auto",
     return_plan: bool = False,
 ):
     """Inner join of points with the polygons that contain them.
@@ -326,6 +351,8 @@ def spatial_join(
 
     if plan.strategy == "broadcast":
         joined = pts.join(F.broadcast(cells), _KEYS, "inner")
+    elif _skew_mode(points, skew) == "aqe":
+        joined = pts.join(cells, _KEYS, "inner")
     else:
         pts, cells = _salted(pts, cells, rows_per_task, broadcast_limit_bytes)
         joined = pts.join(cells, _KEYS + ["_fa_salt"], "inner")

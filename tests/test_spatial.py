@@ -61,7 +61,7 @@ EXPECTED = {
 def test_micro_containment(spark, strategy, cell_size):
     pts = spark.createDataFrame(MICRO_POINTS, PT_SCHEMA)
     out = spatial_join(
-        pts, polygons(spark), cell_size=cell_size, strategy=strategy, rows_per_task=2
+        pts, polygons(spark), cell_size=cell_size, strategy=strategy, rows_per_task=2, skew="salt"
     )
     got = {(r.pid, r.name) for r in out.collect()}
     assert got == EXPECTED
@@ -110,7 +110,8 @@ def _fixture_inputs(spark):
         {"cell_size": 0.5},
         {"cell_size": 3.0},
         {"cell_size": 0.01, "max_cells_per_polygon": 64},
-        {"strategy": "shuffle", "rows_per_task": 50},
+        {"strategy": "shuffle", "rows_per_task": 50, "skew": "salt"},
+        {"strategy": "shuffle", "skew": "aqe"},
     ],
 )
 def test_grid_join_equals_brute_force(spark, kw):
@@ -144,7 +145,8 @@ def test_plan_uses_cell_equi_join(spark):
 
 def test_shuffle_plan_is_salted_hash_join(spark):
     out = spatial_join(
-        fx.occurrences(spark, SF01), fx.communities(spark, SF01), strategy="shuffle", rows_per_task=2
+        fx.occurrences(spark, SF01), fx.communities(spark, SF01), strategy="shuffle", rows_per_task=2,
+        skew="salt",
     )
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "_fa_salt" in plan
@@ -163,10 +165,48 @@ def test_hot_cell_with_a_third_of_all_points(spark):
     rows = [(r.pid, r.lon, r.lat) for r in pts.collect()]
     rings = {r.name: [[(p.x, p.y) for p in rg] for rg in r.rings] for r in polys.collect()}
     expected = brute_join(rows, list(rings.items()))
-    for kw in ({"strategy": "broadcast"}, {"strategy": "shuffle", "rows_per_task": 1000}):
+    for kw in (
+        {"strategy": "broadcast"},
+        {"strategy": "shuffle", "rows_per_task": 1000, "skew": "salt"},
+        {"strategy": "shuffle", "skew": "aqe"},
+    ):
         out = spatial_join(pts, polys, cell_size=0.5, **kw)
         got = [(r.pid, r.name) for r in out.collect()]
         assert len(got) == len(set(got))
         assert set(got) == expected
     hot = sum(1 for pid, name in expected if pid % 3 == 0)
     assert hot == n // 3  # (2, 2) is inside "square" and inside the hole of "holed"
+
+
+def test_aqe_splits_the_hot_cell(spark):
+    # one cell holds a third of all points; adaptive execution must split its partition
+    n = 60000
+    pts = spark.range(n).select(
+        F.col("id").alias("pid"),
+        F.when(F.col("id") % 3 == 0, F.lit(2.0)).otherwise((F.col("id") * 7919 % 4000) / 1000.0).alias("lon"),
+        F.when(F.col("id") % 3 == 0, F.lit(2.0)).otherwise((F.col("id") * 104729 % 4000) / 1000.0).alias("lat"),
+    ).repartition(16)
+    keys = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        out = spatial_join(pts, polygons(spark), cell_size=0.5, strategy="shuffle", skew="aqe")
+        got = sorted((r.pid, r.name) for r in out.collect())
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in plan and "SortMergeJoin(skew=true)" in plan
+        ref = spatial_join(pts, polygons(spark), cell_size=0.5, strategy="broadcast")
+        assert got == sorted((r.pid, r.name) for r in ref.collect())
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
