@@ -45,19 +45,16 @@ def occurrences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def community_centre(key):
-    cx = F.lit(COMMUNITY_ORIGIN[0]) + F.lit(COMMUNITY_STEP[0]) * (key % 5)
-    cy = F.lit(COMMUNITY_ORIGIN[1]) + F.lit(COMMUNITY_STEP[1]) * F.floor(key / F.lit(5.0))
-    return cx, cy
-
-
 def communities(spark: SparkSession, sf_dir: str, name_col: str = "community") -> DataFrame:
     """``(community, rings)``: one closed concave pentagon per nation."""
     n = table(spark, sf_dir, "nation")
-    cx, cy = community_centre(F.col("n_nationkey"))
-    verts = [F.struct((cx + dx).alias("x"), (cy + dy).alias("y")) for dx, dy in COMMUNITY_OFFSETS]
-    ring = F.array(*verts, verts[0])
-    return n.select(F.col("n_name").alias(name_col), F.array(ring).alias("rings"))
+    cx = f"({COMMUNITY_ORIGIN[0]!r}D + {COMMUNITY_STEP[0]!r}D * (n_nationkey % 5))"
+    cy = f"({COMMUNITY_ORIGIN[1]!r}D + {COMMUNITY_STEP[1]!r}D * floor(n_nationkey / 5.0D))"
+    verts = [
+        f"named_struct('x', {cx} + ({dx!r}D), 'y', {cy} + ({dy!r}D))" for dx, dy in COMMUNITY_OFFSETS
+    ]
+    ring = f"array({', '.join(verts + verts[:1])})"
+    return n.selectExpr(f"n_name AS `{name_col}`", f"array({ring}) AS rings")
 
 
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
