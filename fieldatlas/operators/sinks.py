@@ -99,9 +99,11 @@ def write_feature_collection(features: DataFrame, path: str, root: str = "object
                              rows_per_file: int = 100_000, text: str = "value") -> int:
     """Write GeoJSON files from feature texts, ``rows_per_file`` features each.
 
-    Rows are spread round-robin over ``ceil(n / rows_per_file)`` files; each
-    file is one group of bounded size joined into an array-root or an
-    object-root (``FeatureCollection``) document.
+    Each row gets a file number from a hash of its row identity, so the
+    ``ceil(n / rows_per_file)`` files receive about ``rows_per_file`` rows
+    each, whatever the content (identical features included); one shuffle
+    forms the groups and each file is one group of bounded size, joined
+    into an array-root or an object-root (``FeatureCollection``) document.
     """
     if root not in ("array", "object"):
         raise ValueError("root must be 'array' or 'object'")
@@ -113,12 +115,8 @@ def write_feature_collection(features: DataFrame, path: str, root: str = "object
         if root == "array"
         else F.concat(F.lit('{"type":"FeatureCollection","features":['), body, F.lit("]}"))
     )
-    grouped = (
-        features.repartition(files)
-        .withColumn("file_no", F.spark_partition_id())
-        .groupBy("file_no")
-        .agg(doc.alias("value"))
-    )
+    file_no = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(files))
+    grouped = features.groupBy(file_no.alias("file_no")).agg(doc.alias("value"))
     grouped.write.mode("overwrite").partitionBy("file_no").text(path)
     return n
 
