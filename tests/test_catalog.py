@@ -43,3 +43,10 @@ def test_entry_smoke(spark):
     out = entry.entry(spark)
     assert out.columns == ["rank", "community", "num_species"]
     assert 0 < out.count() <= 10
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_no_cross_join_in_any_plan(spark, name):
+    plan = entry.queries()[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan
+    assert "NestedLoopJoin" not in plan
