@@ -352,10 +352,12 @@ def spatial_join(
     if plan.strategy == "broadcast":
         joined = pts.join(F.broadcast(cells), _KEYS, "inner")
     elif _skew_mode(points, skew) == "aqe":
-        joined = pts.join(cells, _KEYS, "inner")
+        # Shuffled hash join, built on the cell side: the point side is
+        # neither broadcast nor sorted, whatever Spark's own size estimate.
+        joined = pts.join(cells.hint("shuffle_hash"), _KEYS, "inner")
     else:
         pts, cells = _salted(pts, cells, rows_per_task, broadcast_limit_bytes)
-        joined = pts.join(cells, _KEYS + ["_fa_salt"], "inner")
+        joined = pts.join(cells.hint("shuffle_hash"), _KEYS + ["_fa_salt"], "inner")
     result = joined.where(_refine(lon, lat)).select(
         *[_q(c) for c in point_attrs], *[_q(c) for c in out_poly], _q(lon), _q(lat)
     )

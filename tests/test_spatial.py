@@ -149,7 +149,7 @@ def test_shuffle_plan_is_salted_hash_join(spark):
         skew="salt",
     )
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "_fa_salt" in plan
+    assert "_fa_salt" in plan and "ShuffledHashJoin" in plan
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 
@@ -201,7 +201,7 @@ def test_aqe_splits_the_hot_cell(spark):
         out = spatial_join(pts, polygons(spark), cell_size=0.5, strategy="shuffle", skew="aqe")
         got = sorted((r.pid, r.name) for r in out.collect())
         plan = out._jdf.queryExecution().executedPlan().toString()
-        assert "isFinalPlan=true" in plan and "SortMergeJoin(skew=true)" in plan
+        assert "isFinalPlan=true" in plan and "ShuffledHashJoin(skew=true)" in plan
         ref = spatial_join(pts, polygons(spark), cell_size=0.5, strategy="broadcast")
         assert got == sorted((r.pid, r.name) for r in ref.collect())
     finally:
