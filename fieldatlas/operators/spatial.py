@@ -296,7 +296,11 @@ def _spread(points: DataFrame, min_partitions: int | None) -> DataFrame:
     point side with shuffles inside, counting partitions would run them."""
     if min_partitions is None or points.isStreaming:
         return points
-    if points.rdd.getNumPartitions() < min_partitions:
+    try:
+        parts = points.rdd.getNumPartitions()
+    except Exception:  # no RDD access (remote session): leave the input as it is
+        return points
+    if parts < min_partitions:
         return points.repartition(min_partitions)
     return points
 

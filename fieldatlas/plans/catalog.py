@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from fieldatlas import fixtures as fx
 from fieldatlas.operators import diversity, documents, nearest, similarity, sinks
 from fieldatlas.operators.spatial import spatial_join
-from fieldatlas.session import scratch_path
+from fieldatlas.session import default_parallelism, scratch_path
 from fieldatlas.sources import documents as docsrc
 from fieldatlas.sources import geojson
 
@@ -69,7 +69,7 @@ FLIGHT_FIELDS = {
 
 def _spread(spark: SparkSession) -> int:
     # The driver's tables are single Parquet row groups (one scan task each).
-    return spark.sparkContext.defaultParallelism
+    return default_parallelism(spark)
 
 
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,6 +13,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a remote session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect sessions have no SparkContext
+        return None
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -20,21 +28,31 @@ def shared_dir(spark: SparkSession) -> str:
     the checkpoint directory. On a cluster an unset value is an error: a
     machine-local folder would be lost with its executor.
     """
+    sc = _context(spark)
     base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and sc is not None:
+        base = sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
-        base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir must name a shared folder for intermediate tables"
             )
         base = tempfile.mkdtemp(prefix="fieldatlas-")
         spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(base)
     return base.rstrip("/")
 
 
+def default_parallelism(spark: SparkSession, fallback: int = 8) -> int:
+    """Cores of the cluster as Spark reports them."""
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.default.parallelism", str(fallback)))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique table path below the shared folder."""
     return f"{shared_dir(spark)}/fieldatlas/{name}-{uuid.uuid4().hex}"
