@@ -18,6 +18,8 @@ turns them into flat columns.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,11 +70,9 @@ def infer_properties(features: DataFrame, feature: str = "feature") -> str:
 
 
 def _struct_ddl(ddl: str) -> str:
-    # schema_of_variant writes OBJECT<...>; VOID marks keys that were always null.
-    s = ddl.replace("VOID", "STRING")
-    if s.upper().startswith("OBJECT<"):
-        s = "STRUCT<" + s[len("OBJECT<"):]
-    return s
+    # schema_of_variant writes OBJECT<...> (at every nesting level); VOID
+    # marks keys that were always null.
+    return re.sub(r"\bOBJECT<", "STRUCT<", re.sub(r"\bVOID\b", "STRING", ddl))
 
 
 def feature_columns(features: DataFrame, properties=None, feature: str = "feature",

@@ -160,3 +160,17 @@ def test_streaming_points_join_static_polygons(spark, tmp_dir):
     q.processAllAvailable()
     q.stop()
     assert spark.table("enriched_points").count() == 15656
+
+
+def test_inferred_nested_properties(spark, tmp_dir):
+    feats = [
+        {"type": "Feature", "properties": {"name": "a", "meta": {"rank": 1, "tags": ["x"]}, "gone": None},
+         "geometry": {"type": "Point", "coordinates": [1.0, 2.0]}},
+        {"type": "Feature", "properties": {"name": "b", "meta": {"rank": 2}},
+         "geometry": {"type": "Point", "coordinates": [3.0, 4.0]}},
+    ]
+    write(f"{tmp_dir}/nested/f.geojson", json.dumps(feats))
+    t = geojson.read_feature_table(spark, f"{tmp_dir}/nested")
+    rows = {r.name: r for r in t.collect()}
+    assert rows["a"].meta.rank == 1 and list(rows["a"].meta.tags) == ["x"]
+    assert rows["b"].meta.tags is None and rows["a"].gone is None
