@@ -71,8 +71,11 @@ def infer_properties(features: DataFrame, feature: str = "feature") -> str:
 
 def _struct_ddl(ddl: str) -> str:
     # schema_of_variant writes OBJECT<...> (at every nesting level); VOID
-    # marks keys that were always null.
-    return re.sub(r"\bOBJECT<", "STRUCT<", re.sub(r"\bVOID\b", "STRING", ddl))
+    # marks keys that were always null; fractional numbers come out as
+    # DECIMAL, which Spark's own JSON inference would read as DOUBLE.
+    ddl = re.sub(r"\bVOID\b", "STRING", ddl)
+    ddl = re.sub(r"\bDECIMAL\(\d+,\s*\d+\)", "DOUBLE", ddl)
+    return re.sub(r"\bOBJECT<", "STRUCT<", ddl)
 
 
 def feature_columns(features: DataFrame, properties=None, feature: str = "feature",

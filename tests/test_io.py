@@ -174,3 +174,13 @@ def test_inferred_nested_properties(spark, tmp_dir):
     rows = {r.name: r for r in t.collect()}
     assert rows["a"].meta.rank == 1 and list(rows["a"].meta.tags) == ["x"]
     assert rows["b"].meta.tags is None and rows["a"].gone is None
+
+
+def test_inferred_property_names_and_numbers(spark, tmp_dir):
+    feats = [{"type": "Feature", "properties": {"a b": 1, "c.d": 2.5, "select": "x"},
+              "geometry": {"type": "Point", "coordinates": [1.0, 2.0]}}]
+    write(f"{tmp_dir}/names/f.geojson", json.dumps(feats))
+    t = geojson.read_feature_table(spark, f"{tmp_dir}/names")
+    assert dict(t.dtypes)["c.d"] == "double" and dict(t.dtypes)["a b"] == "bigint"
+    r = t.first()
+    assert r["a b"] == 1 and r["c.d"] == 2.5 and r["select"] == "x"
