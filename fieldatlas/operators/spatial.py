@@ -46,6 +46,7 @@ _MAX_LEVEL = 40
 _EDGE_BYTES = 32
 _CELL_ROW_BYTES = 48
 _HOT_ROW_BYTES = 40
+_FINITE = 1.7e308  # largest magnitude treated as a coordinate
 
 
 @dataclass(frozen=True)
@@ -201,23 +202,32 @@ def polygon_cells(geo: DataFrame, cell_size: float) -> DataFrame:
 
 
 def point_cells(points: DataFrame, plan: GridPlan, lon: str, lat: str) -> DataFrame:
-    """One row per point and level in use (one row when one level is used)."""
+    """One row per point and level in use (one row when one level is used).
+
+    Points with a null, NaN or infinite coordinate get no cell and so match
+    nothing (``between`` is false for NaN and infinities in Spark).
+    """
     x, y = _q(lon), _q(lat)
+    finite = x.between(-_FINITE, _FINITE) & y.between(-_FINITE, _FINITE)
+
+    def cell(c, size):
+        return F.when(finite, F.floor(c / F.lit(size)))
+
     if len(plan.levels) == 1:
         lv = plan.levels[0]
         size = plan.size(lv)
         return points.select(
             "*",
             F.lit(lv).alias("_fa_level"),
-            F.floor(x / F.lit(size)).alias("_fa_cx"),
-            F.floor(y / F.lit(size)).alias("_fa_cy"),
+            cell(x, size).alias("_fa_cx"),
+            cell(y, size).alias("_fa_cy"),
         )
     keys = F.array(
         *[
             F.struct(
                 F.lit(lv).alias("l"),
-                F.floor(x / F.lit(plan.size(lv))).alias("cx"),
-                F.floor(y / F.lit(plan.size(lv))).alias("cy"),
+                cell(x, plan.size(lv)).alias("cx"),
+                cell(y, plan.size(lv)).alias("cy"),
             )
             for lv in plan.levels
         ]

@@ -210,3 +210,16 @@ def test_aqe_splits_the_hot_cell(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_non_finite_points_match_nothing(spark):
+    # (0, 0)'s cell lies inside the big square, so an unchecked NaN (cell 0) would match
+    big = ring((-10, -10), (10, -10), (10, 10), (-10, 10))
+    polys = spark.createDataFrame([("big", [big])], POLY_SCHEMA)
+    pts = spark.createDataFrame(
+        [("nan", float("nan"), 0.5), ("inf", float("inf"), 0.5), ("ninf", 0.5, float("-inf")), ("ok", 0.5, 0.5)],
+        PT_SCHEMA,
+    )
+    for strategy in ("broadcast", "shuffle"):
+        out = spatial_join(pts, polys, cell_size=1.0, strategy=strategy)
+        assert [r.pid for r in out.collect()] == ["ok"]
