@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from fieldatlas.functions.geo import bbox, contains_point, contains_sql, polygon_edges
 
-_MAX_LEVEL = 40
+_MAX_LEVEL = 60
 _EDGE_BYTES = 32
 _CELL_ROW_BYTES = 48
 _HOT_ROW_BYTES = 40
@@ -71,19 +71,25 @@ def _q(name: str) -> Column:
 def prepare_polygons(
     polygons: DataFrame, rings: str = "rings", attrs: list[str] | None = None
 ) -> DataFrame:
-    """Attributes + edges + bounding box; polygons without edges are dropped."""
+    """Attributes + edges + bounding box. Polygons without edges, or with a
+    null, NaN or infinite coordinate (no finite box, so they contain no
+    point), are left out."""
     attrs = [c for c in polygons.columns if c != rings] if attrs is None else attrs
     with_edges = polygons.select(
         *[_q(c) for c in attrs], polygon_edges(rings).alias("_fa_edges")
     ).where(F.size("_fa_edges") > 0)
     minx, miny, maxx, maxy = bbox("_fa_edges")
-    return with_edges.select(
+    boxed = with_edges.select(
         "*",
         minx.alias("_fa_minx"),
         miny.alias("_fa_miny"),
         maxx.alias("_fa_maxx"),
         maxy.alias("_fa_maxy"),
     )
+    finite = F.lit(True)
+    for c in ("_fa_minx", "_fa_miny", "_fa_maxx", "_fa_maxy"):
+        finite = finite & F.col(c).between(-_FINITE, _FINITE)
+    return boxed.where(finite)
 
 
 _SIZE = "(_fa_base * pow(2, _fa_level))"
@@ -92,8 +98,11 @@ _SIZE = "(_fa_base * pow(2, _fa_level))"
 def _with_level(geo: DataFrame, cell_size: float, max_cells: int) -> DataFrame:
     """Finest level whose cells of ``cell_size * 2**level`` degrees cover the
     polygon's box with at most ``max_cells`` cells."""
-    fits = f"""l -> (floor(_fa_maxx / (_fa_base * pow(2, l))) - floor(_fa_minx / (_fa_base * pow(2, l))) + 1)
-                  * (floor(_fa_maxy / (_fa_base * pow(2, l))) - floor(_fa_miny / (_fa_base * pow(2, l))) + 1)
+    # Cell counts in doubles, so an extreme extent cannot overflow a long.
+    fits = f"""l -> (CAST(floor(_fa_maxx / (_fa_base * pow(2, l))) AS DOUBLE)
+                   - CAST(floor(_fa_minx / (_fa_base * pow(2, l))) AS DOUBLE) + 1)
+                  * (CAST(floor(_fa_maxy / (_fa_base * pow(2, l))) AS DOUBLE)
+                   - CAST(floor(_fa_miny / (_fa_base * pow(2, l))) AS DOUBLE) + 1)
                   <= {int(max_cells)}"""
     return geo.select("*", F.lit(float(cell_size)).alias("_fa_base")).selectExpr(
         "*",

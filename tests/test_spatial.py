@@ -223,3 +223,12 @@ def test_non_finite_points_match_nothing(spark):
     for strategy in ("broadcast", "shuffle"):
         out = spatial_join(pts, polys, cell_size=1.0, strategy=strategy)
         assert [r.pid for r in out.collect()] == ["ok"]
+
+
+def test_non_finite_polygon_is_left_out(spark):
+    bad = ring((0, 0), (float("inf"), 0), (1, 1))
+    nan = ring((0, 0), (float("nan"), 0), (1, 1))
+    good = ring((0, 0), (4, 0), (4, 4), (0, 4))
+    polys = spark.createDataFrame([("bad", [bad]), ("nan", [nan]), ("good", [good])], POLY_SCHEMA)
+    pts = spark.createDataFrame([("a", 0.5, 0.2)], PT_SCHEMA)
+    assert [(r.pid, r.name) for r in spatial_join(pts, polys).collect()] == [("a", "good")]
