@@ -18,12 +18,14 @@ A point falls into exactly one cell per level and a polygon uses exactly one
 level, so every (point, polygon) pair meets at most once: no deduplication.
 The result does not depend on the cell size; only the speed does.
 
-Physical strategy, decided from one aggregation over the polygon side:
-
-* ``broadcast`` when the polygon cells (edges included) are estimated below
-  ``broadcast_limit_bytes``. The point side is never shuffled; skew among
-  points cannot hurt.
-* ``shuffle`` otherwise. Hot cells are split either by adaptive execution's
+Physical strategy, decided from two single-row aggregations over the
+polygon side and forced by a join hint (Spark's own estimate cannot
+override it):
+
+* ``broadcast`` (broadcast hash join) when the polygon cells, edges
+  included, are estimated below ``broadcast_limit_bytes``. The point side is
+  never shuffled; skew among points cannot hurt.
+* ``shuffle`` (shuffled hash join built on the cell side) otherwise. Hot cells are split either by adaptive execution's
   skew-join handling (default when enabled: no extra pass) or by salting:
   cells holding more than ``rows_per_task`` points spread their points over
   ``ceil(n / rows_per_task)`` salt values and replicate their polygon cells
@@ -348,7 +350,15 @@ def spatial_join(
     attribute columns (a name already used by the point side is emitted as
     ``collision_prefix + name``), then ``lon``, ``lat`` last. Unmatched points
     are dropped, a point inside two polygons yields two rows, and a point with
-    a null coordinate or lying on a polygon's boundary matches nothing.
+    a null, NaN or infinite coordinate, or lying on a polygon's boundary,
+    matches nothing.
+
+    ``cell_size`` (default: median polygon extent / ``cells_per_extent``) and
+    ``max_cells_per_polygon`` shape the grid; ``strategy`` is ``auto``,
+    ``broadcast`` or ``shuffle``; ``skew`` (``auto``, ``aqe``, ``salt``) and
+    ``rows_per_task`` govern hot cells in the shuffled strategy;
+    ``min_partitions`` spreads a point side that arrives in too few
+    partitions; ``return_plan`` also returns the :class:`GridPlan`.
     """
     point_attrs = [c for c in points.columns if c not in (lon, lat)]
     poly_attrs = [c for c in polygons.columns if c != rings]
