@@ -172,14 +172,7 @@ def q_documents_append(spark, sf_dir):
 
 def q_documents_export_json(spark, sf_dir):
     text = documents.to_json_text(fx.flight_documents(spark, sf_dir))
-    j = F.col("json")
-    return text.select(
-        F.get_json_object(j, "$.carrier.name").alias("carrier_name"),
-        F.get_json_object(j, "$.airport.code").alias("airport_code"),
-        F.get_json_object(j, "$.year").cast("long").alias("year"),
-        F.get_json_object(j, "$.statistics.flights.total").cast("long").alias("total"),
-        F.get_json_object(j, "$.statistics.flights.cancelled").cast("long").alias("cancelled"),
-    )
+    return documents.flatten(documents.from_json_text(text, FLIGHT_SCHEMA), FLIGHT_FIELDS)
 
 
 # --------------------------------------------------------------------------- GeoJSON
