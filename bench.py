@@ -1,7 +1,7 @@
 """Time the headline queries; print one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEAT (default 2; the best run of each query is reported).
+BENCH_REPEAT (default 3; the best run of each query is reported).
 Each query is run to completion with the ``noop`` sink, so the timing covers
 the whole plan without moving results to the driver.
 """
@@ -57,7 +57,7 @@ def session(cpus: str) -> SparkSession:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = session(cpus)
     # Warm-up (untimed): JVM class loading, JIT and code generation of the
     # join and aggregation paths are not part of any one query.
