@@ -18,11 +18,6 @@ from pyspark.sql import types as T
 # Fixed value: mean Earth radius in metres used by the haversine distance.
 EARTH_RADIUS_M = 6371000.0
 
-EDGE_TYPE = T.StructType(
-    [T.StructField(n, T.DoubleType()) for n in ("x1", "y1", "x2", "y2")]
-)
-
-
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

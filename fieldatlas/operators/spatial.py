@@ -36,7 +36,6 @@ override it):
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -395,8 +394,3 @@ def spatial_join(
         *[_q(c) for c in point_attrs], *[_q(c) for c in out_poly], _q(lon), _q(lat)
     )
     return (result, plan) if return_plan else result
-
-
-def cells_per_polygon(plan: GridPlan) -> float:
-    """Average number of cell rows per polygon (for reporting)."""
-    return plan.cell_rows / plan.polygons if plan.polygons else math.nan
