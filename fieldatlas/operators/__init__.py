@@ -19,6 +19,7 @@ from fieldatlas.operators.nearest import (
     find_first,
     has_position,
     k_nearest,
+    k_nearest_in_layout,
     name_or_default,
     points_only,
 )
@@ -48,6 +49,7 @@ __all__ = [
     "geojson_documents",
     "has_position",
     "k_nearest",
+    "k_nearest_in_layout",
     "most_diverse",
     "most_similar",
     "name_or_default",

@@ -136,6 +136,17 @@ def q_nearest_places(spark, sf_dir):
     return nearest.k_nearest(restaurants, anchor, TOP_K)
 
 
+def q_nearest_places_clustered(spark, sf_dir):
+    # The loaded points stored in the clustered layout (the index's role),
+    # then the near query searches outward from the anchor.
+    path = scratch_path(spark, "places-clustered")
+    sinks.write_clustered(_loaded_points(spark, sf_dir), path)
+    pts = spark.read.parquet(path)
+    anchor = nearest.find_first(pts, ANCHOR_PATTERN)
+    restaurants = pts.where(F.col("amenity") == AMENITY)
+    return nearest.k_nearest_in_layout(restaurants, anchor, TOP_K)
+
+
 def q_place_lookup_regex(spark, sf_dir):
     return nearest.find_first(_loaded_points(spark, sf_dir), ANCHOR_PATTERN).select(
         "place_id", "name", "lon", "lat"
@@ -297,6 +308,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "community_species": q_community_species,
     "species_distinct_with_nulls": q_species_distinct_with_nulls,
     "nearest_places": q_nearest_places,
+    "nearest_places_clustered": q_nearest_places_clustered,
     "place_lookup_regex": q_place_lookup_regex,
     "place_name_default": q_place_name_default,
     "flights_filter_sort": q_flights_filter_sort,
@@ -431,6 +443,7 @@ SELECT CAST(rank AS BIGINT) AS rank, place_id, name, distance_m FROM (
   SELECT place_id, name, distance_m,
          row_number() OVER (ORDER BY distance_m, name, place_id) AS rank FROM d) t
 WHERE rank <= 10""",
+    "nearest_places_clustered": None,  # filled below: same question as nearest_places
     "place_lookup_regex": f"""WITH {_PLACES}
 SELECT place_id, name, lon, lat FROM pts WHERE regexp_matches(name, '(?i)customer#0000001.*')
 ORDER BY name, lon, lat LIMIT 1""",
@@ -469,3 +482,4 @@ WHERE lon BETWEEN 7.5e0 AND 8.5e0 AND lat BETWEEN 48e0 AND 49e0""",
     "SELECT community, CAST(i AS BIGINT) AS i, x1, y1, x2, y2 FROM community_edges",
     "table_source_options": _SPATIAL + _TOP_DIVERSE,
 }
+ORACLE_SQL["nearest_places_clustered"] = ORACLE_SQL["nearest_places"]

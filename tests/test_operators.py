@@ -203,3 +203,41 @@ def test_global_rank_splits_a_hot_key(spark):
     rows = ranked.collect()
     assert sorted(r["rank"] for r in rows) == list(range(1, 30001))
     assert [r.k for r in sorted(rows, key=lambda r: r["rank"])][:10000] == [0] * 10000
+
+
+@pytest.mark.parametrize("pattern,k,start", [
+    ("(?i)customer#0000001.*", 10, 0.05),
+    ("(?i)customer#00000077.*", 3, 0.001),
+    ("(?i)customer#0000014.*", 25, 1.0),
+])
+def test_nearest_in_layout_equals_full_scan(spark, tmp_dir, pattern, k, start):
+    from fieldatlas.operators import sinks
+
+    pts = nearest.points_only(fx.places(spark, SF01))
+    sinks.write_clustered(pts, f"{tmp_dir}/pl", partitions=8)
+    stored = spark.read.parquet(f"{tmp_dir}/pl")
+    anchor = nearest.find_first(stored, pattern)
+    cands = stored.where(F.col("amenity") == "restaurant")
+    want = [tuple(r) for r in nearest.k_nearest(cands, anchor, k).collect()]
+    got = [tuple(r) for r in nearest.k_nearest_in_layout(cands, anchor, k, start_radius_deg=start).collect()]
+    assert got == want and len(got) == k
+
+
+def test_box_clearance_is_a_lower_bound():
+    import random
+
+    from fieldatlas.operators.nearest import _box_clearance_m
+
+    rnd = random.Random(7)
+    for _ in range(2000):
+        x, y = rnd.uniform(-170, 170), rnd.uniform(-89, 89)
+        r = rnd.choice([0.01, 0.1, 1.0, 5.0, 30.0])
+        if x - r < -180 or x + r > 180:
+            continue  # the search never relies on a box across the antimeridian
+        px, py = rnd.uniform(-180, 180), rnd.uniform(-90, 90)
+        if abs(px - x) <= r and abs(py - y) <= r:
+            continue  # inside the box
+        dlat, dlon = math.radians(py - y) / 2, math.radians(px - x) / 2
+        a = math.sin(dlat) ** 2 + math.cos(math.radians(y)) * math.cos(math.radians(py)) * math.sin(dlon) ** 2
+        d = 6371000.0 * 2 * math.atan2(math.sqrt(min(a, 1.0)), math.sqrt(1 - min(a, 1.0)))
+        assert d >= _box_clearance_m(x, y, r) - 1e-6
