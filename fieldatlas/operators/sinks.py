@@ -90,8 +90,16 @@ def clustered_layout(df: DataFrame, lon: str = "lon", lat: str = "lat",
 
 
 def write_clustered(df: DataFrame, path: str, lon: str = "lon", lat: str = "lat",
-                    cell_size: float = 0.05, partitions: int | None = None) -> int:
-    """Write ``df`` as Parquet in the clustered layout; returns rows written."""
+                    cell_size: float = 0.05, partitions: int | None = None,
+                    rows_per_file: int = 5_000_000) -> int:
+    """Write ``df`` as Parquet in the clustered layout; returns rows written.
+
+    Without ``partitions``, the number of range partitions (one file each)
+    is ``ceil(rows / rows_per_file)``, from one counting pass, so files keep
+    a bounded size whatever the input size.
+    """
+    if partitions is None:
+        partitions = max(1, math.ceil(df.count() / rows_per_file))
     return replace_collection(clustered_layout(df, lon, lat, cell_size, partitions), path)
 
 
