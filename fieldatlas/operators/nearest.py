@@ -113,8 +113,8 @@ def k_nearest_in_layout(candidates: DataFrame, anchor: DataFrame, k: int = 10, *
                         name: str = "name", decimals: int | None = 3,
                         start_radius_deg: float = 0.05, growth: float = 4.0) -> DataFrame:
     """Exact ``k`` nearest on a table in the clustered layout
-    (:func:`fieldatlas.operators.sinks.write_clustered`), the role a 2dsphere
-    index plays for a near query.
+    (:func:`fieldatlas.operators.sinks.write_clustered`), the role a spherical
+    geospatial index plays for a near query.
 
     A box around the anchor is searched first; its ``lon``/``lat`` filter
     reaches the Parquet scan, so only row groups near the anchor are read.
