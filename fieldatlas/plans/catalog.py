@@ -443,7 +443,6 @@ SELECT CAST(rank AS BIGINT) AS rank, place_id, name, distance_m FROM (
   SELECT place_id, name, distance_m,
          row_number() OVER (ORDER BY distance_m, name, place_id) AS rank FROM d) t
 WHERE rank <= 10""",
-    "nearest_places_clustered": None,  # filled below: same question as nearest_places
     "place_lookup_regex": f"""WITH {_PLACES}
 SELECT place_id, name, lon, lat FROM pts WHERE regexp_matches(name, '(?i)customer#0000001.*')
 ORDER BY name, lon, lat LIMIT 1""",
@@ -482,4 +481,5 @@ WHERE lon BETWEEN 7.5e0 AND 8.5e0 AND lat BETWEEN 48e0 AND 49e0""",
     "SELECT community, CAST(i AS BIGINT) AS i, x1, y1, x2, y2 FROM community_edges",
     "table_source_options": _SPATIAL + _TOP_DIVERSE,
 }
+# The clustered near query answers the same question as nearest_places.
 ORACLE_SQL["nearest_places_clustered"] = ORACLE_SQL["nearest_places"]
