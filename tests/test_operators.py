@@ -241,3 +241,16 @@ def test_box_clearance_is_a_lower_bound():
         a = math.sin(dlat) ** 2 + math.cos(math.radians(y)) * math.cos(math.radians(py)) * math.sin(dlon) ** 2
         d = 6371000.0 * 2 * math.atan2(math.sqrt(min(a, 1.0)), math.sqrt(1 - min(a, 1.0)))
         assert d >= _box_clearance_m(x, y, r) - 1e-6
+
+
+def test_find_first_regex_semantics(spark):
+    df = spark.createDataFrame(
+        [("Zoo Cafe", 1.0, 1.0), ("zoo cafe", 0.0, 0.0), ("The ZOO\nCafe", 2.0, 2.0), (None, 3.0, 3.0)],
+        "name string, lon double, lat double",
+    )
+    # unanchored and case-insensitive with (?i); first by (name, lon, lat)
+    assert [r.name for r in nearest.find_first(df, "(?i)zoo.cafe").collect()] == ["Zoo Cafe"]
+    # case-sensitive without the flag
+    assert [r.name for r in nearest.find_first(df, "zoo.cafe").collect()] == ["zoo cafe"]
+    # '.' does not match a newline, so the third name never matches ".*ZOO.Cafe"
+    assert nearest.find_first(df, "ZOO.Cafe").count() == 0
