@@ -50,19 +50,25 @@ def _shapes(shp: bytes) -> Iterator[tuple[list, list] | None]:
         pos += 8 + 2 * words
 
 
-def dbf_fields(dbf: bytes) -> list[tuple[str, str, int, int]]:
-    """Field descriptors ``(name, type, length, decimals)`` of a ``.dbf``."""
-    (header_len,) = struct.unpack_from("<H", dbf, 8)
+def descriptor_fields(block: bytes) -> list[tuple[str, str, int, int]]:
+    """``(name, type, length, decimals)`` from consecutive 32-byte field
+    descriptors (stops at the 0x0D terminator)."""
     fields = []
-    pos = 32
-    while pos + 32 <= header_len and dbf[pos] != 0x0D:
-        raw = dbf[pos : pos + 32]
+    for pos in range(0, len(block) - 31, 32):
+        raw = block[pos : pos + 32]
+        if raw[0] == 0x0D:
+            break
         name = raw[:11].split(b"\x00", 1)[0].decode("ascii", "replace")
         fields.append((name, chr(raw[11]), raw[16], raw[17]))
-        pos += 32
     return fields
 
 
+def dbf_fields(dbf: bytes) -> list[tuple[str, str, int, int]]:
+    """Field descriptors ``(name, type, length, decimals)`` of a ``.dbf``."""
+    (header_len,) = struct.unpack_from("<H", dbf, 8)
+    return descriptor_fields(dbf[32:header_len])
+
+
 def _records(dbf: bytes, encoding: str) -> Iterator[dict | None]:
     n, header_len, rec_len = struct.unpack_from("<IHH", dbf, 4)
     fields = dbf_fields(dbf)
@@ -122,8 +128,8 @@ def read_shapefile(spark: SparkSession, path: str, encoding: str = "utf-8",
     """All shapefiles below ``path`` as ``(*attributes, rings)``.
 
     ``attributes`` is a DDL list (``"GEN string, AGS string"``); when None the
-    columns and types come from the ``.dbf`` field descriptors (the first
-    8 KiB of each ``.dbf``, one short row per file, read on the driver).
+    columns and types come from the ``.dbf`` field descriptors; only the
+    distinct descriptor blocks (one per distinct schema) reach the driver.
     Logical fields become booleans, numeric fields longs or doubles, all
     others strings.
     """
@@ -132,10 +138,22 @@ def read_shapefile(spark: SparkSession, path: str, encoding: str = "utf-8",
     pairs = shp.join(dbf, "stem", "left")
     decoded = pairs.mapInPandas(_decode(encoding), _DECODED)
     if attributes is None:
-        heads = dbf.select(F.substring("dbf", 1, 8192).alias("h")).collect()
+        # The descriptor block of each .dbf (bytes 33 .. header length), cut
+        # out by Spark; only distinct blocks, one per distinct schema, reach
+        # the driver.
+        hx = F.hex(F.substring("dbf", 9, 2))
+        header_len = F.conv(F.substring(hx, 3, 2), 16, 10).cast("int") * 256 + F.conv(
+            F.substring(hx, 1, 2), 16, 10
+        ).cast("int")
+        blocks = (
+            dbf.select(header_len.alias("n"), "dbf")
+            .select(F.expr("substring(dbf, 33, n - 33)").alias("b"))
+            .distinct()
+            .collect()
+        )
         cols: dict[str, str] = {}
-        for h in heads:
-            for name, ftype, _, dec in dbf_fields(bytes(h.h)):
+        for row in blocks:
+            for name, ftype, _, dec in descriptor_fields(bytes(row.b)):
                 cols.setdefault(name, _spark_type(ftype, dec))
     else:
         schema = spark.createDataFrame([], attributes).schema
