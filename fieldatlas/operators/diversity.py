@@ -19,19 +19,28 @@ def _q(name: str):
 
 
 def richness(df: DataFrame, group: str = "community", value: str = "species",
-             count_col: str = "num_species") -> DataFrame:
+             count_col: str = "num_species", rsd: float | None = None) -> DataFrame:
     """``(group, count_col)``: distinct non-null values per group.
 
     The null group is a group of its own; null values are not counted.
+    With ``rsd`` (relative standard deviation, e.g. 0.01) the count is a
+    HyperLogLog++ estimate: one pass with partial aggregation of fixed-size
+    sketches per group, no shuffle of distinct pairs.
     """
-    return df.groupBy(_q(group)).agg(F.count_distinct(_q(value)).alias(count_col))
+    counted = (
+        F.count_distinct(_q(value))
+        if rsd is None
+        else F.approx_count_distinct(_q(value), rsd)
+    )
+    return df.groupBy(_q(group)).agg(counted.alias(count_col))
 
 
 def most_diverse(df: DataFrame, k: int = 10, group: str = "community",
-                 value: str = "species", count_col: str = "num_species") -> DataFrame:
+                 value: str = "species", count_col: str = "num_species",
+                 rsd: float | None = None) -> DataFrame:
     """``(rank, group, count_col)``: the ``k`` groups with most distinct values,
-    ties broken by group name."""
-    r = richness(df, group, value, count_col)
+    ties broken by group name; ``rsd`` as in :func:`richness`."""
+    r = richness(df, group, value, count_col, rsd)
     return top_k(r, [F.col(count_col).desc(), _q(group).asc_nulls_last()], k)
 
 

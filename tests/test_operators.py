@@ -254,3 +254,14 @@ def test_find_first_regex_semantics(spark):
     assert [r.name for r in nearest.find_first(df, "zoo.cafe").collect()] == ["zoo cafe"]
     # '.' does not match a newline, so the third name never matches ".*ZOO.Cafe"
     assert nearest.find_first(df, "ZOO.Cafe").count() == 0
+
+
+def test_approximate_richness_is_close_and_single_shuffle(spark):
+    exact = {r.community: r.num_species for r in diversity.richness(_joined(spark)).collect()}
+    approx_df = diversity.richness(_joined(spark), rsd=0.01)
+    approx = {r.community: r.num_species for r in approx_df.collect()}
+    assert set(approx) == set(exact)
+    assert all(abs(approx[c] - exact[c]) <= 0.05 * exact[c] + 1 for c in exact)
+    fresh = diversity.richness(_joined(spark), rsd=0.01)  # not executed: initial plan only
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
