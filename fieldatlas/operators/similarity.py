@@ -12,12 +12,16 @@ pairs, intersections are counted with an inverted index:
 * ``count`` per pair (partial aggregation) = intersection size;
 * union = n1 + n2 - intersection, from the distinct counts already known.
 
-Pairs with no common value still get a row (similarity 0): the pair list is
-generated from the ``k_groups`` top rows, a bounded set.
+Pairs with no common value still get a row (similarity 0): each of the
+``k_groups`` top rows emits its pairs with the groups after it in the sorted
+top list (a scalar subquery of ``k_groups`` entries), so no cross join is
+planned and no single row carries all pairs.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +30,9 @@ from fieldatlas.plans.ranking import top_k
 from fieldatlas.session import materialize
 
 
+_ROWS_PER_TASK = 1024  # top groups per pair-generating task
+
+
 def _q(name: str):
     return F.col(f"`{name}`")
 
@@ -57,25 +64,22 @@ def pair_overlaps(df: DataFrame, k_groups: int = 10, group: str = "community",
         .groupBy("c1", "c2")
         .agg(F.count(F.lit(1)).alias("n_inter"))
     )
-    # Unordered pairs of the bounded top list, built from one row holding k_groups entries.
-    listed = top.agg(F.array_sort(F.collect_list(F.struct("g", "n"))).alias("t"))
-    pairs = listed.select(
-        F.explode(
-            F.flatten(
-                F.transform(
-                    "t",
-                    lambda x, i: F.transform(
-                        F.slice("t", i + 2, F.lit(k_groups)),
-                        lambda y: F.struct(x.alias("l"), y.alias("r")),
-                    ),
-                )
-            )
-        ).alias("p")
+    # Unordered pairs of the bounded top list: the sorted list (k entries)
+    # enters as a scalar subquery and each top row emits its pairs with the
+    # groups after it, so the k*(k-1)/2 rows are made across tasks.
+    listed = top.agg(F.array_sort(F.collect_list(F.struct("g", "n")))).scalar()
+    rows = top if k_groups <= _ROWS_PER_TASK else top.repartition(
+        math.ceil(k_groups / _ROWS_PER_TASK)
+    )
+    pairs = rows.select("g", "n", listed.alias("t")).select(
+        F.col("g").alias("community_1"),
+        F.col("n").alias("n1"),
+        F.explode(F.filter("t", lambda y: y.g > F.col("g"))).alias("r"),
     ).select(
-        F.col("p.l.g").alias("community_1"),
-        F.col("p.r.g").alias("community_2"),
-        F.col("p.l.n").alias("n1"),
-        F.col("p.r.n").alias("n2"),
+        "community_1",
+        F.col("r.g").alias("community_2"),
+        "n1",
+        F.col("r.n").alias("n2"),
     )
     joined = pairs.join(
         F.broadcast(inter),
