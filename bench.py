@@ -48,8 +48,9 @@ def session(cpus: str) -> SparkSession:
         .config("spark.driver.memory", "16g")
     )
     spark = b.getOrCreate()
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="fieldatlas-bench-"))
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
+        # Only where unset (a single machine): register a local shared folder.
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fieldatlas-bench-"))
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

@@ -21,17 +21,23 @@ def _context(spark: SparkSession):
         return None
 
 
+_LOCAL_DIRS: dict[int, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    In local mode, when unset, a fresh folder is created and registered as
-    the checkpoint directory. On a cluster an unset value is an error: a
+    In local mode, when unset, a fresh folder is created once per session
+    and registered as the context's checkpoint directory (the setting itself
+    cannot change at run time). On a cluster an unset value is an error: a
     machine-local folder would be lost with its executor.
     """
     sc = _context(spark)
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base and sc is not None:
-        base = sc.getConf().get("spark.checkpoint.dir", None)
+        base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not base:
+        base = _LOCAL_DIRS.get(id(spark))
     if not base:
         master = sc.master if sc is not None else spark.conf.get("spark.master", "")
         if not master.startswith("local"):
@@ -39,9 +45,9 @@ def shared_dir(spark: SparkSession) -> str:
                 "spark.checkpoint.dir must name a shared folder for intermediate tables"
             )
         base = tempfile.mkdtemp(prefix="fieldatlas-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    if sc is not None and sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(base)
+        if sc is not None:
+            sc.setCheckpointDir(base)
+        _LOCAL_DIRS[id(spark)] = base
     return base.rstrip("/")
 
 

@@ -24,9 +24,10 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
-    # Tests set their own shared folder only where the session has none.
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", shared)
+    # Tests set their own shared folder only where the session has none
+    # (the setting is fixed once the context runs, so register the folder).
+    if not s.conf.get("spark.checkpoint.dir", None) and s.sparkContext.getCheckpointDir() is None:
+        s.sparkContext.setCheckpointDir(shared)
     s.sparkContext.setLogLevel("ERROR")
     yield s
 
