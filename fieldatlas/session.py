@@ -7,6 +7,7 @@ only create our own in local mode (tests, single machine).
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -51,6 +52,21 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def importable_on_workers(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver found it.
+
+    Needed where the repository is on a path all hosts share but not
+    installed; an installed package, or one sent with ``--py-files``, is found
+    anyway and an entry for a missing folder does no harm.
+    """
+    sc = _context(spark)
+    if sc is not None:
+        home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        paths = [p for p in sc.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+        if home not in paths:
+            sc.environment["PYTHONPATH"] = os.pathsep.join([*paths, home])
+
+
 def default_parallelism(spark: SparkSession, fallback: int = 8) -> int:
     """Cores of the cluster as Spark reports them."""
     sc = _context(spark)
