@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fieldatlas.llm.chat import format_chats
 from fieldatlas.llm.exact_dedup import exact_dedup
 from fieldatlas.llm.line_dedup import line_dedup
 from fieldatlas.llm.mixing import mix_plan
+from fieldatlas.llm.secret_scan import BASE_RULES, find_secrets
 from fieldatlas.llm.text import LOWER, UPPER, table
 
 
@@ -16,6 +18,17 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_chats(table(spark, sf_dir, "conversations"))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: counts and digest of the base kinds, all spans."""
+    found = find_secrets(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*[r.kind for r in BASE_RULES]))
+    text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *[count(r.kind) for r in BASE_RULES], F.sha2(text(base), 256).alias("base_sha256"), text("spans").alias("spans")
+    )
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A keep/drop verdict for every document."""
     return exact_dedup(table(spark, sf_dir, "documents"))
@@ -31,7 +44,7 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_plan(table(spark, sf_dir, "documents"))
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_chat_format, op5_exact_dedup, op6_line_dedup, op9_source_mix)}
+LLM_QUERIES = {f.__name__: f for f in (op1_chat_format, op2_secret_scan, op5_exact_dedup, op6_line_dedup, op9_source_mix)}
 
 _OP1 = """
 WITH t AS (
