@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldatlas.llm.text import ascii_lower, whole
+from fieldatlas.session import materialize
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -20,6 +21,10 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), norm.alias("norm"), F.sha2(norm, 256).alias("digest"))
 
 
+def _salt(id_col: str, salts: int) -> Column:
+    return F.pmod(F.xxhash64(id_col), F.lit(salts))
+
+
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 16) -> DataFrame:
     """One row per distinct normalised text: digest, keep_id (largest id), group_size.
 
@@ -28,7 +33,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salt
     """
     salted = (
         _keyed(docs, id_col, text_col)
-        .withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)))
+        .withColumn("salt", _salt("id", salts))
         .groupBy("digest", "salt", "norm")
         .agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("n"))
     )
@@ -48,8 +53,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     document and share its verdict. An empty table gives an empty result;
     other columns, whatever their names, are not read.
     """
-    rows = _keyed(docs, id_col, text_col).select("id", "digest")
-    return rows.join(groups(docs, id_col, text_col, salts), "digest").select(
+    rows = materialize(_keyed(docs, id_col, text_col).select("id", "digest", _salt("id", salts).alias("salt")), "dedup-digests")
+    # Verdicts go back the way the rows came: to each salt of a digest, then to its rows.
+    by_salt = rows.select("digest", "salt").distinct().join(groups(docs, id_col, text_col, salts), "digest")
+    return rows.join(by_salt, ["digest", "salt"]).select(
         F.col("id").alias(id_col),
         "keep_id",
         "group_size",
