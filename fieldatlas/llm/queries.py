@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldatlas.llm import bpe, nbsvm, ppm
 from fieldatlas.llm.chat import format_chats
 from fieldatlas.llm.exact_dedup import exact_dedup
 from fieldatlas.llm.line_dedup import line_dedup
 from fieldatlas.llm.mixing import mix_plan
 from fieldatlas.llm.secret_scan import BASE_RULES, find_secrets
-from fieldatlas.llm.text import LOWER, UPPER, table
+from fieldatlas.llm.text import LOWER, UPPER, held_out, table
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +31,13 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predicted language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    named = ppm.identify(docs.select("doc_id", "text"), ppm.learn(docs))
+    return named.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A keep/drop verdict for every document."""
     return exact_dedup(table(spark, sf_dir, "documents"))
@@ -39,12 +48,39 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents"))
 
 
+def tokenizer() -> bpe.Vocabulary:
+    """The multilingual byte-level vocabulary that the queries use."""
+    return bpe.vocabulary(bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN)
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded, and the ids decoded."""
+    vocab = tokenizer()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.decode(bpe.encode(docs, vocab).select("doc_id", "ids"), vocab)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often the mix takes every document."""
     return mix_plan(table(spark, sf_dir, "documents"))
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_chat_format, op2_secret_scan, op5_exact_dedup, op6_line_dedup, op9_source_mix)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = nbsvm.classify(docs, nbsvm.learn(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+LLM_QUERIES = {f.__name__: f for f in (op1_chat_format, op2_secret_scan, op4_language_id, op5_exact_dedup, op6_line_dedup, op7_bpe, op9_source_mix, op10_toxicity)}
 
 _OP1 = """
 WITH t AS (
