@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from fieldatlas.llm import bpe, nbsvm, ppm
 from fieldatlas.llm.chat import format_chats
 from fieldatlas.llm.exact_dedup import exact_dedup
+from fieldatlas.llm.kdtree import top_k
 from fieldatlas.llm.line_dedup import line_dedup
 from fieldatlas.llm.mixing import mix_plan
 from fieldatlas.llm.secret_scan import BASE_RULES, find_secrets
@@ -31,6 +32,11 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five highest inner products of every fiftieth vector."""
+    return top_k(table(spark, sf_dir, "embeddings"), query_every=50)
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The predicted language of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -80,7 +86,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_chat_format, op2_secret_scan, op4_language_id, op5_exact_dedup, op6_line_dedup, op7_bpe, op9_source_mix, op10_toxicity)}
+LLM_QUERIES = {f.__name__: f for f in (op1_chat_format, op2_secret_scan, op3_knn, op4_language_id, op5_exact_dedup, op6_line_dedup, op7_bpe, op9_source_mix, op10_toxicity)}
 
 _OP1 = """
 WITH t AS (
@@ -132,4 +138,16 @@ SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target,
 FROM k JOIN r ON k.source IS NOT DISTINCT FROM r.source
 """
 
-LLM_ORACLE_SQL = {"op1_chat_format": _OP1, "op5_exact_dedup": _OP5, "op9_source_mix": _OP9}
+_OP3 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""
+
+LLM_ORACLE_SQL = {"op3_knn": _OP3, "op1_chat_format": _OP1, "op5_exact_dedup": _OP5, "op9_source_mix": _OP9}
