@@ -73,12 +73,16 @@ def unit_rows(docs: DataFrame, id_col="doc_id", text_col="text", unit="sentence"
     return rows.mapInArrow(spread, UNITS)
 
 
-def removed_passages(docs: DataFrame, id_col="doc_id", text_col="text", unit="sentence", min_run_words: int = 25) -> DataFrame:
+def removed_passages(docs: DataFrame, id_col="doc_id", text_col="text", unit="sentence", min_run_words: int = 25, salts: int = 16) -> DataFrame:
     """id, start, stop, words of every passage to remove (code points, end exclusive)."""
     units = unit_rows(docs, id_col, text_col, unit)
-    first = units.groupBy("digest").agg(F.min(F.struct(F.col("id"), F.col("start"))).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    units = units.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)))
+    salted = units.groupBy("digest", "salt").agg(F.min(F.struct(F.col("id"), F.col("start"))).alias("own"), F.count(F.lit(1)).alias("n"))
+    first = salted.groupBy("digest").agg(F.min("own").alias("first"), F.sum("n").alias("total")).where("total > 1")
+    # Verdicts go back by digest and salt, so a digest's units never meet in one task.
+    by_salt = salted.join(first, "digest").select("digest", "salt", "first")
     # A unit that occurs once joins with nothing: it stays, and breaks runs.
-    marked = units.join(first.select("digest", "first"), "digest", "left").select(
+    marked = units.join(by_salt, ["digest", "salt"], "left").select(
         "id", "start", "stop", "words",
         (F.col("first").isNotNull() & ((F.col("id") != F.col("first.id")) | (F.col("start") != F.col("first.start")))).alias("again"),
     )
