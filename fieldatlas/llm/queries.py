@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from fieldatlas.llm import bpe, nbsvm, ppm
 from fieldatlas.llm.chat import format_chats
 from fieldatlas.llm.exact_dedup import exact_dedup
+from fieldatlas.llm.jaccard import jaccard_classes
 from fieldatlas.llm.kdtree import top_k
 from fieldatlas.llm.line_dedup import line_dedup
 from fieldatlas.llm.mixing import mix_plan
@@ -72,6 +73,11 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return jaccard_classes(table(spark, sf_dir, "documents"))
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often the mix takes every document."""
     return mix_plan(table(spark, sf_dir, "documents"))
@@ -86,7 +92,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_chat_format, op2_secret_scan, op3_knn, op4_language_id, op5_exact_dedup, op6_line_dedup, op7_bpe, op9_source_mix, op10_toxicity)}
+LLM_QUERIES = {f.__name__: f for f in (op1_chat_format, op2_secret_scan, op3_knn, op4_language_id, op5_exact_dedup, op6_line_dedup, op7_bpe, op8_jaccard_join, op9_source_mix, op10_toxicity)}
 
 _OP1 = """
 WITH t AS (
