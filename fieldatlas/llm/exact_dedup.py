@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldatlas.llm.text import ascii_lower, whole
+from fieldatlas.llm.text import ascii_lower, quoted, whole
 from fieldatlas.session import materialize
 
 
@@ -68,8 +68,6 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def keep_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 16) -> DataFrame:
     """The documents that ``exact_dedup`` keeps, with all their columns."""
     digest: Column = F.sha2(ascii_lower(whole(text_col)), 256)
-    won = groups(docs, id_col, text_col, salts).select(F.col("digest").alias("_fa_digest"), F.col("keep_id").alias("_fa_keep"))
-    return (
-        docs.join(won, (digest == F.col("_fa_digest")) & docs[id_col].eqNullSafe(F.col("_fa_keep")))
-        .select(*[docs[c] for c in docs.columns])
-    )
+    won = groups(docs, id_col, text_col, salts).select("digest", "keep_id")
+    # The kept id is part of the join key, so the copies of one text are spread by id.
+    return docs.join(won, (digest == won["digest"]) & docs[id_col].eqNullSafe(won["keep_id"])).select(*[docs[quoted(c)] for c in docs.columns])

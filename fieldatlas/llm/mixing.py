@@ -20,7 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldatlas.llm.text import hex_unit, whole, word_count
+from fieldatlas.llm.text import hex_unit, quoted, whole, word_count
+from fieldatlas.session import materialize
 
 #: Weights of the sources in code-point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -108,8 +109,6 @@ def mix_plan(docs: DataFrame, id_col="doc_id", text_col="text", source_col="sour
     reruns agree. Other columns, whatever their names, are not read; an empty
     table gives an empty result.
     """
-    from fieldatlas.session import materialize
-
     rows = materialize(sized(docs, id_col, text_col, source_col), "mix-sizes")
     out = _copies(rows, _plan(rows, share, most, seed), [F.col("id")])
     return out.select(
@@ -124,12 +123,10 @@ def mix_plan(docs: DataFrame, id_col="doc_id", text_col="text", source_col="sour
 
 def mix(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source", share=1.5, most=2.0, seed="mix") -> DataFrame:
     """The mix itself: every document as often as it is taken, all columns kept."""
-    from fieldatlas.session import materialize
-
     slim = materialize(sized(docs, id_col, text_col, source_col), "mix-sizes")
     names = [f"c{i}" for i in range(len(docs.columns))]
     rows = docs.select(
-        F.struct(*[docs[c].alias(n) for c, n in zip(docs.columns, names, strict=True)]).alias("row"),
+        F.struct(*[docs[quoted(c)].alias(n) for c, n in zip(docs.columns, names, strict=True)]).alias("row"),
         docs[id_col].alias("id"),
         docs[source_col].alias("source"),
         word_count(whole(docs[text_col])).alias("size"),

@@ -245,7 +245,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
             for k, row in zip(ask, bits, strict=True):
                 best = int(row.argmin())
                 lang[k], per[k], score[k] = model.languages[best], float(row[best]), float(1 / (2.0 ** (row[best] - row)).sum())
-            columns = [*batch.columns[:-1], pa.array(lang), pa.array(score, pa.float64()), pa.array(per, pa.float64())]
+            columns = [*batch.columns[:-1], pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(per, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[f"c{k}" for k in range(len(columns))])
 
     schema = StructType([StructField(f"c{k}", f.dataType) for k, f in enumerate(docs.schema)])

@@ -21,6 +21,11 @@ def whole(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def quoted(name: str) -> str:
+    """A column's name as Spark reads it, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only; every other character stays."""
     return F.translate(text, UPPER, LOWER)
