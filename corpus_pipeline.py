@@ -17,8 +17,8 @@ from fieldatlas.llm.jaccard import jaccard_classes
 from fieldatlas.llm.mixing import mix
 from fieldatlas.session import materialize
 
-#: Text that costs more bits per byte than this under every language is in none of them.
-MOST_BITS = 6.5
+#: Text that every learned language codes worse than no model would is in none of them.
+MOST_BITS = 8.0
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

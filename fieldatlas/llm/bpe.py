@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, StructField, StructType
 
-from fieldatlas.llm.text import free_name, whole
+from fieldatlas.llm.text import free_name, numbered
 from fieldatlas.session import importable_on_workers
 
 REMEMBERED = 300_000
@@ -170,8 +170,9 @@ def coder(vocab: Vocabulary) -> Coder:
     return _coders[vocab.name]
 
 
-def _with_column(docs: DataFrame, column, name: str, kind: DataType, work) -> DataFrame:
-    """``docs`` and one more column that ``work(Arrow array)`` makes of ``column``."""
+def _with_column(docs: DataFrame, source: str, none, name: str, kind: DataType, work) -> DataFrame:
+    """``docs`` and one more column that ``work(Arrow array)`` makes of column ``source``, its nulls read as ``none``."""
+    given = F.coalesce(F.col(f"c{docs.columns.index(source)}"), none).alias("given")
     name = free_name(name, docs.columns)
     importable_on_workers(docs.sparkSession)
 
@@ -182,7 +183,7 @@ def _with_column(docs: DataFrame, column, name: str, kind: DataType, work) -> Da
             yield pa.RecordBatch.from_arrays(columns, names=[f"c{k}" for k in range(len(columns))])
 
     schema = StructType([StructField(f"c{k}", f.dataType) for k, f in enumerate(docs.schema)]).add(f"c{len(docs.columns)}", kind)
-    return docs.select("*", column).mapInArrow(spread, schema).toDF(*docs.columns, name)
+    return numbered(docs).select("*", given).mapInArrow(spread, schema).toDF(*docs.columns, name)
 
 
 def encode(docs: DataFrame, vocab: Vocabulary, text_col: str = "text") -> DataFrame:
@@ -199,7 +200,7 @@ def encode(docs: DataFrame, vocab: Vocabulary, text_col: str = "text") -> DataFr
         offsets = np.cumsum([0] + [len(p) // 4 for p in packed], dtype=np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), np.int32)))
 
-    return _with_column(docs, whole(text_col), "ids", ArrayType(IntegerType()), ids)
+    return _with_column(docs, text_col, F.lit(""), "ids", ArrayType(IntegerType()), ids)
 
 
 def decode(docs: DataFrame, vocab: Vocabulary, ids_col: str = "ids") -> DataFrame:
@@ -210,4 +211,4 @@ def decode(docs: DataFrame, vocab: Vocabulary, ids_col: str = "ids") -> DataFram
         token = held.value.tokens.__getitem__
         return pa.array([b"".join(map(token, x)) for x in lists.to_pylist()], pa.binary())
 
-    return _with_column(docs, F.coalesce(F.col(ids_col), F.array().cast("array<int>")), "decoded", BinaryType(), data)
+    return _with_column(docs, ids_col, F.array().cast("array<int>"), "decoded", BinaryType(), data)

@@ -5,7 +5,7 @@ bounded labelled sample each feature gets the log ratio of its smoothed
 document shares in the two classes; a logistic regression is then fitted on the
 features scaled by that ratio. What is shipped to the tasks is one weight per
 hash bucket (ratio times coefficient), so scoring is a sum of looked-up weights
-over a text's distinct n-grams, divided by the square root of their number.
+over a text's distinct n-grams.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from fieldatlas.llm.text import free_name, held_out, whole
+from fieldatlas.llm.text import free_name, held_out, numbered, whole
 from fieldatlas.session import importable_on_workers
 
 SIZES = (4, 6)
@@ -72,11 +72,11 @@ class Classifier:
         out = np.empty(len(texts))
         for k, text in enumerate(texts):
             own = distinct(text or "", self.sizes, self.bits, scratch)
-            out[k] = self.bias + self.weights[own].sum(dtype=np.float64) / max(1.0, np.sqrt(len(own)))
+            out[k] = self.bias + self.weights[own].sum(dtype=np.float64)
         return 1.0 / (1.0 + np.exp(-np.clip(out, -500, 500)))
 
 
-def fit(texts: list[str], toxic: np.ndarray, sizes=SIZES, bits: int = BITS, alpha: float = 1.0, ridge: float = 1e-5, rate: float = 0.1, steps: int = 60) -> Classifier:
+def fit(texts: list[str], toxic: np.ndarray, sizes=SIZES, bits: int = BITS, alpha: float = 1.0, ridge: float = 1e-3, rate: float = 0.1, steps: int = 200, least_z: float = 3.0) -> Classifier:
     """Fits the classifier. With one class only (or no rows) the score is that class's smoothed share."""
     toxic = np.asarray(toxic, np.float64)
     n = len(texts)
@@ -85,7 +85,6 @@ def fit(texts: list[str], toxic: np.ndarray, sizes=SIZES, bits: int = BITS, alph
         return Classifier(np.zeros(1 << bits, np.float32), float(np.log(prior / (1 - prior))), sizes, bits)
     scratch = np.empty(1 << bits, np.int32)
     rows = [distinct(t, sizes, bits, scratch) for t in texts]
-    scale = np.array([1.0 / max(1.0, np.sqrt(len(r))) for r in rows])
     length = np.array([len(r) for r in rows])
     column = np.concatenate(rows)
     row = np.repeat(np.arange(n), length)
@@ -94,12 +93,12 @@ def fit(texts: list[str], toxic: np.ndarray, sizes=SIZES, bits: int = BITS, alph
     no = np.bincount(column, 1 - toxic[row], 1 << bits) + alpha
     ratio = np.log(yes / (toxic.sum() + 2 * alpha)) - np.log(no / (n - toxic.sum() + 2 * alpha))
     ratio[yes + no == 2 * alpha] = 0.0
-    # Features of all but equal shares scale to nearly nothing; leaving them out keeps the fit small.
-    kept = np.abs(ratio) >= 0.3
+    # Only ratios that stand out from their sampling error take part; the others would be noise in long texts.
+    kept = np.abs(ratio) >= least_z * np.sqrt(1 / yes + 1 / no)
     used = kept[column]
     place = np.cumsum(kept) - 1
     column, row = place[column[used]], row[used]
-    value = ratio[kept][column] * scale[row]
+    value = ratio[kept][column]
     starts = np.searchsorted(row, np.arange(n))
     empty = starts == np.append(starts[1:], len(row))
 
@@ -167,4 +166,5 @@ def classify(docs: DataFrame, classifier: Classifier, text_col: str = "text") ->
             yield pa.RecordBatch.from_arrays(columns, names=[f"c{k}" for k in range(len(columns))])
 
     schema = StructType([StructField(f"c{k}", f.dataType) for k, f in enumerate(docs.schema)]).add("s", "double")
-    return docs.select("*", whole(text_col)).mapInArrow(answer, schema).toDF(*docs.columns, name)
+    text = whole(f"c{docs.columns.index(text_col)}").alias("text")
+    return numbered(docs).select("*", text).mapInArrow(answer, schema).toDF(*docs.columns, name)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from fieldatlas.llm.text import free_name, held_out
+from fieldatlas.llm.text import free_name, held_out, numbered
 from fieldatlas.session import importable_on_workers
 
 #: Bytes that stand before every text, so that its first bytes have a context.
@@ -231,8 +231,8 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     names = []
     for name in ("lang_pred", "score", "bits_per_byte"):
         names.append(free_name(name, [*docs.columns, *names]))
-    letter = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
     place = docs.columns.index(text_col)
+    letter = F.coalesce(F.col(f"c{place}").rlike(r"\p{L}"), F.lit(False))
     importable_on_workers(docs.sparkSession)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,7 +250,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
 
     schema = StructType([StructField(f"c{k}", f.dataType) for k, f in enumerate(docs.schema)])
     schema = schema.add("p", "string").add("s", "double").add("b", "double")
-    return docs.select("*", letter).mapInArrow(answer, schema).toDF(*docs.columns, *names)
+    return numbered(docs).select("*", letter.alias("ask")).mapInArrow(answer, schema).toDF(*docs.columns, *names)
 
 
 def learn(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", most_bytes: int = 400_000) -> Model:

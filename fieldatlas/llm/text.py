@@ -26,6 +26,11 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """The same columns under the names c0, c1, ..., which Python operators can be given safely."""
+    return docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only; every other character stays."""
     return F.translate(text, UPPER, LOWER)

@@ -1,3 +1,5 @@
+"""Rows that the operators' tests share."""
+
 import random
 
 import pytest

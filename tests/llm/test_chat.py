@@ -1,6 +1,7 @@
 from collections import defaultdict
 
 from fieldatlas.llm.chat import format_chats
+from llm_rows import empty, odd  # noqa: F401
 
 SCHEMA = "conv_id long, turn long, role string, text string, pos string, h1 string, conv string"
 

@@ -6,6 +6,7 @@ import pytest
 from fieldatlas.llm.exact_dedup import exact_dedup, keep_distinct
 from fieldatlas.llm.line_dedup import BREAKS, cut, line_dedup, normalise
 from fieldatlas.llm.mixing import mix, mix_plan
+from llm_rows import empty, odd  # noqa: F401
 
 LOWER = {i: i + 32 for i in range(65, 91)}
 

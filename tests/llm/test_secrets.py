@@ -6,6 +6,7 @@ import pytest
 
 from fieldatlas.llm import automaton, secret_scan
 from fieldatlas.llm.secret_scan import RULES, find_secrets, scan
+from llm_rows import empty, odd  # noqa: F401
 
 NAMES = "|".join("".join(f"[{c.upper()}{c}]" for c in w) for w in ("password", "passwd", "secret", "token"))
 PATTERNS = {
