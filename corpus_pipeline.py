@@ -52,7 +52,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     vocab = bpe.vocabulary(ranks, public_tokenizers.PATTERN)
     named = docs.select("doc_id", "lang", "source", "text")
-    coded = bpe.decode(bpe.encode(named, vocab), vocab)
+    coded = bpe.encode_and_decode(named, vocab)
     same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
     return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
 

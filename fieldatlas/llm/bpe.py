@@ -4,8 +4,9 @@ A text is split by the tokenizer's pattern. First tier: a minimal perfect hash
 over the vocabulary resolves pre-tokens that are tokens as a whole; its one
 candidate is compared byte for byte. Second tier: other pre-tokens are merged
 with a heap of candidate pairs over a linked list of bytes, lowest rank and then
-leftmost first. Results of short pre-tokens are remembered, in a table of
-bounded size, while a Python worker lives.
+leftmost first. Results of short pre-tokens are remembered in two tables of
+bounded size while a Python worker lives: when the younger one is full it becomes
+the older one, and what is found there moves back, so frequent words stay.
 """
 
 from __future__ import annotations
@@ -28,8 +29,9 @@ from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, Stru
 from fieldatlas.llm.text import free_name, numbered
 from fieldatlas.session import importable_on_workers
 
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 REMEMBER_LENGTH = 48
+PIECE_BYTES = 2 << 20
 
 
 @dataclass(frozen=True)
@@ -93,10 +95,12 @@ class Coder(dict):
 
     def __init__(self, vocab: Vocabulary):
         super().__init__()
+        self.older: dict[str, bytes] = {}
         self.vocab = vocab
         self.split = regex.compile(vocab.pattern).findall
         self.packed = [array("i", [k]).tobytes() for k in range(len(vocab.tokens))]
         self.ranks = {t: k for k, t in enumerate(vocab.tokens) if t}
+        self.single = [self.ranks.get(bytes([b]), -1) for b in range(256)]
 
     def whole_token(self, data: bytes) -> int:
         """First tier: the id of ``data`` if it is a token, else -1."""
@@ -109,48 +113,56 @@ class Coder(dict):
         return found if vocab.tokens[found] == data else -1
 
     def merge(self, data: bytes) -> list[int]:
-        """Second tier: heap over linked bytes. Parts begin at bytes; ``after`` links them."""
-        n = len(data)
-        rank_of = self.ranks.get
-        after = list(range(1, n + 2))
-        before = list(range(-1, n))
-        now = [rank_of(data[i : i + 2], -1) for i in range(n - 1)]
-        now.append(-1)
-        width = n + 1
-        heap = [r * width + i for i, r in enumerate(now) if r >= 0]
+        """Second tier: heap over linked bytes.
+
+        A part begins at a byte and ends where ``after`` points; ``found`` has
+        its id and ``now`` the rank of its pair with the next part. A heap
+        entry holds rank and place; it is stale once ``now`` says otherwise.
+        """
+        n, rank_of = len(data), self.ranks.get
+        found = [self.single[b] for b in data]
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        now = [rank_of(data[i : i + 2], -1) for i in range(n)]
+        now[n - 1] = -1
+        shift = n.bit_length()
+        mask = (1 << shift) - 1
+        heap = [r << shift | i for i, r in enumerate(now) if r >= 0]
         heapify(heap)
         while heap:
-            rank, at = divmod(heappop(heap), width)
+            entry = heappop(heap)
+            at = entry & mask
+            rank = entry >> shift
             if now[at] != rank:
                 continue
             gone = after[at]
-            end = after[gone]
-            now[gone] = -2
-            after[at] = end
+            end = after[at] = after[gone]
+            found[at], now[gone], now[at] = rank, -2, -1
             if end < n:
                 before[end] = at
-                r = now[at] = rank_of(data[at : after[end]], -1)
-                if r >= 0:
-                    heappush(heap, r * width + at)
-            else:
-                now[at] = -1
+                r = rank_of(data[at : after[end]])
+                if r is not None:
+                    now[at] = r
+                    heappush(heap, r << shift | at)
             left = before[at]
             if left >= 0:
                 r = now[left] = rank_of(data[left:end], -1)
                 if r >= 0:
-                    heappush(heap, r * width + left)
+                    heappush(heap, r << shift | left)
         out, at = [], 0
         while at < n:
-            out.append(self.ranks[data[at : after[at]]])
+            out.append(found[at])
             at = after[at]
         return out
 
     def __missing__(self, piece: str) -> bytes:
-        data = piece.encode()
-        found = self.whole_token(data)
-        ids = self.packed[found] if found >= 0 else array("i", self.merge(data)).tobytes()
-        if len(data) <= REMEMBER_LENGTH:
+        ids = self.older.get(piece)
+        if ids is None:
+            data = piece.encode()
+            found = self.whole_token(data)
+            ids = self.packed[found] if found >= 0 else array("i", self.merge(data)).tobytes()
+        if len(piece) <= REMEMBER_LENGTH:
             if len(self) >= REMEMBERED:
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
@@ -170,45 +182,76 @@ def coder(vocab: Vocabulary) -> Coder:
     return _coders[vocab.name]
 
 
-def _with_column(docs: DataFrame, source: str, none, name: str, kind: DataType, work) -> DataFrame:
-    """``docs`` and one more column that ``work(Arrow array)`` makes of column ``source``, its nulls read as ``none``."""
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about ``PIECE_BYTES`` bytes."""
+    if not batch.num_rows:
+        return
+    rows = max(1, batch.num_rows * PIECE_BYTES // max(1, batch.nbytes))
+    for a in range(0, batch.num_rows, rows):
+        yield batch.slice(a, rows)
+
+
+def _with_columns(docs: DataFrame, source: str, none, made: list[tuple[str, DataType]], work) -> DataFrame:
+    """``docs`` and the columns that ``work(Arrow array)`` makes of column ``source``, its nulls read as ``none``."""
     given = F.coalesce(F.col(f"c{docs.columns.index(source)}"), none).alias("given")
-    name = free_name(name, docs.columns)
+    names: list[str] = []
+    for name, _ in made:
+        names.append(free_name(name, [*docs.columns, *names]))
     importable_on_workers(docs.sparkSession)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = work(batch.column(batch.num_columns - 1))
-            columns = [*batch.columns[:-1], made]
-            yield pa.RecordBatch.from_arrays(columns, names=[f"c{k}" for k in range(len(columns))])
+            for piece in _pieces(batch):
+                columns = [*piece.columns[:-1], *work(piece.column(piece.num_columns - 1))]
+                yield pa.RecordBatch.from_arrays(columns, names=[f"c{k}" for k in range(len(columns))])
+
+    schema = StructType([StructField(f"c{k}", f.dataType) for k, f in enumerate(docs.schema)])
+    for name, (_, kind) in zip(names, made, strict=True):
+        schema = schema.add(f"made_{name}", kind)
+    return numbered(docs).select("*", given).mapInArrow(spread, schema).toDF(*docs.columns, *names)
+
+
+def _encoded(vocab: Vocabulary, texts: pa.Array) -> pa.Array:
+    encode_one = coder(vocab).encode
+    packed = [encode_one(t) for t in texts.to_pylist()]
+    offsets = np.cumsum([0] + [len(p) // 4 for p in packed], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), np.int32)))
+
 
-    schema = StructType([StructField(f"c{k}", f.dataType) for k, f in enumerate(docs.schema)]).add(f"c{len(docs.columns)}", kind)
-    return numbered(docs).select("*", given).mapInArrow(spread, schema).toDF(*docs.columns, name)
+def _decoded(vocab: Vocabulary, lists: pa.Array) -> pa.Array:
+    token = vocab.tokens.__getitem__
+    ids, edge = lists.flatten().to_numpy(), lists.offsets.to_numpy()
+    edge = (edge - edge[0]).tolist()
+    return pa.array([b"".join(map(token, ids[a:b].tolist())) for a, b in zip(edge[:-1], edge[1:], strict=True)], pa.binary())
+
+
+_IDS, _BYTES = ArrayType(IntegerType()), BinaryType()
 
 
 def encode(docs: DataFrame, vocab: Vocabulary, text_col: str = "text") -> DataFrame:
     """All columns and ids (array<int>; renamed ``_ids`` where taken): the whole text's tokens.
 
     Null and empty texts have no ids. Special tokens are ordinary text. Rows
-    are independent, so repeated rows get the same ids.
+    are independent, so repeated rows get the same ids; an empty table gives
+    an empty result.
     """
     held = docs.sparkSession.sparkContext.broadcast(vocab)
-
-    def ids(texts: pa.Array) -> pa.Array:
-        work = coder(held.value)
-        packed = [work.encode(t) for t in texts.to_pylist()]
-        offsets = np.cumsum([0] + [len(p) // 4 for p in packed], dtype=np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), np.int32)))
-
-    return _with_column(docs, text_col, F.lit(""), "ids", ArrayType(IntegerType()), ids)
+    return _with_columns(docs, text_col, F.lit(""), [("ids", _IDS)], lambda texts: [_encoded(held.value, texts)])
 
 
 def decode(docs: DataFrame, vocab: Vocabulary, ids_col: str = "ids") -> DataFrame:
     """All columns and decoded (binary): the bytes of the ids; null ids give no bytes."""
     held = docs.sparkSession.sparkContext.broadcast(vocab)
+    none = F.array().cast("array<int>")
+    return _with_columns(docs, ids_col, none, [("decoded", _BYTES)], lambda lists: [_decoded(held.value, lists)])
+
+
+def encode_and_decode(docs: DataFrame, vocab: Vocabulary, text_col: str = "text") -> DataFrame:
+    """``decode(encode(docs))`` in one pass over the rows: all columns, ids and decoded."""
+    held = docs.sparkSession.sparkContext.broadcast(vocab)
 
-    def data(lists: pa.Array) -> pa.Array:
-        token = held.value.tokens.__getitem__
-        return pa.array([b"".join(map(token, x)) for x in lists.to_pylist()], pa.binary())
+    def both(texts: pa.Array) -> list[pa.Array]:
+        ids = _encoded(held.value, texts)
+        return [ids, _decoded(held.value, ids)]
 
-    return _with_column(docs, ids_col, F.array().cast("array<int>"), "decoded", BinaryType(), data)
+    return _with_columns(docs, text_col, F.lit(""), [("ids", _IDS), ("decoded", _BYTES)], both)

@@ -62,9 +62,8 @@ def tokenizer() -> bpe.Vocabulary:
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded, and the ids decoded."""
-    vocab = tokenizer()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.decode(bpe.encode(docs, vocab).select("doc_id", "ids"), vocab)
+    coded = bpe.encode_and_decode(docs, tokenizer())
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -54,7 +54,7 @@ def test_small_vocabularies():
     assert _ids(coder, "cabx") == [99, 256, 120]
 
 
-def test_frames_round_trip(odd, empty, vocab, oracle):
+def test_frames_round_trip(odd, empty, vocab, oracle, monkeypatch):
     out = bpe.decode(bpe.encode(odd, vocab), vocab, "_ids")
     assert out.columns == [*odd.columns, "_ids", "_decoded"]
     rows = out.collect()
@@ -63,6 +63,11 @@ def test_frames_round_trip(odd, empty, vocab, oracle):
         text = r.text or ""
         assert r["_ids"] == oracle.encode_ordinary(text) and bytes(r["_decoded"]) == text.encode()
     assert bpe.decode(bpe.encode(empty, vocab), vocab, "_ids").count() == 0
+    monkeypatch.setattr(bpe, "PIECE_BYTES", 500)
+    both = bpe.encode_and_decode(odd, vocab)
+    key = lambda r: (r.doc_id is None, r.doc_id, r.text or "")
+    assert both.columns == out.columns and sorted(both.collect(), key=key) == sorted(rows, key=key)
+    assert bpe.encode_and_decode(empty, vocab).count() == 0
 
 
 def _vectors(n, d, seed):
