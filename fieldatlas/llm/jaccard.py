@@ -340,7 +340,9 @@ def jaccard_classes(docs: DataFrame, id_col="doc_id", text_col="text", width: in
 
     # Root and members of each candidate cluster, with their texts.
     member = clusters.select("node", "root").union(clusters.select(F.col("root").alias("node"), "root").distinct())
-    texts = _in_blocks(member, "root", "node").join(rows, F.col("node") == F.col("id")).select("group", "side", "id", "text")
+    # Candidates grow with the corpus, so this is a shuffle at every size, never a broadcast.
+    placed = _in_blocks(member, "root", "node").hint("merge")
+    texts = rows.join(placed, F.col("node") == F.col("id")).select("group", "side", "id", "text")
     linked = texts.repartition("group").sortWithinPartitions("group").mapInArrow(_exact(width, rule), "a long, b long")
     root = components(linked)
 
