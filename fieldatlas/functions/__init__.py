@@ -3,8 +3,6 @@
 from fieldatlas.functions.geo import (
     EARTH_RADIUS_M,
     bbox,
-    cell_index,
-    close_ring,
     contains_point,
     geojson_geometry_schema,
     geometry_from_geojson,
@@ -19,8 +17,6 @@ from fieldatlas.functions.sets import jaccard, set_from_list
 __all__ = [
     "EARTH_RADIUS_M",
     "bbox",
-    "cell_index",
-    "close_ring",
     "contains_point",
     "geojson_geometry_schema",
     "geometry_from_geojson",

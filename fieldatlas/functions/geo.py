@@ -38,36 +38,27 @@ def haversine_m(lon1, lat1, lon2, lat2) -> Column:
     return F.lit(EARTH_RADIUS_M) * (2 * F.atan2(F.sqrt(a), F.sqrt(1 - a)))
 
 
-def cell_index(coord, size: float) -> Column:
-    """Grid cell number of a coordinate for cells of ``size`` degrees."""
-    return F.floor(_c(coord) / F.lit(float(size)))
-
-
 def _name(c: str) -> str:
     if not isinstance(c, str):
         raise TypeError("pass a column name; build derived values as columns first")
     return ".".join(f"`{p}`" for p in c.split("."))
 
 
-def close_ring(ring: Column) -> Column:
-    """Append the first vertex when a ring is not closed."""
-    first = F.element_at(ring, 1)
-    last = F.element_at(ring, -1)
-    return F.when(
-        (first.x == last.x) & (first.y == last.y), ring
-    ).otherwise(F.concat(ring, F.array(first)))
-
-
-def polygon_edges(rings: str) -> Column:
+def polygon_edges(rings: str, ordered: bool = False) -> Column:
     """All edges of all rings of column ``rings`` as
     ``array<struct<x1,y1,x2,y2>>``.
 
+    With ``ordered``, each edge runs from its lower end (smaller y, then
+    smaller x) to its upper one. Neighbouring polygons, which hold a shared
+    edge in opposite directions, then evaluate identical arithmetic on it, so a
+    point within rounding distance of the edge is given to exactly one of them.
+
     Rings with fewer than two vertices are dropped; open rings are closed.
     Higher-order functions are written as one SQL expression, so the whole
     expression is built by a single parse instead of many Python calls.
     """
     r = _name(rings)
-    return F.expr(
+    edges = (
         f"""flatten(transform(filter({r}, r -> size(r) >= 2), r ->
               transform(
                 sequence(0, size(r) - IF(r[0].x = r[size(r) - 1].x AND r[0].y = r[size(r) - 1].y, 2, 1)),
@@ -75,6 +66,10 @@ def polygon_edges(rings: str) -> Column:
                   'x1', r[i].x, 'y1', r[i].y,
                   'x2', r[(i + 1) % size(r)].x, 'y2', r[(i + 1) % size(r)].y))))"""
     )
+    if ordered:
+        edges = f"""transform({edges}, e -> IF(e.y1 > e.y2 OR (e.y1 = e.y2 AND e.x1 > e.x2),
+                      named_struct('x1', e.x2, 'y1', e.y2, 'x2', e.x1, 'y2', e.y1), e))"""
+    return F.expr(edges)
 
 
 def bbox(edges: str) -> list[Column]:
@@ -115,11 +110,12 @@ def contains_point(edges: str, x: str, y: str) -> Column:
 
 
 def point_geometry(lon, lat) -> Column:
-    """GeoJSON-shaped point: ``struct<type: string, coordinates: array<double>>``."""
-    return F.struct(
+    """GeoJSON-shaped point: ``struct<type: string, coordinates: array<double>>``; null without both coordinates."""
+    point = F.struct(
         F.lit("Point").alias("type"),
         F.array(_c(lon).cast("double"), _c(lat).cast("double")).alias("coordinates"),
     )
+    return F.when(_c(lon).isNotNull() & _c(lat).isNotNull(), point)
 
 
 def geojson_geometry_schema() -> T.StructType:
@@ -133,7 +129,7 @@ def geojson_geometry_schema() -> T.StructType:
 
 
 def geometry_to_geojson(geometry) -> Column:
-    """Geometry struct to GeoJSON text."""
+    """Geometry (a struct, or a VARIANT of any geometry type) to GeoJSON text; null stays null."""
     return F.to_json(_c(geometry))
 
 

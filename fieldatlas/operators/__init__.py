@@ -12,7 +12,6 @@ from fieldatlas.operators.documents import (
     field,
     flatten,
     from_json_text,
-    sort_documents,
     to_json_text,
 )
 from fieldatlas.operators.nearest import (
@@ -59,7 +58,6 @@ __all__ = [
     "points_only",
     "replace_collection",
     "richness",
-    "sort_documents",
     "spatial_join",
     "to_json_text",
     "write_clustered",

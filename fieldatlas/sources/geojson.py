@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldatlas.functions.geo import rings_from_coordinates
+from fieldatlas.functions.geo import geometry_to_geojson, rings_from_coordinates
 
 _RS = "\u001e"
 
@@ -32,13 +32,16 @@ _RS = "\u001e"
 def _collection_features(text: Column) -> Column:
     # First non-blank character; the anchored pattern stops reading there.
     first = F.regexp_extract(text, r"^[\s\x{FEFF}]*([\[{])", 1)
-    as_array = F.from_json(text, "array<string>")
-    as_object = F.from_json(text, "struct<features: array<string>>").getField("features")
-    return (
+    strict = {"mode": "FAILFAST"}
+    as_array = F.from_json(text, "array<string>", strict)
+    as_object = F.from_json(text, "struct<features: array<string>>", strict).getField("features")
+    parsed = (
         F.when(first == "[", as_array)
         .when(first == "{", as_object)
-        .otherwise(F.raise_error(F.lit("Invalid GeoJSON root: must start with '[' or '{'")))
+        .otherwise(F.raise_error(F.lit("Invalid GeoJSON root: must start with '[' or '{'")).cast("array<string>"))
     )
+    # A file that cannot be read whole must not look like a file without features.
+    return F.coalesce(parsed, F.raise_error(F.lit("Damaged GeoJSON: no list of features")).cast("array<string>"))
 
 
 def read_features(spark: SparkSession, path: str, layout: str = "collection") -> DataFrame:
@@ -56,6 +59,12 @@ def read_features(spark: SparkSession, path: str, layout: str = "collection") ->
     return texts.select(F.parse_json("t").alias("feature"))
 
 
+def point_counts(features: DataFrame, feature: str = "feature") -> DataFrame:
+    """One row: ``points`` kept by a point load, and ``rejected`` (other or no geometry)."""
+    is_point = F.coalesce(geometry_type(feature) == "Point", F.lit(False))
+    return features.agg(F.count_if(is_point).alias("points"), F.count_if(~is_point).alias("rejected"))
+
+
 def geometry_type(feature: Column | str = "feature") -> Column:
     f = F.col(feature) if isinstance(feature, str) else feature
     return F.try_variant_get(f, "$.geometry.type", "string")
@@ -79,13 +88,14 @@ def _struct_ddl(ddl: str) -> str:
 
 
 def feature_columns(features: DataFrame, properties=None, feature: str = "feature",
-                    keep_polygons: bool = False) -> DataFrame:
+                    keep_polygons: bool = False, keep_geometry: bool = False) -> DataFrame:
     """Flat columns: every property, then ``geometry_type, lon, lat``
-    (coordinates only for points) and, with ``keep_polygons``, ``rings``.
+    (coordinates only for points), with ``keep_polygons`` ``rings``, and with
+    ``keep_geometry`` the geometry of any type as GeoJSON text ``geometry``.
 
     ``properties`` is a DDL string or StructType; when None it is inferred
-    from all features. A property literally named ``geometry_type``, ``lon``
-    or ``lat`` is shadowed by the geometry column.
+    from all features. A property with the name of a geometry column (in any
+    case) comes out as ``property_`` and its name.
     """
     f = F.col(feature)
     if properties is None:
@@ -108,15 +118,21 @@ def feature_columns(features: DataFrame, properties=None, feature: str = "featur
     ]
     if keep_polygons:
         cols.append(rings_from_coordinates(F.variant_get(f, "$.geometry", "variant")).alias("rings"))
+    if keep_geometry:
+        cols.append(geometry_to_geojson(F.try_variant_get(f, "$.geometry", "variant")).alias("geometry"))
     out = features.select(*cols)
     if schema is None:
         return out
     names = [c for c in out.columns if c != "_p"]
-    prop_fields = [
-        F.col("_p").getField(n).alias(n)
-        for n in out.select("_p.*").columns
-        if n not in names
-    ]
+    fields = out.select("_p.*").columns
+    taken = {c.lower() for c in names}
+    prop_fields = []
+    for n in fields:
+        name = n
+        while name.lower() in taken:
+            name = f"property_{name}"
+        taken.add(name.lower())
+        prop_fields.append(F.col("_p").getField(n).alias(name))
     return out.select(*prop_fields, *names)
 
 

@@ -14,6 +14,8 @@ in the ``.dbf`` are skipped together with their shape.
 
 from __future__ import annotations
 
+import codecs
+import re
 import struct
 from collections.abc import Iterator
 
@@ -24,6 +26,7 @@ from pyspark.sql import functions as F
 # Shape type codes of the polygon family in the format.
 POLYGON_TYPES = (5, 15, 25)
 
+_ROWS_PER_BATCH = 1000
 _DECODED = (
     "source string, record_no long, attrs map<string, string>, "
     "xs array<array<double>>, ys array<array<double>>"
@@ -85,19 +88,38 @@ def _records(dbf: bytes, encoding: str) -> Iterator[dict | None]:
         yield out
 
 
+def code_page(text: bytes | None, default: str) -> str:
+    """The Python codec that the text of a ``.cpg`` file names (``UTF-8``,
+    ``ISO 88591``, ``1252``, ...); ``default`` if there is none or it is unknown."""
+    name = (text or b"").decode("ascii", "ignore").strip()
+    for candidate in (name, name.replace(" ", "-"), f"cp{name}", re.sub(r"(?i)iso[ _-]*8859[ _-]*", "iso8859-", name)):
+        try:
+            return codecs.lookup(candidate).name if candidate else default
+        except LookupError:
+            continue
+    return default
+
+
 def _decode(encoding: str):
+    def frame(rows: list) -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=["source", "record_no", "attrs", "xs", "ys"])
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = []
-            for stem, shp, dbf in zip(pdf["stem"], pdf["shp"], pdf["dbf"]):
-                attrs = _records(bytes(dbf), encoding) if dbf is not None else None
+            for stem, shp, dbf, cpg in zip(pdf["stem"], pdf["shp"], pdf["dbf"], pdf["cpg"]):
+                rows = []
+                codec = code_page(bytes(cpg) if cpg is not None else None, encoding)
+                attrs = _records(bytes(dbf), codec) if dbf is not None else None
                 for no, shape in enumerate(_shapes(bytes(shp)), start=1):
                     rec = next(attrs, {}) if attrs is not None else {}
                     if rec is None:
                         continue
                     xs, ys = shape if shape is not None else (None, None)
                     rows.append((stem, no, rec, xs, ys))
-            yield pd.DataFrame(rows, columns=["source", "record_no", "attrs", "xs", "ys"])
+                    if len(rows) >= _ROWS_PER_BATCH:
+                        yield frame(rows)
+                        rows = []
+                yield frame(rows)
 
     return run
 
@@ -113,11 +135,11 @@ def _spark_type(ftype: str, decimals: int) -> str:
 def _files(spark: SparkSession, path: str, ext: str) -> DataFrame:
     return (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"*.{ext}")
+        .option("pathGlobFilter", "*." + "".join(f"[{c}{c.upper()}]" for c in ext))
         .option("recursiveFileLookup", "true")
         .load(path)
         .select(
-            F.regexp_replace("path", rf"\.{ext}$", "").alias("stem"),
+            F.regexp_replace("path", rf"(?i)\.{ext}$", "").alias("stem"),
             F.col("content").alias(ext),
         )
     )
@@ -130,12 +152,14 @@ def read_shapefile(spark: SparkSession, path: str, encoding: str = "utf-8",
     ``attributes`` is a DDL list (``"GEN string, AGS string"``); when None the
     columns and types come from the ``.dbf`` field descriptors; only the
     distinct descriptor blocks (one per distinct schema) reach the driver.
-    Logical fields become booleans, numeric fields longs or doubles, all
-    others strings.
+    Logical fields become booleans, numeric fields longs or doubles (null
+    where the field holds no number, e.g. an overflow fill of ``*``), all
+    others strings. Text is decoded as the ``.cpg`` file beside it says, else
+    with ``encoding``. Extensions may be in either case.
     """
     shp = _files(spark, path, "shp")
     dbf = _files(spark, path, "dbf")
-    pairs = shp.join(dbf, "stem", "left")
+    pairs = shp.join(dbf, "stem", "left").join(_files(spark, path, "cpg"), "stem", "left").select("stem", "shp", "dbf", "cpg")
     decoded = pairs.mapInPandas(_decode(encoding), _DECODED)
     if attributes is None:
         # The descriptor block of each .dbf (bytes 33 .. header length), cut
@@ -166,6 +190,6 @@ def read_shapefile(spark: SparkSession, path: str, encoding: str = "utf-8",
         raw = F.col("attrs").getItem(name)
         if dtype == "boolean":
             return F.upper(raw).isin("T", "Y").alias(name)
-        return raw.cast(dtype).alias(name)
+        return raw.try_cast(dtype).alias(name)
 
     return decoded.select(*[typed(n, t) for n, t in cols.items()], rings.alias("rings"))

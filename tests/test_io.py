@@ -184,3 +184,102 @@ def test_inferred_property_names_and_numbers(spark, tmp_dir):
     assert dict(t.dtypes)["c.d"] == "double" and dict(t.dtypes)["a b"] == "bigint"
     r = t.first()
     assert r["a b"] == 1 and r["c.d"] == 2.5 and r["select"] == "x"
+
+
+@pytest.mark.parametrize("content", [
+    '[{"type":"Feature","properties":{"a":1},"geometry":null}, {"type":"Fea',
+    '{"type":"FeatureCollection","features":[{"type":"Feature","properties":{}}',
+    '{"type":"FeatureCollection"}',
+    '{"type":"FeatureCollection","features":null}',
+])
+def test_damaged_collections_fail(spark, tmp_dir, content):
+    write(f"{tmp_dir}/in/good.json", '[{"type":"Feature","properties":{"a":1},"geometry":null}]')
+    assert geojson.read_features(spark, f"{tmp_dir}/in").count() == 1
+    write(f"{tmp_dir}/in/bad.json", content)
+    with pytest.raises(Exception, match="(?i)malformed|damaged|parse"):
+        geojson.read_features(spark, f"{tmp_dir}/in").collect()
+
+
+def test_empty_collections_are_legal(spark, tmp_dir):
+    write(f"{tmp_dir}/in/a.json", "[]")
+    write(f"{tmp_dir}/in/b.json", '{"features":[]}')
+    assert geojson.read_features(spark, f"{tmp_dir}/in").count() == 0
+
+
+def test_properties_named_like_geometry_columns_survive(spark, tmp_dir):
+    write(
+        f"{tmp_dir}/in/a.json",
+        '[{"type":"Feature","properties":{"lon":"L","LAT":"A","geometry_type":"g","property_lon":"own"},'
+        '"geometry":{"type":"Point","coordinates":[1.5,2.5]}}]',
+    )
+    row = geojson.read_feature_table(spark, f"{tmp_dir}/in").first().asDict()
+    assert (row["lon"], row["lat"], row["geometry_type"]) == (1.5, 2.5, "Point")
+    assert sorted(v for k, v in row.items() if k.startswith("property_")) == ["A", "L", "g", "own"]
+
+
+def test_every_geometry_is_kept_as_text_and_counted(spark, tmp_dir):
+    write(
+        f"{tmp_dir}/in/a.json",
+        '[{"type":"Feature","properties":{"a":1},"geometry":{"type":"Polygon","coordinates":[[[0,0],[1,0],[1,1],[0,0]]]}},'
+        '{"type":"Feature","properties":{"a":2},"geometry":{"type":"Point","coordinates":[1.5,2.5]}},'
+        '{"type":"Feature","properties":{"a":3},"geometry":null}]',
+    )
+    features = geojson.read_features(spark, f"{tmp_dir}/in")
+    rows = {r.a: r for r in geojson.feature_columns(features, "a int", keep_geometry=True).collect()}
+    assert json.loads(rows[1].geometry)["coordinates"] == [[[0, 0], [1, 0], [1, 1], [0, 0]]] and rows[1].lon is None
+    assert json.loads(rows[2].geometry) == {"type": "Point", "coordinates": [1.5, 2.5]}
+    assert rows[3].geometry in (None, "null")
+    counts = geojson.point_counts(features).first()
+    assert (counts.points, counts.rejected) == (1, 2)
+
+
+def test_point_documents_without_a_position(spark):
+    df = spark.createDataFrame([(1, 1.0, 2.0), (2, None, 2.0)], "id int, lon double, lat double")
+    rows = {r.id: r.geometry for r in sinks.geojson_documents(df).collect()}
+    assert rows[1].coordinates == [1.0, 2.0] and rows[2] is None
+
+
+def _scanned(df):
+    """Rows that came out of the plan's file scans, once it has run."""
+    df.collect()
+    plan, todo, total = df._jdf.queryExecution().executedPlan(), [], 0
+    todo = [plan]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            node = node.executedPlan()
+        if node.nodeName().startswith("Scan"):
+            total += node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+        if "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+    return total
+
+
+def test_clustered_layout_prunes_rows(spark, tmp_dir):
+    points = spark.range(20000).select(
+        "id", ((F.col("id") * 7919 % 9000) / 1000.0 + 6).alias("lon"), ((F.col("id") * 104729 % 8000) / 1000.0 + 47).alias("lat")
+    )
+    assert sinks.write_clustered(points, f"{tmp_dir}/t", rows_per_file=1500) == 20000
+    stored = spark.read.parquet(f"{tmp_dir}/t")
+    assert len(stored.inputFiles()) > 8
+    box = stored.where(F.col("lon").between(7.5, 8.0) & F.col("lat").between(48.0, 48.5))
+    assert box.count() == points.where(F.col("lon").between(7.5, 8.0) & F.col("lat").between(48.0, 48.5)).count()
+    assert 0 < _scanned(box) < 20000 / 3
+
+
+def test_writers_run_their_input_once(spark, tmp_dir):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(500).select(F.col("id").cast("string").alias("value"), F.rand(1).alias("lon"), F.rand(2).alias("lat"))
+    counted = df.mapInArrow(count, df.schema)
+    sinks.write_clustered(counted, f"{tmp_dir}/a", rows_per_file=100)
+    assert seen.value == 500
+    assert sinks.write_feature_collection(counted, f"{tmp_dir}/b", rows_per_file=100) == 500
+    assert seen.value == 1000

@@ -2,7 +2,7 @@ import os
 import struct
 
 from fieldatlas.operators.spatial import spatial_join
-from fieldatlas.sources.shapefile import read_shapefile
+from fieldatlas.sources.shapefile import code_page, read_shapefile
 
 
 def _polygon_content(rings):
@@ -86,3 +86,25 @@ def test_read_shapefile_declared_attributes(spark, tmp_dir):
     write_shapefile(f"{tmp_dir}/one/a", [[FAR]], FIELDS, [("Far", 3, 4.0, "F")])
     com = read_shapefile(spark, f"{tmp_dir}/one", attributes="GEN string, AGS string")
     assert [tuple(r)[:2] for r in com.collect()] == [("Far", "3")]
+
+
+def test_upper_case_extensions_code_page_and_overflow(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/in")
+    write_shapefile(f"{tmp_dir}/in/a", [[FAR], [SQUARE]], FIELDS, [("Mxn", "*****", 4.0, "F"), ("Plain", 7, "********", "T")])
+    with open(f"{tmp_dir}/in/a.dbf", "rb") as f:
+        data = f.read().replace(b"Mxn", b"M\xfcn")
+    os.rename(f"{tmp_dir}/in/a.shp", f"{tmp_dir}/in/a.SHP")
+    os.remove(f"{tmp_dir}/in/a.dbf")
+    with open(f"{tmp_dir}/in/a.DBF", "wb") as f:
+        f.write(data)
+    with open(f"{tmp_dir}/in/a.cpg", "w") as f:
+        f.write("ISO-8859-1")
+    rows = {r.GEN: r for r in read_shapefile(spark, f"{tmp_dir}/in").collect()}
+    assert set(rows) == {"Mün", "Plain"}
+    assert rows["Mün"].AGS is None and rows["Plain"].AGS == 7 and rows["Plain"].AREA is None
+
+
+def test_code_page_names():
+    assert code_page(b"UTF-8", "x") == "utf-8" and code_page(b"1252", "x") == "cp1252"
+    assert code_page(b"ISO 88591", "x") == "iso8859-1" and code_page(None, "utf-8") == "utf-8"
+    assert code_page(b"no such page", "utf-8") == "utf-8"
