@@ -25,7 +25,8 @@ override it):
 * ``broadcast`` (broadcast hash join) when the polygon cells, edges
   included, are estimated below ``broadcast_limit_bytes``. The point side is
   never shuffled; skew among points cannot hurt.
-* ``shuffle`` (shuffled hash join built on the cell side) otherwise. Hot cells are split either by adaptive execution's
+* ``shuffle`` (sort-merge join, whose per-cell buffer of polygons spills)
+  otherwise. Hot cells are split either by adaptive execution's
   skew-join handling (default when enabled: no extra pass) or by salting:
   cells holding more than ``rows_per_task`` points spread their points over
   ``ceil(n / rows_per_task)`` salt values and replicate their polygon cells
@@ -42,9 +43,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldatlas.functions.geo import bbox, contains_point, contains_sql, polygon_edges
+from fieldatlas.session import default_parallelism, materialize
 
 _MAX_LEVEL = 60
-_EDGE_BYTES = 32
+_EDGE_BYTES = 56  # four doubles in a struct in an array: values, null bits, offset and size
 _CELL_ROW_BYTES = 48
 _HOT_ROW_BYTES = 40
 _FINITE = 1.7e308  # largest magnitude treated as a coordinate
@@ -73,12 +75,15 @@ def prepare_polygons(
     polygons: DataFrame, rings: str = "rings", attrs: list[str] | None = None
 ) -> DataFrame:
     """Attributes + edges + bounding box. Polygons without edges, or with a
-    null, NaN or infinite coordinate (no finite box, so they contain no
-    point), are left out."""
+    null, NaN or infinite coordinate (no finite box, or a gap in a ring), are
+    left out. Edges run from their lower to their upper end, so that neighbours
+    decide a shared border alike."""
     attrs = [c for c in polygons.columns if c != rings] if attrs is None else attrs
     with_edges = polygons.select(
-        *[_q(c) for c in attrs], polygon_edges(rings).alias("_fa_edges")
-    ).where(F.size("_fa_edges") > 0)
+        *[_q(c) for c in attrs], polygon_edges(rings, ordered=True).alias("_fa_edges")
+    ).where(
+        "size(_fa_edges) > 0 AND NOT exists(_fa_edges, e -> e.x1 IS NULL OR e.y1 IS NULL OR e.x2 IS NULL OR e.y2 IS NULL)"
+    )
     minx, miny, maxx, maxy = bbox("_fa_edges")
     boxed = with_edges.select(
         "*",
@@ -121,8 +126,9 @@ def plan_grid(
 ) -> tuple[GridPlan, DataFrame]:
     """Choose the cell size, levels and join strategy; return the cell table.
 
-    Two single-row aggregations over the (small) polygon side; nothing of the
-    point side is read. The default cell size is the median polygon extent
+    One single-row aggregation over the polygons, then the cell table is
+    written once to the shared folder, so the statistics below and the join
+    read it instead of building it again; nothing of the point side is read. The default cell size is the median polygon extent
     divided by ``cells_per_extent``.
     """
     ext = F.greatest(
@@ -134,7 +140,9 @@ def plan_grid(
     if cell_size is None:
         median = first["m"]
         cell_size = float(median) / cells_per_extent if median and median > 0 else 1.0
-    cells = polygon_cells(_with_level(geo, cell_size, max_cells_per_polygon), cell_size)
+    cells = materialize(
+        polygon_cells(_with_level(geo, cell_size, max_cells_per_polygon), cell_size), "polygon-cells"
+    )
     attr_cols = [c for c in cells.columns if not c.startswith("_fa_")]
     attr_bytes = (
         F.length(F.to_json(F.struct(*[_q(c) for c in attr_cols]))) if attr_cols else F.lit(0)
@@ -176,30 +184,31 @@ def polygon_cells(geo: DataFrame, cell_size: float) -> DataFrame:
     """
     attrs = [f"`{c}`" for c in geo.columns if not c.startswith("_fa_")]
     keys = ["_fa_level", "_fa_cx", "_fa_cy"]
-    exploded = geo.selectExpr(
+    # Rows of cells first: each row cuts its latitude band out of the polygon's
+    # edges once, and its cells choose from that band only. Frames are widened
+    # by a margin far above rounding error.
+    banded = geo.selectExpr(
         *attrs, "_fa_edges", "_fa_minx", "_fa_maxx", "_fa_miny", "_fa_maxy", "_fa_level",
         f"{_SIZE} AS _fa_size",
     ).selectExpr(
-        "*", "explode(sequence(floor(_fa_minx / _fa_size), floor(_fa_maxx / _fa_size))) AS _fa_cx"
+        "*", "explode(sequence(floor(_fa_miny / _fa_size), floor(_fa_maxy / _fa_size))) AS _fa_cy",
     ).selectExpr(
-        *attrs, "_fa_edges", "_fa_level", "_fa_size", "_fa_cx",
-        "explode(sequence(floor(_fa_miny / _fa_size), floor(_fa_maxy / _fa_size))) AS _fa_cy",
+        *attrs, "_fa_level", "_fa_size", "_fa_cy", "_fa_minx", "_fa_maxx",
+        """filter(_fa_edges, e -> e.y2 >= _fa_cy * _fa_size - _fa_size * 1e-6
+                              AND e.y1 <= (_fa_cy + 1) * _fa_size + _fa_size * 1e-6) AS _fa_row""",
     )
-    # Cell rectangle widened by a margin far above rounding error.
-    framed = exploded.selectExpr(
-        *attrs, *keys, "_fa_edges",
+    framed = banded.selectExpr(
+        "*", "explode(sequence(floor(_fa_minx / _fa_size), floor(_fa_maxx / _fa_size))) AS _fa_cx",
+    ).selectExpr(
+        *attrs, *keys, "_fa_row",
         "_fa_cx * _fa_size - _fa_size * 1e-6 AS _fa_x0",
         "(_fa_cx + 1) * _fa_size + _fa_size * 1e-6 AS _fa_x1",
-        "_fa_cy * _fa_size - _fa_size * 1e-6 AS _fa_y0",
-        "(_fa_cy + 1) * _fa_size + _fa_size * 1e-6 AS _fa_y1",
         "(_fa_cx + 0.5D) * _fa_size AS _fa_mx",
         "(_fa_cy + 0.5D) * _fa_size AS _fa_my",
     )
     with_band = framed.selectExpr(
         *attrs, *keys, "_fa_x1", "_fa_mx", "_fa_my",
-        """filter(_fa_edges, e -> greatest(e.y1, e.y2) >= _fa_y0
-                              AND least(e.y1, e.y2) <= _fa_y1
-                              AND greatest(e.x1, e.x2) >= _fa_x0) AS _fa_band""",
+        "filter(_fa_row, e -> greatest(e.x1, e.x2) >= _fa_x0) AS _fa_band",
     )
     classified = with_band.selectExpr(
         *attrs, *keys, "_fa_band",
@@ -278,7 +287,7 @@ def _salted(
     hot_side = F.broadcast(hot) if n_hot * _HOT_ROW_BYTES <= broadcast_limit_bytes else hot
     salts = F.coalesce(F.col("_fa_salts"), F.lit(1))
     pts = pts.join(hot_side, _KEYS, "left").withColumn(
-        "_fa_salt", F.pmod(F.monotonically_increasing_id(), salts).cast("int")
+        "_fa_salt", F.pmod(F.xxhash64(*[_q(c) for c in pts.columns if not c.startswith("_fa_")]), salts).cast("int")
     )
     cells = cells.join(hot_side, _KEYS, "left").withColumn(
         "_fa_salt", F.explode(F.sequence(F.lit(0), (salts - 1).cast("int")))
@@ -308,21 +317,16 @@ def _skew_mode(points: DataFrame, skew: str) -> str:
     return "aqe" if aqe else "salt"
 
 
-def _spread(points: DataFrame, min_partitions: int | None) -> DataFrame:
-    """Guard for inputs Spark cannot split (a single Parquet row group, one
-    compressed file): when asked, and the point side arrives in fewer than
-    ``min_partitions`` partitions, spread it round-robin before the per-point
-    test. Off by default: large inputs arrive in many partitions, and for a
-    point side with shuffles inside, counting partitions would run them."""
-    if min_partitions is None or points.isStreaming:
-        return points
-    try:
-        parts = points.rdd.getNumPartitions()
-    except Exception:  # no RDD access (remote session): leave the input as it is
-        return points
-    if parts < min_partitions:
-        return points.repartition(min_partitions)
-    return points
+def _out_names(point_names: list[str], polygon_names: list[str], prefix: str) -> list[str]:
+    """Output names of the polygon attributes: prefixed until no other output
+    column has the name, in any case (Spark does not tell cases apart)."""
+    taken, out = {c.lower() for c in point_names}, []
+    for name in polygon_names:
+        while name.lower() in taken:
+            name = prefix + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def spatial_join(
@@ -346,8 +350,8 @@ def spatial_join(
     """Inner join of points with the polygons that contain them.
 
     Output columns: point columns except ``lon``/``lat``, then polygon
-    attribute columns (a name already used by the point side is emitted as
-    ``collision_prefix + name``), then ``lon``, ``lat`` last. Unmatched points
+    attribute columns (a name already used, in any case, is prefixed with
+    ``collision_prefix`` until it is free), then ``lon``, ``lat`` last. Unmatched points
     are dropped, a point inside two polygons yields two rows, and a point with
     a null, NaN or infinite coordinate, or lying on a polygon's boundary,
     matches nothing.
@@ -356,41 +360,42 @@ def spatial_join(
     ``max_cells_per_polygon`` shape the grid; ``strategy`` is ``auto``,
     ``broadcast`` or ``shuffle``; ``skew`` (``auto``, ``aqe``, ``salt``) and
     ``rows_per_task`` govern hot cells in the shuffled strategy;
-    ``min_partitions`` spreads a point side that arrives in too few
-    partitions; ``return_plan`` also returns the :class:`GridPlan`.
+    ``min_partitions`` deals the points round-robin over that many partitions
+    before the per-point test, for a point side that arrives in one piece (a
+    single Parquet row group, a gzip file); ``return_plan`` also returns the
+    :class:`GridPlan`. The polygons are always dealt over the cluster's cores.
     """
     point_attrs = [c for c in points.columns if c not in (lon, lat)]
     poly_attrs = [c for c in polygons.columns if c != rings]
-    taken = set(points.columns)
+    out_poly = _out_names(points.columns, poly_attrs, collision_prefix)
+    # Inside the join the attributes have names that no column of either side has.
+    inner = _out_names([*points.columns, rings], [f"_polygon_{i}" for i in range(len(poly_attrs))], "_")
     renamed = polygons.select(
-        *[
-            _q(c).alias(collision_prefix + c if c in taken else c)
-            for c in poly_attrs
-        ],
-        _q(rings),
-    )
-    out_poly = [collision_prefix + c if c in taken else c for c in poly_attrs]
+        *[_q(c).alias(n) for c, n in zip(poly_attrs, inner)], _q(rings)
+    ).repartition(default_parallelism(polygons.sparkSession))
 
-    # The polygon side is the small side: the two planning aggregations and
-    # the join each derive edges and boxes from it again, which costs less
-    # than storing it.
     geo = prepare_polygons(renamed, rings)
     plan, cells = plan_grid(
         geo, cell_size, max_cells_per_polygon, strategy, broadcast_limit_bytes,
         cells_per_extent,
     )
-    pts = point_cells(_spread(points, min_partitions), plan, lon, lat)
+    if min_partitions and not points.isStreaming:
+        points = points.repartition(min_partitions)
+    pts = point_cells(points, plan, lon, lat)
 
     if plan.strategy == "broadcast":
         joined = pts.join(F.broadcast(cells), _KEYS, "inner")
     elif _skew_mode(points, skew) == "aqe":
-        # Shuffled hash join, built on the cell side: the point side is
-        # neither broadcast nor sorted, whatever Spark's own size estimate.
-        joined = pts.join(cells.hint("shuffle_hash"), _KEYS, "inner")
+        # Sort-merge, whatever Spark's own size estimate: the polygons of one
+        # cell are a buffer that spills, where a hash build could not.
+        joined = pts.join(cells.hint("merge"), _KEYS, "inner")
     else:
         pts, cells = _salted(pts, cells, rows_per_task, broadcast_limit_bytes)
-        joined = pts.join(cells.hint("shuffle_hash"), _KEYS + ["_fa_salt"], "inner")
+        joined = pts.join(cells.hint("merge"), _KEYS + ["_fa_salt"], "inner")
     result = joined.where(_refine(lon, lat)).select(
-        *[_q(c) for c in point_attrs], *[_q(c) for c in out_poly], _q(lon), _q(lat)
+        *[_q(c) for c in point_attrs],
+        *[_q(n).alias(c) for n, c in zip(inner, out_poly)],
+        _q(lon),
+        _q(lat),
     )
     return (result, plan) if return_plan else result

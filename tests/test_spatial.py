@@ -1,3 +1,7 @@
+import math
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +20,7 @@ PT_SCHEMA = "pid string, lon double, lat double"
 
 
 def ring(*pts):
-    return [{"x": float(x), "y": float(y)} for x, y in pts]
+    return [{"x": x if x is None else float(x), "y": float(y)} for x, y in pts]
 
 
 SQUARE = ring((0, 0), (4, 0), (4, 4), (0, 4), (0, 0))
@@ -143,13 +147,13 @@ def test_plan_uses_cell_equi_join(spark):
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 
-def test_shuffle_plan_is_salted_hash_join(spark):
+def test_shuffle_plan_is_a_salted_merge_join(spark):
     out = spatial_join(
         fx.occurrences(spark, SF01), fx.communities(spark, SF01), strategy="shuffle", rows_per_task=2,
         skew="salt",
     )
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "_fa_salt" in plan and "ShuffledHashJoin" in plan
+    assert "_fa_salt" in plan and "SortMergeJoin" in plan and "ShuffledHashJoin" not in plan
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 
@@ -201,7 +205,7 @@ def test_aqe_splits_the_hot_cell(spark):
         out = spatial_join(pts, polygons(spark), cell_size=0.5, strategy="shuffle", skew="aqe")
         got = sorted((r.pid, r.name) for r in out.collect())
         plan = out._jdf.queryExecution().executedPlan().toString()
-        assert "isFinalPlan=true" in plan and "ShuffledHashJoin(skew=true)" in plan
+        assert "isFinalPlan=true" in plan and "SortMergeJoin(skew=true)" in plan
         ref = spatial_join(pts, polygons(spark), cell_size=0.5, strategy="broadcast")
         assert got == sorted((r.pid, r.name) for r in ref.collect())
     finally:
@@ -232,3 +236,66 @@ def test_non_finite_polygon_is_left_out(spark):
     polys = spark.createDataFrame([("bad", [bad]), ("nan", [nan]), ("good", [good])], POLY_SCHEMA)
     pts = spark.createDataFrame([("a", 0.5, 0.2)], PT_SCHEMA)
     assert [(r.pid, r.name) for r in spatial_join(pts, polys).collect()] == [("a", "good")]
+
+
+def test_polygon_with_a_null_vertex_is_left_out(spark):
+    polys = spark.createDataFrame([("gap", [ring((0, 0), (4, 0), (None, 4), (0, 4))]), ("good", [ring((0, 0), (4, 0), (4, 4), (0, 4))])], POLY_SCHEMA)
+    pts = spark.createDataFrame([("a", 0.5, 0.5)], PT_SCHEMA)
+    assert [r.name for r in spatial_join(pts, polys).collect()] == ["good"]
+
+
+def test_names_that_collide_in_any_case_or_again(spark):
+    polys = spark.createDataFrame([("n", "c", "p", [ring((0, 0), (4, 0), (4, 4), (0, 4))])], T.StructType([T.StructField(c, T.StringType()) for c in ("NAME", "Community_name", "_polygon_0")] + [T.StructField("rings", RINGS)]))
+    pts = spark.createDataFrame([("a", "b", "q", 1.0, 1.0)], "name string, community_NAME string, _fa_x string, lon double, lat double")
+    out = spatial_join(pts, polys)
+    assert out.columns[:3] == ["name", "community_NAME", "_fa_x"] and out.columns[-3:] == ["_polygon_0", "lon", "lat"]
+    assert len({c.lower() for c in out.columns}) == 8
+    row = out.first()
+    assert sorted(v for v in row if isinstance(v, str)) == ["a", "b", "c", "n", "p", "q"]
+
+
+def test_shared_borders_give_a_point_to_exactly_one_neighbour(spark):
+    # points within rounding distance of random edges shared by two polygons in opposite directions
+    r = random.Random(7)
+    polys, pts = [], []
+    for k in range(60):
+        x, y = 10.0 * k, 0.0
+        a, b = (x + r.uniform(3, 7), y + r.uniform(0, 1)), (x + r.uniform(3, 7), y + r.uniform(9, 10))
+        polys.append((f"left{k}", [ring((x, y - 1), a, b, (x, y + 11))]))
+        polys.append((f"right{k}", [ring((x + 10, y - 1), (x + 10, y + 11), b, a)]))
+        for i in range(40):
+            t = r.random()
+            px = a[0] + t * (b[0] - a[0])
+            pts.append((f"{k}-{i}", math.nextafter(px, r.choice([-1e9, 1e9])) if i % 2 else px, a[1] + t * (b[1] - a[1])))
+    polygons_ = spark.createDataFrame(polys, POLY_SCHEMA)
+    joined = spatial_join(spark.createDataFrame(pts, PT_SCHEMA), polygons_)
+    seen = Counter(row.pid for row in joined.collect())
+    # on an edge both leave the point out; otherwise exactly one has it
+    assert max(seen.values()) == 1
+    edges = {(row.a, row.b) for row in polygons_.select(F.explode(polygon_edges("rings", ordered=True)).alias("e")).select(F.struct("e.x1", "e.y1").alias("a"), F.struct("e.x2", "e.y2").alias("b")).collect()}
+    for name, px, py in pts:
+        if name not in seen:
+            assert any((b.x2 - a.x1) * (py - a.y1) == (b.y2 - a.y1) * (px - a.x1) for a, b in edges)
+
+
+def test_polygons_with_many_edges_keep_small_bands(spark):
+    cells = 40
+    star = [(math.cos(2 * math.pi * j / 600) * (3 + 0.3 * (j % 7)), math.sin(2 * math.pi * j / 600) * (3 + 0.3 * (j % 7))) for j in range(600)]
+    polys = spark.createDataFrame([("star", [ring(*star)])], POLY_SCHEMA)
+    pts = [(str(k), -6 + 12 * (k * 7919 % 1000) / 1000, -6 + 12 * (k * 104729 % 997) / 997) for k in range(3000)]
+    expected = brute_join(pts, [("star", [star])])
+    frame = spark.createDataFrame(pts, PT_SCHEMA)
+    for kw in ({"strategy": "broadcast"}, {"strategy": "shuffle", "skew": "salt", "rows_per_task": 200}, {"strategy": "shuffle", "skew": "aqe"}):
+        out, plan = spatial_join(frame, polys, cell_size=10 / cells, return_plan=True, **kw)
+        assert {(r.pid, r.name) for r in out.collect()} == expected
+    # a cell holds the edges of its row only, not the whole polygon
+    assert plan.estimated_bytes < plan.cell_rows * 600 * 56 / 4
+
+
+def test_hundreds_of_polygons_on_one_cell(spark):
+    polys = spark.createDataFrame([(f"p{k}", [ring((0, 0), (1 + k / 1000, 0), (1, 1), (0, 1 + k / 1000))]) for k in range(400)], POLY_SCHEMA)
+    pts = spark.createDataFrame([(str(k), 0.1 + k / 100, 0.2) for k in range(50)], PT_SCHEMA)
+    out = spatial_join(pts, polys, cell_size=5.0, strategy="shuffle", skew="salt", rows_per_task=10)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "HashJoin" not in plan.split("SortMergeJoin")[0]
+    assert out.count() == 50 * 400
