@@ -4,9 +4,9 @@ Following the reference, only the ``k_groups`` most diverse groups are
 compared. Instead of collecting their sets to the driver and looping over
 pairs, intersections are counted with an inverted index:
 
-* distinct ``(group, value)`` rows of the top groups (a semi join with the
-  ``k_groups`` names, broadcast: its size is bounded by ``k_groups``);
-* a self join on ``value`` with ``g1 < g2``; a value appears in at most
+* distinct ``(group, value)`` rows of the top groups (a null-safe join with the
+  stored ``k_groups`` top rows, which number the groups by name);
+* a self join on ``value`` with ``p1 < p2``; a value appears in at most
   ``k_groups`` groups, so it yields at most ``k_groups**2 / 2`` rows however
   common it is;
 * ``count`` per pair (partial aggregation) = intersection size;
@@ -20,9 +20,7 @@ planned and no single row carries all pairs.
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldatlas.functions.sets import jaccard
@@ -30,9 +28,6 @@ from fieldatlas.plans.ranking import top_k
 from fieldatlas.session import materialize
 
 
-_ROWS_PER_TASK = 1024  # top groups per pair-generating task
-
-
 def _q(name: str):
     return F.col(f"`{name}`")
 
@@ -40,7 +35,8 @@ def _q(name: str):
 def pair_overlaps(df: DataFrame, k_groups: int = 10, group: str = "community",
                   value: str = "species") -> DataFrame:
     """All pairs of the ``k_groups`` most diverse groups with
-    ``n1, n2, n_inter, n_union, similarity``; ``community_1 < community_2``.
+    ``n1, n2, n_inter, n_union, similarity``; ``community_1 < community_2``,
+    and the null group, a group like any other, comes second in its pairs.
 
     One distinct ``(group, value)`` table feeds everything (set sizes, the
     top groups, the inverted index). It is written once to the shared folder,
@@ -52,41 +48,40 @@ def pair_overlaps(df: DataFrame, k_groups: int = 10, group: str = "community",
         df.select(_q(group).alias("g"), _q(value).alias("v")).distinct(), "group-values"
     )
     sizes = pairs_gv.groupBy("g").agg(F.count("v").alias("n"))
-    top = top_k(sizes, [F.col("n").desc(), F.col("g").asc_nulls_last()], k_groups).select("g", "n")
-    members = pairs_gv.where(F.col("v").isNotNull()).join(
-        F.broadcast(top.select("g")), "g", "left_semi"
+    best = top_k(sizes, [F.col("n").desc(), F.col("g").asc_nulls_last()], k_groups)
+    # The at most k top groups, numbered by name (the null group last), stored:
+    # everything below reads these rows instead of ranking again.
+    by_name = Window.orderBy(F.col("g").asc_nulls_last())
+    top = materialize(best.select(F.row_number().over(by_name).alias("pos"), "g", "n"), "top-groups")
+    members = (
+        pairs_gv.where(F.col("v").isNotNull())
+        .join(top.select("pos", F.col("g").alias("top_g")), F.col("g").eqNullSafe(F.col("top_g")))
+        .select("pos", "v")
     )
-    a = members.select(F.col("g").alias("c1"), "v")
-    b = members.select(F.col("g").alias("c2"), "v")
     inter = (
-        a.join(b, "v")
-        .where(F.col("c1") < F.col("c2"))
-        .groupBy("c1", "c2")
+        members.withColumnRenamed("pos", "p1")
+        .join(members.withColumnRenamed("pos", "p2"), "v")
+        .where("p1 < p2")
+        .groupBy("p1", "p2")
         .agg(F.count(F.lit(1)).alias("n_inter"))
     )
     # Unordered pairs of the bounded top list: the sorted list (k entries)
     # enters as a scalar subquery and each top row emits its pairs with the
-    # groups after it, so the k*(k-1)/2 rows are made across tasks.
-    listed = top.agg(F.array_sort(F.collect_list(F.struct("g", "n")))).scalar()
-    rows = top if k_groups <= _ROWS_PER_TASK else top.repartition(
-        math.ceil(k_groups / _ROWS_PER_TASK)
-    )
-    pairs = rows.select("g", "n", listed.alias("t")).select(
+    # groups after it.
+    listed = top.agg(F.array_sort(F.collect_list(F.struct("pos", "g", "n")))).scalar()
+    pairs = top.select("pos", "g", "n", listed.alias("t")).select(
+        F.col("pos").alias("q1"),
         F.col("g").alias("community_1"),
         F.col("n").alias("n1"),
-        F.explode(F.filter("t", lambda y: y.g > F.col("g"))).alias("r"),
+        F.explode(F.filter("t", lambda y: y.pos > F.col("pos"))).alias("r"),
+    )
+    joined = pairs.join(
+        inter, (F.col("q1") == F.col("p1")) & (F.col("r.pos") == F.col("p2")), "left"
     ).select(
         "community_1",
         F.col("r.g").alias("community_2"),
         "n1",
         F.col("r.n").alias("n2"),
-    )
-    joined = pairs.join(
-        F.broadcast(inter),
-        (pairs.community_1 == inter.c1) & (pairs.community_2 == inter.c2),
-        "left",
-    ).select(
-        "community_1", "community_2", "n1", "n2",
         F.coalesce(F.col("n_inter"), F.lit(0)).cast("long").alias("n_inter"),
     )
     return joined.select(
@@ -104,5 +99,7 @@ def most_similar(df: DataFrame, k_groups: int = 10, k_pairs: int = 10,
         "community_1", "community_2", "similarity"
     )
     return top_k(
-        p, [F.col("similarity").desc(), F.col("community_1"), F.col("community_2")], k_pairs
+        p,
+        [F.col("similarity").desc(), F.col("community_1"), F.col("community_2").asc_nulls_last()],
+        k_pairs,
     )

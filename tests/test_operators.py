@@ -265,3 +265,14 @@ def test_approximate_richness_is_close_and_single_shuffle(spark):
     fresh = diversity.richness(_joined(spark), rsd=0.01)  # not executed: initial plan only
     plan = fresh._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_null_group_keeps_its_pairs(spark):
+    rows = [("a", "x"), ("a", "y"), ("b", "x"), (None, "x"), (None, "y"), ("c", None)]
+    df = spark.createDataFrame(rows, "community string, species string")
+    got = {(r.community_1, r.community_2): (r.n_inter, r.similarity) for r in similarity.pair_overlaps(df).collect()}
+    assert got == {
+        ("a", "b"): (1, 0.5), ("a", "c"): (0, 0.0), ("a", None): (2, 1.0),
+        ("b", "c"): (0, 0.0), ("b", None): (1, 0.5), ("c", None): (0, 0.0),
+    }
+    assert similarity.most_similar(df).first().asDict() == {"rank": 1, "community_1": "a", "community_2": None, "similarity": 1.0}
