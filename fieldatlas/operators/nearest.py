@@ -111,7 +111,7 @@ def _box_clearance_m(x: float, y: float, r: float) -> float:
 def k_nearest_in_layout(candidates: DataFrame, anchor: DataFrame, k: int = 10, *,
                         lon: str = "lon", lat: str = "lat", keep: Sequence[str] = ("place_id",),
                         name: str = "name", decimals: int | None = 3,
-                        start_radius_deg: float = 0.05, growth: float = 4.0) -> DataFrame:
+                        start_radius_deg: float = 0.25, growth: float = 4.0) -> DataFrame:
     """Exact ``k`` nearest on a table in the clustered layout
     (:func:`fieldatlas.operators.sinks.write_clustered`), the role a spherical
     geospatial index plays for a near query.
@@ -121,7 +121,9 @@ def k_nearest_in_layout(candidates: DataFrame, anchor: DataFrame, k: int = 10, *
     The answer is final once ``k`` rows are found and the k-th distance is
     below the box's clearance (no point outside the box can be closer);
     otherwise the box grows by ``growth``. Each step is one distributed top-k
-    returning at most ``k`` rows; the box covers the globe after a handful of
+    returning at most ``k`` rows, which are the result once they suffice (no
+    step runs twice); choose ``start_radius_deg`` so that the first box usually
+    holds ``k`` candidates. The box covers the globe after a handful of
     steps, and then the whole table is ranked as :func:`k_nearest` does.
     """
     at = anchor_point(anchor, lon, lat)
@@ -133,11 +135,9 @@ def k_nearest_in_layout(candidates: DataFrame, anchor: DataFrame, k: int = 10, *
     while r < 90.0 and -180.0 <= x - r and x + r <= 180.0:
         box = _q(lon).between(x - r, x + r) & _q(lat).between(y - r, y + r)
         found = _ranked(candidates.where(box), at, k, lon, lat, keep, name, decimals)
-        rows = found.select("distance_m").collect()  # at most k rows
+        rows = found.collect()  # at most k rows
         kth = max((row.distance_m for row in rows), default=None)
         if len(rows) == k and kth + slack < _box_clearance_m(x, y, r):
-            return found
+            return candidates.sparkSession.createDataFrame(rows, found.schema)
         r *= growth
     return _ranked(candidates, at, k, lon, lat, keep, name, decimals)
-
-

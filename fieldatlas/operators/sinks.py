@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from fieldatlas.functions.geo import point_geometry
+from fieldatlas.session import release_tables, scratch_path
 
 
 def _q(name: str) -> Column:
@@ -50,7 +51,8 @@ def append_documents(df: DataFrame, path: str, fmt: str = "parquet", **kw) -> in
 def geojson_documents(df: DataFrame, lon: str = "lon", lat: str = "lat",
                       geometry: str = "geometry") -> DataFrame:
     """Replace ``lon``/``lat`` by a GeoJSON point struct
-    ``{type: "Point", coordinates: [lon, lat]}`` as the last column."""
+    ``{type: "Point", coordinates: [lon, lat]}`` as the last column; null
+    where a coordinate is null."""
     rest = [_q(c) for c in df.columns if c not in (lon, lat, geometry)]
     return df.select(*rest, point_geometry(_q(lon), _q(lat)).alias(geometry))
 
@@ -71,15 +73,15 @@ def clustered_layout(df: DataFrame, lon: str = "lon", lat: str = "lat",
     Cells of ``cell_size`` degrees are numbered along a Z curve; rows are
     range-partitioned and sorted by that number, so Parquet min/max
     statistics of both ``lon`` and ``lat`` become narrow and a box filter
-    skips most row groups. A row-identity tie-breaker in the range key lets
+    skips most row groups. A hash of the row's content in the range key lets
     one crowded cell (even a third of all rows at one position) spread over
-    several partitions instead of one.
+    several partitions instead of one, and a retried task deals its rows alike.
     """
     span = 1 << 16
     cx = F.pmod(F.floor((_q(lon) + 180.0) / cell_size), span)
     cy = F.pmod(F.floor((_q(lat) + 90.0) / cell_size), span)
     keyed = df.withColumn("_fa_z", z_order(cx, cy)).withColumn(
-        "_fa_tie", F.monotonically_increasing_id()
+        "_fa_tie", F.xxhash64(*[_q(c) for c in df.columns])
     )
     parts = [partitions] if partitions else []
     return (
@@ -94,29 +96,44 @@ def write_clustered(df: DataFrame, path: str, lon: str = "lon", lat: str = "lat"
                     rows_per_file: int = 5_000_000) -> int:
     """Write ``df`` as Parquet in the clustered layout; returns rows written.
 
-    Without ``partitions``, the number of range partitions (one file each)
-    is ``ceil(rows / rows_per_file)``, from one counting pass, so files keep
-    a bounded size whatever the input size.
+    The input runs once: it is stored and counted in the same write, then
+    sampled and range-partitioned from the store, which is removed again.
+    Without ``partitions``, the number of range partitions (one file each) is
+    ``ceil(rows / rows_per_file)``, so files keep a bounded size.
     """
+    spark = df.sparkSession
+    store = scratch_path(spark, "to-cluster")
+    rows = write_documents(df, store)
     if partitions is None:
-        partitions = max(1, math.ceil(df.count() / rows_per_file))
-    return replace_collection(clustered_layout(df, lon, lat, cell_size, partitions), path)
+        partitions = max(1, math.ceil(rows / rows_per_file))
+    layout = clustered_layout(spark.read.parquet(store), lon, lat, cell_size, partitions)
+    layout.write.mode("overwrite").parquet(path)
+    release_tables(spark, store)
+    return rows
 
 
 def write_feature_collection(features: DataFrame, path: str, root: str = "object",
-                             rows_per_file: int = 100_000, text: str = "value") -> int:
-    """Write GeoJSON files from feature texts, ``rows_per_file`` features each.
-
-    Each row gets a file number from a hash of its row identity, so the
-    ``ceil(n / rows_per_file)`` files receive about ``rows_per_file`` rows
-    each, whatever the content (identical features included); one shuffle
-    forms the groups and each file is one group of bounded size, joined
-    into an array-root or an object-root (``FeatureCollection``) document.
+                             rows_per_file: int = 100_000, bytes_per_file: int = 128 << 20,
+                             text: str = "value") -> int:
+    """Write GeoJSON files from feature texts, about ``rows_per_file`` features
+    or ``bytes_per_file`` bytes each, whichever makes more files.
+
+    The input runs once: it is stored, counted and measured in one write. The
+    place of each row in that store gives its file number (the store does not
+    change, so a retried task numbers its rows alike, and identical features
+    spread like any others); one shuffle forms the groups and each file is
+    one group of bounded size, joined into an array-root or an object-root
+    (``FeatureCollection``) document.
     """
     if root not in ("array", "object"):
         raise ValueError("root must be 'array' or 'object'")
-    n = features.count()
-    files = max(1, math.ceil(n / rows_per_file))
+    spark = features.sparkSession
+    store = scratch_path(spark, "features")
+    obs = Observation("fieldatlas_features")
+    size = F.sum(F.octet_length(text)).alias("bytes")
+    features.select(_q(text).alias(text)).observe(obs, F.count(F.lit(1)).alias("rows"), size).write.parquet(store)
+    n, total = int(obs.get["rows"]), int(obs.get["bytes"] or 0)
+    files = max(1, math.ceil(n / rows_per_file), math.ceil(total / bytes_per_file))
     body = F.concat_ws(",", F.collect_list(_q(text)))
     doc = (
         F.concat(F.lit("["), body, F.lit("]"))
@@ -124,8 +141,9 @@ def write_feature_collection(features: DataFrame, path: str, root: str = "object
         else F.concat(F.lit('{"type":"FeatureCollection","features":['), body, F.lit("]}"))
     )
     file_no = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(files))
-    grouped = features.groupBy(file_no.alias("file_no")).agg(doc.alias("value"))
+    grouped = spark.read.parquet(store).groupBy(file_no.alias("file_no")).agg(doc.alias("value"))
     grouped.write.mode("overwrite").partitionBy("file_no").text(path)
+    release_tables(spark, store)
     return n
 
 

@@ -44,10 +44,11 @@ def global_rank(df: DataFrame, order: Sequence[Column], rank_col: str = "rank")
     """All rows of ``df`` with their 1-based position in ``order``."""
     spark = df.sparkSession
     path = scratch_path(spark, "ranked")
-    # Rows equal in ``order`` are told apart by their identity, so the range
-    # partitioner can split even a key held by a third of all rows.
+    # Rows equal in ``order`` are told apart by their content, so the range
+    # partitioner can split even a key held by a third of all rows, and a
+    # retried task deals its rows alike.
     (
-        df.withColumn("_fa_tie", F.monotonically_increasing_id())
+        df.withColumn("_fa_tie", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
         .orderBy(*order, F.col("_fa_tie"))
         .drop("_fa_tie")
         .withColumn("_fa_mid", F.monotonically_increasing_id())

@@ -22,7 +22,14 @@ def _context(spark: SparkSession):
         return None
 
 
-_LOCAL_DIRS: dict[int, str] = {}
+#: By application: the folder made for it, and the tables written below its shared folder.
+_LOCAL_DIRS: dict[str, str] = {}
+_WRITTEN: dict[str, list[str]] = {}
+
+
+def _application(spark: SparkSession) -> str:
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "")
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -38,7 +45,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not base and sc is not None:
         base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
-        base = _LOCAL_DIRS.get(id(spark))
+        base = _LOCAL_DIRS.get(_application(spark))
     if not base:
         master = sc.master if sc is not None else spark.conf.get("spark.master", "")
         if not master.startswith("local"):
@@ -48,7 +55,7 @@ def shared_dir(spark: SparkSession) -> str:
         base = tempfile.mkdtemp(prefix="fieldatlas-")
         if sc is not None:
             sc.setCheckpointDir(base)
-        _LOCAL_DIRS[id(spark)] = base
+        _LOCAL_DIRS[_application(spark)] = base
     return base.rstrip("/")
 
 
@@ -76,8 +83,26 @@ def default_parallelism(spark: SparkSession, fallback: int = 8) -> int:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique table path below the shared folder."""
-    return f"{shared_dir(spark)}/fieldatlas/{name}-{uuid.uuid4().hex}"
+    """A new, unique table path below the shared folder, until :func:`release_tables`."""
+    path = f"{shared_dir(spark)}/fieldatlas/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(_application(spark), []).append(path)
+    return path
+
+
+def release_tables(spark: SparkSession, *paths: str) -> int:
+    """Removes the given scratch tables, or all that this application has written.
+
+    Results that still read them can no longer be computed, so call it when
+    a result has been written or collected. Returns the number of tables removed.
+    """
+    held = _WRITTEN.get(_application(spark), [])
+    chosen = [p for p in held if not paths or p in paths]
+    jvm = spark.sparkContext._jvm
+    for p in chosen:
+        at = jvm.org.apache.hadoop.fs.Path(p)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        held.remove(p)
+    return len(chosen)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
