@@ -9,6 +9,9 @@ derives the same rows with the same arithmetic.
 
 from __future__ import annotations
 
+import math
+import struct
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -150,3 +153,68 @@ def community_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('{"type":"Feature","properties":'), props, F.lit(',"geometry":'), geometry, F.lit("}")
     )
     return c.select(text.alias("value"))
+
+
+# The detailed polygon of community k has this many vertices, at radius
+# 0.9 + 0.0005 * ((j * 193 + k * 37) % 200) degrees for vertex j, around the community's centre.
+DETAILED_VERTICES = 512
+
+
+def detailed_communities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(community, rings)``: one jagged star of ``DETAILED_VERTICES`` vertices per nation."""
+    n = table(spark, sf_dir, "nation")
+    cx = f"({COMMUNITY_ORIGIN[0]!r}D + {COMMUNITY_STEP[0]!r}D * (n_nationkey % 5))"
+    cy = f"({COMMUNITY_ORIGIN[1]!r}D + {COMMUNITY_STEP[1]!r}D * floor(n_nationkey / 5.0D))"
+    angle = f"(j * {2 * math.pi!r}D / {DETAILED_VERTICES})"
+    radius = "(0.9D + 0.0005D * ((j * 193 + n_nationkey * 37) % 200))"
+    ring = f"""transform(sequence(0, {DETAILED_VERTICES - 1}), j -> named_struct(
+        'x', {cx} + {radius} * cos{angle}, 'y', {cy} + {radius} * sin{angle}))"""
+    return n.selectExpr("n_name AS community", f"array({ring}) AS rings")
+
+
+# Node (i, j) of the tiling lies at (6 + 1.8 i + jitter, 47 + 1.6 j + jitter), the
+# jitters being ((37 i + 91 j) % 17) / 23 - 0.4 and ((53 i + 29 j) % 19) / 29 - 0.3.
+def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(tile, rings)``: quadrilaterals between irregular lattice nodes, one per
+    nation; neighbours share their border nodes exactly."""
+    n = table(spark, sf_dir, "nation")
+
+    def node(di: int, dj: int) -> str:
+        i, j = f"(n_nationkey % 5 + {di})", f"(CAST(floor(n_nationkey / 5.0D) AS INT) + {dj})"
+        x = f"6.0D + 1.8D * {i} + ((37 * {i} + 91 * {j}) % 17) / 23.0D - 0.4D"
+        y = f"47.0D + 1.6D * {j} + ((53 * {i} + 29 * {j}) % 19) / 29.0D - 0.3D"
+        return f"named_struct('x', {x}, 'y', {y})"
+
+    corners = ", ".join(node(di, dj) for di, dj in ((0, 0), (1, 0), (1, 1), (0, 1)))
+    return n.selectExpr("n_name AS tile", f"array(array({corners})) AS rings")
+
+
+def write_community_shapefile(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The communities as one shapefile (``.SHP``, ``.DBF``, ``.cpg``) below ``path``.
+
+    One row per nation (25) comes to the driver and goes out through the
+    session's file system; the names get a non-ASCII letter to exercise the code page.
+    """
+    rows = communities(spark, sf_dir).orderBy("community").collect()
+    shapes, records = [], []
+    for no, row in enumerate(rows, start=1):
+        # The format closes every ring and runs shells clockwise.
+        points = [(p.x, p.y) for p in row.rings[0]][::-1]
+        xs, ys = zip(*points)
+        body = struct.pack("<i4d2ii", 5, min(xs), min(ys), max(xs), max(ys), 1, len(points), 0)
+        body += struct.pack(f"<{2 * len(points)}d", *[v for p in points for v in p])
+        shapes.append(struct.pack(">ii", no, len(body) // 2) + body)
+        records.append(b" " + f"{row.community}\u00fc".encode("iso8859-1").ljust(40) + (b"*****" if no == 1 else f"{no:5d}".encode()))
+    content = b"".join(shapes)
+    header = struct.pack(">7i", 9994, 0, 0, 0, 0, 0, (100 + len(content)) // 2) + struct.pack("<2i8d", 1000, 5, *[0.0] * 8)
+    fields = b"".join(
+        name.encode().ljust(11, b"\0") + kind + b"\0" * 4 + bytes([length, 0]) + b"\0" * 14
+        for name, kind, length in (("NAME", b"C", 40), ("AREA_NO", b"N", 5))
+    )
+    dbf = struct.pack("<4BIHH20x", 3, 24, 1, 1, len(records), 32 + len(fields) + 1, 46) + fields + b"\r" + b"".join(records)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for name, data in (("communities.SHP", header + content), ("communities.DBF", dbf), ("communities.cpg", b"ISO 88591")):
+        at = jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+        out = at.getFileSystem(conf).create(at, True)
+        out.write(bytearray(data))
+        out.close()

@@ -17,11 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldatlas import fixtures as fx
+from fieldatlas.functions.geo import geometry_from_geojson
+from fieldatlas.functions.sets import set_from_list
 from fieldatlas.operators import diversity, documents, nearest, similarity, sinks
 from fieldatlas.operators.spatial import spatial_join
 from fieldatlas.session import default_parallelism, scratch_path
 from fieldatlas.sources import documents as docsrc
 from fieldatlas.sources import geojson
+from fieldatlas.sources.shapefile import read_shapefile
 
 # Fixed values used by the queries (the reference hard-codes its own).
 ANCHOR_PATTERN = "(?i)customer#0000001.*"
@@ -29,6 +32,7 @@ AMENITY = "restaurant"
 AIRPORT = "NATION_7"
 MIN_CANCELLED = 30
 TOP_K = 10
+LAYOUT_FILES = 16
 BOX = (7.5, 48.0, 8.5, 49.0)  # min lon, min lat, max lon, max lat
 
 FLIGHT_SCHEMA = T.StructType(
@@ -101,12 +105,55 @@ def q_spatial_join_counts(spark, sf_dir):
 
 
 def q_spatial_join_colliding_names(spark, sf_dir):
+    # NAME collides with name, and its first prefixed form with community_name.
     pts = fx.occurrences(spark, sf_dir).select(
         "occ_id", "species", F.concat(F.lit("occ_"), F.col("occ_id").cast("string")).alias("name"),
-        "lon", "lat",
+        F.lit("x").alias("community_name"), "lon", "lat",
     )
     return spatial_join(
-        pts, fx.communities(spark, sf_dir, name_col="name"), min_partitions=_spread(spark)
+        pts, fx.communities(spark, sf_dir, name_col="NAME"), min_partitions=_spread(spark)
+    )
+
+
+def q_spatial_join_detailed(spark, sf_dir):
+    joined = spatial_join(
+        fx.occurrences(spark, sf_dir), fx.detailed_communities(spark, sf_dir),
+        min_partitions=_spread(spark),
+    )
+    return joined.groupBy("community").agg(F.count(F.lit(1)).alias("n_occurrences"))
+
+
+def q_tiling_cover(spark, sf_dir):
+    joined = spatial_join(
+        fx.occurrences(spark, sf_dir), fx.tiles(spark, sf_dir), min_partitions=_spread(spark)
+    )
+    per_point = joined.groupBy("occ_id").agg(F.count(F.lit(1)).alias("n_tiles"))
+    return per_point.groupBy("n_tiles").agg(F.count(F.lit(1)).alias("n_points"))
+
+
+def q_boundaries_shapefile_join(spark, sf_dir):
+    path = scratch_path(spark, "communities-shapefile")
+    fx.write_community_shapefile(spark, sf_dir, path)
+    joined = spatial_join(
+        fx.occurrences(spark, sf_dir), read_shapefile(spark, path), min_partitions=_spread(spark)
+    )
+    return joined.groupBy("NAME", "AREA_NO").agg(F.count(F.lit(1)).alias("n_occurrences"))
+
+
+def q_species_set_algebra_null_group(spark, sf_dir):
+    unnamed = F.when(F.col("community") != "NATION_7", F.col("community"))
+    return similarity.pair_overlaps(_joined(spark, sf_dir).withColumn("community", unnamed), TOP_K)
+
+
+def q_order_flag_sets(spark, sf_dir):
+    # An order has at most a handful of lines, so its list is bounded.
+    flag = F.when(F.col("l_returnflag") != "N", F.col("l_returnflag"))
+    lists = fx.table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+        F.collect_list(F.coalesce(flag, F.lit("-"))).alias("flags")
+    )
+    some = F.transform("flags", lambda f: F.nullif(f, F.lit("-")))
+    return lists.select(
+        "l_orderkey", F.array_join(F.array_sort(set_from_list(some)), ",").alias("flag_set")
     )
 
 
@@ -140,7 +187,7 @@ def q_nearest_places_clustered(spark, sf_dir):
     # The loaded points stored in the clustered layout (the index's role),
     # then the near query searches outward from the anchor.
     path = scratch_path(spark, "places-clustered")
-    sinks.write_clustered(_loaded_points(spark, sf_dir), path)
+    sinks.write_clustered(_loaded_points(spark, sf_dir), path, partitions=LAYOUT_FILES)
     pts = spark.read.parquet(path)
     anchor = nearest.find_first(pts, ANCHOR_PATTERN)
     restaurants = pts.where(F.col("amenity") == AMENITY)
@@ -234,6 +281,34 @@ def q_features_flatten(spark, sf_dir):
     )
 
 
+def q_geometry_text_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "places-geometry")
+    sinks.write_feature_lines(fx.place_features(spark, sf_dir), path)
+    features = geojson.read_features(spark, path, layout="lines")
+    flat = geojson.feature_columns(features, "place_id bigint", keep_geometry=True)
+    parsed = flat.select("place_id", geometry_from_geojson("geometry").alias("g"))
+    return parsed.select(
+        "place_id", F.col("g.type").alias("geometry_type"),
+        F.col("g.coordinates")[0].alias("lon"), F.col("g.coordinates")[1].alias("lat"),
+    )
+
+
+def q_rejected_features(spark, sf_dir):
+    path = scratch_path(spark, "places-rejected")
+    sinks.write_feature_collection(fx.place_features(spark, sf_dir), path, root="array")
+    return geojson.point_counts(geojson.read_features(spark, path))
+
+
+def q_documents_null_position(spark, sf_dir):
+    places = fx.places(spark, sf_dir).select(
+        "place_id", F.when(F.col("place_id") % 7 != 0, F.col("lon")).alias("lon"), "lat"
+    )
+    return sinks.geojson_documents(places).select(
+        "place_id", F.col("geometry").isNotNull().alias("has_geometry"),
+        F.col("geometry.coordinates")[0].alias("lon"),
+    )
+
+
 def q_geojson_documents(spark, sf_dir):
     path = scratch_path(spark, "joined-documents")
     docs = sinks.geojson_documents(_joined(spark, sf_dir))
@@ -269,7 +344,7 @@ def q_write_count(spark, sf_dir):
 
 def q_clustered_scan(spark, sf_dir):
     path = scratch_path(spark, "occurrences-clustered")
-    sinks.write_clustered(fx.occurrences(spark, sf_dir), path)
+    sinks.write_clustered(fx.occurrences(spark, sf_dir), path, partitions=LAYOUT_FILES)
     x0, y0, x1, y1 = BOX
     return docsrc.scan(
         spark.read.parquet(path),
@@ -326,6 +401,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clustered_scan": q_clustered_scan,
     "boundaries_edges": q_boundaries_edges,
     "table_source_options": q_table_source_options,
+    "spatial_join_detailed": q_spatial_join_detailed,
+    "tiling_cover": q_tiling_cover,
+    "boundaries_shapefile_join": q_boundaries_shapefile_join,
+    "species_set_algebra_null_group": q_species_set_algebra_null_group,
+    "order_flag_sets": q_order_flag_sets,
+    "geometry_text_roundtrip": q_geometry_text_roundtrip,
+    "rejected_features": q_rejected_features,
+    "documents_null_position": q_documents_null_position,
 }
 
 
@@ -388,22 +471,44 @@ _TOP_DIVERSE = """SELECT CAST(rank AS BIGINT) AS rank, community, num_species FR
 WHERE rank <= 10"""
 
 _PAIRS = """, rich AS (SELECT community, count(DISTINCT species) AS n FROM joined GROUP BY community),
-top AS (SELECT community, n FROM rich ORDER BY n DESC, community LIMIT 10),
-mem AS (SELECT DISTINCT j.community, j.species FROM joined j JOIN top t ON j.community = t.community
+best AS (SELECT community, n FROM rich ORDER BY n DESC, community NULLS LAST LIMIT 10),
+top AS (SELECT community, n, row_number() OVER (ORDER BY community NULLS LAST) AS pos FROM best),
+mem AS (SELECT DISTINCT t.pos, j.species FROM joined j JOIN top t ON j.community IS NOT DISTINCT FROM t.community
         WHERE j.species IS NOT NULL),
-inter AS (SELECT a.community AS c1, b.community AS c2, count(*) AS n_inter
-          FROM mem a JOIN mem b ON a.species = b.species AND a.community < b.community
-          GROUP BY a.community, b.community),
+inter AS (SELECT a.pos AS p1, b.pos AS p2, count(*) AS n_inter
+          FROM mem a JOIN mem b ON a.species = b.species AND a.pos < b.pos
+          GROUP BY a.pos, b.pos),
 pairs AS (SELECT a.community AS community_1, b.community AS community_2, a.n AS n1, b.n AS n2,
                  CAST(coalesce(i.n_inter, 0) AS BIGINT) AS n_inter
-          FROM top a JOIN top b ON a.community < b.community
-          LEFT JOIN inter i ON i.c1 = a.community AND i.c2 = b.community),
+          FROM top a JOIN top b ON a.pos < b.pos
+          LEFT JOIN inter i ON i.p1 = a.pos AND i.p2 = b.pos),
 scored AS (SELECT community_1, community_2, n1, n2, n_inter, n1 + n2 - n_inter AS n_union,
                   CASE WHEN n1 + n2 - n_inter = 0 THEN 0e0
                        ELSE CAST(n_inter AS DOUBLE) / CAST(n1 + n2 - n_inter AS DOUBLE) END AS similarity
            FROM pairs)
 """
 
+_DETAILED = """community_edges AS (
+  WITH v AS (
+    SELECT n_name AS community, n_nationkey AS k, j,
+           6.90037e0 + 1.8e0 * (n_nationkey % 5)
+             + (0.9e0 + 0.0005e0 * ((j * 193 + n_nationkey * 37) % 200)) * cos(j * 6.283185307179586e0 / 512) AS x,
+           47.80037e0 + 1.6e0 * floor(n_nationkey / 5e0)
+             + (0.9e0 + 0.0005e0 * ((j * 193 + n_nationkey * 37) % 200)) * sin(j * 6.283185307179586e0 / 512) AS y
+    FROM nation CROSS JOIN range(512) r(j))
+  SELECT a.community, a.j AS i, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2
+  FROM v a JOIN v b ON a.k = b.k AND b.j = (a.j + 1) % 512)"""
+
+_TILES = """community_edges AS (
+  WITH c AS (
+    SELECT n_name AS community, q, n_nationkey % 5 + di AS i, CAST(floor(n_nationkey / 5e0) AS INT) + dj AS j
+    FROM nation CROSS JOIN (VALUES (0, 0, 0), (1, 1, 0), (2, 1, 1), (3, 0, 1)) AS o(q, di, dj)
+  ), v AS (
+    SELECT community, q, 6e0 + 1.8e0 * i + ((37 * i + 91 * j) % 17) / 23e0 - 0.4e0 AS x,
+           47e0 + 1.6e0 * j + ((53 * i + 29 * j) % 19) / 29e0 - 0.3e0 AS y FROM c)
+  SELECT a.community, a.q AS i, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2
+  FROM v a JOIN v b ON a.community = b.community AND b.q = (a.q + 1) % 4)"""
+
 _HAVERSINE = """6371000e0 * (2 * atan2(sqrt(least(1e0, a)), sqrt(1e0 - least(1e0, a))))"""
 
 ORACLE_SQL: dict[str, str] = {
@@ -412,8 +517,8 @@ ORACLE_SQL: dict[str, str] = {
     "spatial_join_counts": _SPATIAL
     + "SELECT community, count(*) AS n_occurrences FROM joined GROUP BY community",
     "spatial_join_colliding_names": _SPATIAL
-    + "SELECT occ_id, species, concat('occ_', occ_id) AS name, community AS community_name, lon, lat "
-    "FROM joined",
+    + "SELECT occ_id, species, concat('occ_', occ_id) AS name, 'x' AS community_name, "
+    "community AS community_community_NAME, lon, lat FROM joined",
     "similar_communities_top10": _SPATIAL
     + _PAIRS
     + """SELECT CAST(rank AS BIGINT) AS rank, community_1, community_2, similarity FROM (
@@ -481,5 +586,40 @@ WHERE lon BETWEEN 7.5e0 AND 8.5e0 AND lat BETWEEN 48e0 AND 49e0""",
     "SELECT community, CAST(i AS BIGINT) AS i, x1, y1, x2, y2 FROM community_edges",
     "table_source_options": _SPATIAL + _TOP_DIVERSE,
 }
+ORACLE_SQL["spatial_join_detailed"] = (
+    f"WITH {_OCC},\n{_DETAILED},\n{_JOINED}\n"
+    "SELECT community, count(*) AS n_occurrences FROM joined GROUP BY community"
+)
+ORACLE_SQL["tiling_cover"] = (
+    f"WITH {_OCC},\n{_TILES},\n{_JOINED}\n"
+    "SELECT n_tiles, count(*) AS n_points FROM (SELECT occ_id, count(*) AS n_tiles FROM joined GROUP BY occ_id) "
+    "GROUP BY n_tiles"
+)
+ORACLE_SQL["boundaries_shapefile_join"] = (
+    _SPATIAL
+    + """, numbered AS (SELECT n_name, row_number() OVER (ORDER BY n_name) AS no FROM nation)
+SELECT concat(community, chr(252)) AS "NAME", CASE WHEN no > 1 THEN CAST(no AS BIGINT) END AS "AREA_NO",
+       count(*) AS n_occurrences
+FROM joined JOIN numbered ON community = n_name GROUP BY community, no"""
+)
+ORACLE_SQL["species_set_algebra_null_group"] = (
+    f"WITH {_OCC},\n{_EDGES},\n{_JOINED.replace('joined AS', 'named AS')},\n"
+    "joined AS (SELECT CASE WHEN community <> 'NATION_7' THEN community END AS community, species FROM named)\n"
+    + _PAIRS
+    + "SELECT community_1, community_2, n1, n2, n_inter, n_union, similarity FROM scored"
+)
+ORACLE_SQL["order_flag_sets"] = """SELECT l_orderkey,
+       coalesce(string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) FILTER (WHERE l_returnflag <> 'N'), '') AS flag_set
+FROM lineitem GROUP BY l_orderkey"""
+ORACLE_SQL["geometry_text_roundtrip"] = f"""WITH {_PLACES}
+SELECT place_id, geometry_type, CASE WHEN geometry_type = 'Point' THEN lon END AS lon,
+       CASE WHEN geometry_type = 'Point' THEN lat END AS lat
+FROM places"""
+ORACLE_SQL["rejected_features"] = f"""WITH {_PLACES}
+SELECT count(*) FILTER (WHERE geometry_type = 'Point') AS points,
+       count(*) FILTER (WHERE geometry_type IS DISTINCT FROM 'Point') AS rejected
+FROM places"""
+ORACLE_SQL["documents_null_position"] = f"""WITH {_PLACES}
+SELECT place_id, place_id % 7 <> 0 AS has_geometry, CASE WHEN place_id % 7 <> 0 THEN lon END AS lon FROM places"""
 # The clustered near query answers the same question as nearest_places.
 ORACLE_SQL["nearest_places_clustered"] = ORACLE_SQL["nearest_places"]
