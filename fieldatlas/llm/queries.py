@@ -52,7 +52,8 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its repeated passages."""
-    return line_dedup(table(spark, sf_dir, "documents"))
+    span = lambda s: F.concat_ws(":", s["start"], s["stop"], s["words"])
+    return line_dedup(table(spark, sf_dir, "documents")).withColumn("removed", F.array_join(F.transform("removed", span), ","))
 
 
 def tokenizer() -> bpe.Vocabulary:
@@ -116,6 +117,54 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
 FROM d JOIN g USING (norm)
 """
 
+#: Units are matches that tile a text: up to white space behind a sentence's end, newlines or the text's end.
+_OP6 = r"""
+WITH m AS (
+  SELECT doc_id, regexp_extract_all(text, '(?s)[^\n]+?(?:[.!?][ \t]+|\n+|\z)|\n+') AS ms FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL
+), i AS (
+  SELECT doc_id, unnest(ms) AS hit, unnest(range(1, len(ms) + 1)) AS i FROM m
+), a AS (
+  SELECT doc_id, i, hit, CAST(sum(length(hit)) OVER (PARTITION BY doc_id ORDER BY i) - length(hit) AS BIGINT) AS start,
+         regexp_replace(regexp_replace(hit, '\n+\z', ''), '([.!?])[ \t]+\z', '\1') AS unit FROM i
+), u AS (
+  SELECT doc_id, start, start + length(unit) AS stop, trim(regexp_replace(lower(unit), '\s+', ' ', 'g')) AS norm FROM a
+), w AS (
+  SELECT *, len(string_split(norm, ' ')) AS words,
+         row_number() OVER (PARTITION BY norm ORDER BY doc_id, start) > 1 AS again FROM u WHERE norm <> ''
+), r AS (
+  SELECT *, sum(CASE WHEN again THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY start) AS run FROM w
+), p AS (
+  SELECT doc_id, min(start) AS start, max(stop) AS stop, CAST(sum(words) AS BIGINT) AS words FROM r WHERE again
+  GROUP BY doc_id, run HAVING sum(words) >= 25
+), c AS (
+  SELECT p.*, text, coalesce(lag(stop) OVER (PARTITION BY doc_id ORDER BY start), 0) AS before FROM p JOIN documents USING (doc_id)
+), g AS (
+  SELECT doc_id, string_agg(substr(text, before + 1, start - before), '' ORDER BY start) || substr(any_value(text), max(stop) + 1) AS text,
+         count(*) AS n_removed, CAST(sum(stop - start) AS BIGINT) AS removed_chars,
+         string_agg(concat(start, ':', stop, ':', words), ',' ORDER BY start) AS removed FROM c GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(g.text, d.text) AS text, coalesce(n_removed, 0) AS n_removed,
+       coalesce(removed_chars, 0) AS removed_chars, coalesce(removed, '') AS removed
+FROM documents d LEFT JOIN g USING (doc_id)
+"""
+
+_OP8 = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 4 THEN list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))
+                                      WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS shingle FROM w
+), n AS (
+  SELECT w.doc_id, count(s.doc_id) AS n FROM w LEFT JOIN s USING (doc_id) GROUP BY w.doc_id
+), o AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS overlap FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), l AS (
+  SELECT x, y FROM o JOIN n p ON x = p.doc_id JOIN n q ON y = q.doc_id WHERE 100 * overlap >= 85 * (p.n + q.n - overlap)
+), e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id, doc_id AS root FROM n UNION SELECT e.y, r.root FROM r JOIN e ON r.doc_id = e.x)
+SELECT n.doc_id, CAST(n AS BIGINT) AS n_shingles, min(root) AS component_id FROM n JOIN r USING (doc_id) GROUP BY ALL
+"""
+
 _OP9 = r"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
@@ -143,6 +192,36 @@ SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target,
 FROM k JOIN r ON k.source IS NOT DISTINCT FROM r.source
 """
 
+#: Spans from the matches of each kind and the lengths of the text between them. A run of hex
+#: digits that is long enough is found as such, which drops the same matches.
+_OP2 = r"""
+WITH k(kind, place, pattern, least) AS (VALUES
+  ('assign', 0, '(?i:password|passwd|secret|token|api_?key)[\x22\x27]?\x20*[:=]\x20*[\x22\x27]?([A-Za-z0-9+/_.=-]+)', 6),
+  ('access', 1, 'AKIA([A-Z0-9]+)', 16),
+  ('hex', 2, '([0-9a-f]{24,})', 24),
+  ('github', 3, 'gh[pousr]_([A-Za-z0-9]+)', 36),
+  ('slack', 4, 'xox[abprs]-([A-Za-z0-9-]+)', 10),
+  ('jwt', 5, 'eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.([A-Za-z0-9_-]+)', 1),
+  ('pem', 6, '-----BEGIN [A-Z ]*(PRIVATE KEY-----)', 1)
+), m AS (
+  SELECT doc_id, kind, place, least, pattern, regexp_extract_all(coalesce(text, ''), pattern) AS found,
+         list_transform(string_split_regex(coalesce(text, ''), pattern), lambda p: length(p)) AS between_
+  FROM documents CROSS JOIN k
+), s AS (
+  SELECT doc_id, kind, place, found[i] AS hit, least, pattern,
+         list_sum(between_[1:i]) + coalesce(list_sum(list_transform(found[1:i - 1], lambda f: length(f))), 0) AS start
+  FROM (SELECT *, unnest(range(1, len(found) + 1)) AS i FROM m)
+), h AS (
+  SELECT doc_id, kind, place, CAST(start AS BIGINT) AS start, concat(kind, ':', CAST(start AS BIGINT), ':', CAST(start + length(hit) AS BIGINT)) AS span
+  FROM s WHERE length(regexp_extract(hit, pattern, 1)) >= least
+)
+SELECT d.doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access,
+       count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+       sha256(coalesce(string_agg(span, ',' ORDER BY start, place) FILTER (WHERE place < 3), '')) AS base_sha256,
+       coalesce(string_agg(span, ',' ORDER BY start, place), '') AS spans
+FROM documents d LEFT JOIN h USING (doc_id) GROUP BY d.doc_id
+"""
+
 _OP3 = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
@@ -155,4 +234,12 @@ SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
 """
 
-LLM_ORACLE_SQL = {"op3_knn": _OP3, "op1_chat_format": _OP1, "op5_exact_dedup": _OP5, "op9_source_mix": _OP9}
+LLM_ORACLE_SQL = {
+    "op1_chat_format": _OP1,
+    "op2_secret_scan": _OP2,
+    "op3_knn": _OP3,
+    "op5_exact_dedup": _OP5,
+    "op6_line_dedup": _OP6,
+    "op8_jaccard_join": _OP8,
+    "op9_source_mix": _OP9,
+}
