@@ -8,13 +8,20 @@ from pyspark.sql import functions as F
 from fieldatlas.session import materialize
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def _give_back(rows: DataFrame, least: DataFrame, salts: int) -> DataFrame:
+    """``rows`` (u, v) with m, the least node of u: by node and salt, so a hub's rows are spread over ``salts`` tasks."""
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(salts)))
+    by_salt = salted.select("u", "salt").distinct().join(least, "u")
+    return salted.join(by_salt, ["u", "salt"])
+
+
+def components(edges: DataFrame, most_rounds: int = 60, salts: int = 16) -> DataFrame:
     """node, root (the smallest node it is connected with) of every node of ``edges`` (a, b) that is not its own root.
 
     Each round links every node's larger neighbours, then its smaller ones, to
     the smallest neighbour, until the stars stop changing; a logarithmic number
-    of rounds in practice. Only per-node minima are aggregated, so a hub's
-    neighbours never meet in one task. Null ends and loops link nothing.
+    of rounds in practice. Per-node minima are aggregated map-side first and given
+    back by salt, so a hub's neighbours never meet in one task. Null ends and loops link nothing.
     """
     now = materialize(
         edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "stars"
@@ -26,10 +33,10 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     for _ in range(most_rounds):
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).union(now.select(F.col("b").alias("u"), F.col("a").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        large = _give_back(both.where("v > u"), low, salts).select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         low = large.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
         below = large.select(F.col("a").alias("u"), F.col("b").alias("v"))
-        small = below.join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).union(low.select(F.col("u").alias("a"), F.col("m").alias("b")))
+        small = _give_back(below, low, salts).select(F.col("v").alias("a"), F.col("m").alias("b")).union(low.select(F.col("u").alias("a"), F.col("m").alias("b")))
         now = materialize(small.where("a <> b").distinct(), "stars")
         seen = now.agg(*sign).first()
         if seen == last:
