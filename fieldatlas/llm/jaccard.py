@@ -38,6 +38,7 @@ from fieldatlas.session import importable_on_workers, materialize
 BLOCK = 512
 #: Members of a tile that are held together to see whether another tile has the same ones.
 HELD = 4096
+WIDEST = 1 << 15
 GROWTH = 1.5
 ROUNDS = 8
 _ROUND = stream(ROUNDS, 21)
@@ -97,8 +98,11 @@ def set_key(elements: np.ndarray) -> int:
 
 
 def bitmap(elements: np.ndarray, scale: int = 1) -> np.ndarray:
-    """Bits 0/1, as many as the next power of two of ``scale`` times the size, 64 at least."""
-    width = max(64, 1 << int(scale * len(elements) - 1).bit_length())
+    """Bits 0/1, as many as the next power of two of ``scale`` times the size, 64 at least.
+
+    ``WIDEST`` bounds the memory of a block; the bounds of larger sets are only looser.
+    """
+    width = min(WIDEST, max(64, 1 << int(scale * len(elements) - 1).bit_length()))
     bits = np.zeros(width, np.uint8)
     bits[(elements & np.uint64(width - 1)).astype(np.int64)] = 1
     return bits

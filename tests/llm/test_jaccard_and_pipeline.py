@@ -93,7 +93,9 @@ def test_linked_sets_share_a_tile():
                 assert n + m - 2 * least <= min(rule.most_difference(n, high), rule.most_difference(m, high))
 
 
-def test_bitmap_bound_is_never_too_low():
+@pytest.mark.parametrize("widest", [1 << 15, 64])
+def test_bitmap_bound_is_never_too_low(monkeypatch, widest):
+    monkeypatch.setattr(jaccard, "WIDEST", widest)
     r = np.random.default_rng(1)
     sets = [np.unique(r.integers(0, 2**63, int(n), dtype=np.uint64)) for n in (5, 60, 70, 130)]
     sets += [np.unique(np.concatenate([s[: len(s) // 2], sets[2][:30]])) for s in sets]
