@@ -29,7 +29,8 @@ from fieldatlas.session import importable_on_workers
 #: Bytes that stand before every text, so that its first bytes have a context.
 LEAD = b"\n\n\n"
 NO_LANGUAGE = "und"
-BLOCK_BYTES = 2 << 20
+#: Bits held at once: bytes of a block times languages.
+BLOCK_CELLS = 8 << 20
 
 
 def grams(data: np.ndarray, order: int) -> np.ndarray:
@@ -175,16 +176,17 @@ def _shorter(model: Model, keys: np.ndarray, order: int) -> np.ndarray:
 def code_lengths(model: Model, texts: list[bytes]) -> np.ndarray:
     """[texts, languages]: bits of each whole text."""
     out = np.zeros((len(texts), len(model.languages)))
+    most = max(1, BLOCK_CELLS // max(1, len(model.languages)))
     begin = 0
     while begin < len(texts):
         stop, size = begin, 0
-        while stop < len(texts) and (stop == begin or size + len(texts[stop]) <= BLOCK_BYTES):
+        while stop < len(texts) and (stop == begin or size + len(texts[stop]) <= most):
             size += len(texts[stop])
             stop += 1
-        if stop - begin == 1 and size > BLOCK_BYTES:  # one very long text, in overlapping pieces
+        if stop - begin == 1 and size > most:  # one very long text, in overlapping pieces
             text = LEAD + texts[begin]
-            for a in range(0, size, BLOCK_BYTES):
-                piece = np.frombuffer(text[a : a + BLOCK_BYTES + len(LEAD)], np.uint8)
+            for a in range(0, size, most):
+                piece = np.frombuffer(text[a : a + most + len(LEAD)], np.uint8)
                 out[begin] += model.bits(piece).sum(axis=0, dtype=np.float64)
         else:
             group = [LEAD + t for t in texts[begin:stop]]

@@ -52,7 +52,7 @@ def test_long_texts_in_pieces(monkeypatch):
     model = ppm.train({lang: [prose(lang, 500, 1).encode()] for lang in ("en", "de")})
     texts = [prose("en", 900, 2).encode(), b"", prose("de", 20, 3).encode()]
     whole = ppm.code_lengths(model, texts)
-    monkeypatch.setattr(ppm, "BLOCK_BYTES", 100)
+    monkeypatch.setattr(ppm, "BLOCK_CELLS", 200)
     assert ppm.code_lengths(model, texts) == pytest.approx(whole)
 
 
