@@ -74,6 +74,19 @@ def importable_on_workers(spark: SparkSession) -> None:
             sc.environment["PYTHONPATH"] = os.pathsep.join([*paths, home])
 
 
+def short_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """At most ``rows`` rows in an Arrow batch from here on, in this session.
+
+    Spark's default of 10 000 is meant for short rows; with whole documents a
+    batch is held several times over, by the task and by its Python worker.
+    A smaller setting of the session stays.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key, "10000") or 10000)
+    if now <= 0 or now > rows:
+        spark.conf.set(key, str(rows))
+
+
 def default_parallelism(spark: SparkSession, fallback: int = 8) -> int:
     """Cores of the cluster as Spark reports them."""
     sc = _context(spark)
