@@ -26,10 +26,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, StructField, StructType
 
-from fieldatlas.llm.text import free_name, numbered
-from fieldatlas.session import importable_on_workers
+from fieldatlas.llm.text import free_name, numbered, ready_workers
 
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 REMEMBER_LENGTH = 48
 PIECE_BYTES = 2 << 20
 
@@ -197,7 +196,7 @@ def _with_columns(docs: DataFrame, source: str, none, made: list[tuple[str, Data
     names: list[str] = []
     for name, _ in made:
         names.append(free_name(name, [*docs.columns, *names]))
-    importable_on_workers(docs.sparkSession)
+    ready_workers(docs.sparkSession)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 
 from fieldatlas.llm.graph import components
 from fieldatlas.llm.shingles import mix, shingle_set, stream
-from fieldatlas.session import importable_on_workers, materialize
+from fieldatlas.llm.text import ready_workers
+from fieldatlas.session import materialize
 
 BLOCK = 512
 #: Members of a tile that are held together to see whether another tile has the same ones.
@@ -326,7 +327,7 @@ def jaccard_classes(docs: DataFrame, id_col="doc_id", text_col="text", width: in
     table gives an empty result; other columns are not read. Elements and sets
     are named by 64-bit hashes.
     """
-    importable_on_workers(docs.sparkSession)
+    ready_workers(docs.sparkSession)
     rule = Rule(num, den)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"))

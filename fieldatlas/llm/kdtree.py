@@ -18,7 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldatlas.session import default_parallelism, importable_on_workers, materialize
+from fieldatlas.llm.text import ready_workers
+from fieldatlas.session import default_parallelism, materialize
 
 LEAF = 128
 QUERY_BLOCK = 256
@@ -149,7 +150,7 @@ def top_k(vectors: DataFrame, query_every: int, k: int = 5, scale: float = 256.0
     length only. An empty table gives an empty result. Other columns are not read.
     """
     spark = vectors.sparkSession
-    importable_on_workers(spark)
+    ready_workers(spark)
     rows = materialize(usable(vectors, id_col, vector_col), "knn-vectors")
     tasks = default_parallelism(spark)
     counts = rows.groupBy("dim").count().select("dim", F.greatest(F.ceil(F.col("count") / shard_rows), F.least(F.lit(tasks), F.ceil(F.col("count") / 2048))).alias("shards"))

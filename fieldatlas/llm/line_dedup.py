@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from fieldatlas.session import importable_on_workers
+from fieldatlas.llm.text import ready_workers
 
 #: Where a unit ends: kept with the unit before it.
 BREAKS = {
@@ -51,7 +51,7 @@ def cut(text: str, breaks: re.Pattern) -> Iterator[tuple[int, int]]:
 def unit_rows(docs: DataFrame, id_col="doc_id", text_col="text", unit="sentence") -> DataFrame:
     """id, start, stop, words, digest of every unit with at least one word."""
     name = unit
-    importable_on_workers(docs.sparkSession)
+    ready_workers(docs.sparkSession)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         breaks, out = BREAKS[name], []

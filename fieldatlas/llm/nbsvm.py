@@ -19,8 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from fieldatlas.llm.text import free_name, held_out, numbered, whole
-from fieldatlas.session import importable_on_workers
+from fieldatlas.llm.text import free_name, held_out, numbered, ready_workers, whole
 
 SIZES = (4, 6)
 BITS = 18
@@ -156,7 +155,7 @@ def classify(docs: DataFrame, classifier: Classifier, text_col: str = "text") ->
     empty result.
     """
     name = free_name("score", docs.columns)
-    importable_on_workers(docs.sparkSession)
+    ready_workers(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(classifier)  # one weight per hash bucket
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -23,14 +23,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from fieldatlas.llm.text import free_name, held_out, numbered
-from fieldatlas.session import importable_on_workers
+from fieldatlas.llm.text import free_name, held_out, numbered, ready_workers
 
 #: Bytes that stand before every text, so that its first bytes have a context.
 LEAD = b"\n\n\n"
 NO_LANGUAGE = "und"
 #: Bits held at once: bytes of a block times languages.
-BLOCK_CELLS = 8 << 20
+BLOCK_CELLS = 2 << 20
 
 
 def grams(data: np.ndarray, order: int) -> np.ndarray:
@@ -235,7 +234,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
         names.append(free_name(name, [*docs.columns, *names]))
     place = docs.columns.index(text_col)
     letter = F.coalesce(F.col(f"c{place}").rlike(r"\p{L}"), F.lit(False))
-    importable_on_workers(docs.sparkSession)
+    ready_workers(docs.sparkSession)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

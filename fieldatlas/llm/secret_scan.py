@@ -18,8 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldatlas.llm.automaton import Dfa, accept_positions, compile_rules
-from fieldatlas.llm.text import whole
-from fieldatlas.session import importable_on_workers
+from fieldatlas.llm.text import ready_workers, whole
 
 BLOCK_BYTES = 4 << 20
 
@@ -126,7 +125,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     read; an empty table gives an empty result. Texts of any length are
     scanned whole: a text longer than a block is a block of its own.
     """
-    importable_on_workers(docs.sparkSession)
+    ready_workers(docs.sparkSession)
     built = machines(rules)  # once, on the driver; a few hundred kB travel with the tasks
     kinds = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("stop", pa.int64())])
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldatlas.session import importable_on_workers, short_batches
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
@@ -16,6 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ready_workers(spark: SparkSession) -> None:
+    """What the operators that run Python in tasks ask of the session."""
+    importable_on_workers(spark)
+    short_batches(spark)
+
+
 def whole(text: str | Column) -> Column:
     """The text, with null read as empty."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
