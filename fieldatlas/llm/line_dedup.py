@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from fieldatlas.llm.text import ready_workers
+from fieldatlas.session import materialize
 
 #: Where a unit ends: kept with the unit before it.
 BREAKS = {
@@ -73,16 +74,20 @@ def unit_rows(docs: DataFrame, id_col="doc_id", text_col="text", unit="sentence"
     return rows.mapInArrow(spread, UNITS)
 
 
-def removed_passages(docs: DataFrame, id_col="doc_id", text_col="text", unit="sentence", min_run_words: int = 25, salts: int = 16) -> DataFrame:
+def removed_passages(docs: DataFrame, id_col="doc_id", text_col="text", unit="sentence", min_run_words: int = 25) -> DataFrame:
     """id, start, stop, words of every passage to remove (code points, end exclusive)."""
     units = unit_rows(docs, id_col, text_col, unit)
-    units = units.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)))
-    salted = units.groupBy("digest", "salt").agg(F.min(F.struct(F.col("id"), F.col("start"))).alias("own"), F.count(F.lit(1)).alias("n"))
-    first = salted.groupBy("digest").agg(F.min("own").alias("first"), F.sum("n").alias("total")).where("total > 1")
-    # Verdicts go back by digest and salt, so a digest's units never meet in one task.
-    by_salt = salted.join(first, "digest").select("digest", "salt", "first")
+    many = units.groupBy("digest").agg(F.min(F.struct(F.col("id"), F.col("start"))).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    many = materialize(many, "repeated-units")
+    # A digest with a thousandth of all repeated units is hot: at most a thousand are, and they are broadcast.
+    total = many.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(many.where(F.col("n") * 1000 >= total).select("digest", F.col("first").alias("hot_first")))
+    rest = many.where(F.col("n") * 1000 < total).select(F.col("digest").alias("key"), "first")
+    # A hot unit needs no second join: its key is its own place, which spreads it and meets nothing.
+    own = F.concat(F.lit("unit "), F.col("id"), F.lit(" "), F.col("start")).cast("binary")
+    known = units.join(hot, "digest", "left").withColumn("key", F.when(F.col("hot_first").isNull(), F.col("digest")).otherwise(own))
     # A unit that occurs once joins with nothing: it stays, and breaks runs.
-    marked = units.join(by_salt, ["digest", "salt"], "left").select(
+    marked = known.join(rest, "key", "left").withColumn("first", F.coalesce("hot_first", "first")).select(
         "id", "start", "stop", "words",
         (F.col("first").isNotNull() & ((F.col("id") != F.col("first.id")) | (F.col("start") != F.col("first.start")))).alias("again"),
     )
