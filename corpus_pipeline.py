@@ -19,6 +19,8 @@ from fieldatlas.session import materialize
 
 #: Text that every learned language codes worse than no model would is in none of them.
 MOST_BITS = 8.0
+#: What links near copies in the corpus: shared five-word shingles, 0.8 of all. (op8_jaccard_join has its own rule.)
+NEAR = {"width": 5, "num": 80, "den": 100}
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,9 +38,10 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of linked documents, the one with the smallest id stays.
 
-    Rows without an id link with nothing and stay.
+    Documents link when the Jaccard similarity of their five-word shingles is
+    at least 0.8. Rows without an id link with nothing and stay.
     """
-    gone = jaccard_classes(docs).where("component_id <> doc_id").select("doc_id").distinct()
+    gone = jaccard_classes(docs, **NEAR).where("component_id <> doc_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti")
 
 

@@ -164,3 +164,19 @@ def test_run_on_the_small_tables(spark):
     assert rows and all(r.round_trip and r.n_tokens == len(r.ids) for r in rows)
     folded = Counter({texts[r.doc_id].translate(LOWER): 1 for r in rows})
     assert len(folded) == len({r.doc_id for r in rows})  # no two documents of one text
+
+
+def test_near_dedup_stage_against_brute_force(spark):
+    """Five words and 0.8, with pairs that only this rule links (not four words and 0.85)."""
+    words = [f"v{k}" for k in range(100)]
+
+    def edited(*places):
+        return " ".join(f"y{k}" if k in places else w for k, w in enumerate(words))
+
+    # Two edits of 100 words: 5 words 86/106 = 0.811, 4 words 89/105 = 0.848.
+    rows = [(50000, edited()), (50001, edited(30, 60))] + _families(3, 60)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    kept = sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect())
+    want, strict = _classes(rows, 5, 80, 100), _classes(rows)
+    assert want[50001][1] == 50000 and strict[50001][1] == 50001
+    assert kept == sorted(i for i, (_, root) in want.items() if root == i)
