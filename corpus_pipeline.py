@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldatlas.llm import bpe, ppm
-from fieldatlas.llm.exact_dedup import keep_distinct
+from fieldatlas.llm.exact_dedup import keep_one
 from fieldatlas.llm.jaccard import jaccard_classes
 from fieldatlas.llm.mixing import mix
 from fieldatlas.session import materialize
@@ -31,8 +31,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the one with the largest id stays."""
-    return keep_distinct(docs)
+    """Of equal texts, the one with the largest id stays, as one row however often that id is repeated."""
+    return keep_one(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

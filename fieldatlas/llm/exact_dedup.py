@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldatlas.llm.text import ascii_lower, quoted, whole
+from fieldatlas.llm.text import ascii_lower, numbered, quoted, whole
 from fieldatlas.session import materialize
 
 
@@ -71,3 +71,21 @@ def keep_distinct(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     won = groups(docs, id_col, text_col, salts).select("digest", "keep_id")
     # The kept id is part of the join key, so the copies of one text are spread by id.
     return docs.join(won, (digest == won["digest"]) & docs[id_col].eqNullSafe(won["keep_id"])).select(*[docs[quoted(c)] for c in docs.columns])
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 16) -> DataFrame:
+    """One document per distinct text, with all its columns: of the rows that ``keep_distinct``
+    keeps, repeats of an id (or of no id) included, the one with the smallest hash of its content."""
+    kept = keep_distinct(docs, id_col, text_col, salts)
+    named = docs.select(F.col(id_col).alias("id"), F.sha2(ascii_lower(whole(text_col)), 256).alias("digest"))
+    again = named.groupBy("digest", "id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if materialize(again, "dedup-repeats").isEmpty():
+        return kept
+    rows = numbered(kept)
+    digest = F.sha2(ascii_lower(whole(f"c{docs.columns.index(text_col)}")), 256)
+    # Maps and variants have no hash; rows that differ in those only are told apart by nothing else.
+    plain = [f"c{k}" for k, f in enumerate(docs.schema) if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    row = F.struct(*rows.columns)
+    # Each task sends one row per digest, so rows repeated many times do not meet.
+    one = rows.groupBy(digest.alias("digest")).agg(F.min_by(row, F.xxhash64(*plain, *[F.col(c).isNull() for c in plain])).alias("row"))
+    return one.select("row.*").toDF(*docs.columns)

@@ -180,3 +180,24 @@ def test_near_dedup_stage_against_brute_force(spark):
     want, strict = _classes(rows, 5, 80, 100), _classes(rows)
     assert want[50001][1] == 50000 and strict[50001][1] == 50001
     assert kept == sorted(i for i, (_, root) in want.items() if root == i)
+
+
+def test_exact_dedup_stage_keeps_one_row_per_text(spark, odd, empty):
+    """A table ingested twice, and texts that only rows without an id have."""
+    once = odd.unionByName(odd)
+    more = spark.createDataFrame([(None, "Alone twice"), (None, "alone TWICE"), (7000, "x1"), (7000, "X1"), (7001, "X1")], "doc_id long, text string")
+    docs = once.unionByName(more, allowMissingColumns=True)
+    want = {}
+    for r in docs.collect():
+        folded = (r.text or "").translate(LOWER)
+        want[folded] = max(want.get(folded, -1), -1 if r.doc_id is None else r.doc_id)
+    stage = corpus_pipeline.exact_dedup(spark, docs, "")
+    rows = stage.collect()
+    assert stage.columns == odd.columns and stage.dtypes == odd.dtypes
+    assert Counter((r.text or "").translate(LOWER) for r in rows) == Counter(dict.fromkeys(want, 1))
+    assert all(want[(r.text or "").translate(LOWER)] == (-1 if r.doc_id is None else r.doc_id) for r in rows)
+    given = set(map(tuple, docs.collect()))
+    assert all(tuple(r) in given for r in rows)  # whole rows, not columns of several
+    again = corpus_pipeline.exact_dedup(spark, docs.repartition(7), "").collect()
+    assert Counter(map(tuple, again)) == Counter(map(tuple, rows))
+    assert corpus_pipeline.exact_dedup(spark, empty, "").count() == 0
