@@ -30,6 +30,8 @@ LEAD = b"\n\n\n"
 NO_LANGUAGE = "und"
 #: Bits held at once: bytes of a block times languages.
 BLOCK_CELLS = 2 << 20
+#: The hash of a row falls into one of 2 ** SLOT_BITS slots when a sample is drawn.
+SLOT_BITS = 14
 
 
 def grams(data: np.ndarray, order: int) -> np.ndarray:
@@ -200,26 +202,35 @@ def code_lengths(model: Model, texts: list[bytes]) -> np.ndarray:
 
 
 def training_sample(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", most_bytes: int = 400_000, most_languages: int = 200) -> dict[str, list[bytes]]:
-    """For each language at most ``most_bytes`` bytes of whole texts (plus the last one's rest), chosen by hash of the id.
+    """For each language at least ``most_bytes`` bytes of texts, or all it has, chosen by hash of the row.
 
-    Reads only rows that are not held out and whose text and language are not
-    null. The bound on what reaches the driver is ``most_bytes`` per language
-    and the ``most_languages`` most frequent languages.
+    Texts are whole up to ``most_bytes`` bytes, so a language's sample is
+    smaller than twice that. Reads only rows that are not held out and whose
+    text and language are not null.
     """
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(id_col)).select(
-        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.lit("sample"), F.col(id_col)).alias("at")
+        F.col(lang_col).alias("lang"), F.col(text_col).cast("binary").alias("text"), F.xxhash64(F.lit("sample"), F.col(id_col), F.col(text_col)).alias("at")
     )
     sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("size")).orderBy(F.desc("size"), "lang").limit(most_languages)
-    # Rows whose hash falls into twice the share that holds the wanted bytes on average, then cut at the wanted bytes.
-    near = rows.join(F.broadcast(sizes), "lang").where(F.pmod("at", F.lit(1 << 20)) <= F.lit(float(1 << 20)) * 2 * most_bytes / F.col("size"))
-    order = Window.partitionBy("lang").orderBy("at", "text").rowsBetween(Window.unboundedPreceding, -1)
-    took = near.withColumn("before", F.coalesce(F.sum(F.octet_length("text")).over(order), F.lit(0))).where(F.col("before") < most_bytes)
+    rows = rows.join(F.broadcast(sizes.select("lang")), "lang")
+    rows = rows.withColumns({"text": F.substring("text", 1, most_bytes), "slot": F.shiftright("at", 64 - SLOT_BITS)})
+    # Bytes by slot of the hash: the first slots that hold the wanted bytes, then the first rows of those.
+    slots = rows.groupBy("lang", "slot").agg(F.sum(F.octet_length("text")).alias("size"))
+    last = _first(slots, "size", most_bytes, "slot").groupBy("lang").agg(F.max("slot").alias("last"))
+    near = rows.join(F.broadcast(last), "lang").where("slot <= last")
     found: dict[str, list[bytes]] = {}
-    for lang, text in took.select("lang", F.col("text").cast("binary")).collect():
+    for lang, text in _first(near, F.octet_length("text"), most_bytes, "at", "text").select("lang", "text").collect():
         found.setdefault(lang, []).append(bytes(text))
     return {lang: sorted(texts) for lang, texts in found.items()}
 
 
+def _first(rows: DataFrame, size, wanted: int, *order: str) -> DataFrame:
+    """Of each language, the rows before which the sizes of the others in order sum to less than ``wanted``."""
+    before = Window.partitionBy("lang").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    size = F.col(size) if isinstance(size, str) else size
+    return rows.withColumn("before", F.coalesce(F.sum(size).over(before), F.lit(0))).where(F.col("before") < wanted)
+
+
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` and lang_pred, score, bits_per_byte (underscored where ``docs`` has them).
 

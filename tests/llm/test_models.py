@@ -80,6 +80,21 @@ def test_training_reads_no_held_out_row_and_is_bounded(spark):
     assert all(h == _held(i) for i, h in got.items())
 
 
+def test_every_language_has_its_sample(spark):
+    """Few long texts, and short ones beside a very long one: all are sampled up to the wanted bytes."""
+    rows = [(100 * k + j, prose("en", 800, k)[:3000], f"long{k:02}") for k in range(12) for j in range(3)]
+    rows += [(5000 + k, prose("de", 4, k), "outlier") for k in range(400)] + [(9000, "ab " * 700_000, "outlier")]
+    rows += [(None, prose("de", 10, k), "no id") for k in range(300)] + [(9001, "", "empty")]
+    rows = [r for r in rows if not _held(r[0])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    sample = ppm.training_sample(docs, most_bytes=2000)
+    for lang in {r[2] for r in rows}:
+        texts = [r[1].encode()[:2000] for r in rows if r[2] == lang]
+        assert min(2000, sum(map(len, texts))) <= sum(map(len, sample[lang])) < 4000
+        assert not Counter(sample[lang]) - Counter(texts)
+    assert ppm.training_sample(docs.repartition(7), most_bytes=2000) == sample
+
+
 def test_language_accuracy_on_held_out_rows(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = ppm.identify(docs, ppm.learn(docs)).where(held_out("doc_id"))
