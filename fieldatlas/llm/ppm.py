@@ -32,6 +32,8 @@ NO_LANGUAGE = "und"
 BLOCK_CELLS = 2 << 20
 #: The hash of a row falls into one of 2 ** SLOT_BITS slots when a sample is drawn.
 SLOT_BITS = 14
+#: Languages whose bits share tables: a table has a row for each gram that any of them has.
+COLUMNS = 16
 
 
 def grams(data: np.ndarray, order: int) -> np.ndarray:
@@ -74,8 +76,8 @@ class _Lookup:
 
 
 @dataclass
-class Model:
-    """Bits of all languages: ``pair`` for every two bytes; three and four where seen."""
+class Block:
+    """Bits of some languages: ``pair`` for every two bytes; three and four where seen."""
 
     languages: list[str]
     pair: np.ndarray  # [65536, languages]: cost of a byte after one byte
@@ -102,8 +104,24 @@ class Model:
         return out
 
 
+@dataclass
+class Model:
+    """Bits of all languages, in blocks of columns; a language's bits depend on its own sample only."""
+
+    blocks: list[Block]
+
+    @property
+    def languages(self) -> list[str]:
+        return [name for block in self.blocks for name in block.languages]
+
+
 def train(samples: dict[str, list[bytes]]) -> Model:
     """Frozen statistics of the sample texts of each language."""
+    names = sorted(samples)
+    return Model([_trained({n: samples[n] for n in names[k : k + COLUMNS]}) for k in range(0, len(names), COLUMNS)])
+
+
+def _trained(samples: dict[str, list[bytes]]) -> Block:
     names = sorted(samples)
     joined = {n: [np.frombuffer(LEAD + t, np.uint8) for t in samples[n]] for n in names}
 
@@ -127,7 +145,7 @@ def train(samples: dict[str, list[bytes]]) -> Model:
         dense = np.repeat(leave, 256) + np.tile(cost[:, k], 256)
         dense[trees[name][1][0]] = many
         pair[:, k] = dense
-    model = Model(names, pair.astype(np.float32), [], [])
+    model = Block(names, pair.astype(np.float32), [], [])
     for order in (2, 3):
         contexts = np.unique(np.concatenate([trees[n][order][0] >> np.uint32(8) for n in names] or [np.empty(0, np.uint32)]))
         seen = np.unique(np.concatenate([trees[n][order][0] for n in names] or [np.empty(0, np.uint32)]))
@@ -155,7 +173,7 @@ def _contexts(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return context, np.log2(total / size), first, np.log2(np.repeat(total, size) / n)
 
 
-def _shorter(model: Model, keys: np.ndarray, order: int) -> np.ndarray:
+def _shorter(model: Block, keys: np.ndarray, order: int) -> np.ndarray:
     """Costs of the last ``order`` + 1 bytes of each key."""
     data = np.zeros((len(keys), len(LEAD) + 1), np.uint8)
     for back in range(order + 1):
@@ -176,6 +194,10 @@ def _shorter(model: Model, keys: np.ndarray, order: int) -> np.ndarray:
 
 def code_lengths(model: Model, texts: list[bytes]) -> np.ndarray:
     """[texts, languages]: bits of each whole text."""
+    return np.hstack([np.zeros((len(texts), 0)), *[_block_lengths(block, texts) for block in model.blocks]])
+
+
+def _block_lengths(model: Block, texts: list[bytes]) -> np.ndarray:
     out = np.zeros((len(texts), len(model.languages)))
     most = max(1, BLOCK_CELLS // max(1, len(model.languages)))
     begin = 0
@@ -201,18 +223,20 @@ def code_lengths(model: Model, texts: list[bytes]) -> np.ndarray:
     return out
 
 
-def training_sample(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", most_bytes: int = 400_000, most_languages: int = 200) -> dict[str, list[bytes]]:
+def training_sample(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", most_bytes: int = 400_000, all_bytes: int = 80_000_000) -> dict[str, list[bytes]]:
     """For each language at least ``most_bytes`` bytes of texts, or all it has, chosen by hash of the row.
 
-    Texts are whole up to ``most_bytes`` bytes, so a language's sample is
-    smaller than twice that. Reads only rows that are not held out and whose
-    text and language are not null.
+    Every language is sampled. Where they are so many that their samples would
+    pass ``all_bytes``, each gets an equal part of that instead of
+    ``most_bytes``. Texts are whole up to the wanted bytes, so a language's
+    sample is smaller than twice those. Reads only rows that are not held out
+    and whose text and language are not null.
     """
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(id_col)).select(
         F.col(lang_col).alias("lang"), F.col(text_col).cast("binary").alias("text"), F.xxhash64(F.lit("sample"), F.col(id_col), F.col(text_col)).alias("at")
     )
-    sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("size")).orderBy(F.desc("size"), "lang").limit(most_languages)
-    rows = rows.join(F.broadcast(sizes.select("lang")), "lang")
+    many = rows.select("lang").distinct().count()
+    most_bytes = max(1, min(most_bytes, all_bytes // max(1, many)))
     rows = rows.withColumns({"text": F.substring("text", 1, most_bytes), "slot": F.shiftright("at", 64 - SLOT_BITS)})
     # Bytes by slot of the hash: the first slots that hold the wanted bytes, then the first rows of those.
     slots = rows.groupBy("lang", "slot").agg(F.sum(F.octet_length("text")).alias("size"))

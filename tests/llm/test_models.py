@@ -95,6 +95,29 @@ def test_every_language_has_its_sample(spark):
     assert ppm.training_sample(docs.repartition(7), most_bytes=2000) == sample
 
 
+def test_more_languages_than_two_hundred(spark):
+    """Languages of two letters of their own: each is learned and its texts are named by it."""
+    names = {f"l{k:03}": chr(0x4E00 + 2 * k) + chr(0x4E01 + 2 * k) for k in range(230)}
+    rows = [(10 * k + j, letters * 20, lang) for k, (lang, letters) in enumerate(names.items()) for j in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = ppm.learn(docs)
+    assert model.languages == sorted(names)
+    out = ppm.identify(docs, model).collect()
+    assert len(out) == len(rows) and all(r.lang_pred == r.lang for r in out)
+    few = ppm.training_sample(docs, all_bytes=230 * 200)
+    assert len(few) == 230 and all(200 <= sum(map(len, texts)) < 400 for texts in few.values())
+
+
+def test_blocks_of_languages(monkeypatch):
+    sample = {f"{lang}{k}": [prose(lang, 100, k).encode()] for k in range(3) for lang in ("en", "de")}
+    texts = [b"", "straße der people".encode(), prose("en", 50, 9).encode()]
+    whole = ppm.train(sample)
+    monkeypatch.setattr(ppm, "COLUMNS", 4)
+    blocks = ppm.train(sample)
+    assert len(blocks.blocks) == 2 and blocks.languages == whole.languages == sorted(sample)
+    assert ppm.code_lengths(blocks, texts) == pytest.approx(ppm.code_lengths(whole, texts))
+
+
 def test_language_accuracy_on_held_out_rows(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = ppm.identify(docs, ppm.learn(docs)).where(held_out("doc_id"))
