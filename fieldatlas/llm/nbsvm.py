@@ -33,7 +33,11 @@ def features(text: str, sizes=SIZES, bits: int = BITS) -> np.ndarray:
     Letters are lower-cased; the text stands between two spaces, so a text
     shorter than a size still has its own grams of the other sizes.
     """
-    points = np.frombuffer(f" {text.lower()} ".encode("utf-32-le"), np.uint32).astype(np.uint64)
+    return _grams(f" {text.lower()} ", sizes, bits)
+
+
+def _grams(padded: str, sizes, bits: int) -> np.ndarray:
+    points = np.frombuffer(padded.encode("utf-32-le"), np.uint32).astype(np.uint64)
     out = []
     for n in sizes:
         if len(points) < n:
@@ -50,8 +54,9 @@ def distinct(text: str, sizes, bits: int, scratch: np.ndarray) -> np.ndarray:
     """The distinct buckets of a text; in ``scratch`` the last writer of each bucket wins."""
     if len(text) > PIECE:  # long texts in pieces that overlap by the longest n-gram
         seen = np.zeros(1 << bits, bool)
-        for a in range(0, len(text), PIECE):
-            seen[features(text[a : a + PIECE + max(sizes)], sizes, bits)] = True
+        padded = f" {text.lower()} "
+        for a in range(0, len(padded), PIECE):
+            seen[_grams(padded[a : a + PIECE + max(sizes) - 1], sizes, bits)] = True
         return np.flatnonzero(seen).astype(np.int32)
     found = features(text, sizes, bits)
     place = np.arange(len(found), dtype=np.int32)

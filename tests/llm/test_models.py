@@ -135,6 +135,15 @@ def test_distinct_buckets_in_pieces(monkeypatch):
     assert whole <= pieces and len(pieces) < 1.5 * len(whole)  # pieces add grams at their own edges only
 
 
+@pytest.mark.parametrize("piece", [1, 5, 50, 64])
+def test_pieces_have_the_grams_of_the_whole_text(monkeypatch, piece):
+    scratch = np.empty(1 << nbsvm.BITS, np.int32)
+    for text in (prose("de", 300, 1), "İΣΑΣ " * 30, "x" * 65):
+        whole = set(nbsvm.features(text).tolist())
+        monkeypatch.setattr(nbsvm, "PIECE", piece)
+        assert set(nbsvm.distinct(text, nbsvm.SIZES, nbsvm.BITS, scratch).tolist()) == whole
+
+
 def test_fit_separates_and_handles_few_rows():
     clean = [prose("en", 40, k) for k in range(60)]
     bad = [prose("en", 20, k) + " horrid vile wretch " + prose("en", 20, -k) for k in range(30)]
