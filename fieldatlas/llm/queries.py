@@ -15,6 +15,8 @@ from fieldatlas.llm.line_dedup import line_dedup
 from fieldatlas.llm.mixing import mix_plan
 from fieldatlas.llm.secret_scan import BASE_RULES, find_secrets
 from fieldatlas.llm.text import LOWER, UPPER, held_out, table
+from fieldatlas.llm.token_files import read_token_files, write_token_files
+from fieldatlas.session import scratch_path
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,7 +94,29 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_chat_format, op2_secret_scan, op3_knn, op4_language_id, op5_exact_dedup, op6_line_dedup, op7_bpe, op8_jaccard_join, op9_source_mix, op10_toxicity)}
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place and ids, read back from the files."""
+    path = scratch_path(spark, "token-id-files")
+    write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+LLM_QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_chat_format,
+        op2_secret_scan,
+        op3_knn,
+        op4_language_id,
+        op5_exact_dedup,
+        op6_line_dedup,
+        op7_bpe,
+        op8_jaccard_join,
+        op9_source_mix,
+        op10_toxicity,
+        op13_token_files,
+    )
+}
 
 _OP1 = """
 WITH t AS (
