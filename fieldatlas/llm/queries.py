@@ -14,6 +14,7 @@ from fieldatlas.llm.kdtree import top_k
 from fieldatlas.llm.line_dedup import line_dedup
 from fieldatlas.llm.mixing import mix_plan
 from fieldatlas.llm.secret_scan import BASE_RULES, find_secrets
+from fieldatlas.llm.stripes import divergences
 from fieldatlas.llm.text import LOWER, UPPER, held_out, table
 from fieldatlas.llm.token_files import read_token_files, write_token_files
 from fieldatlas.session import scratch_path
@@ -94,6 +95,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the sources of every language differ, and by which terms."""
+    return divergences(table(spark, sf_dir, "documents"))
+
+
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place and ids, read back from the files."""
     path = scratch_path(spark, "token-id-files")
@@ -114,6 +120,7 @@ LLM_QUERIES = {
         op8_jaccard_join,
         op9_source_mix,
         op10_toxicity,
+        op12_source_audit,
         op13_token_files,
     )
 }
@@ -258,6 +265,40 @@ SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
 """
 
+_OP12 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents
+), o AS (
+  SELECT doc, lang, source, term, count(*) AS n FROM (SELECT doc, lang, source, unnest(ts) AS term FROM d) GROUP BY ALL
+), k AS (
+  SELECT lang, term, sum(n) AS total FROM o GROUP BY ALL HAVING count(*) >= 10
+), v AS (
+  SELECT lang, count(*) AS v, sum(total) AS whole FROM k GROUP BY lang
+), g AS (
+  SELECT DISTINCT lang, source FROM d
+), c AS (
+  SELECT g.lang, g.source, k.term, k.total, coalesce(sum(o.n), 0) AS n
+  FROM g JOIN k USING (lang) LEFT JOIN o ON o.lang = g.lang AND o.source = g.source AND o.term = k.term GROUP BY ALL
+), s AS (
+  SELECT lang, source, sum(n) AS size FROM c GROUP BY ALL
+), p AS (
+  SELECT c.lang, c.source, term, n, 1 + (1000000000::HUGEINT * (n + 2)) // (size + 2 * v) AS p,
+         1 + (1000000000::HUGEINT * (total + 2)) // (whole + 2 * v) AS q FROM c JOIN s USING (lang, source) JOIN v USING (lang)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), u AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM p WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INT) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM u)
+WHERE part = 'pair' OR rank <= 10
+"""
+
 LLM_ORACLE_SQL = {
     "op1_chat_format": _OP1,
     "op2_secret_scan": _OP2,
@@ -266,4 +307,5 @@ LLM_ORACLE_SQL = {
     "op6_line_dedup": _OP6,
     "op8_jaccard_join": _OP8,
     "op9_source_mix": _OP9,
+    "op12_source_audit": _OP12,
 }
