@@ -1,6 +1,6 @@
 """Encoding by chunks: texts are cut where no token can cross, and the ids of frequent chunks are remembered.
 
-A cut lies at a space behind a character that is not white space. A tokenizer
+A cut lies at a space between a character that is not white space and any other. A tokenizer
 may be used this way if its pre-tokens never hold white space behind another
 character, or if it drops white space, so that a text's ids are those of its
 chunks one after the other. Chunks also bound what the library holds at once:
@@ -16,7 +16,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-CUT = re.compile(r"(?<=\S) ")
+CUT = re.compile(r"(?<=\S) (?=[\s\S])")
 REMEMBERED = 100_000
 REMEMBER_LENGTH = 48
 PIECE_BYTES = 1 << 20

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldatlas.llm import bpe, nbsvm, ppm
+from fieldatlas.llm.align import align, read_side
 from fieldatlas.llm.chat import format_chats
 from fieldatlas.llm.exact_dedup import exact_dedup
 from fieldatlas.llm.jaccard import jaccard_classes
@@ -95,6 +96,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two vocabularies correspond in every document."""
+    a, b = (read_side(public_tokenizers.path(name)) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    digest = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    return align(table(spark, sf_dir, "documents"), a, b).withColumn("groups_sha256", digest).drop("groups")
+
+
 def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How the sources of every language differ, and by which terms."""
     return divergences(table(spark, sf_dir, "documents"))
@@ -120,6 +128,7 @@ LLM_QUERIES = {
         op8_jaccard_join,
         op9_source_mix,
         op10_toxicity,
+        op11_token_alignment,
         op12_source_audit,
         op13_token_files,
     )
