@@ -16,16 +16,19 @@ the corpus's counts come back to each block once for each of its pairs.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
+import regex
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldatlas.llm.chunks import Chunks, json_tokenizer, pieces
+from fieldatlas.llm.chunks import Chunks, at_spaces, by_kind, encode_texts, encode_words, json_tokenizer, pieces
 from fieldatlas.llm.text import ready_workers, whole
 from fieldatlas.session import materialize, scratch_path
 
@@ -56,39 +59,69 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-class Coder:
-    """Ids of chunks, and every token's bytes."""
+#: The pre-tokens of byte-level tokenizers; used on ASCII text only, where all libraries agree on letters.
+_PRE_TOKEN = regex.compile(public_tokenizers.PATTERN)
 
-    def __init__(self, side: Side):
-        if side.byte_level:
-            tokenizer, letters = json_tokenizer(side.data, special_as_text=True), _byte_letters()
-            entries = {i: t for t, i in tokenizer.get_vocab().items()}
-            # Special tokens are never met; their names may hold other letters.
-            self.tokens = [bytes(letters.get(c, 0) for c in entries.get(i, "")) for i in range(max(entries) + 1)]
-            self.many = lambda chunks: [e.ids for e in tokenizer.encode_batch_fast([" " + c for c in chunks], add_special_tokens=False)]
-        else:
-            model = sentencepiece.SentencePieceProcessor(model_proto=side.data)
-            self.tokens = [bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(map(model.id_to_piece, range(model.vocab_size())))]
-            self.many = lambda chunks: model.encode(chunks, num_threads=1)
-        self.sizes = np.array([len(t) for t in self.tokens], np.int64)
-        self.kind = np.dtype("<u2" if len(self.tokens) <= 1 << 16 else "<u4")
+
+class ByteLevel:
+    """A byte-level tokenizer on space + chunk: chunks not met before are cut into pre-tokens, and new ones of those go to the library."""
+
+    def __init__(self, data: bytes):
+        self.tokenizer, letters = json_tokenizer(data, special_as_text=True), _byte_letters()
+        entries = {i: t for t, i in self.tokenizer.get_vocab().items()}
+        # Special tokens are never met; their names may hold other letters.
+        self.tokens = [bytes(letters.get(c, 0) for c in entries.get(i, "")) for i in range(max(entries) + 1)]
+        self.kind = _kind(self.tokens)
+        self.edge = np.array([t[:1] == b" " for t in self.tokens])
+        self.units = Chunks(lambda text: _PRE_TOKEN.findall(text) if text.isascii() else [text], self._encode)
+
+    def _encode(self, units: list[str]) -> list[bytes]:
+        words = lambda found: encode_words(self.tokenizer, found, "", self.edge, False, self.kind)
+        others = lambda found: encode_texts(self.tokenizer, found, self.kind)
+        return by_kind(units, lambda u: u[0] == " " and u.isascii() and u[1:].isalpha(), words, others)
+
+    def many(self, chunks: list[str]) -> list[bytes]:
+        return list(map(b"".join, self.units.of([" " + c for c in chunks])))
+
+
+class Sentence:
+    """A sentencepiece model, which puts the space before a chunk itself."""
+
+    def __init__(self, data: bytes):
+        self.model = sentencepiece.SentencePieceProcessor(model_proto=data)
+        names = map(self.model.id_to_piece, range(self.model.vocab_size()))
+        self.tokens = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(names)]
+        self.kind = _kind(self.tokens)
+
+    def many(self, chunks: list[str]) -> list[bytes]:
+        code = "H" if self.kind.itemsize == 2 else "I"
+        return [array(code, ids).tobytes() for ids in self.model.encode(chunks, num_threads=1)]
+
+
+def _kind(tokens: list) -> np.dtype:
+    return np.dtype("<u2" if len(tokens) <= 1 << 16 else "<u4")
 
 
 class Pair:
-    """Both sides, and the chunks that they have coded."""
+    """Both tokenizers, and the chunks that they have coded."""
 
     def __init__(self, a: Side, b: Side):
-        self.a, self.b = Coder(a), Coder(b)
-        self.chunks = Chunks(self._many)
+        self.a, self.b = ((ByteLevel if s.byte_level else Sentence)(s.data) for s in (a, b))
+        for side in (self.a, self.b):
+            side.sizes = np.array([len(t) for t in side.tokens], np.int64)
+        self.chunks = Chunks(at_spaces, self._many)
         self.spelled: list[list[str]] | None = None
 
     def _many(self, chunks: list[str]) -> list[tuple[bytes, bytes, bool]]:
-        out = []
-        for c, x, y in zip(chunks, self.a.many(chunks), self.b.many(chunks), strict=True):
-            text = b" " + c.encode()
-            same = b"".join(map(self.a.tokens.__getitem__, x)) == text == b"".join(map(self.b.tokens.__getitem__, y))
-            out.append((np.array(x, self.a.kind).tobytes(), np.array(y, self.b.kind).tobytes(), same))
-        return out
+        """Ids of A and B, and whether both sides' bytes are those of space + chunk."""
+        coded = [(side.many(chunks), side) for side in (self.a, self.b)]
+        same = [True] * len(chunks)
+        for packed, side in coded:
+            token, code = side.tokens.__getitem__, "H" if side.kind.itemsize == 2 else "I"
+            for k, (c, ids) in enumerate(zip(chunks, packed, strict=True)):
+                if b"".join(map(token, memoryview(ids).cast(code))) != b" " + c.encode():
+                    same[k] = False
+        return list(zip(coded[0][0], coded[1][0], same, strict=True))
 
     def of(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Ids of A and of B of every text; none where their bytes are not those of space + text."""

@@ -22,16 +22,18 @@ file, to any storage Spark can reach (each ends in the newline of that writer).
 
 from __future__ import annotations
 
+import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer, pre_tokenizers
 
-from fieldatlas.llm.chunks import Chunks, json_tokenizer, pieces
+from fieldatlas.llm.chunks import Chunks, by_kind, encode_texts, encode_words, json_tokenizer, pieces
 from fieldatlas.llm.elias_fano import EliasFano, encode
 from fieldatlas.llm.text import ready_workers, whole
 from fieldatlas.session import default_parallelism, release_tables, scratch_path
@@ -90,21 +92,67 @@ def _body(shard: int, part: int, doc_ids: list, sizes: list[int], ids: list[byte
     return b"".join([head, encode(np.cumsum(sizes, dtype=np.int64)), encode(above), *ids])
 
 
-_coders: dict[str, tuple[Chunks, int]] = {}
+#: What a chunk without white space is cut into: runs of letters (ASCII and Latin up to U+023F, but for U+0130, which folds to two signs), and of other ASCII signs.
+#: An apostrophe stays with the letters behind it, and what touches any other character stays whole.
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+_LETTER = rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|[\xc5-\xc8][\x80-\xbf])"
+_UNITS = re.compile(_LETTER + rb"+(?![A-Za-z\x80-\xff])|[!-@\[-`{-~]+(?:\Z|(?<!')(?=[A-Za-z]))|[\x00-\xff]+")
 
 
-def _coder(name: str, data: bytes, special_as_text: bool) -> tuple[Chunks, int]:
-    """Chunks of packed ids, and bytes an id; one tokenizer a worker."""
-    if name not in _coders:
-        tokenizer = json_tokenizer(data, special_as_text)
-        width = 2 if tokenizer.get_vocab_size() <= 1 << 16 else 4
+class Coder:
+    """Packed ids of UTF-8 texts by a tokenizer that drops white space and folds case.
 
-        def many(chunks: list[str]) -> list[bytes]:
-            coded = tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-            return [np.array(e.ids, f"<u{width}").tobytes() for e in coded]
+    Texts are cut at ASCII white space, chunks not met before into words and
+    signs (lower-cased where they are ASCII), and what is new of those goes to the library.
+    """
 
+    def __init__(self, data: bytes, special_as_text: bool):
+        self.tokenizer = json_tokenizer(data, special_as_text)
+        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.kind = np.dtype(f"<u{self.width}")
+        self.special = [] if special_as_text else [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        names = self.tokenizer.get_vocab()
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.edge = np.zeros(max(names.values(), default=0) + 1, bool)
+        self.edge[[i for t, i in names.items() if suffix and t.endswith(suffix)]] = True
+        normal, cut = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        folds = normal is not None and normal.normalize_str("A") == "a"
+        self.fold = bytes.lower if folds else bytes
+        # Lower-case ASCII words come through normalizer and pre-tokenizer as they are, so both may be left out.
+        self.plain = self.tokenizer
+        if cut is not None and cut.pre_tokenize_str(_LETTERS) == [(_LETTERS, (0, 26))] and (normal is None or normal.normalize_str(_LETTERS) == _LETTERS):
+            self.plain = json_tokenizer(data, True)
+            self.plain.normalizer, self.plain.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
+        self.units = Chunks(self._cut, self._encode)
+        self.chunks = Chunks(bytes.split, lambda chunks: list(map(b"".join, self.units.of(chunks))))
+
+    def _cut(self, chunk: bytes) -> list[bytes]:
+        if chunk.isalpha():
+            return [self.fold(chunk)]
+        if b"|" in chunk and any(s in chunk.lower() for s in self.special):
+            return [chunk]
+        return [self.fold(u) if u.isascii() else u for u in _UNITS.findall(chunk)]
+
+    def _encode(self, units: list[bytes]) -> list[bytes]:
+        def many(tokenizer: Tokenizer) -> Callable[[list[str]], list[bytes]]:
+            return lambda words: encode_words(tokenizer, words, " ", self.edge, True, self.kind)
+
+        rest = lambda found: by_kind(found, str.isalpha, many(self.tokenizer), lambda signs: encode_texts(self.tokenizer, signs, self.kind))
+        return by_kind([u.decode() for u in units], lambda u: u.isascii() and u.islower() and u.isalpha(), many(self.plain), rest)
+
+    def of(self, texts: list[bytes]) -> list[bytes]:
+        """The packed ids of every text."""
+        return list(map(b"".join, self.chunks.of(texts)))
+
+
+_coders: dict[str, Coder] = {}
+
+
+def _coder(name: str, data: bytes, special_as_text: bool) -> Coder:
+    """One tokenizer a worker."""
+    if name not in _coders:
         _coders.clear()
-        _coders[name] = Chunks(many), width
+        _coders[name] = Coder(data, special_as_text)
     return _coders[name]
 
 
@@ -116,12 +164,13 @@ def _files(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, end_id:
         held = spark.sparkContext.broadcast(f.read())
     name = f"{tokenizer} {special_as_text}"
     text = whole(text_col)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("tie"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), text.cast("binary").alias("text"), F.xxhash64(text).alias("tie"))
     rows = rows.withColumn("place", F.monotonically_increasing_id())
     order = [F.col("id").asc_nulls_first(), F.col("tie"), F.col("place")]
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks, width = _coder(name, held.value, special_as_text)
+        coder = _coder(name, held.value, special_as_text)
+        width = coder.width
         shard, part = TaskContext.get().partitionId(), 0
         end = int(end_id).to_bytes(width, "little")
         doc_ids, sizes, ids, together = [], [], [], 0
@@ -133,8 +182,8 @@ def _files(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, end_id:
         for batch in batches:
             for piece in pieces(batch):
                 names, texts = piece.column(0).to_pylist(), piece.column(1).to_pylist()
-                for doc_id, coded in zip(names, chunks.of(texts), strict=True):
-                    packed = b"".join(coded) + end
+                for doc_id, coded in zip(names, coder.of(texts), strict=True):
+                    packed = coded + end
                     if together and together + len(packed) // width > file_ids:
                         yield close()
                         part, together = part + 1, 0
@@ -168,7 +217,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, id_col="doc_id
     """Codes every whole text, adds ``end_id`` to each document and writes the files to ``path``, in ascending id order.
 
     ``tokenizer`` is a file of the tokenizers library, read by the driver;
-    its pre-tokens must not hold white space. The strings of its special tokens
+    its pre-tokens must be runs of letters, of other signs or of apostrophe and
+    letters, without white space. The strings of its special tokens
     are special tokens in texts too, as in the library, unless
     ``special_as_text``. Null texts are empty: their documents hold the end id
     only. Rows without an id come first; rows that repeat an id stand side by

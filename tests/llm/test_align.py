@@ -128,15 +128,15 @@ def test_pieces_give_the_links_and_groups_of_the_whole(pair, whole, steps):
         assert stitch(parts) == groups
 
 
-def test_chunks_equal_whole_texts(pair, whole, monkeypatch):
+def test_chunks_equal_whole_texts(sides, whole, monkeypatch):
     from fieldatlas.llm import chunks
 
     monkeypatch.setattr(chunks, "REMEMBERED", 40)
-    r = random.Random(9)
+    fresh, r = Pair(*sides), random.Random(9)
     alphabet = list("abcXYZ019.,'’\n\t\r\x00\x01\x1c   ­​\x85éüñß漢字日本🙂½▁") + ["'s", "  ", "   ", "\n ", " the", "<|endoftext|>", "<s>", "</s>", "<unk>", "<0x41>", "é"]
     for _ in range(80):
         texts = ["".join(r.choice(alphabet) for _ in range(r.randrange(50))) for _ in range(15)] + ["", " ", "a ", " a", "x" * 300, "▁", "w " * 40]
-        for text, (a, b) in zip(texts, pair.of(texts), strict=True):
+        for text, (a, b) in zip(texts, fresh.of(texts), strict=True):
             want_a, want_b = whole.tokens(text)
             assert a.tolist() == [i for i, _ in want_a] and b.tolist() == [i for i, _ in want_b], repr(text)
 

@@ -7,7 +7,6 @@ import pytest
 from tokenizers import Tokenizer
 
 from fieldatlas.llm import chunks, token_files
-from fieldatlas.llm.chunks import Chunks
 from fieldatlas.llm.elias_fano import EliasFano, encode
 from fieldatlas.llm.queries import op13_token_files
 from fieldatlas.llm.token_files import TokenFile, read_token_files, write_token_files
@@ -53,16 +52,23 @@ def test_values_must_not_decrease():
         encode(np.array([3, 2]))
 
 
-def test_chunks_equal_whole_texts(tokenizer, monkeypatch):
-    monkeypatch.setattr(chunks, "REMEMBERED", 40)
+@pytest.mark.parametrize("remembered,together", [(40, 3), (10**6, 500)])
+def test_chunks_equal_whole_texts(monkeypatch, remembered, together):
+    monkeypatch.setattr(chunks, "REMEMBERED", remembered)
+    monkeypatch.setattr(chunks, "TOGETHER", together)
+    with open(PATH, "rb") as f:
+        data = f.read()
     r = random.Random(3)
-    alphabet = list("abcXYZ019.,'’\n\t\r   ­ ​\x85\x1céüñßÇÀİΣς漢字日本🙂½②") + ["é", " ̈", "'s", "'LL", "  ", "\n ", " the", "<|endoftext|>", "<|startoftext|>", "ﬁ", "</w>"]
-    coder = Chunks(lambda many: [e.ids for e in tokenizer.encode_batch_fast(many, add_special_tokens=False)])
-    for _ in range(60):
-        texts = ["".join(r.choice(alphabet) for _ in range(r.randrange(60))) for _ in range(20)] + ["", " ", "w " * 50, "v" * 300]
-        got = [sum(c, []) for c in coder.of(texts)]
-        assert got == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
-    assert len(coder.old) + len(coder.young) < 5000 and max(map(len, coder.young)) <= chunks.REMEMBER_LENGTH
+    alphabet = list("abcXYZH019.,'’\n\t\r\v\x00   \xad \u200b\x85\x1c\xa0éüñßÇÀİΣς漢字日本🙂½²\u0331\u0338<|>()") + ["e\u0301", " \u0308", "'s", "'LL", "'re", "  ", "\n ", " the", "THE", "<|endoftext|>", "<|STARTOFTEXT|>", "ﬁ", "</w>"]
+    for special in (False, True):
+        plain = Tokenizer.from_file(PATH)
+        plain.encode_special_tokens = special
+        coder = token_files.Coder(data, special)
+        for _ in range(120):
+            texts = ["".join(r.choice(alphabet) for _ in range(r.randrange(60))) for _ in range(20)] + ["", " ", "w " * 50, "v" * 300]
+            got = [np.frombuffer(c, coder.kind).tolist() for c in coder.of([t.encode() for t in texts])]
+            assert got == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+        assert max(map(len, coder.units.young)) <= chunks.REMEMBER_LENGTH
 
 
 def test_odd_rows(spark, odd, empty, tokenizer, tmp_dir, monkeypatch):
