@@ -27,6 +27,7 @@ import regex
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import pre_tokenizers
 
 from fieldatlas.llm.chunks import Chunks, at_spaces, by_kind, encode_texts, encode_words, json_tokenizer, pieces
 from fieldatlas.llm.text import ready_workers, whole
@@ -73,10 +74,13 @@ class ByteLevel:
         self.tokens = [bytes(letters.get(c, 0) for c in entries.get(i, "")) for i in range(max(entries) + 1)]
         self.kind = _kind(self.tokens)
         self.edge = np.array([t[:1] == b" " for t in self.tokens])
+        # A space and ASCII letters are one pre-token, spelled by the letter for the space and themselves.
+        self.plain, self.space = json_tokenizer(data, special_as_text=True), next(c for c, b in letters.items() if b == 0x20)
+        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.units = Chunks(lambda text: _PRE_TOKEN.findall(text) if text.isascii() else [text], self._encode)
 
     def _encode(self, units: list[str]) -> list[bytes]:
-        words = lambda found: encode_words(self.tokenizer, found, "", self.edge, False, self.kind)
+        words = lambda found: encode_words(self.plain, [self.space + w[1:] for w in found], " ", self.edge, False, self.kind)
         others = lambda found: encode_texts(self.tokenizer, found, self.kind)
         return by_kind(units, lambda u: u[0] == " " and u.isascii() and u[1:].isalpha(), words, others)
 

@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,10 +30,12 @@ from fieldatlas.session import materialize
 #: Bytes that belong to terms, lower-cased (A-Z only); all others become spaces. In UTF-8 every byte of a character from U+0080 on is 0x80 or above.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 #: Entries (language, term, source) that a mapper holds before it spills; 256 bytes of text count as one more.
-HELD = 400_000
+HELD = 800_000
+#: Entries that a merging task holds at once.
+MERGED = 1 << 16
 TILE = 256
 #: Cells (stripes x sources of two tiles) that one block may have.
-CELLS = 1 << 21
+CELLS = 1 << 17
 UNIT = 1_000_000_000
 
 
@@ -88,12 +91,71 @@ def mapper_stripes(docs: DataFrame, text_col="text", lang_col="lang", source_col
     return named.mapInArrow(spread, STRIPES)
 
 
+def _changes(column: pa.Array) -> np.ndarray:
+    """Where a value differs from the one before it (null is a value)."""
+    one, two = column.slice(1), column.slice(0, len(column) - 1)
+    other = pc.fill_null(pc.not_equal(one, two), False).to_numpy(zero_copy_only=False)
+    return other | (pc.is_null(one).to_numpy(zero_copy_only=False) != pc.is_null(two).to_numpy(zero_copy_only=False))
+
+
+def _merge(rows: pa.Table, least_df: int) -> pa.RecordBatch:
+    """Whole stripes from sorted entries: those without a term, and those in ``least_df`` documents."""
+    terms_, langs = rows["term"].combine_chunks(), rows["lang"].combine_chunks()
+    starts = np.flatnonzero(np.append(True, _changes(terms_) | _changes(langs)))
+    sizes = np.diff(np.append(starts, len(rows)))
+    n = rows["n"].to_numpy()
+    dfs, totals = np.add.reduceat(rows["df"].to_numpy(), starts), np.add.reduceat(n, starts)
+    kept = (dfs >= least_df) | pc.is_null(terms_).to_numpy(zero_copy_only=False)[starts]
+    entry = np.repeat(kept, sizes)
+    sources = rows["source"].combine_chunks().filter(pa.array(entry))
+    counts = pa.StructArray.from_arrays([sources, pa.array(n[entry])], names=["source", "n"])
+    offsets = pa.array(np.append(0, np.cumsum(sizes[kept])).astype(np.int32))
+    at = pa.array(starts[kept])
+    return pa.RecordBatch.from_arrays(
+        [langs.take(at), terms_.take(at), pa.array(dfs[kept]), pa.array(totals[kept]), pa.ListArray.from_arrays(offsets, counts)], names=["lang", "term", "df", "total", "counts"]
+    )
+
+
 def merged_stripes(docs: DataFrame, text_col="text", lang_col="lang", source_col="source", least_df: int = 10) -> DataFrame:
-    """lang, term, df, total and counts (array of source, n) of every kept term; and, without a term, the sources of each language."""
-    dealt = mapper_stripes(docs, text_col, lang_col, source_col).repartition("lang", "term")
-    entries = dealt.groupBy("lang", "term", "source").agg(F.sum("df").alias("df"), F.sum("n").alias("n"))
-    stripes = entries.groupBy("lang", "term").agg(F.sum("df").alias("df"), F.sum("n").alias("total"), F.collect_list(F.struct("source", "n")).alias("counts"))
-    return stripes.where(F.col("term").isNull() | (F.col("df") >= least_df))
+    """lang, term, df, total and counts (array of source, n) of every kept term; and, without a term, the sources of each language.
+
+    Spilled entries are sorted by key in the tasks they are dealt to (on disk
+    where they must be) and merged as they stream by; a key's entries are
+    combined whenever ``MERGED`` rows are together, so a hot key takes no more room than its sources.
+    """
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows < MERGED:
+                continue
+            table = _combined(held)
+            ends = np.flatnonzero(_changes(table["term"].combine_chunks()) | _changes(table["lang"].combine_chunks()))
+            done = int(ends[-1]) + 1 if len(ends) else 0
+            if done:
+                yield _merge(table.slice(0, done), least_df)
+            held, rows = table.slice(done).to_batches(), len(table) - done
+        if rows:
+            yield _merge(_combined(held), least_df)
+
+    dealt = mapper_stripes(docs, text_col, lang_col, source_col).repartition("lang", "term").sortWithinPartitions("term", "lang")
+    return dealt.mapInArrow(spread, "lang string, term binary, df long, total long, counts array<struct<source:string,n:long>>")
+
+
+def _combined(batches: list[pa.RecordBatch]) -> pa.Table:
+    """One entry a (term, lang, source), in the order of the keys."""
+    rows = pa.Table.from_batches(batches)
+    key = np.append(0, np.cumsum(_changes(rows["term"].combine_chunks()) | _changes(rows["lang"].combine_chunks())))
+    source = rows["source"].combine_chunks().dictionary_encode()
+    code = key * len(source.dictionary) + source.indices.to_numpy()
+    order = np.argsort(code, kind="stable")
+    starts = np.flatnonzero(np.append(True, np.diff(code[order]) > 0))
+    found = rows.select(["lang", "term", "source"]).take(pa.array(order[starts]))
+    for name in ("df", "n"):
+        found = found.append_column(name, pa.array(np.add.reduceat(rows[name].to_numpy()[order], starts)))
+    return found
 
 
 def shares(counts: np.ndarray, sizes: np.ndarray, kept: int) -> np.ndarray:

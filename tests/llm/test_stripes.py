@@ -57,7 +57,7 @@ def test_terms():
 @pytest.mark.parametrize("held,tile,cells", [(400_000, 256, 1 << 21), (300, 2, 16)])
 def test_odd_rows(spark, odd, monkeypatch, held, tile, cells):
     """Also with spills after every few documents, tiles of two sources and blocks of few stripes."""
-    for name, value in (("HELD", held), ("TILE", tile), ("CELLS", cells)):
+    for name, value in (("HELD", held), ("TILE", tile), ("CELLS", cells), ("MERGED", cells)):
         monkeypatch.setattr(stripes, name, value)
     rows = [(r.text, r.lang, r.source) for r in odd.collect()]
     out = divergences(odd)
