@@ -213,7 +213,7 @@ def _big_endian(value: Column) -> Column:
     return F.unhex(F.lpad(F.hex(value), 16, "0"))
 
 
-def write_token_files(docs: DataFrame, path: str, tokenizer: str, id_col="doc_id", text_col="text", end_id: int = 1, file_ids: int = 1 << 24, special_as_text: bool = False) -> int:
+def write_token_files(docs: DataFrame, path: str, tokenizer: str, id_col="doc_id", text_col="text", end_id: int = 1, file_ids: int = 1 << 21, special_as_text: bool = False) -> int:
     """Codes every whole text, adds ``end_id`` to each document and writes the files to ``path``, in ascending id order.
 
     ``tokenizer`` is a file of the tokenizers library, read by the driver;
@@ -230,7 +230,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, id_col="doc_id
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     ranges = max(-(-size // RANGE_BYTES), 4 * default_parallelism(spark))
     store = scratch_path(spark, "token-files")
-    _files(docs, tokenizer, id_col, text_col, end_id, file_ids, special_as_text, ranges).write.parquet(store)
+    _files(docs, tokenizer, id_col, text_col, end_id, file_ids, special_as_text, ranges).write.options(**{"compression": "none", "parquet.enable.dictionary": "false"}).parquet(store)
     staged = spark.read.parquet(store)
     total = staged.agg(F.count(F.lit(1)).alias("files"), F.sum("n_ids").alias("ids")).first()
     places = _first(staged)
