@@ -218,3 +218,40 @@ def write_community_shapefile(spark: SparkSession, sf_dir: str, path: str) -> No
         out = at.getFileSystem(conf).create(at, True)
         out.write(bytearray(data))
         out.close()
+
+
+# Offsets of a triangular hole from a community's centre.
+PARK_HOLE = [(-0.7, -0.7), (-0.2, -0.7), (-0.2, -0.3)]
+
+
+def holed_communities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(community, rings)``: the communities, each with a triangular hole."""
+    n = table(spark, sf_dir, "nation")
+    cx = f"({COMMUNITY_ORIGIN[0]!r}D + {COMMUNITY_STEP[0]!r}D * (n_nationkey % 5))"
+    cy = f"({COMMUNITY_ORIGIN[1]!r}D + {COMMUNITY_STEP[1]!r}D * floor(n_nationkey / 5.0D))"
+
+    def ring(offsets) -> str:
+        verts = [f"named_struct('x', {cx} + ({dx!r}D), 'y', {cy} + ({dy!r}D))" for dx, dy in offsets]
+        return f"array({', '.join(verts + verts[:1])})"
+
+    return n.selectExpr("n_name AS community", f"array({ring(COMMUNITY_OFFSETS)}, {ring(PARK_HOLE)}) AS rings")
+
+
+def shape_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GeoJSON features of points, lines of three vertices and quadrilaterals, one per customer (every seventh without a geometry)."""
+    key = F.col("c_custkey")
+    lon, lat = _lattice(key, 7919, 104729)
+    w, h = (F.lit(1) + key % 9) / F.lit(20.0), (F.lit(1) + key % 7) / F.lit(20.0)
+    at = lambda dx, dy: F.array(lon + dx, lat + dy)
+    zero = F.lit(0.0)
+    quad = F.array(at(zero, zero), at(w, zero), at(w, h), at(w / 4, h), at(zero, zero))
+    line = F.array(at(zero, zero), at(w, h), at(w, -h))
+    shape = lambda name, c: F.to_json(F.struct(F.lit(name).alias("type"), c.alias("coordinates")))
+    geometry = (
+        F.when(key % 7 == 3, F.lit("null"))
+        .when(key % 3 == 0, shape("Point", at(zero, zero)))
+        .when(key % 3 == 1, shape("LineString", line))
+        .otherwise(shape("Polygon", F.array(quad)))
+    )
+    text = F.concat(F.lit('{"type":"Feature","properties":{"shape_id":'), key.cast("string"), F.lit('},"geometry":'), geometry, F.lit("}"))
+    return table(spark, sf_dir, "customer").select(text.alias("value"))

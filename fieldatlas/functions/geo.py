@@ -85,12 +85,19 @@ def bbox(edges: str) -> list[Column]:
 
 def contains_sql(edges: str, x: str, y: str) -> str:
     """SQL text of :func:`contains_point` over column names."""
+    on_edge = on_edge_sql(edges, x, y)
     e, x, y = _name(edges), _name(x), _name(y)
     return f"""(size(filter({e}, s ->
           CASE WHEN (s.y1 > {y}) <> (s.y2 > {y})
                THEN {x} < (s.x2 - s.x1) * ({y} - s.y1) / (s.y2 - s.y1) + s.x1
                ELSE false END)) % 2 = 1)
-      AND NOT exists({e}, s ->
+      AND NOT {on_edge}"""
+
+
+def on_edge_sql(edges: str, x: str, y: str) -> str:
+    """SQL text: whether the point lies on one of the edges, over column names."""
+    e, x, y = _name(edges), _name(x), _name(y)
+    return f"""exists({e}, s ->
           (s.x2 - s.x1) * ({y} - s.y1) = (s.y2 - s.y1) * ({x} - s.x1)
           AND {x} BETWEEN least(s.x1, s.x2) AND greatest(s.x1, s.x2)
           AND {y} BETWEEN least(s.y1, s.y2) AND greatest(s.y1, s.y2))"""
@@ -139,6 +146,29 @@ def geometry_from_geojson(text) -> Column:
     return F.from_json(_c(text), geojson_geometry_schema())
 
 
+def parts_from_coordinates(geometry_variant) -> Column:
+    """A GeoJSON geometry of any simple type (a VARIANT) to ``array<array<struct<x,y>>>``:
+    one list of positions for a point or multipoint, one a line, one a ring."""
+    g = _c(geometry_variant)
+    gtype = F.try_variant_get(g, "$.type", "string")
+
+    def read(depth: int) -> Column:
+        return F.try_variant_get(g, "$.coordinates", "array<" * depth + "double" + ">" * depth)
+
+    def positions(part: Column) -> Column:
+        return F.transform(part, lambda p: F.struct(p[0].alias("x"), p[1].alias("y")))
+
+    def many(parts: Column) -> Column:
+        return F.transform(parts, positions)
+
+    return (
+        F.when(gtype == "Point", F.array(positions(F.array(read(1)))))
+        .when(gtype.isin("MultiPoint", "LineString"), F.array(positions(read(2))))
+        .when(gtype.isin("MultiLineString", "Polygon"), many(read(3)))
+        .when(gtype == "MultiPolygon", many(F.flatten(read(4))))
+    )
+
+
 def rings_from_coordinates(geometry_variant) -> Column:
     """Polygon or MultiPolygon GeoJSON geometry (a VARIANT) to ``rings``.
 

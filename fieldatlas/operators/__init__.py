@@ -22,6 +22,7 @@ from fieldatlas.operators.nearest import (
     name_or_default,
     points_only,
 )
+from fieldatlas.operators.shapes import shape_join
 from fieldatlas.operators.similarity import most_similar, pair_overlaps
 from fieldatlas.operators.sinks import (
     append_documents,
@@ -58,6 +59,7 @@ __all__ = [
     "points_only",
     "replace_collection",
     "richness",
+    "shape_join",
     "spatial_join",
     "to_json_text",
     "write_clustered",

@@ -20,6 +20,7 @@ from fieldatlas import fixtures as fx
 from fieldatlas.functions.geo import geometry_from_geojson
 from fieldatlas.functions.sets import set_from_list
 from fieldatlas.operators import diversity, documents, nearest, similarity, sinks
+from fieldatlas.operators.shapes import shape_join
 from fieldatlas.operators.spatial import spatial_join
 from fieldatlas.session import default_parallelism, scratch_path
 from fieldatlas.sources import documents as docsrc
@@ -273,6 +274,13 @@ def q_spatial_join_shuffled(spark, sf_dir):
     )
 
 
+def q_shapes_in_communities(spark, sf_dir):
+    path = scratch_path(spark, "shape-features")
+    sinks.write_feature_lines(fx.shape_features(spark, sf_dir), path)
+    shapes = geojson.shape_columns(geojson.read_features(spark, path, layout="lines"), "shape_id bigint")
+    return shape_join(shapes, fx.holed_communities(spark, sf_dir)).select("shape_id", "kind", "community")
+
+
 def q_features_flatten(spark, sf_dir):
     path = scratch_path(spark, "places-flatten")
     sinks.write_feature_collection(fx.place_features(spark, sf_dir), path, root="object")
@@ -409,6 +417,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "geometry_text_roundtrip": q_geometry_text_roundtrip,
     "rejected_features": q_rejected_features,
     "documents_null_position": q_documents_null_position,
+    "shapes_in_communities": q_shapes_in_communities,
 }
 
 
@@ -623,3 +632,40 @@ ORACLE_SQL["documents_null_position"] = f"""WITH {_PLACES}
 SELECT place_id, place_id % 7 <> 0 AS has_geometry, CASE WHEN place_id % 7 <> 0 THEN lon END AS lon FROM places"""
 # The clustered near query answers the same question as nearest_places.
 ORACLE_SQL["nearest_places_clustered"] = ORACLE_SQL["nearest_places"]
+# No vertex of these shapes lies on a border, so a shape is inside if its first vertex is, no segment
+# crosses an edge, and (quadrilaterals) no vertex of the community, hole included, lies in it.
+ORACLE_SQL["shapes_in_communities"] = """WITH edges AS (
+  SELECT n_name AS community,
+         6.90037e0  + 1.8e0 * (n_nationkey % 5)        + ax AS x1, 47.80037e0 + 1.6e0 * floor(n_nationkey / 5e0) + ay AS y1,
+         6.90037e0  + 1.8e0 * (n_nationkey % 5)        + px AS x2, 47.80037e0 + 1.6e0 * floor(n_nationkey / 5e0) + py AS y2
+  FROM nation CROSS JOIN (VALUES
+         (-1.1e0, -0.9e0,  1.1e0, -0.9e0), (1.1e0, -0.9e0,  1.1e0,  0.9e0), (1.1e0, 0.9e0,  0.0e0,  0.2e0),
+         (0.0e0,  0.2e0, -1.1e0,  0.9e0), (-1.1e0, 0.9e0, -1.1e0, -0.9e0),
+         (-0.7e0, -0.7e0, -0.2e0, -0.7e0), (-0.2e0, -0.7e0, -0.2e0, -0.3e0), (-0.2e0, -0.3e0, -0.7e0, -0.7e0)) AS o(ax, ay, px, py)
+), shapes AS (
+  SELECT c_custkey AS shape_id, CASE WHEN c_custkey % 3 = 0 THEN 'Point' WHEN c_custkey % 3 = 1 THEN 'LineString' ELSE 'Polygon' END AS kind,
+         6e0 + ((c_custkey * 7919) % 9000) / 1e3 AS lon, 47e0 + ((c_custkey * 104729) % 8000) / 1e3 AS lat,
+         (1 + c_custkey % 9) / 20e0 AS w, (1 + c_custkey % 7) / 20e0 AS h
+  FROM customer WHERE c_custkey % 7 <> 3
+), placed AS (
+  SELECT shape_id, kind, lon, lat, w, h, community FROM shapes, edges GROUP BY ALL
+  HAVING sum(CASE WHEN (y1 > lat) <> (y2 > lat) AND lon < (x2 - x1) * (lat - y1) / (y2 - y1) + x1 THEN 1 ELSE 0 END) % 2 = 1
+), vertices AS (
+  SELECT shape_id, kind, community, unnest(CASE kind WHEN 'Point' THEN [{'i': 0, 'x': lon, 'y': lat}]
+    WHEN 'LineString' THEN [{'i': 0, 'x': lon, 'y': lat}, {'i': 1, 'x': lon + w, 'y': lat + h}, {'i': 2, 'x': lon + w, 'y': lat + -h}]
+    ELSE [{'i': 0, 'x': lon, 'y': lat}, {'i': 1, 'x': lon + w, 'y': lat}, {'i': 2, 'x': lon + w, 'y': lat + h}, {'i': 3, 'x': lon + w / 4, 'y': lat + h}, {'i': 4, 'x': lon, 'y': lat}] END) AS v
+  FROM placed
+), segments AS (
+  SELECT a.shape_id, a.kind, a.community, a.v.x AS ax, a.v.y AS ay, b.v.x AS bx, b.v.y AS by_ FROM vertices a
+  JOIN vertices b ON a.shape_id = b.shape_id AND a.community = b.community AND b.v.i = a.v.i + 1
+), crossing AS (
+  SELECT DISTINCT shape_id, community FROM segments JOIN edges USING (community)
+  WHERE ((bx - ax) * (y1 - ay) - (by_ - ay) * (x1 - ax)) * ((bx - ax) * (y2 - ay) - (by_ - ay) * (x2 - ax)) < 0
+    AND ((x2 - x1) * (ay - y1) - (y2 - y1) * (ax - x1)) * ((x2 - x1) * (by_ - y1) - (y2 - y1) * (bx - x1)) < 0
+), covering AS (
+  SELECT DISTINCT shape_id, community FROM (
+    SELECT shape_id, community, x1, y1 FROM segments JOIN edges USING (community) WHERE kind = 'Polygon'
+    GROUP BY ALL HAVING min((bx - ax) * (y1 - ay) - (by_ - ay) * (x1 - ax)) > 0)
+)
+SELECT shape_id, kind, community FROM placed
+ANTI JOIN crossing USING (shape_id, community) ANTI JOIN covering USING (shape_id, community)"""

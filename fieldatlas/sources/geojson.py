@@ -19,12 +19,13 @@ turns them into flat columns.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldatlas.functions.geo import geometry_to_geojson, rings_from_coordinates
+from fieldatlas.functions.geo import geometry_to_geojson, parts_from_coordinates, rings_from_coordinates
 
 _RS = "\u001e"
 
@@ -88,10 +89,11 @@ def _struct_ddl(ddl: str) -> str:
 
 
 def feature_columns(features: DataFrame, properties=None, feature: str = "feature",
-                    keep_polygons: bool = False, keep_geometry: bool = False) -> DataFrame:
+                    keep_polygons: bool = False, keep_geometry: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """Flat columns: every property, then ``geometry_type, lon, lat``
     (coordinates only for points), with ``keep_polygons`` ``rings``, and with
-    ``keep_geometry`` the geometry of any type as GeoJSON text ``geometry``.
+    ``keep_geometry`` the geometry of any type as GeoJSON text ``geometry``;
+    ``keep`` names further columns of ``features`` to keep.
 
     ``properties`` is a DDL string or StructType; when None it is inferred
     from all features. A property with the name of a geometry column (in any
@@ -120,7 +122,7 @@ def feature_columns(features: DataFrame, properties=None, feature: str = "featur
         cols.append(rings_from_coordinates(F.variant_get(f, "$.geometry", "variant")).alias("rings"))
     if keep_geometry:
         cols.append(geometry_to_geojson(F.try_variant_get(f, "$.geometry", "variant")).alias("geometry"))
-    out = features.select(*cols)
+    out = features.select(*cols, *keep)
     if schema is None:
         return out
     names = [c for c in out.columns if c != "_p"]
@@ -136,6 +138,14 @@ def feature_columns(features: DataFrame, properties=None, feature: str = "featur
     return out.select(*prop_fields, *names)
 
 
+def shape_columns(features: DataFrame, properties=None, feature: str = "feature") -> DataFrame:
+    """Flat columns for :func:`fieldatlas.operators.shapes.shape_join`: every property, then
+    ``kind`` (the geometry's type) and ``parts`` (its coordinates); null for no geometry."""
+    parts = parts_from_coordinates(F.try_variant_get(F.col(feature), "$.geometry", "variant"))
+    flat = feature_columns(features.withColumn("_fa_parts", parts), properties, feature, keep=["_fa_parts"])
+    return flat.drop("lon", "lat").withColumnsRenamed({"geometry_type": "kind", "_fa_parts": "parts"})
+
+
 def read_feature_table(spark: SparkSession, path: str, properties=None,
                        layout: str = "collection") -> DataFrame:
     """A feature file as a flat table: one row per feature, each property a
