@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from fieldatlas.llm.graph import components
 from fieldatlas.llm.shingles import mix, shingle_set, stream
-from fieldatlas.llm.text import ready_workers
+from fieldatlas.llm.text import free_name, quoted, ready_workers
 from fieldatlas.session import materialize
 
 BLOCK = 512
@@ -360,3 +360,23 @@ def jaccard_classes(docs: DataFrame, id_col="doc_id", text_col="text", width: in
         F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce(F.when(F.col("n") > 0, F.col("root")), F.col("id"))).alias("component_id"),
     )
+
+
+def keep_one_per_class(docs: DataFrame, id_col="doc_id", text_col="text", width: int = 4, num: int = 85, den: int = 100, salts: int = 16) -> DataFrame:
+    """One row of each class, with all its columns: the one with the smallest id, of rows that repeat it any one.
+
+    Rows are told apart by a key of their own, so rows that share an id but
+    not the text are documents like any others: neither goes because the other
+    does, and they link nothing by their id. Rows without an id link with
+    nothing and stay.
+    """
+    key = free_name("_fa_row", docs.columns)
+    keyed = materialize(docs.withColumn(key, F.monotonically_increasing_id()), "jaccard-rows")
+    named = keyed.where(F.col(quoted(id_col)).isNotNull()).select(F.col(key).alias("row"), F.col(quoted(id_col)).alias("id"), F.col(quoted(text_col)).alias("text"))
+    found = jaccard_classes(named, "row", "text", width, num, den, salts).select("row", "component_id")
+    ranked = found.join(named.select("row", "id"), "row").withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(salts)))
+    best = ranked.groupBy("component_id").agg(F.min(F.struct("id", "row")).alias("best"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Given back by salt, so a large class never meets in one task.
+    by_salt = ranked.select("component_id", "salt").distinct().join(best, "component_id")
+    gone = ranked.join(by_salt, ["component_id", "salt"]).where(F.col("row") != F.col("best.row")).select(F.col("row").alias(key))
+    return keyed.join(gone, key, "left_anti").select(*[F.col(quoted(c)) for c in docs.columns])
