@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from fieldatlas.llm import bpe, ppm
 from fieldatlas.llm.exact_dedup import keep_one
-from fieldatlas.llm.jaccard import jaccard_classes
+from fieldatlas.llm.jaccard import keep_one_per_class
 from fieldatlas.llm.mixing import mix
 from fieldatlas.session import materialize
 
@@ -39,10 +39,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of linked documents, the one with the smallest id stays.
 
     Documents link when the Jaccard similarity of their five-word shingles is
-    at least 0.8. Rows without an id link with nothing and stay.
+    at least 0.8. Documents are rows: two texts under one id are two documents.
+    Rows without an id link with nothing and stay.
     """
-    gone = jaccard_classes(docs, **NEAR).where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    return keep_one_per_class(docs, **NEAR)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
