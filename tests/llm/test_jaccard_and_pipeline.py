@@ -182,6 +182,30 @@ def test_near_dedup_stage_against_brute_force(spark):
     assert kept == sorted(i for i, (_, root) in want.items() if root == i)
 
 
+def test_near_dedup_stage_goes_by_row(spark):
+    """An id with two texts: its copy goes, its other text stays, and texts are not linked by a shared id."""
+    base, more = (" ".join(f"{c}{k}" for k in range(120)) for c in "tu")
+    rows = [(3, base), (7, base + " x"), (7, "a text of its own, found nowhere else"), (9, more), (7, more + " y"), (9, more + " z"), (4, more + " w"), (None, base)]
+    kept = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "").collect()
+    assert Counter(map(tuple, kept)) == Counter([rows[0], rows[2], rows[6], rows[7]])
+
+
+def test_near_dedup_stage_against_brute_force_with_repeated_ids(spark):
+    rows = [(i % 50, t) for i, t in _families(11, 50)]
+    numbered = _classes(list(enumerate(t for _, t in rows)), 5, 80, 100)
+    groups = {}
+    for k, (_, root) in numbered.items():
+        groups.setdefault(root, []).append(k)
+    kept = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(4), "").collect()
+    place = {}
+    for k, row in enumerate(rows):
+        place.setdefault(row, k)
+    assert len(kept) == len(groups)
+    for r in kept:  # one of each class, with the smallest id of the class
+        members = groups.pop(numbered[place[tuple(r)]][1])
+        assert r.doc_id == min(rows[k][0] for k in members)
+
+
 def test_exact_dedup_stage_keeps_one_row_per_text(spark, odd, empty):
     """A table ingested twice, and texts that only rows without an id have."""
     once = odd.unionByName(odd)
