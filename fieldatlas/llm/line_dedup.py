@@ -30,7 +30,9 @@ BREAKS = {
     "paragraph": re.compile(r"\n[ \t]*\n\s*"),
     "sentence": re.compile(r"\n+|(?<=[.!?])[ \t]+"),
 }
-UNITS = "id long, start int, stop int, words int, digest binary"
+UNITS = "id long, tie long, start int, stop int, words int, digest binary"
+#: What tells rows apart: the id, and a hash of the text for ids that hold several.
+ROW = ["id", "tie"]
 
 
 def normalise(unit: str) -> str:
@@ -50,19 +52,19 @@ def cut(text: str, breaks: re.Pattern) -> Iterator[tuple[int, int]]:
 
 
 def unit_rows(docs: DataFrame, id_col="doc_id", text_col="text", unit="sentence") -> DataFrame:
-    """id, start, stop, words, digest of every unit with at least one word."""
+    """id, tie, start, stop, words, digest of every unit with at least one word."""
     name = unit
     ready_workers(docs.sparkSession)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         breaks, out = BREAKS[name], []
-        schema = pa.schema([("id", pa.int64()), ("start", pa.int32()), ("stop", pa.int32()), ("words", pa.int32()), ("digest", pa.binary())])
+        schema = pa.schema([("id", pa.int64()), ("tie", pa.int64()), ("start", pa.int32()), ("stop", pa.int32()), ("words", pa.int32()), ("digest", pa.binary())])
         for batch in batches:
-            for key, text in zip(batch.column(0), batch.column(1), strict=True):
-                key, text = key.as_py(), text.as_py()
+            for key, tie, text in zip(*batch.columns, strict=True):
+                key, tie, text = key.as_py(), tie.as_py(), text.as_py()
                 for a, b in cut(text, breaks):
                     if norm := normalise(text[a:b]):
-                        out.append((key, a, b, norm.count(" ") + 1, hashlib.blake2b(norm.encode(), digest_size=16).digest()))
+                        out.append((key, tie, a, b, norm.count(" ") + 1, hashlib.blake2b(norm.encode(), digest_size=16).digest()))
                 if len(out) >= 50_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), schema.types, strict=True)], schema=schema)
                     out = []
@@ -70,35 +72,36 @@ def unit_rows(docs: DataFrame, id_col="doc_id", text_col="text", unit="sentence"
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), schema.types, strict=True)], schema=schema)
 
     named = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
-    rows = named.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = named.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("tie"), F.col(text_col).alias("text"))
     return rows.mapInArrow(spread, UNITS)
 
 
 def removed_passages(docs: DataFrame, id_col="doc_id", text_col="text", unit="sentence", min_run_words: int = 25) -> DataFrame:
-    """id, start, stop, words of every passage to remove (code points, end exclusive)."""
+    """id, tie, start, stop, words of every passage to remove (code points, end exclusive)."""
     units = unit_rows(docs, id_col, text_col, unit)
-    many = units.groupBy("digest").agg(F.min(F.struct(F.col("id"), F.col("start"))).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    many = units.groupBy("digest").agg(F.min(F.struct(*ROW, "start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     many = materialize(many, "repeated-units")
     # A digest with a thousandth of all repeated units is hot: at most a thousand are, and they are broadcast.
     total = many.agg(F.sum("n")).first()[0] or 0
     hot = F.broadcast(many.where(F.col("n") * 1000 >= total).select("digest", F.col("first").alias("hot_first")))
     rest = many.where(F.col("n") * 1000 < total).select(F.col("digest").alias("key"), "first")
     # A hot unit needs no second join: its key is its own place, which spreads it and meets nothing.
-    own = F.concat(F.lit("unit "), F.col("id"), F.lit(" "), F.col("start")).cast("binary")
+    own = F.concat(F.lit("unit "), F.col("id"), F.lit(" "), F.col("tie"), F.lit(" "), F.col("start")).cast("binary")
     known = units.join(hot, "digest", "left").withColumn("key", F.when(F.col("hot_first").isNull(), F.col("digest")).otherwise(own))
     # A unit that occurs once joins with nothing: it stays, and breaks runs.
     marked = known.join(rest, "key", "left").withColumn("first", F.coalesce("hot_first", "first")).select(
-        "id", "start", "stop", "words",
-        (F.col("first").isNotNull() & ((F.col("id") != F.col("first.id")) | (F.col("start") != F.col("first.start")))).alias("again"),
-    )
-    in_doc = Window.partitionBy("id").orderBy("start")
-    runs = marked.withColumn("run", F.sum((~F.col("again")).cast("int")).over(in_doc.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        *ROW, "start", "stop", "words", (F.col("first").isNotNull() & (F.struct(*ROW, "start") != F.col("first"))).alias("again")
+    )
+    in_doc = Window.partitionBy(*ROW).orderBy("start")
+    # Repeated rows have the same units; each counts once.
+    once = marked.withColumn("before", F.lag("start").over(in_doc)).where(F.col("before").isNull() | (F.col("before") != F.col("start")))
+    runs = once.withColumn("run", F.sum((~F.col("again")).cast("int")).over(in_doc.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     return (
         runs.where("again")
-        .groupBy("id", "run")
+        .groupBy(*ROW, "run")
         .agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("words").alias("words"))
         .where(F.col("words") >= min_run_words)
-        .select("id", "start", "stop", "words")
+        .select(*ROW, "start", "stop", "words")
     )
 
 
@@ -124,17 +127,18 @@ def line_dedup(docs: DataFrame, id_col="doc_id", text_col="text", unit="sentence
     A null text stays null with nothing removed. Rows without an id cannot be
     ranked: they are returned unchanged and their units count nowhere. Rows
     that repeat an id with the same text are one document and get the same
-    passages. Other columns are not read; an empty table gives an empty result.
+    passages; rows that repeat an id with another text are documents of their
+    own, ranked by a hash of the text. Other columns are not read; an empty table gives an empty result.
     """
     passages = removed_passages(docs, id_col, text_col, unit, min_run_words)
     spans = (
-        passages.groupBy("id")
+        passages.groupBy(*ROW)
         .agg(F.array_sort(F.collect_list(F.struct("start", "stop", "words"))).alias("removed"))
-        .select(F.col("id").alias("span_id"), "removed")
+        .select(F.col("id").alias("span_id"), F.col("tie").alias("span_tie"), "removed")
     )
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("tie"), F.col(text_col).alias("text"))
     none = F.array().cast("array<struct<start:int,stop:int,words:bigint>>")
-    out = rows.join(spans, F.col("id") == F.col("span_id"), "left").withColumn("removed", F.coalesce("removed", none))
+    out = rows.join(spans, (F.col("id") == F.col("span_id")) & (F.col("tie") == F.col("span_tie")), "left").withColumn("removed", F.coalesce("removed", none))
     length = F.aggregate("removed", F.lit(0).cast("long"), lambda a, r: a + r["stop"] - r["start"])
     cleaned = _without("text", "removed")
     return out.select(

@@ -147,3 +147,16 @@ def test_line_dedup_odd_rows(odd):
     assert all(r.text == text[r.doc_id] for r in got if r.n_removed == 0 and r.doc_id is not None)
     assert {r.doc_id for r in got if r.n_removed} >= {100, 104}
     assert all(r.n_removed == 0 for r in got if r.doc_id is None)
+
+
+def test_line_dedup_goes_by_row(spark):
+    """Passages are cut out of the text that holds them, not out of another one with its id; repeated rows count once."""
+    passage = " ".join(f"shared{k}" for k in range(30)) + "."
+    alone = " ".join(f"own{k}" for k in range(60)) + "."
+    rows = [(1, passage), (2, f"Head here. {passage} Tail here."), (2, alone), (2, f"Head here. {passage} Tail here.")]
+    got = line_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert Counter((r.doc_id, r.text, r.n_removed) for r in got) == Counter({(1, passage, 0): 1, (2, alone, 0): 1, (2, "Head here.  Tail here.", 1): 2})
+    short = " ".join(f"short{k}" for k in range(13)) + "."
+    rows = [(1, short), (2, short), (2, short)]
+    got = line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r.n_removed == 0 and r.text == short for r in got)  # 13 repeated words, however often the row is
