@@ -212,14 +212,61 @@ def write_community_shapefile(spark: SparkSession, sf_dir: str, path: str) -> No
         for name, kind, length in (("NAME", b"C", 40), ("AREA_NO", b"N", 5))
     )
     dbf = struct.pack("<4BIHH20x", 3, 24, 1, 1, len(records), 32 + len(fields) + 1, 46) + fields + b"\r" + b"".join(records)
+    write_files(spark, path, {"communities.SHP": header + content, "communities.DBF": dbf, "communities.cpg": b"ISO 88591"})
+
+
+def write_files(spark: SparkSession, path: str, files: dict[str, bytes]) -> None:
+    """Small files below ``path``, through the session's file system."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for name, data in (("communities.SHP", header + content), ("communities.DBF", dbf), ("communities.cpg", b"ISO 88591")):
+    for name, data in files.items():
         at = jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
         out = at.getFileSystem(conf).create(at, True)
         out.write(bytearray(data))
         out.close()
 
 
+def shapefile_bytes(code: int, shapes: list[list[list[tuple]]], names: list[str]) -> tuple[bytes, bytes]:
+    """``.shp`` and ``.dbf`` content: shapes of one type code as parts of positions (no parts: a null shape), and a NAME each."""
+    records = []
+    for no, parts in enumerate(shapes, start=1):
+        points = [p for part in parts for p in part]
+        coords = struct.pack(f"<{2 * len(points)}d", *[v for p in points for v in p])
+        if not points:
+            body = struct.pack("<i", 0)
+        elif code % 10 == 1:
+            body = struct.pack("<i", code) + coords + b"\0" * 8 * (2 if code == 11 else 1 if code == 21 else 0)
+        else:
+            xs, ys = zip(*points)
+            body = struct.pack("<i4d", code, min(xs), min(ys), max(xs), max(ys))
+            starts = [sum(len(q) for q in parts[:k]) for k in range(len(parts))]
+            if code % 10 == 8:
+                body += struct.pack("<i", len(points)) + coords
+            else:
+                body += struct.pack(f"<ii{len(parts)}i", len(parts), len(points), *starts) + coords
+            # Ranges and values: of Z and M in the Z forms, of M in the M forms.
+            body += b"\0" * (16 + 8 * len(points)) * (2 if code // 10 == 1 else 1 if code // 10 == 2 else 0)
+        records.append(struct.pack(">ii", no, len(body) // 2) + body)
+    content = b"".join(records)
+    header = struct.pack(">7i", 9994, 0, 0, 0, 0, 0, (100 + len(content)) // 2) + struct.pack("<2i8d", 1000, code, *[0.0] * 8)
+    field = b"NAME".ljust(11, b"\0") + b"C" + b"\0" * 4 + bytes([40, 0]) + b"\0" * 14
+    dbf = struct.pack("<4BIHH20x", 3, 24, 1, 1, len(names), 65, 41) + field + b"\r" + b"".join(b" " + n.encode().ljust(40) for n in names)
+    return header + content, dbf
+
+
+#: Type codes of the shapefiles that the queries read: every family, in plain, Z or M form.
+SHAPE_FAMILIES = {"points": 11, "multipoints": 8, "lines": 23, "areas": 15}
+
+
+def write_family_shapefiles(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """One shapefile a family from the communities (one row per nation): a corner, all corners, two lines, the ring."""
+    rows = communities(spark, sf_dir).orderBy("community").collect()
+    rings = [[(p.x, p.y) for p in r.rings[0]] for r in rows]
+    parts = {"points": lambda r: [r[:1]], "multipoints": lambda r: [r[:5]], "lines": lambda r: [r[:3], r[3:]], "areas": lambda r: [r[::-1]]}
+    for name, code in SHAPE_FAMILIES.items():
+        shp, dbf = shapefile_bytes(code, [parts[name](r) for r in rings], [r.community for r in rows])
+        write_files(spark, path, {f"{name}.shp": shp, f"{name}.dbf": dbf})
+
+
 # Offsets of a triangular hole from a community's centre.
 PARK_HOLE = [(-0.7, -0.7), (-0.2, -0.7), (-0.2, -0.3)]
 

@@ -8,9 +8,11 @@ second time to count it.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
+import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fieldatlas.functions.geo import point_geometry
@@ -21,14 +23,48 @@ def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+@contextmanager
+def replacing(spark: SparkSession, path: str) -> Iterator[str]:
+    """A folder to write to, which takes the place of ``path`` once all is written.
+
+    What fails on the way leaves ``path`` as it was, and what is written may be
+    read from ``path`` itself. The switch is two renames, each atomic where the
+    storage renames atomically; should the second one fail, the first is undone.
+    """
+    mark = uuid.uuid4().hex
+    staged, old = f"{path.rstrip('/')}.staged-{mark}", f"{path.rstrip('/')}.replaced-{mark}"
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at, new, gone = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, staged, old))
+    fs = at.getFileSystem(conf)
+    try:
+        yield staged
+        held = fs.exists(at)
+        if held and not fs.rename(at, gone):
+            raise OSError(f"{path} could not be moved")
+        if not fs.rename(new, at):
+            if held:
+                fs.rename(gone, at)
+            raise OSError(f"{staged} could not be moved to {path}")
+    except BaseException:
+        fs.delete(new, True)
+        raise
+    if held:
+        fs.delete(gone, True)
+
+
 def write_documents(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                     options: Mapping[str, str] | None = None,
                     partition_by: list[str] | None = None) -> int:
     """Write ``df`` and return the number of rows written.
 
     ``overwrite`` replaces the whole collection (an empty input leaves an
-    empty collection that keeps the schema); ``append`` adds rows.
+    empty collection that keeps the schema), once everything is written: if the
+    input or the write fails, the rows that were there stay, and a collection
+    may be replaced by a query on itself. ``append`` adds rows.
     """
+    if mode == "overwrite":
+        with replacing(df.sparkSession, path) as staged:
+            return write_documents(df, staged, fmt, "error", options, partition_by)
     obs = Observation("fieldatlas_write")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = observed.write.format(fmt).mode(mode).options(**dict(options or {}))
@@ -107,7 +143,8 @@ def write_clustered(df: DataFrame, path: str, lon: str = "lon", lat: str = "lat"
     if partitions is None:
         partitions = max(1, math.ceil(rows / rows_per_file))
     layout = clustered_layout(spark.read.parquet(store), lon, lat, cell_size, partitions)
-    layout.write.mode("overwrite").parquet(path)
+    with replacing(spark, path) as staged:
+        layout.write.parquet(staged)
     release_tables(spark, store)
     return rows
 
@@ -142,7 +179,8 @@ def write_feature_collection(features: DataFrame, path: str, root: str = "object
     )
     file_no = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(files))
     grouped = spark.read.parquet(store).groupBy(file_no.alias("file_no")).agg(doc.alias("value"))
-    grouped.write.mode("overwrite").partitionBy("file_no").text(path)
+    with replacing(spark, path) as staged:
+        grouped.write.partitionBy("file_no").text(staged)
     release_tables(spark, store)
     return n
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,7 +26,7 @@ from fieldatlas.operators.spatial import spatial_join
 from fieldatlas.session import default_parallelism, scratch_path
 from fieldatlas.sources import documents as docsrc
 from fieldatlas.sources import geojson
-from fieldatlas.sources.shapefile import read_shapefile
+from fieldatlas.sources.shapefile import read_shapefile, read_shapes
 
 # Fixed values used by the queries (the reference hard-codes its own).
 ANCHOR_PATTERN = "(?i)customer#0000001.*"
@@ -229,6 +230,28 @@ def q_documents_append(spark, sf_dir):
     return documents.flatten(docsrc.scan(spark.read.parquet(path)), FLIGHT_FIELDS)
 
 
+def q_documents_replace_failed(spark, sf_dir):
+    """A load that breaks on its last documents leaves the collection as it was."""
+    path = scratch_path(spark, "replace-failed")
+    sinks.replace_collection(fx.flight_documents(spark, sf_dir), path)
+    year = F.when(F.col("year") >= 1995, F.raise_error(F.lit("damaged document")).cast("long")).otherwise(F.col("year"))
+    try:
+        sinks.replace_collection(fx.flight_documents(spark, sf_dir).withColumn("year", year), path)
+        kept = False
+    except PySparkException:
+        kept = True
+    return documents.flatten(spark.read.parquet(path), FLIGHT_FIELDS).withColumn("kept", F.lit(kept))
+
+
+def q_documents_replace_self(spark, sf_dir):
+    """A collection replaced by a query on itself."""
+    path = scratch_path(spark, "replace-self")
+    sinks.replace_collection(fx.flight_documents(spark, sf_dir), path)
+    stored = spark.read.parquet(path)
+    sinks.replace_collection(stored.where("statistics.flights.cancelled > 5"), path)
+    return documents.flatten(spark.read.parquet(path), FLIGHT_FIELDS)
+
+
 def q_documents_export_json(spark, sf_dir):
     text = documents.to_json_text(fx.flight_documents(spark, sf_dir))
     return documents.flatten(documents.from_json_text(text, FLIGHT_SCHEMA), FLIGHT_FIELDS)
@@ -307,6 +330,16 @@ def q_rejected_features(spark, sf_dir):
     return geojson.point_counts(geojson.read_features(spark, path))
 
 
+def q_shapefile_families(spark, sf_dir):
+    path = scratch_path(spark, "shapefile-families")
+    fx.write_family_shapefiles(spark, sf_dir, path)
+    last = F.element_at(F.element_at("parts", -1), -1)
+    return read_shapes(spark, path).select(
+        "NAME", "kind", F.size("parts").cast("long").alias("n_parts"), F.size(F.flatten("parts")).cast("long").alias("n_positions"),
+        F.col("parts")[0][0]["x"].alias("first_x"), last["y"].alias("last_y"),
+    )
+
+
 def q_documents_null_position(spark, sf_dir):
     places = fx.places(spark, sf_dir).select(
         "place_id", F.when(F.col("place_id") % 7 != 0, F.col("lon")).alias("lon"), "lat"
@@ -418,6 +451,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rejected_features": q_rejected_features,
     "documents_null_position": q_documents_null_position,
     "shapes_in_communities": q_shapes_in_communities,
+    "shapefile_families": q_shapefile_families,
+    "documents_replace_failed": q_documents_replace_failed,
+    "documents_replace_self": q_documents_replace_self,
 }
 
 
@@ -669,3 +705,11 @@ ORACLE_SQL["shapes_in_communities"] = """WITH edges AS (
 )
 SELECT shape_id, kind, community FROM placed
 ANTI JOIN crossing USING (shape_id, community) ANTI JOIN covering USING (shape_id, community)"""
+ORACLE_SQL["documents_replace_failed"] = f"""WITH {_FLIGHTS}
+SELECT carrier_name, airport_code, year, total, cancelled, true AS kept FROM flights"""
+ORACLE_SQL["documents_replace_self"] = f"""WITH {_FLIGHTS}
+SELECT carrier_name, airport_code, year, total, cancelled FROM flights WHERE cancelled > 5"""
+ORACLE_SQL["shapefile_families"] = f"""WITH {_EDGES}, corners AS (
+  SELECT community, max(CASE WHEN i = 0 THEN x1 END) AS x0, max(CASE WHEN i = 0 THEN y1 END) AS y0, max(CASE WHEN i = 4 THEN y1 END) AS y4 FROM community_edges GROUP BY community)
+SELECT community AS "NAME", kind, CAST(n_parts AS BIGINT) AS n_parts, CAST(n_positions AS BIGINT) AS n_positions, x0 AS first_x, CASE WHEN kind = 'MultiPoint' THEN y4 ELSE y0 END AS last_y
+FROM corners CROSS JOIN (VALUES ('Point', 1, 1), ('MultiPoint', 1, 5), ('MultiLineString', 2, 6), ('MultiPolygon', 1, 6)) AS f(kind, n_parts, n_positions)"""

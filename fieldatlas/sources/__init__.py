@@ -6,8 +6,9 @@ from fieldatlas.sources.geojson import (
     read_features,
     read_feature_table,
     read_polygons,
+    shape_columns,
 )
-from fieldatlas.sources.shapefile import read_shapefile
+from fieldatlas.sources.shapefile import read_shapefile, read_shapes
 
 __all__ = [
     "feature_columns",
@@ -16,6 +17,8 @@ __all__ = [
     "read_json_lines",
     "read_polygons",
     "read_shapefile",
+    "read_shapes",
     "read_table",
     "scan",
+    "shape_columns",
 ]

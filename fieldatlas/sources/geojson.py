@@ -33,16 +33,26 @@ _RS = "\u001e"
 def _collection_features(text: Column) -> Column:
     # First non-blank character; the anchored pattern stops reading there.
     first = F.regexp_extract(text, r"^[\s\x{FEFF}]*([\[{])", 1)
-    strict = {"mode": "FAILFAST"}
-    as_array = F.from_json(text, "array<string>", strict)
-    as_object = F.from_json(text, "struct<features: array<string>>", strict).getField("features")
+    # The root becomes a member of an object with another one behind it, so the parser has to come
+    # to the text's end: a second root or other text there fails, or leaves the last member out.
+    body = F.regexp_replace(text, r"^[\s\x{FEFF}]+", "")
+    framed = F.concat(F.lit('{"root":'), body, F.lit(',"end":true}'))
+
+    def read(root: str) -> Column:
+        return F.from_json(framed, f"struct<root: {root}, end: boolean>", {"mode": "FAILFAST"})
+
+    def to_end(parsed: Column, features: Column) -> Column:
+        return F.when(parsed["end"], features)
+
+    listed, wrapped = read("array<string>"), read("struct<features: array<string>>")
+    as_array, as_object = to_end(listed, listed["root"]), to_end(wrapped, wrapped["root"]["features"])
     parsed = (
         F.when(first == "[", as_array)
         .when(first == "{", as_object)
         .otherwise(F.raise_error(F.lit("Invalid GeoJSON root: must start with '[' or '{'")).cast("array<string>"))
     )
     # A file that cannot be read whole must not look like a file without features.
-    return F.coalesce(parsed, F.raise_error(F.lit("Damaged GeoJSON: no list of features")).cast("array<string>"))
+    return F.coalesce(parsed, F.raise_error(F.lit("Damaged GeoJSON: no list of features, or text behind it")).cast("array<string>"))
 
 
 def read_features(spark: SparkSession, path: str, layout: str = "collection") -> DataFrame:

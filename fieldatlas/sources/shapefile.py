@@ -1,4 +1,4 @@
-"""Boundary files in the ESRI shapefile format as a DataFrame of polygons.
+"""Boundary files in the ESRI shapefile format as a DataFrame of shapes or polygons.
 
 An ingestion job over a directory: ``binaryFile`` reads every ``.shp`` and
 ``.dbf`` file, the two are paired on their path stem, and each pair is
@@ -7,8 +7,8 @@ from the ``.dbf`` field descriptors) and ``rings`` for the spatial join.
 Files are independent tasks; a shapefile is at most 2 GB by its format.
 Decode once and keep the result as Parquet for repeated use.
 
-Shape types read: Polygon (5), PolygonZ (15), PolygonM (25); Z and M values
-are ignored. Null shapes give ``rings = null``; records flagged as deleted
+Shape types read: points, multipoints, lines and polygons, each in its plain, Z
+and M form; Z and M values are ignored. Null shapes give nulls; records flagged as deleted
 in the ``.dbf`` are skipped together with their shape.
 """
 
@@ -23,34 +23,55 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Shape type codes of the polygon family in the format.
-POLYGON_TYPES = (5, 15, 25)
+# Shape type codes of the format (plain, Z and M forms), by the GeoJSON type they become.
+KINDS = {1: "Point", 11: "Point", 21: "Point", 3: "MultiLineString", 13: "MultiLineString", 23: "MultiLineString",
+         5: "MultiPolygon", 15: "MultiPolygon", 25: "MultiPolygon", 8: "MultiPoint", 18: "MultiPoint", 28: "MultiPoint"}
+FILE_CODE = 9994
 
 _ROWS_PER_BATCH = 1000
 _DECODED = (
-    "source string, record_no long, attrs map<string, string>, "
+    "source string, record_no long, attrs map<string, string>, kind string, "
     "xs array<array<double>>, ys array<array<double>>"
 )
 
 
-def _polygon(content: bytes) -> tuple[list, list] | None:
-    (stype,) = struct.unpack_from("<i", content, 0)
-    if stype not in POLYGON_TYPES:
+def _shape(content: bytes) -> tuple[str, list, list] | None:
+    """Kind and coordinates by part of one record; None for a null shape."""
+    (code,) = struct.unpack_from("<i", content, 0)
+    if code == 0:
         return None
-    n_parts, n_points = struct.unpack_from("<ii", content, 36)
-    parts = list(struct.unpack_from(f"<{n_parts}i", content, 44)) + [n_points]
-    coords = struct.unpack_from(f"<{2 * n_points}d", content, 44 + 4 * n_parts)
+    kind = KINDS.get(code)
+    if kind is None:
+        raise ValueError(f"shapes of type {code} cannot be read")
+    if kind == "Point":
+        x, y = struct.unpack_from("<dd", content, 4)
+        return kind, [[x]], [[y]]
+    if kind == "MultiPoint":
+        (n_points,) = struct.unpack_from("<i", content, 36)
+        parts, at = [0, n_points], 40
+    else:
+        n_parts, n_points = struct.unpack_from("<ii", content, 36)
+        parts, at = [*struct.unpack_from(f"<{n_parts}i", content, 44), n_points], 44 + 4 * n_parts
+    coords = struct.unpack_from(f"<{2 * n_points}d", content, at)
     xs = [list(coords[2 * a : 2 * b : 2]) for a, b in zip(parts, parts[1:])]
     ys = [list(coords[2 * a + 1 : 2 * b : 2]) for a, b in zip(parts, parts[1:])]
-    return xs, ys
+    return kind, xs, ys
 
 
-def _shapes(shp: bytes) -> Iterator[tuple[list, list] | None]:
+def _shapes(shp: bytes) -> Iterator[tuple[str, list, list] | None]:
+    """Every record's shape. A file of another length than its header says, or cut inside a record, raises."""
+    if len(shp) < 100 or struct.unpack_from(">i", shp, 0)[0] != FILE_CODE:
+        raise ValueError("not a .shp file")
+    (words,) = struct.unpack_from(">i", shp, 24)
+    if 2 * words != len(shp):
+        raise ValueError(f"damaged .shp file: {len(shp)} bytes, its header says {2 * words}")
     pos = 100
-    while pos + 8 <= len(shp):
-        _, words = struct.unpack_from(">ii", shp, pos)
-        yield _polygon(shp[pos + 8 : pos + 8 + 2 * words])
-        pos += 8 + 2 * words
+    while pos < len(shp):
+        size = 2 * struct.unpack_from(">i", shp, pos + 4)[0] if pos + 8 <= len(shp) else -1
+        if size < 4 or pos + 8 + size > len(shp):
+            raise ValueError(f"damaged .shp file: a record at {pos} does not fit")
+        yield _shape(shp[pos + 8 : pos + 8 + size])
+        pos += 8 + size
 
 
 def descriptor_fields(block: bytes) -> list[tuple[str, str, int, int]]:
@@ -74,6 +95,8 @@ def dbf_fields(dbf: bytes) -> list[tuple[str, str, int, int]]:
 
 def _records(dbf: bytes, encoding: str) -> Iterator[dict | None]:
     n, header_len, rec_len = struct.unpack_from("<IHH", dbf, 4)
+    if header_len + n * rec_len > len(dbf):
+        raise ValueError(f"damaged .dbf file: {len(dbf)} bytes, {n} records take {header_len + n * rec_len}")
     fields = dbf_fields(dbf)
     for i in range(n):
         rec = dbf[header_len + i * rec_len : header_len + (i + 1) * rec_len]
@@ -102,20 +125,20 @@ def code_page(text: bytes | None, default: str) -> str:
 
 def _decode(encoding: str):
     def frame(rows: list) -> pd.DataFrame:
-        return pd.DataFrame(rows, columns=["source", "record_no", "attrs", "xs", "ys"])
+        return pd.DataFrame(rows, columns=["source", "record_no", "attrs", "kind", "xs", "ys"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for stem, shp, dbf, cpg in zip(pdf["stem"], pdf["shp"], pdf["dbf"], pdf["cpg"]):
+                if dbf is None:
+                    raise ValueError(f"{stem} has no .dbf file")
                 rows = []
                 codec = code_page(bytes(cpg) if cpg is not None else None, encoding)
-                attrs = _records(bytes(dbf), codec) if dbf is not None else None
-                for no, shape in enumerate(_shapes(bytes(shp)), start=1):
-                    rec = next(attrs, {}) if attrs is not None else {}
+                # Shapes and records come in pairs; one without the other raises.
+                for no, (shape, rec) in enumerate(zip(_shapes(bytes(shp)), _records(bytes(dbf), codec), strict=True), start=1):
                     if rec is None:
                         continue
-                    xs, ys = shape if shape is not None else (None, None)
-                    rows.append((stem, no, rec, xs, ys))
+                    rows.append((stem, no, rec, *(shape or (None, None, None))))
                     if len(rows) >= _ROWS_PER_BATCH:
                         yield frame(rows)
                         rows = []
@@ -147,7 +170,24 @@ def _files(spark: SparkSession, path: str, ext: str) -> DataFrame:
 
 def read_shapefile(spark: SparkSession, path: str, encoding: str = "utf-8",
                    attributes: str | None = None) -> DataFrame:
-    """All shapefiles below ``path`` as ``(*attributes, rings)``.
+    """All polygon shapefiles below ``path`` as ``(*attributes, rings)``, for the joins.
+
+    As :func:`read_shapes`; ``rings`` is null for null shapes and for shapes of other kinds.
+    """
+    shapes = read_shapes(spark, path, encoding, attributes)
+    rings = F.when(F.col("kind") == "MultiPolygon", F.col("parts")).alias("rings")
+    return shapes.select(*[F.col(f"`{c}`") for c in shapes.columns[:-2]], rings)
+
+
+def read_shapes(spark: SparkSession, path: str, encoding: str = "utf-8",
+                attributes: str | None = None) -> DataFrame:
+    """All shapefiles below ``path`` as ``(*attributes, kind, parts)``.
+
+    ``kind`` is the GeoJSON type (Point, MultiPoint, MultiLineString or
+    MultiPolygon; null for a null shape) and ``parts`` the positions: one list
+    for points, one a line, one a ring. A ``.shp`` or ``.dbf`` file that is cut
+    off, a ``.shp`` without its ``.dbf``, and numbers of shapes and records that
+    differ, fail the read.
 
     ``attributes`` is a DDL list (``"GEN string, AGS string"``); when None the
     columns and types come from the ``.dbf`` field descriptors; only the
@@ -182,7 +222,7 @@ def read_shapefile(spark: SparkSession, path: str, encoding: str = "utf-8",
     else:
         schema = spark.createDataFrame([], attributes).schema
         cols = {f.name: f.dataType.simpleString() for f in schema.fields}
-    rings = F.expr(
+    parts = F.expr(
         "zip_with(xs, ys, (rx, ry) -> zip_with(rx, ry, (a, b) -> named_struct('x', a, 'y', b)))"
     )
 
@@ -192,4 +232,4 @@ def read_shapefile(spark: SparkSession, path: str, encoding: str = "utf-8",
             return F.upper(raw).isin("T", "Y").alias(name)
         return raw.try_cast(dtype).alias(name)
 
-    return decoded.select(*[typed(n, t) for n, t in cols.items()], rings.alias("rings"))
+    return decoded.select(*[typed(n, t) for n, t in cols.items()], "kind", parts.alias("parts"))

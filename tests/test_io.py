@@ -283,3 +283,50 @@ def test_writers_run_their_input_once(spark, tmp_dir):
     assert seen.value == 500
     assert sinks.write_feature_collection(counted, f"{tmp_dir}/b", rows_per_file=100) == 500
     assert seen.value == 1000
+
+
+def test_failed_replace_leaves_the_collection(spark, tmp_dir):
+    import os
+
+    import pytest
+    from pyspark.sql import functions as F
+
+    from fieldatlas.operators.sinks import replace_collection, write_clustered, write_documents
+
+    rows = spark.range(100).withColumn("lon", F.col("id") / 10).withColumn("lat", F.lit(1.0))
+    broken = rows.withColumn("lat", F.when(F.col("id") == 99, F.raise_error(F.lit("damaged")).cast("double")).otherwise(F.lit(2.0)))
+    for fmt in ("parquet", "json"):
+        path = f"{tmp_dir}/replace-{fmt}"
+        assert replace_collection(rows, path, fmt) == 100
+        for bad in (lambda: replace_collection(broken, path, fmt), lambda: write_documents(broken, path, fmt, partition_by=["id"])):
+            with pytest.raises(Exception, match="damaged"):
+                bad()
+        assert sorted(r.id for r in spark.read.format(fmt).load(path).collect()) == list(range(100))
+        # From a query on itself, and to nothing.
+        assert replace_collection(spark.read.format(fmt).load(path).where("id >= 40"), path, fmt) == 60
+        assert spark.read.format(fmt).load(path).count() == 60
+        assert sorted(n for n in os.listdir(tmp_dir) if fmt in n) == [f"replace-{fmt}"]  # nothing staged is left
+    path = f"{tmp_dir}/clustered"
+    write_clustered(rows, path)
+    assert write_clustered(spark.read.parquet(path).where("id < 7"), path) == 7 and spark.read.parquet(path).count() == 7
+    empty = spark.read.parquet(path).limit(0)
+    assert replace_collection(empty, path) == 0 and spark.read.parquet(path).columns == rows.columns
+
+
+def test_text_behind_the_root_fails(spark, tmp_dir):
+    import pytest
+
+    from fieldatlas.sources.geojson import read_features
+
+    one = '{"type":"Feature","properties":{"a":"\\\\\\"]}"},"geometry":null}'
+    whole = {"array": f"[{one}]", "object": f'{{"type":"FeatureCollection","features":[{one}],"more":[1]}}'}
+    good = [whole["array"], whole["object"], f"﻿ \n{whole['array']} \n", f" {whole['object']}\n\n", "[]", '{"features":[]}']
+    bad = [whole["array"] * 2, whole["object"] + whole["array"], whole["array"] + " x", whole["object"] + "}", whole["array"] + "}", whole["array"] + '},{"root":[]', whole["array"][:-1], '{"features":null}']
+    for k, text in enumerate(good + bad):
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{tmp_dir}/{k}")
+        features = read_features(spark, f"{tmp_dir}/{k}")
+        if k < len(good):
+            assert features.count() == (0 if k > 3 else 1)
+        else:
+            with pytest.raises(Exception):  # noqa: B017
+                features.collect()

@@ -108,3 +108,54 @@ def test_code_page_names():
     assert code_page(b"UTF-8", "x") == "utf-8" and code_page(b"1252", "x") == "cp1252"
     assert code_page(b"ISO 88591", "x") == "iso8859-1" and code_page(None, "utf-8") == "utf-8"
     assert code_page(b"no such page", "utf-8") == "utf-8"
+
+
+def test_all_shape_families_and_forms(spark, tmp_dir):
+    """Every type code, with null shapes between; and lines and points from files in the shape join."""
+    from fieldatlas.fixtures import shapefile_bytes, write_files
+    from fieldatlas.operators.shapes import shape_join
+    from fieldatlas.sources.shapefile import KINDS, read_shapes
+
+    parts = {
+        "Point": [[(1.0, 2.0)]], "MultiPoint": [[(1.0, 2.0), (3.0, 4.0)]],
+        "MultiLineString": [[(1.0, 1.0), (2.0, 2.0)], [(3.0, 3.0), (4.0, 4.0), (5.0, 3.0)]],
+        "MultiPolygon": [[(1.0, 1.0), (1.0, 2.0), (2.0, 2.0), (1.0, 1.0)]],
+    }
+    for code, kind in KINDS.items():
+        shp, dbf = shapefile_bytes(code, [parts[kind], [], parts[kind]], [f"a{code}", f"null{code}", f"b{code}"])
+        write_files(spark, f"{tmp_dir}/all", {f"f{code}.shp": shp, f"f{code}.dbf": dbf})
+    shapes = read_shapes(spark, f"{tmp_dir}/all")
+    assert shapes.columns == ["NAME", "kind", "parts"]
+    got = {r.NAME: (r.kind, r.parts and [[(p.x, p.y) for p in q] for q in r.parts]) for r in shapes.collect()}
+    want = {f"{n}{code}": (kind, parts[kind]) for code, kind in KINDS.items() for n in "ab"}
+    assert got == want | {f"null{code}": (None, None) for code in KINDS}
+    square = spark.createDataFrame([("sq", [[(0.0, 0.0), (9.0, 0.0), (9.0, 9.0), (0.0, 9.0)]])], "area string, rings array<array<struct<x:double,y:double>>>")
+    assert {r.NAME for r in shape_join(shapes, square).collect()} == set(want)
+
+
+def test_damaged_files_fail_the_read(spark, tmp_dir):
+    import pytest
+
+    from fieldatlas.fixtures import shapefile_bytes, write_files
+    from fieldatlas.sources.shapefile import read_shapefile
+
+    ring = [[(0.0, 0.0), (0.0, 1.0), (1.0, 1.0), (0.0, 0.0)]]
+    shp, dbf = shapefile_bytes(5, [ring, ring, ring], ["a", "b", "c"])
+    record = (len(shp) - 100) // 3
+    _, short = shapefile_bytes(5, [ring, ring], ["a", "b"])
+    damaged = {
+        "cut at a record": {"a.shp": shp[:-record], "a.dbf": dbf},
+        "cut in a record": {"a.shp": shp[:-5], "a.dbf": dbf},
+        "records cut": {"a.shp": shp, "a.dbf": dbf[:-41]},
+        "fewer records": {"a.shp": shp, "a.dbf": short},
+        "no records": {"a.shp": shp},
+        "not a shapefile": {"a.shp": b"x" * 200, "a.dbf": dbf},
+        "another type": {"a.shp": shp[:108] + b"\x1f" + shp[109:], "a.dbf": dbf},
+    }
+    write_files(spark, f"{tmp_dir}/whole", {"a.shp": shp, "a.dbf": dbf})
+    assert read_shapefile(spark, f"{tmp_dir}/whole").count() == 3
+    for k, (name, files) in enumerate(damaged.items()):
+        write_files(spark, f"{tmp_dir}/{k}", files)
+        with pytest.raises(Exception, match="damaged|no .dbf|not a .shp|cannot be read|shorter|longer"):
+            read_shapefile(spark, f"{tmp_dir}/{k}", attributes="NAME string").collect()
+            pytest.fail(name)
