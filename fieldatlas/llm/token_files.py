@@ -142,7 +142,12 @@ class Coder:
 
     def of(self, texts: list[bytes]) -> list[bytes]:
         """The packed ids of every text."""
-        return list(map(b"".join, self.chunks.of(texts)))
+        return list(map(b"".join, self.chunks.of(list(map(self._folded, texts)))))
+
+    def _folded(self, text: bytes) -> bytes:
+        """With A-Z lower-cased, unless a special token would come of it, or a letter and a mark (U+0300 to U+037F) that are one sign in one case only."""
+        low = self.fold(text)
+        return text if b"\xcc" in text or b"\xcd" in text or any(s in low for s in self.special) else low
 
 
 _coders: dict[str, Coder] = {}
