@@ -1,12 +1,15 @@
-"""Substring dedup by hashing lines, paragraphs or the sentences of lines.
-
-Texts are cut into units whose offsets are kept. Normalised units are hashed,
-digests are grouped globally (one partial aggregate per task, so a unit that a
-third of all documents share sends one row per task), the occurrence with the
-smallest (document, offset) stays and the others go, as runs: consecutive
-repeated units of a document are one removed passage, and passages of fewer
-than ``min_run_words`` words are left alone, so that short common lines are
-not torn out of clean documents.
+"""Substring dedup by hashing lines (or paragraphs) and the sentences in them.
+
+Texts are cut into lines, and lines into sentences, whose offsets are kept.
+Normalised units are hashed and digests are grouped globally (one partial
+aggregate per task, so a unit that a third of all documents share sends one row
+per task). The occurrence with the smallest (document, offset) stays:
+
+- every later occurrence of a whole line goes, whatever its length;
+- inside lines that stay, consecutive sentences that all occurred before go
+  when together they hold ``min_run_chars`` characters, so that a passage put
+  into the middle of a line is found and single short sentences are not torn
+  out of a paragraph.
 """
 
 from __future__ import annotations
@@ -24,13 +27,11 @@ from pyspark.sql.types import StringType
 from fieldatlas.llm.text import ready_workers
 from fieldatlas.session import materialize
 
-#: Where a unit ends: kept with the unit before it.
-BREAKS = {
-    "line": re.compile(r"\n+"),
-    "paragraph": re.compile(r"\n[ \t]*\n\s*"),
-    "sentence": re.compile(r"\n+|(?<=[.!?])[ \t]+"),
-}
-UNITS = "id long, tie long, start int, stop int, words int, digest binary"
+#: Where a block ends: kept with the block before it.
+BREAKS = {"line": re.compile(r"\n+"), "paragraph": re.compile(r"\n[ \t]*\n\s*")}
+#: Where a sentence ends, in scripts with spaces between words and in those without.
+SENTENCE = re.compile(r"\n+|(?<=[.!?])[ \t]+|(?<=[\u3002\uff01\uff1f])(?![\u3002\uff01\uff1f])")
+UNITS = "id long, tie long, start int, stop int, chars int, block boolean, sentence boolean, digest binary"
 #: What tells rows apart: the id, and a hash of the text for ids that hold several.
 ROW = ["id", "tie"]
 
@@ -51,35 +52,57 @@ def cut(text: str, breaks: re.Pattern) -> Iterator[tuple[int, int]]:
         yield at, len(text)
 
 
-def unit_rows(docs: DataFrame, id_col="doc_id", text_col="text", unit="sentence") -> DataFrame:
-    """id, tie, start, stop, words, digest of every unit with at least one word."""
+def units_of(text: str, breaks: re.Pattern) -> Iterator[tuple[int, int, str, bool, bool]]:
+    """Start, stop, normalised text of every unit that is not blank, and whether it is a block and a sentence.
+
+    A block of one sentence is both; a block of several comes before them.
+    """
+    for a, b in cut(text, breaks):
+        if not (norm := normalise(text[a:b])):
+            continue
+        parts = [(a + s, a + e, n) for s, e in cut(text[a:b], SENTENCE) if (n := normalise(text[a + s : a + e]))]
+        if len(parts) == 1:
+            yield *parts[0], True, True
+            continue
+        yield parts[0][0], parts[-1][1], norm, True, False
+        for part in parts:
+            yield *part, False, True
+
+
+def unit_rows(docs: DataFrame, id_col="doc_id", text_col="text", unit="line") -> DataFrame:
+    """A row of ``UNITS`` for every block and every sentence that is not blank."""
     name = unit
     ready_workers(docs.sparkSession)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         breaks, out = BREAKS[name], []
-        schema = pa.schema([("id", pa.int64()), ("tie", pa.int64()), ("start", pa.int32()), ("stop", pa.int32()), ("words", pa.int32()), ("digest", pa.binary())])
+        types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_(), pa.binary()]
+        schema = pa.schema([(column.split()[0], t) for column, t in zip(UNITS.split(", "), types, strict=True)])
+
+        def packed() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], schema=schema)
+
         for batch in batches:
             for key, tie, text in zip(*batch.columns, strict=True):
-                key, tie, text = key.as_py(), tie.as_py(), text.as_py()
-                for a, b in cut(text, breaks):
-                    if norm := normalise(text[a:b]):
-                        out.append((key, tie, a, b, norm.count(" ") + 1, hashlib.blake2b(norm.encode(), digest_size=16).digest()))
-                if len(out) >= 50_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), schema.types, strict=True)], schema=schema)
-                    out = []
+                key, tie = key.as_py(), tie.as_py()
+                for a, b, norm, block, sentence in units_of(text.as_py(), breaks):
+                    out.append((key, tie, a, b, len(norm), block, sentence, hashlib.blake2b(norm.encode(), digest_size=16).digest()))
+                    if len(out) >= 50_000:
+                        yield packed()
+                        out = []
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), schema.types, strict=True)], schema=schema)
+            yield packed()
 
     named = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
     rows = named.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("tie"), F.col(text_col).alias("text"))
     return rows.mapInArrow(spread, UNITS)
 
 
-def removed_passages(docs: DataFrame, id_col="doc_id", text_col="text", unit="sentence", min_run_words: int = 25) -> DataFrame:
-    """id, tie, start, stop, words of every passage to remove (code points, end exclusive)."""
+def removed_passages(docs: DataFrame, id_col="doc_id", text_col="text", unit="line", min_run_chars: int = 100) -> DataFrame:
+    """id, tie, start, stop, chars of every passage to remove (offsets in code points, end exclusive; chars normalised)."""
     units = unit_rows(docs, id_col, text_col, unit)
-    many = units.groupBy("digest").agg(F.min(F.struct(*ROW, "start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    place = F.struct(*ROW, "start")
+    many = units.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     many = materialize(many, "repeated-units")
     # A digest with a thousandth of all repeated units is hot: at most a thousand are, and they are broadcast.
     total = many.agg(F.sum("n")).first()[0] or 0
@@ -90,18 +113,26 @@ def removed_passages(docs: DataFrame, id_col="doc_id", text_col="text", unit="se
     known = units.join(hot, "digest", "left").withColumn("key", F.when(F.col("hot_first").isNull(), F.col("digest")).otherwise(own))
     # A unit that occurs once joins with nothing: it stays, and breaks runs.
     marked = known.join(rest, "key", "left").withColumn("first", F.coalesce("hot_first", "first")).select(
-        *ROW, "start", "stop", "words", (F.col("first").isNotNull() & (F.struct(*ROW, "start") != F.col("first"))).alias("again")
+        *ROW, "start", "stop", "chars", "block", "sentence", (F.col("first").isNotNull() & (place != F.col("first"))).alias("again")
     )
-    in_doc = Window.partitionBy(*ROW).orderBy("start")
+    # A block of several sentences stands before the first of them.
+    in_doc = Window.partitionBy(*ROW).orderBy("start", "sentence")
+    so_far = in_doc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # Repeated rows have the same units; each counts once.
-    once = marked.withColumn("before", F.lag("start").over(in_doc)).where(F.col("before").isNull() | (F.col("before") != F.col("start")))
-    runs = once.withColumn("run", F.sum((~F.col("again")).cast("int")).over(in_doc.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    before = F.lag(F.struct("start", "sentence")).over(in_doc)
+    once = marked.withColumn("before", before).where(F.col("before").isNull() | (F.col("before") != F.struct("start", "sentence")))
+    # The last block that goes, if the unit is in it.
+    gone = F.last(F.when(F.col("block") & F.col("again"), F.struct("start", "stop")), ignorenulls=True).over(so_far)
+    inside = once.withColumn("gone", gone).withColumn("gone", F.when(F.col("gone.stop") >= F.col("stop"), F.col("gone.start"))).where("sentence")
+    repeated = F.col("again") | F.col("gone").isNotNull()
+    runs = inside.withColumn("repeated", repeated).withColumn("run", F.sum((~F.col("repeated")).cast("int")).over(so_far)).where("repeated")
+    long = F.sum("chars").over(Window.partitionBy(*ROW, "run")) >= min_run_chars
+    # A long run goes as one passage, of a short one the whole blocks.
+    passages = runs.withColumn("long", long).where(F.col("long") | F.col("gone").isNotNull())
     return (
-        runs.where("again")
-        .groupBy(*ROW, "run")
-        .agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("words").alias("words"))
-        .where(F.col("words") >= min_run_words)
-        .select(*ROW, "start", "stop", "words")
+        passages.groupBy(*ROW, "run", F.when(~F.col("long"), F.col("gone")).alias("part"))
+        .agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("chars").alias("chars"))
+        .select(*ROW, "start", "stop", "chars")
     )
 
 
@@ -119,9 +150,9 @@ def _without(text: pd.Series, spans: pd.Series) -> pd.Series:
     return pd.Series([one(t, c) for t, c in zip(text, spans, strict=True)], dtype=object)
 
 
-def line_dedup(docs: DataFrame, id_col="doc_id", text_col="text", unit="sentence", min_run_words: int = 25) -> DataFrame:
+def line_dedup(docs: DataFrame, id_col="doc_id", text_col="text", unit="line", min_run_chars: int = 100) -> DataFrame:
     """Every document without its repeated passages: id, text, n_removed,
-    removed_chars, removed (array of start, stop, words; offsets of the
+    removed_chars, removed (array of start, stop, chars; offsets of the
     original text in code points, end exclusive, in order).
 
     A null text stays null with nothing removed. Rows without an id cannot be
@@ -130,14 +161,14 @@ def line_dedup(docs: DataFrame, id_col="doc_id", text_col="text", unit="sentence
     passages; rows that repeat an id with another text are documents of their
     own, ranked by a hash of the text. Other columns are not read; an empty table gives an empty result.
     """
-    passages = removed_passages(docs, id_col, text_col, unit, min_run_words)
+    passages = removed_passages(docs, id_col, text_col, unit, min_run_chars)
     spans = (
         passages.groupBy(*ROW)
-        .agg(F.array_sort(F.collect_list(F.struct("start", "stop", "words"))).alias("removed"))
+        .agg(F.array_sort(F.collect_list(F.struct("start", "stop", "chars"))).alias("removed"))
         .select(F.col("id").alias("span_id"), F.col("tie").alias("span_tie"), "removed")
     )
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("tie"), F.col(text_col).alias("text"))
-    none = F.array().cast("array<struct<start:int,stop:int,words:bigint>>")
+    none = F.array().cast("array<struct<start:int,stop:int,chars:bigint>>")
     out = rows.join(spans, (F.col("id") == F.col("span_id")) & (F.col("tie") == F.col("span_tie")), "left").withColumn("removed", F.coalesce("removed", none))
     length = F.aggregate("removed", F.lit(0).cast("long"), lambda a, r: a + r["stop"] - r["start"])
     cleaned = _without("text", "removed")

@@ -55,8 +55,8 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without its repeated passages."""
-    span = lambda s: F.concat_ws(":", s["start"], s["stop"], s["words"])
+    """Every document without the lines and passages that occurred before."""
+    span = lambda s: F.concat_ws(":", s["start"], s["stop"], s["chars"])
     return line_dedup(table(spark, sf_dir, "documents")).withColumn("removed", F.array_join(F.transform("removed", span), ","))
 
 
@@ -157,31 +157,48 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
 FROM d JOIN g USING (norm)
 """
 
-#: Units are matches that tile a text: up to white space behind a sentence's end, newlines or the text's end.
+#: The rule, line by line: lines from a split at newlines, sentences from a split at marks put behind their ends.
+#: A later copy of a line goes; so does a run of later copies of sentences (of lines that go, too) of 100 characters.
 _OP6 = r"""
-WITH m AS (
-  SELECT doc_id, regexp_extract_all(text, '(?s)[^\n]+?(?:[.!?][ \t]+|\n+|\z)|\n+') AS ms FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL
-), i AS (
-  SELECT doc_id, unnest(ms) AS hit, unnest(range(1, len(ms) + 1)) AS i FROM m
-), a AS (
-  SELECT doc_id, i, hit, CAST(sum(length(hit)) OVER (PARTITION BY doc_id ORDER BY i) - length(hit) AS BIGINT) AS start,
-         regexp_replace(regexp_replace(hit, '\n+\z', ''), '([.!?])[ \t]+\z', '\1') AS unit FROM i
+WITH l0 AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS nr
+  FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL
+), l1 AS (
+  SELECT doc_id, nr, line, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY nr) - length(line) - 1 AS at FROM l0
+), l2 AS (
+  SELECT *, trim(regexp_replace(lower(line), '\s+', ' ', 'g')) AS norm FROM l1 WHERE trim(line, ' ' || chr(9)) <> ''
+), p0 AS (
+  SELECT doc_id, nr, at, norm AS line_norm, string_split(regexp_replace(regexp_replace(line, '([.!?])([ \t]+)', '\1' || chr(1) || '\2' || chr(1), 'g'),
+         '([\x{3002}\x{FF01}\x{FF1F}]+)', '\1' || chr(1), 'g'), chr(1)) AS ps FROM l2
+), p1 AS (
+  SELECT doc_id, nr, at, line_norm, unnest(ps) AS part, unnest(range(len(ps))) AS k FROM p0
+), p2 AS (
+  SELECT *, CAST(at + sum(length(part)) OVER (PARTITION BY doc_id, nr ORDER BY k) - length(part) AS BIGINT) AS start,
+         trim(regexp_replace(lower(part), '\s+', ' ', 'g')) AS norm FROM p1
+), s AS (
+  SELECT doc_id, nr, line_norm, start, start + length(part) AS stop, norm FROM p2 WHERE norm <> ''
 ), u AS (
-  SELECT doc_id, start, start + length(unit) AS stop, trim(regexp_replace(lower(unit), '\s+', ' ', 'g')) AS norm FROM a
-), w AS (
-  SELECT *, len(string_split(norm, ' ')) AS words,
-         row_number() OVER (PARTITION BY norm ORDER BY doc_id, start) > 1 AS again FROM u WHERE norm <> ''
+  SELECT doc_id, start, norm FROM s UNION SELECT doc_id, min(start), any_value(line_norm) FROM s GROUP BY doc_id, nr
+), f AS (
+  SELECT norm, min({'d': doc_id, 's': start}) AS first FROM u GROUP BY norm
+), t AS (
+  SELECT s.*, min(start) OVER (PARTITION BY doc_id, nr) AS line_start, a.first <> {'d': doc_id, 's': start} AS again, b.first AS line_first
+  FROM s JOIN f a ON a.norm = s.norm JOIN f b ON b.norm = s.line_norm
 ), r AS (
-  SELECT *, sum(CASE WHEN again THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY start) AS run FROM w
+  SELECT *, line_first <> {'d': doc_id, 's': line_start} AS gone FROM t
+), n AS (
+  SELECT *, sum(CASE WHEN again OR gone THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY start) AS run FROM r
+), o AS (
+  SELECT *, sum(length(norm)) OVER (PARTITION BY doc_id, run) >= 100 AS long FROM n WHERE again OR gone
 ), p AS (
-  SELECT doc_id, min(start) AS start, max(stop) AS stop, CAST(sum(words) AS BIGINT) AS words FROM r WHERE again
-  GROUP BY doc_id, run HAVING sum(words) >= 25
+  SELECT doc_id, min(start) AS start, max(stop) AS stop, CAST(sum(length(norm)) AS BIGINT) AS chars FROM o WHERE long OR gone
+  GROUP BY doc_id, run, CASE WHEN NOT long THEN nr END
 ), c AS (
   SELECT p.*, text, coalesce(lag(stop) OVER (PARTITION BY doc_id ORDER BY start), 0) AS before FROM p JOIN documents USING (doc_id)
 ), g AS (
   SELECT doc_id, string_agg(substr(text, before + 1, start - before), '' ORDER BY start) || substr(any_value(text), max(stop) + 1) AS text,
          count(*) AS n_removed, CAST(sum(stop - start) AS BIGINT) AS removed_chars,
-         string_agg(concat(start, ':', stop, ':', words), ',' ORDER BY start) AS removed FROM c GROUP BY doc_id
+         string_agg(concat(start, ':', stop, ':', chars), ',' ORDER BY start) AS removed FROM c GROUP BY doc_id
 )
 SELECT d.doc_id, coalesce(g.text, d.text) AS text, coalesce(n_removed, 0) AS n_removed,
        coalesce(removed_chars, 0) AS removed_chars, coalesce(removed, '') AS removed

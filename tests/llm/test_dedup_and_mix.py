@@ -1,10 +1,12 @@
 import hashlib
+import random
+import re
 from collections import Counter, defaultdict
 
 import pytest
 
 from fieldatlas.llm.exact_dedup import exact_dedup, keep_distinct
-from fieldatlas.llm.line_dedup import BREAKS, cut, line_dedup, normalise
+from fieldatlas.llm.line_dedup import line_dedup
 from fieldatlas.llm.mixing import mix, mix_plan
 from llm_rows import empty, odd  # noqa: F401
 
@@ -97,37 +99,78 @@ def test_one_source_is_capped(spark):
     assert rows[99].target == 0 and rows[99].taken == 0
 
 
+def _plain(t):
+    return " ".join(t.lower().split())
+
+
+def _blocks(text, unit):
+    """Blocks as lists of (start, stop, normalised) sentences, character by character."""
+    ends = re.compile(r"\n+" if unit == "line" else r"\n[ \t]*\n\s*")
+    at = 0
+    for gap in [*ends.finditer(text), None]:
+        stop = gap.start() if gap else len(text)
+        parts, begin = [], at
+        for k in range(at, stop + 1):
+            prev, here = text[k - 1 : k] if k > at else "", text[k : k + 1] if k < stop else ""
+            blank = prev and prev in ".!?" and here and here in " \t"
+            wide = prev and prev in "\u3002\uff01\uff1f" and here not in ("\u3002", "\uff01", "\uff1f")
+            if k == stop or blank or wide or here == "\n":
+                if _plain(text[begin:k]):
+                    parts.append((begin, k, _plain(text[begin:k])))
+                begin = k
+                while blank and begin < stop and text[begin] in " \t":
+                    begin += 1
+                if here == "\n":
+                    begin = k + 1
+        if parts:
+            yield parts, _plain(text[at:stop])
+        at = gap.end() if gap else stop
+
+
 def _brute_lines(rows, unit, least):
-    seen = defaultdict(list)
-    units = {}
-    for i, t in rows:
-        units[i] = [(a, b, normalise(t[a:b])) for a, b in cut(t, BREAKS[unit]) if normalise(t[a:b])]
-        for a, _, n in units[i]:
-            seen[n].append((i, a))
+    first = {}
+    for i, t in sorted(rows):
+        for parts, norm in _blocks(t, unit):
+            for a, n in [(parts[0][0], norm), *[(p[0], p[2]) for p in parts]]:
+                first.setdefault(n, (i, a))
+                first[n] = min(first[n], (i, a))
     out = {}
     for i, t in rows:
         spans, run = [], []
-        for a, b, n in [*units[i], (0, 0, None)]:
-            if n is not None and min(seen[n]) != (i, a):
-                run.append((a, b, n))
-                continue
-            if run and sum(len(x[2].split()) for x in run) >= least:
+
+        def close():
+            if sum(len(n) for _, _, n, _ in run) >= least:
                 spans.append((run[0][0], run[-1][1]))
-            run = []
+            else:
+                for block in sorted({g for *_, g in run if g is not None}):
+                    own = [r for r in run if r[3] == block]
+                    spans.append((own[0][0], own[-1][1]))
+            run.clear()
+
+        for nr, (parts, norm) in enumerate(_blocks(t, unit)):
+            gone = first[norm] != (i, parts[0][0])
+            for a, b, n in parts:
+                if gone or first[n] != (i, a):
+                    run.append((a, b, n, nr if gone else None))
+                elif run:
+                    close()
+        if run:
+            close()
         out[i] = spans
     return out
 
 
-@pytest.mark.parametrize("unit,least", [("sentence", 25), ("line", 1), ("paragraph", 1), ("sentence", 1)])
+@pytest.mark.parametrize("unit,least", [("line", 100), ("line", 1), ("paragraph", 100), ("paragraph", 10_000), ("line", 10_000)])
 def test_line_dedup_against_brute_force(spark, unit, least):
     shared = "This passage is shared. It has several sentences in it. Each of them is long enough to count for the run. So the whole run goes. " * 2
+    wide = "\u8fd9\u662f\u4e00\u53e5\u3002" * 3 + "\u8fd9\u662f\u53e6\u4e00\u53e5\uff01"
     rows = [
-        (1, f"First text here.\nOwn line of one. {shared}The end of one."),
-        (2, f"Second text, which starts {shared}and goes on.\n\nOwn line of one.\n\nfirst  TEXT here.\n"),
-        (3, "First text here.\nFirst text here.\n\n\nAnother."),
-        (4, ""), (5, "é. ñ. é. 🙂 é."),
+        (1, f"First text here.\nOwn line of one. {shared}The end of one.\nTwo parts. Of a line."),
+        (2, f"Second text, which starts {shared}and goes on.\n\nOwn line of one.\n\nfirst  TEXT here.\nTwo parts.   Of a line. \nNew. Two parts."),
+        (3, "First text here.\nFirst text here.\n\n\nAnother.\nOf a line.\nTwo parts. Of a line.\n\nTwo parts. Of a line."),
+        (4, ""), (5, "\u00e9. \u00f1. \u00e9. \U0001f642 \u00e9."), (6, wide), (7, f"un\n{wide}\ndos{wide}"), (8, wide),
     ]
-    got = {r.doc_id: r for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string"), unit=unit, min_run_words=least).collect()}
+    got = {r.doc_id: r for r in line_dedup(spark.createDataFrame(rows, "doc_id long, text string"), unit=unit, min_run_chars=least).collect()}
     want = _brute_lines(rows, unit, least)
     for i, t in rows:
         assert [(s.start, s.stop) for s in got[i].removed] == want[i]
@@ -136,8 +179,20 @@ def test_line_dedup_against_brute_force(spark, unit, least):
             rest, at = rest + t[at:a], b
         assert got[i].text == rest + t[at:]
         assert got[i].removed_chars == len(t) - len(got[i].text) and got[i].n_removed == len(want[i])
-    if least == 25:
-        assert got[2].n_removed == 1 and got[1].n_removed == 1 and got[3].n_removed == 0
+    assert got[8].text == "" and got[8].n_removed == 1  # an unspaced line like any other
+    if unit == "line":  # no later copy of a whole line is left
+        left = Counter(_plain(line) for r in got.values() for line in r.text.split("\n") if _plain(line))
+        assert max(n for line, n in left.items() if line in {_plain(x) for _, t in rows for x in t.split("\n")}) == 1
+
+
+def test_line_dedup_on_random_texts(spark):
+    r = random.Random(6)
+    words = ["a", "bb", "ccc", "d.", "e!", "f\u3002", "\n", "\n\n", " \t", "G."]
+    rows = [(k, " ".join(r.choice(words) for _ in range(r.randrange(40)))) for k in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5).cache()
+    for unit, least in (("line", 12), ("paragraph", 30)):
+        got = {x.doc_id: [(s.start, s.stop) for s in x.removed] for x in line_dedup(frame, unit=unit, min_run_chars=least).collect()}
+        assert got == _brute_lines(rows, unit, least)
 
 
 def test_line_dedup_odd_rows(odd):
@@ -156,7 +211,7 @@ def test_line_dedup_goes_by_row(spark):
     rows = [(1, passage), (2, f"Head here. {passage} Tail here."), (2, alone), (2, f"Head here. {passage} Tail here.")]
     got = line_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
     assert Counter((r.doc_id, r.text, r.n_removed) for r in got) == Counter({(1, passage, 0): 1, (2, alone, 0): 1, (2, "Head here.  Tail here.", 1): 2})
-    short = " ".join(f"short{k}" for k in range(13)) + "."
-    rows = [(1, short), (2, short), (2, short)]
+    short = "Short one. And two."
+    rows = [(1, f"It says: {short} So it is."), (2, f"It does not say: {short} Not so."), (2, f"It does not say: {short} Not so.")]
     got = line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert all(r.n_removed == 0 and r.text == short for r in got)  # 13 repeated words, however often the row is
+    assert all(r.n_removed == 0 for r in got)  # a short run inside a line, however often the row is
