@@ -164,16 +164,16 @@ WITH l0 AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS nr
   FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL
 ), l1 AS (
-  SELECT doc_id, nr, line, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY nr) - length(line) - 1 AS at FROM l0
+  SELECT doc_id, nr, line, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY nr) - length(line) - 1 AS pos FROM l0
 ), l2 AS (
   SELECT *, trim(regexp_replace(lower(line), '\s+', ' ', 'g')) AS norm FROM l1 WHERE trim(line, ' ' || chr(9)) <> ''
 ), p0 AS (
-  SELECT doc_id, nr, at, norm AS line_norm, string_split(regexp_replace(regexp_replace(line, '([.!?])([ \t]+)', '\1' || chr(1) || '\2' || chr(1), 'g'),
+  SELECT doc_id, nr, pos, norm AS line_norm, string_split(regexp_replace(regexp_replace(line, '([.!?])([ \t]+)', '\1' || chr(1) || '\2' || chr(1), 'g'),
          '([\x{3002}\x{FF01}\x{FF1F}]+)', '\1' || chr(1), 'g'), chr(1)) AS ps FROM l2
 ), p1 AS (
-  SELECT doc_id, nr, at, line_norm, unnest(ps) AS part, unnest(range(len(ps))) AS k FROM p0
+  SELECT doc_id, nr, pos, line_norm, unnest(ps) AS part, unnest(range(len(ps))) AS k FROM p0
 ), p2 AS (
-  SELECT *, CAST(at + sum(length(part)) OVER (PARTITION BY doc_id, nr ORDER BY k) - length(part) AS BIGINT) AS start,
+  SELECT *, CAST(pos + sum(length(part)) OVER (PARTITION BY doc_id, nr ORDER BY k) - length(part) AS BIGINT) AS start,
          trim(regexp_replace(lower(part), '\s+', ' ', 'g')) AS norm FROM p1
 ), s AS (
   SELECT doc_id, nr, line_norm, start, start + length(part) AS stop, norm FROM p2 WHERE norm <> ''
