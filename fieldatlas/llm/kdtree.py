@@ -1,10 +1,10 @@
 """Exact top-k inner-product search with a KD-tree per shard.
 
-Vectors are dealt over shards of bounded size by hash of their id. A task builds
-its shard's tree (median splits of the widest side, tight bounding boxes) and
-answers queries by best-first traversal: a box's bound is the largest inner
-product any point of it could have, and a box below the kth score found so far is
-never opened. The kth score travels: every query is first answered in its home
+Vectors are dealt over shards of bounded size by hash. A task builds its
+shard's tree along the principal axes of the shard's vectors (median splits of
+the widest side, tight bounding boxes) and answers queries by best-first
+traversal: a box's bound is the largest inner product any point of it could
+have, and a box below the kth score found so far is never opened. The kth score travels: every query is first answered in its home
 shard only, and that kth score is the starting bound in all other shards.
 """
 
@@ -23,13 +23,30 @@ from fieldatlas.session import default_parallelism, materialize
 
 LEAF = 128
 QUERY_BLOCK = 256
+#: A share of the lengths' product that covers the rounding of rotated bounds, with room to spare.
+ROUNDING = 1e-12
 HITS = "query_id long, vec_id long, score long"
 
 
+def principal_axes(points: np.ndarray) -> np.ndarray:
+    """An orthogonal matrix; its columns are the directions in which the points spread."""
+    if len(points) < 2 or not points.shape[1]:
+        return np.eye(points.shape[1])
+    from_mean = points - points.mean(axis=0)
+    return np.linalg.eigh(from_mean.T @ from_mean)[1]
+
+
 class Tree:
-    """Nodes in arrays; the children of node i are ``child[i]`` and the next one."""
+    """Nodes in arrays; the children of node i are ``child[i]`` and the next one.
+
+    Boxes lie in rotated coordinates, where a few axes hold most of the spread;
+    scores are computed from the points as given. ``opened`` counts leaves read.
+    """
 
     def __init__(self, ids: np.ndarray, points: np.ndarray):
+        self.given, self.opened = points, 0
+        self.axes = principal_axes(points)
+        points = points @ self.axes
         order = np.arange(len(ids))
         low, high, child, span, least = [], [], [], [], []
         todo = [(0, len(ids))] if len(ids) else []
@@ -47,13 +64,18 @@ class Tree:
             order[a:b] = order[a:b][np.argpartition(box[:, (hi - lo).argmax()], half)]
             child.append(len(todo))
             todo += [(a, a + half), (a + half, b)]
-        self.ids, self.points = ids[order], points[order]
+        self.ids, self.points = ids[order], self.given[order]
+        self.reach = np.linalg.norm(self.points, axis=1).max(initial=0.0)
+        del self.given
         self.low, self.high = np.array(low), np.array(high)
         self.child, self.span, self.least = child, span, least
 
     def bounds(self, queries: np.ndarray) -> np.ndarray:
-        """[queries, nodes]: no point of the node's box scores higher."""
-        return np.maximum(queries, 0) @ self.high.T + np.minimum(queries, 0) @ self.low.T
+        """[queries, nodes]: no point of the node's box scores higher. Scores are whole, so bounds are rounded to them."""
+        turned = queries @ self.axes
+        best = np.maximum(turned, 0) @ self.high.T + np.minimum(turned, 0) @ self.low.T
+        margin = ROUNDING * np.linalg.norm(queries, axis=1) * self.reach * (1 + queries.shape[1])
+        return np.floor(best + margin[:, None] + ROUNDING)
 
     def search(self, own: int, query: np.ndarray, bounds: np.ndarray, k: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the k best points of score ``floor`` or more, other than ``own``; ties to smaller ids."""
@@ -73,6 +95,7 @@ class Tree:
                         heappush(heap, (-bounds[c], c))
                 continue
             a, b = self.span[node]
+            self.opened += 1
             got = self.points[a:b] @ query
             new = np.flatnonzero((got >= worst) & (self.ids[a:b] != own))
             if not len(new):
@@ -129,15 +152,16 @@ def _search(k: int, scale: float):
     return rows
 
 
-def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """id, vector, dim: rows with an id whose vector has no null or non-finite component.
+def usable(vectors: DataFrame, id_col: str, vector_col: str, k: int) -> DataFrame:
+    """id, vector, dim, copy: rows with an id whose vector has no null or non-finite component.
 
-    A repeated id counts once, with the smallest of its vectors.
+    Rows equal in both are numbered; beyond k they cannot be told from those in an answer of k rows and are left out.
     """
     fine = F.forall(vector_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     rows = vectors.where(F.col(id_col).isNotNull() & F.coalesce(fine, F.lit(False)))
-    one = rows.groupBy(F.col(id_col).cast("long").alias("id")).agg(F.min(F.col(vector_col).cast("array<double>")).alias("vector"))
-    return one.withColumn("dim", F.size("vector"))
+    equal = rows.groupBy(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector")).count()
+    copies = F.explode(F.sequence(F.lit(1), F.least("count", F.lit(k)).cast("int")))
+    return equal.select("id", "vector", F.size("vector").alias("dim"), copies.alias("copy"))
 
 
 def top_k(vectors: DataFrame, query_every: int, k: int = 5, scale: float = 256.0, id_col="vec_id", vector_col="embedding", shard_rows: int = 65536) -> DataFrame:
@@ -145,22 +169,24 @@ def top_k(vectors: DataFrame, query_every: int, k: int = 5, scale: float = 256.0
 
     Queries are the rows whose id is divisible by ``query_every``, candidates
     all rows but the query's own, of vectors scaled to integers; ties go to
-    the smaller id. Vectors that are null or hold a null or non-finite
+    the smaller id. Rows that repeat a candidate's id are candidates of their
+    own; rows that repeat a query's id are answered together, equal ones as one,
+    and are not candidates of each other. Vectors that are null or hold a null or non-finite
     component take no part; vectors are compared with those of their own
     length only. An empty table gives an empty result. Other columns are not read.
     """
     spark = vectors.sparkSession
     ready_workers(spark)
-    rows = materialize(usable(vectors, id_col, vector_col), "knn-vectors")
+    rows = materialize(usable(vectors, id_col, vector_col, k), "knn-vectors")
     tasks = default_parallelism(spark)
     counts = rows.groupBy("dim").count().select("dim", F.greatest(F.ceil(F.col("count") / shard_rows), F.least(F.lit(tasks), F.ceil(F.col("count") / 2048))).alias("shards"))
     # One row per vector length. Shard names are (length, number) hashed to one long.
     counts = F.broadcast(counts)
     named = lambda number: F.xxhash64("dim", number)
-    place = lambda seed: F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.col("shards"))
+    place = lambda seed: F.pmod(F.xxhash64(F.lit(seed), "id", "vector", "copy"), F.col("shards"))
     dealt = rows.join(counts, "dim")
     points = dealt.select(named(place("vector")).alias("shard"), F.lit(False).alias("asks"), "id", F.lit(0.0).alias("floor"), "vector")
-    asking = dealt.where(F.col("id") % query_every == 0).withColumn("home", place("home"))
+    asking = dealt.where((F.col("id") % query_every == 0) & (F.col("copy") == 1)).withColumn("home", place("home"))
 
     def found(queries: DataFrame) -> DataFrame:
         both = points.unionByName(queries.select("shard", F.lit(True).alias("asks"), "id", "floor", "vector"))

@@ -89,6 +89,34 @@ def test_tree_against_brute_force(n, d, monkeypatch):
         assert list(zip((-got[1]).astype(int).tolist(), got[0].tolist(), strict=True)) == want
 
 
+def test_boxes_spare_leaves_of_clustered_vectors():
+    r = np.random.default_rng(3)
+    centres = r.normal(size=(40, 64)) * 100
+    points = np.floor(centres[r.integers(0, 40, 8000)] + r.normal(size=(8000, 64)) * 10)
+    ids = np.arange(8000)
+    tree = Tree(ids, points)
+    leaves = sum(c < 0 for c in tree.child)
+    asked = ids[::200]
+    for q, bounds in zip(asked, tree.bounds(points[asked]), strict=True):
+        scores = points @ points[q]
+        assert all(bounds[n] >= scores[np.isin(ids, tree.ids[a:b])].max() for n, (a, b) in enumerate(tree.span) if tree.child[n] < 0)
+        got, found = tree.search(int(q), points[q], bounds, 5, -np.inf)
+        want = sorted((-s, i) for s, i in zip(scores, ids, strict=True) if i != q)[:5]
+        assert [(-s, i) for s, i in zip(found, got, strict=True)] == want
+    assert tree.opened / (len(asked) * leaves) < 0.25
+
+
+def test_top_k_keeps_rows_of_repeated_ids(spark):
+    rows = [(50, [1.0, 1.0]), (1, [0.1, 0.1]), (1, [9.0, 9.0]), (1, [9.0, 9.0]), (2, [0.5, 0.5]), (100, [1.0, 0.0]), (100, [0.0, 2.0])]
+    got = top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3), 50).collect()
+    own = sorted(tuple(r)[1:] for r in got if r.query_id == 50)
+    assert own == [(1, 1, 1179648), (2, 1, 1179648), (3, 100, 131072), (4, 2, 65536), (5, 100, 65536)]
+    both = sorted(tuple(r)[1:] for r in got if r.query_id == 100)  # two vectors under one query id: one answer
+    assert both == [(1, 1, 1179648), (2, 1, 1179648), (3, 1, 589824), (4, 1, 589824), (5, 50, 131072)]
+    many = spark.range(3000).selectExpr("if(id < 2000, 7, id) AS vec_id", "array(cast(1 AS double), cast(id % 3 AS double)) AS embedding")
+    assert [r.vec_id for r in top_k(many, 50, shard_rows=64).where("query_id = 2500").orderBy("rank").collect()] == [7] * 5
+
+
 def test_top_k_frames(spark):
     r = np.random.default_rng(4)
     rows = [(k, r.normal(0, 0.2, 6).tolist(), "x", 1) for k in range(300)]
