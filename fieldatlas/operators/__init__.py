@@ -3,9 +3,12 @@ document filters/sorts and writers. All take and return DataFrames."""
 
 from fieldatlas.operators.diversity import (
     distinct_members,
+    distinct_sketches,
     most_diverse,
+    most_diverse_from_sketches,
     null_profile,
     richness,
+    richness_from_sketches,
 )
 from fieldatlas.operators.documents import (
     cancelled_flights,
@@ -58,7 +61,10 @@ __all__ = [
     "plan_grid",
     "points_only",
     "replace_collection",
+    "distinct_sketches",
+    "most_diverse_from_sketches",
     "richness",
+    "richness_from_sketches",
     "shape_join",
     "spatial_join",
     "to_json_text",

@@ -2,14 +2,16 @@
 
 Following the reference, only the ``k_groups`` most diverse groups are
 compared. Instead of collecting their sets to the driver and looping over
-pairs, intersections are counted with an inverted index:
+pairs, intersections are counted with bitmaps:
 
 * distinct ``(group, value)`` rows of the top groups (a null-safe join with the
-  stored ``k_groups`` top rows, which number the groups by name);
-* a self join on ``value`` with ``p1 < p2``; a value appears in at most
-  ``k_groups`` groups, so it yields at most ``k_groups**2 / 2`` rows however
-  common it is;
-* ``count`` per pair (partial aggregation) = intersection size;
+  ``k_groups`` top rows, which number the groups by name);
+* one bitmap per value of the groups that hold it (``bit_or`` of one bit a
+  group, partially aggregated before the shuffle);
+* values with equal bitmaps are counted together, so pairs are emitted once
+  per distinct bitmap, not once per value: at most ``k_groups**2 / 2`` rows
+  each, however many values share it;
+* sum per pair = intersection size;
 * union = n1 + n2 - intersection, from the distinct counts already known.
 
 Pairs with no common value still get a row (similarity 0): each of the
@@ -32,6 +34,37 @@ def _q(name: str):
     return F.col(f"`{name}`")
 
 
+#: Groups in one word of a bitmap: the bits of a positive long.
+WORD_BITS = 62
+
+
+def shared_counts(members: DataFrame, k_groups: int) -> DataFrame:
+    """``(p1, p2, n_inter)`` for ``p1 < p2``: how many values both groups hold.
+
+    ``members`` has distinct rows ``(pos, v)`` with positions 1 to ``k_groups``.
+    """
+    words = [f"w{k}" for k in range((k_groups + WORD_BITS - 1) // WORD_BITS)]
+    at = F.col("pos") - 1
+    bit = F.expr(f"shiftleft(1L, (pos - 1) % {WORD_BITS})")
+    bits = [
+        F.bit_or(F.when(F.floor(at / WORD_BITS) == k, bit).otherwise(F.lit(0).cast("long"))).alias(w)
+        for k, w in enumerate(words)
+    ]
+    by_bitmap = members.groupBy("v").agg(*bits).groupBy(*words).agg(F.count(F.lit(1)).alias("n"))
+    held = F.concat(*[
+        F.expr(f"filter(sequence({1 + k * WORD_BITS}, {(k + 1) * WORD_BITS}), p -> getbit({w}, p - {1 + k * WORD_BITS}) = 1)")
+        for k, w in enumerate(words)
+    ])
+    return (
+        by_bitmap.select("n", held.alias("held"))
+        .where(F.size("held") > 1)
+        .select("n", "held", F.explode("held").alias("p1"))
+        .select("n", "p1", F.explode(F.filter("held", lambda p: p > F.col("p1"))).alias("p2"))
+        .groupBy("p1", "p2")
+        .agg(F.sum("n").alias("n_inter"))
+    )
+
+
 def pair_overlaps(df: DataFrame, k_groups: int = 10, group: str = "community",
                   value: str = "species") -> DataFrame:
     """All pairs of the ``k_groups`` most diverse groups with
@@ -39,7 +72,7 @@ def pair_overlaps(df: DataFrame, k_groups: int = 10, group: str = "community",
     and the null group, a group like any other, comes second in its pairs.
 
     One distinct ``(group, value)`` table feeds everything (set sizes, the
-    top groups, the inverted index). It is written once to the shared folder,
+    top groups, the bitmaps). It is written once to the shared folder,
     so the input (typically a spatial join) is computed once however many
     branches read it; null values are kept in it only so that groups whose
     values are all null still count as groups of size 0.
@@ -49,22 +82,17 @@ def pair_overlaps(df: DataFrame, k_groups: int = 10, group: str = "community",
     )
     sizes = pairs_gv.groupBy("g").agg(F.count("v").alias("n"))
     best = top_k(sizes, [F.col("n").desc(), F.col("g").asc_nulls_last()], k_groups)
-    # The at most k top groups, numbered by name (the null group last), stored:
-    # everything below reads these rows instead of ranking again.
+    # The at most k top groups, numbered by name (the null group last), are
+    # fetched once: everything below reads these rows instead of ranking again.
     by_name = Window.orderBy(F.col("g").asc_nulls_last())
-    top = materialize(best.select(F.row_number().over(by_name).alias("pos"), "g", "n"), "top-groups")
+    numbered = best.select(F.row_number().over(by_name).alias("pos"), "g", "n")
+    top = df.sparkSession.createDataFrame(numbered.collect(), numbered.schema)
     members = (
         pairs_gv.where(F.col("v").isNotNull())
         .join(top.select("pos", F.col("g").alias("top_g")), F.col("g").eqNullSafe(F.col("top_g")))
         .select("pos", "v")
     )
-    inter = (
-        members.withColumnRenamed("pos", "p1")
-        .join(members.withColumnRenamed("pos", "p2"), "v")
-        .where("p1 < p2")
-        .groupBy("p1", "p2")
-        .agg(F.count(F.lit(1)).alias("n_inter"))
-    )
+    inter = shared_counts(members, k_groups)
     # Unordered pairs of the bounded top list: the sorted list (k entries)
     # enters as a scalar subquery and each top row emits its pairs with the
     # groups after it.

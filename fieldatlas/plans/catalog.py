@@ -23,7 +23,7 @@ from fieldatlas.functions.sets import set_from_list
 from fieldatlas.operators import diversity, documents, nearest, similarity, sinks
 from fieldatlas.operators.shapes import shape_join
 from fieldatlas.operators.spatial import spatial_join
-from fieldatlas.session import default_parallelism, scratch_path
+from fieldatlas.session import default_parallelism, materialize, scratch_path
 from fieldatlas.sources import documents as docsrc
 from fieldatlas.sources import geojson
 from fieldatlas.sources.shapefile import read_shapefile, read_shapes
@@ -96,6 +96,20 @@ def q_diverse_communities(spark, sf_dir):
     return diversity.most_diverse(_joined(spark, sf_dir), TOP_K)
 
 
+def q_species_sketches_appended(spark, sf_dir):
+    """Distinct counts kept under append: the occurrences come in four batches, whose
+    sketches are appended to one table; estimates from it stand beside the exact counts."""
+    path = scratch_path(spark, "species-sketches")
+    stored = materialize(_joined(spark, sf_dir).select("occ_id", "community", "species"), "species-batches")
+    for batch in range(4):
+        rows = stored.where(F.col("occ_id") % 4 == batch)
+        sinks.append_documents(diversity.distinct_sketches(rows), path)
+    kept = diversity.richness_from_sketches(spark.read.parquet(path), count_col="estimate")
+    exact = diversity.richness(stored).select(F.col("community").alias("name"), "num_species")
+    close = F.abs(F.col("estimate") - F.col("num_species")) <= 0.03 * F.col("num_species")
+    return exact.join(kept, F.col("name").eqNullSafe(F.col("community"))).select("community", "num_species", close.alias("close"))
+
+
 def q_spatial_join_rows(spark, sf_dir):
     return _joined(spark, sf_dir)
 
@@ -416,6 +430,7 @@ def q_table_source_options(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "diverse_communities": q_diverse_communities,
+    "species_sketches_appended": q_species_sketches_appended,
     "spatial_join_rows": q_spatial_join_rows,
     "spatial_join_counts": q_spatial_join_counts,
     "spatial_join_colliding_names": q_spatial_join_colliding_names,
@@ -713,3 +728,6 @@ ORACLE_SQL["shapefile_families"] = f"""WITH {_EDGES}, corners AS (
   SELECT community, max(CASE WHEN i = 0 THEN x1 END) AS x0, max(CASE WHEN i = 0 THEN y1 END) AS y0, max(CASE WHEN i = 4 THEN y1 END) AS y4 FROM community_edges GROUP BY community)
 SELECT community AS "NAME", kind, CAST(n_parts AS BIGINT) AS n_parts, CAST(n_positions AS BIGINT) AS n_positions, x0 AS first_x, CASE WHEN kind = 'MultiPoint' THEN y4 ELSE y0 END AS last_y
 FROM corners CROSS JOIN (VALUES ('Point', 1, 1), ('MultiPoint', 1, 5), ('MultiLineString', 2, 6), ('MultiPolygon', 1, 6)) AS f(kind, n_parts, n_positions)"""
+ORACLE_SQL["species_sketches_appended"] = (
+    _SPATIAL + "SELECT community, count(DISTINCT species) AS num_species, true AS close FROM joined GROUP BY community"
+)

@@ -8,7 +8,7 @@ from conftest import SF01
 from fieldatlas import fixtures as fx
 from fieldatlas.functions.geo import haversine_m
 from fieldatlas.functions.sets import jaccard, set_from_list
-from fieldatlas.operators import diversity, documents, nearest, similarity
+from fieldatlas.operators import diversity, documents, nearest, similarity, sinks
 from fieldatlas.operators.spatial import spatial_join
 from fieldatlas.plans.ranking import global_rank, top_k
 
@@ -276,3 +276,29 @@ def test_null_group_keeps_its_pairs(spark):
         ("b", "c"): (0, 0.0), ("b", None): (1, 0.5), ("c", None): (0, 0.0),
     }
     assert similarity.most_similar(df).first().asDict() == {"rank": 1, "community_1": "a", "community_2": None, "similarity": 1.0}
+
+
+def test_overlaps_of_more_groups_than_a_word_has_bits(spark):
+    sets = {f"g{k:03d}": {v for v in range(60) if (v * 7 + k) % (2 + k % 5) == 0} | {-k} for k in range(140)}
+    rows = [(g, v) for g, vs in sets.items() for v in vs] * 2
+    df = spark.createDataFrame(rows, "community string, species long").repartition(4)
+    got = {(r.community_1, r.community_2): r.n_inter for r in similarity.pair_overlaps(df, 130).collect()}
+    ranked = sorted(sorted(sets, key=lambda g: (-len(sets[g]), g))[:130])
+    assert got == {(a, b): len(sets[a] & sets[b]) for i, a in enumerate(ranked) for b in ranked[i + 1:]}
+
+
+def test_sketches_merge_over_appended_batches(spark, tmp_path):
+    path = str(tmp_path / "sketches")
+    batches = [range(0, 9000), range(6000, 15000), range(14000, 20000)]
+    for k, values in enumerate(batches):
+        frame = spark.range(values.start, values.stop).selectExpr("'big' AS community", "id AS species")
+        few = spark.createDataFrame([("few", 1), ("few", k), (None, 5), ("none", None)], "community string, species long")
+        sinks.append_documents(diversity.distinct_sketches(frame.union(few)), path)
+    kept = spark.read.parquet(path)
+    got = {r.community: r.num_species for r in diversity.richness_from_sketches(kept).collect()}
+    assert got.keys() == {"big", "few", None, "none"}
+    assert abs(got["big"] - 20000) <= 0.02 * 20000
+    assert (got["few"], got[None], got["none"]) == (3, 1, 0)
+    top = diversity.most_diverse_from_sketches(kept, 2).collect()
+    assert [(r["rank"], r.community) for r in top] == [(1, "big"), (2, "few")]
+    assert diversity.richness_from_sketches(diversity.distinct_sketches(frame.limit(0))).count() == 0
