@@ -143,7 +143,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col=
     ]
     chosen = F.broadcast(some[0].union(some[1]))  # at most 1.5 x ``most`` rows of two numbers
     rows = docs.select(F.col(id_col).alias("id"), whole(text_col).alias("text"))
-    return rows.join(chosen, "id").select("text", "toxic")
+    # An id that several rows hold gives one of them, chosen by a hash of its text.
+    first = F.min(F.struct(F.xxhash64("text").alias("at"), "text"))["text"].alias("text")
+    return rows.join(chosen, "id").groupBy("id", "toxic").agg(first).select("text", "toxic")
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", label_col="toxic", most: int = 2000) -> Classifier:

@@ -164,7 +164,7 @@ def test_classify_odd_rows(spark, odd, empty):
     assert out.columns == [*odd.columns, "_score"]
     rows = out.collect()
     assert len(rows) == odd.count() and all(0 <= r["_score"] <= 1 for r in rows)
-    assert nbsvm.training_rows(odd, labels, most=4).count() <= 8  # at most 6 labels, and a repeated row
+    assert nbsvm.training_rows(odd.union(odd), labels, most=4).count() <= 6  # however often an id is repeated
     assert nbsvm.classify(empty, nbsvm.learn(empty, labels)).count() == 0
     assert nbsvm.classify(odd, nbsvm.learn(odd, labels.limit(0))).count() == odd.count()
 
