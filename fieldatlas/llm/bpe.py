@@ -7,6 +7,9 @@ with a heap of candidate pairs over a linked list of bytes, lowest rank and then
 leftmost first. Results of short pre-tokens are remembered in two tables of
 bounded size while a Python worker lives: when the younger one is full it becomes
 the older one, and what is found there moves back, so frequent words stay.
+
+Under the public pattern white space only begins pre-tokens, so texts are cut at
+spaces first, and chunks between spaces are remembered in the same way.
 """
 
 from __future__ import annotations
@@ -14,11 +17,12 @@ from __future__ import annotations
 import base64
 import hashlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import regex
 import xxhash
@@ -26,9 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, StructField, StructType
 
+from fieldatlas.llm.chunks import at_spaces
 from fieldatlas.llm.text import free_name, numbered, ready_workers
 
-REMEMBERED = 100_000
+#: Pre-tokens, and chunks, in a table: a new word costs a hundred times a remembered one.
+REMEMBERED = 300_000
 REMEMBER_LENGTH = 48
 PIECE_BYTES = 2 << 20
 
@@ -89,17 +95,38 @@ def vocabulary(ranks: dict[bytes, int], pattern: str) -> Vocabulary:
     return Vocabulary(tuple(tokens), pattern, seeds, slots, name)
 
 
-class Coder(dict):
-    """Pre-token to its packed ids; unknown ones are worked out and remembered."""
+class Memory(dict):
+    """Text to what ``make`` makes of it; short texts are remembered."""
 
-    def __init__(self, vocab: Vocabulary):
+    def __init__(self, make: Callable[[str], bytes]):
         super().__init__()
         self.older: dict[str, bytes] = {}
+        self.make = make
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.make(piece)
+        if len(piece) <= REMEMBER_LENGTH:
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
+class Coder:
+    """Packed ids of texts; pre-tokens and chunks are worked out once while they are remembered."""
+
+    def __init__(self, vocab: Vocabulary):
         self.vocab = vocab
         self.split = regex.compile(vocab.pattern).findall
         self.packed = [array("i", [k]).tobytes() for k in range(len(vocab.tokens))]
         self.ranks = {t: k for k, t in enumerate(vocab.tokens) if t}
+        self.pairs = {tuple(t): k for t, k in self.ranks.items() if len(t) == 2}
         self.single = [self.ranks.get(bytes([b]), -1) for b in range(256)]
+        self.pre_tokens, self.chunks = Memory(self._pre_token), Memory(self._chunk)
+        self.cuts = vocab.pattern == public_tokenizers.PATTERN
 
     def whole_token(self, data: bytes) -> int:
         """First tier: the id of ``data`` if it is a token, else -1."""
@@ -115,60 +142,67 @@ class Coder(dict):
         """Second tier: heap over linked bytes.
 
         A part begins at a byte and ends where ``after`` points; ``found`` has
-        its id and ``now`` the rank of its pair with the next part. A heap
+        its id and ``now`` the heap's entry for its pair with the next part. An
         entry holds rank and place; it is stale once ``now`` says otherwise.
         """
-        n, rank_of = len(data), self.ranks.get
-        found = [self.single[b] for b in data]
+        n, rank_of, push, pop = len(data), self.ranks.get, heappush, heappop
+        found = list(map(self.single.__getitem__, data))
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        now = [rank_of(data[i : i + 2], -1) for i in range(n)]
-        now[n - 1] = -1
         shift = n.bit_length()
         mask = (1 << shift) - 1
-        heap = [r << shift | i for i, r in enumerate(now) if r >= 0]
+        now, heap = [-1] * n, []
+        for at, pair in enumerate(zip(data, data[1:])):
+            r = self.pairs.get(pair)
+            if r is not None:
+                now[at] = r = r << shift | at
+                heap.append(r)
         heapify(heap)
         while heap:
-            entry = heappop(heap)
+            entry = pop(heap)
             at = entry & mask
-            rank = entry >> shift
-            if now[at] != rank:
+            if now[at] != entry:
                 continue
             gone = after[at]
             end = after[at] = after[gone]
-            found[at], now[gone], now[at] = rank, -2, -1
+            found[at], now[gone], now[at] = entry >> shift, -2, -1
             if end < n:
                 before[end] = at
                 r = rank_of(data[at : after[end]])
                 if r is not None:
-                    now[at] = r
-                    heappush(heap, r << shift | at)
+                    now[at] = r = r << shift | at
+                    push(heap, r)
             left = before[at]
             if left >= 0:
-                r = now[left] = rank_of(data[left:end], -1)
-                if r >= 0:
-                    heappush(heap, r << shift | left)
+                r = rank_of(data[left:end])
+                if r is None:
+                    now[left] = -1
+                else:
+                    now[left] = r = r << shift | left
+                    push(heap, r)
         out, at = [], 0
         while at < n:
             out.append(found[at])
             at = after[at]
         return out
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.older.get(piece)
-        if ids is None:
-            data = piece.encode()
-            found = self.whole_token(data)
-            ids = self.packed[found] if found >= 0 else array("i", self.merge(data)).tobytes()
-        if len(piece) <= REMEMBER_LENGTH:
-            if len(self) >= REMEMBERED:
-                self.older = dict(self)
-                self.clear()
-            self[piece] = ids
-        return ids
+    def _pre_token(self, piece: str) -> bytes:
+        data = piece.encode()
+        found = self.whole_token(data)
+        return self.packed[found] if found >= 0 else array("i", self.merge(data)).tobytes()
+
+    def _split(self, text: str) -> bytes:
+        return b"".join(map(self.pre_tokens.__getitem__, self.split(text)))
+
+    def _chunk(self, chunk: str) -> bytes:
+        """The ids of a space and ``chunk``; ASCII letters are one pre-token with it."""
+        return self.pre_tokens[" " + chunk] if chunk.isascii() and chunk.isalpha() else self._split(" " + chunk)
 
     def encode(self, text: str) -> bytes:
         """The ids of ``text``, packed as 32-bit integers."""
-        return b"".join(map(self.__getitem__, self.split(text)))
+        if not self.cuts:
+            return self._split(text)
+        first, *rest = at_spaces(text)
+        return b"".join([self._split(first), *map(self.chunks.__getitem__, rest)])
 
 
 _coders: dict[str, Coder] = {}

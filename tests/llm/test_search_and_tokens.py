@@ -54,6 +54,26 @@ def test_small_vocabularies():
     assert _ids(coder, "cabx") == [99, 256, 120]
 
 
+def test_words_of_a_large_vocabulary_are_merged_once(vocab, monkeypatch):
+    coder, merged, cut = bpe.Coder(vocab), [], []
+    monkeypatch.setattr(coder, "merge", lambda data: merged.append(data) or [0])
+    split = coder.split
+    monkeypatch.setattr(coder, "split", lambda text: cut.append(text) or split(text))
+    words = "".join(chr(97 + k) for k in range(26))
+    text = " ".join(f"zq{a}{b}{c}{d}xj" for a in words for b in words for c in words[:20] for d in words[:19])
+    coder.encode(text), coder.encode(text)
+    assert len(merged) <= text.count(" ") + 1  # some 257 000 words, none worked out again
+    assert len(cut) <= 2  # words of letters do not go through the pattern
+
+
+def test_cuts_at_spaces_hold_for_the_public_pattern_only(vocab, oracle):
+    for text in ("a  b", " a", "a ", "a \t b", "a\x1c \tb", "it 's", "a  b", "▁ a", "a. \n\n b  "):
+        assert _ids(bpe.Coder(vocab), text) == oracle.encode_ordinary(text)
+    ranks = {bytes([k]): k for k in range(256)} | {b"a b": 256}
+    ranks |= {b"a ": 257}
+    assert _ids(bpe.Coder(bpe.vocabulary(ranks, r"(?s).+")), "a b a b") == [256, 32, 256]
+
+
 def test_frames_round_trip(odd, empty, vocab, oracle, monkeypatch):
     out = bpe.decode(bpe.encode(odd, vocab), vocab, "_ids")
     assert out.columns == [*odd.columns, "_ids", "_decoded"]
