@@ -71,6 +71,21 @@ def test_chunks_equal_whole_texts(monkeypatch, remembered, together):
         assert max(map(len, coder.units.young)) <= chunks.REMEMBER_LENGTH
 
 
+def test_chunks_are_made_once_while_they_are_remembered(monkeypatch):
+    made = []
+    memory = chunks.Chunks(str.split, lambda new: made.extend(new) or [c.upper() for c in new])
+    words = [f"w{k}" for k in range(280_000)]
+    long = "v" * (chunks.REMEMBER_LENGTH + 1)
+    for a in range(0, len(words), 30_000):
+        part = words[a : a + 30_000]
+        assert memory.of([" ".join(part), f"{long} {part[0]}", ""]) == [[w.upper() for w in part], [long.upper(), part[0].upper()], []]
+    assert len(made) == len(words) + 10 and long not in memory.young  # long chunks are not kept
+    made.clear()
+    for a in range(0, len(words), 30_000):
+        memory.of([" ".join(words[a : a + 30_000])])
+    assert not made
+
+
 def test_odd_rows(spark, odd, empty, tokenizer, tmp_dir, monkeypatch):
     monkeypatch.setattr(token_files, "RANGE_BYTES", 200_000)
     rows = [(r.doc_id, r.text) for r in odd.collect()]
