@@ -12,6 +12,7 @@ import os
 import re
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -53,23 +54,15 @@ class Chunks:
         with _no_gc():
             if len(self.young) >= REMEMBERED:
                 self.old, self.young = self.young, {}
-            known = self.young.get
             cuts = list(map(self.cut, texts))
-            out = [list(map(known, chunks)) for chunks in cuts]
-            # Where a chunk is not known yet: (text, place, chunk).
-            open_ = [(t, k, cuts[t][k]) for t, made in enumerate(out) if None in made for k, value in enumerate(made) if value is None]
-            missing, earlier = set(), self.old.get
-            for _, _, chunk in open_:
-                if (value := earlier(chunk)) is None:
-                    missing.add(chunk)
-                else:
-                    self.young[chunk] = value
-            if missing:
-                new = list(missing)
+            missing, old = set(chain.from_iterable(cuts)).difference(self.young), self.old
+            self.young.update([(chunk, old[chunk]) for chunk in missing if chunk in old])
+            new = list(missing.difference(old))
+            if new:
                 self.young.update(zip(new, self.encode_many(new), strict=True))
-            for t, k, chunk in open_:
-                out[t][k] = self.young[chunk]
-            for chunk in missing:
+            known = self.young.__getitem__
+            out = [list(map(known, chunks)) for chunks in cuts]
+            for chunk in new:
                 if len(chunk) > REMEMBER_LENGTH:
                     del self.young[chunk]
             return out
