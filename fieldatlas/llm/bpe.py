@@ -4,9 +4,10 @@ A text is split by the tokenizer's pattern. First tier: a minimal perfect hash
 over the vocabulary resolves pre-tokens that are tokens as a whole; its one
 candidate is compared byte for byte. Second tier: other pre-tokens are merged
 with a heap of candidate pairs over a linked list of bytes, lowest rank and then
-leftmost first. Results of short pre-tokens are remembered in two tables of
-bounded size while a Python worker lives: when the younger one is full it becomes
-the older one, and what is found there moves back, so frequent words stay.
+leftmost first. Results of short pre-tokens are remembered from task to task of a
+Python worker, in tables by age that are bounded in rows and bytes: when the youngest
+is full the oldest goes, and what is found in an older one moves back, so frequent
+words stay.
 
 Under the public pattern white space only begins pre-tokens, so texts are cut at
 spaces first, and chunks between spaces are remembered in the same way.
@@ -16,7 +17,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import sys
 from array import array
+from collections import deque
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
@@ -31,11 +34,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, StructField, StructType
 
 from fieldatlas.llm.chunks import at_spaces
-from fieldatlas.llm.text import free_name, numbered, ready_workers
+from fieldatlas.llm.text import free_name, kept, numbered, ready_workers
 
-#: Pre-tokens, and chunks, in a table: a new word costs a hundred times a remembered one.
-REMEMBERED = 300_000
+#: Rows of a table, of pre-tokens or of chunks: a new word costs a hundred times a remembered one.
+#: ``TABLES`` small tables hold fewer rows than two large ones that are as long in forgetting.
+REMEMBERED = 100_000
+TABLES = 4
 REMEMBER_LENGTH = 48
+#: Bytes of a row, about, that fill a table as well: text and ids as Python has them, and a place in the table.
+ROW_BYTES = 240
+PLACE_BYTES = 80
 PIECE_BYTES = 2 << 20
 
 
@@ -96,22 +104,27 @@ def vocabulary(ranks: dict[bytes, int], pattern: str) -> Vocabulary:
 
 
 class Memory(dict):
-    """Text to what ``make`` makes of it; short texts are remembered."""
+    """Text to what ``make`` makes of it; short texts are remembered, the last ``REMEMBERED`` * (``TABLES`` - 1) at least if they are small."""
 
     def __init__(self, make: Callable[[str], bytes]):
         super().__init__()
-        self.older: dict[str, bytes] = {}
-        self.make = make
+        self.older: deque[dict[str, bytes]] = deque(maxlen=TABLES - 1)
+        self.make, self.bytes = make, 0
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self.older.get(piece)
-        if ids is None:
+        for table in self.older:
+            ids = table.get(piece)
+            if ids is not None:
+                break
+        else:
             ids = self.make(piece)
         if len(piece) <= REMEMBER_LENGTH:
-            if len(self) >= REMEMBERED:
-                self.older = dict(self)
+            if len(self) >= REMEMBERED or self.bytes >= REMEMBERED * ROW_BYTES:
+                self.older.appendleft(dict(self))
                 self.clear()
+                self.bytes = 0
             self[piece] = ids
+            self.bytes += sys.getsizeof(piece) + sys.getsizeof(ids) + PLACE_BYTES
         return ids
 
 
@@ -205,14 +218,8 @@ class Coder:
         return b"".join([self._split(first), *map(self.chunks.__getitem__, rest)])
 
 
-_coders: dict[str, Coder] = {}
-
-
 def coder(vocab: Vocabulary) -> Coder:
-    if vocab.name not in _coders:
-        _coders.clear()
-        _coders[vocab.name] = Coder(vocab)
-    return _coders[vocab.name]
+    return kept("bpe", vocab.name, lambda: Coder(vocab))
 
 
 def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from fieldatlas.llm.graph import components
 from fieldatlas.llm.shingles import mix, shingle_set, stream
-from fieldatlas.llm.text import free_name, quoted, ready_workers
+from fieldatlas.llm.text import free_name, lean, quoted, ready_workers
 from fieldatlas.session import materialize
 
 BLOCK = 512
@@ -331,16 +331,16 @@ def jaccard_classes(docs: DataFrame, id_col="doc_id", text_col="text", width: in
     rule = Rule(num, den)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"))
-    sets = materialize(rows.mapInArrow(_sets(width), "id long, n long, key long, bits binary"), "jaccard-sets")
+    sets = materialize(rows.mapInArrow(lean(_sets(width)), "id long, n long, key long, bits binary"), "jaccard-sets")
     # One representative per distinct set: its smallest id.
     named = sets.where("id IS NOT NULL AND n > 0")
     one = named.groupBy("key").agg(F.min("id").alias("id"), F.max("n").alias("n"), F.max("bits").alias("bits"))
 
-    tiles = rows.where("id IS NOT NULL").select("text").mapInArrow(_tiles(width, rule), "tile long, key long")
-    shared = tiles.repartition("tile").sortWithinPartitions("tile", "key").mapInArrow(_shared, "members long, key long").distinct()
+    tiles = rows.where("id IS NOT NULL").select("text").mapInArrow(lean(_tiles(width, rule)), "tile long, key long")
+    shared = tiles.repartition("tile").sortWithinPartitions("tile", "key").mapInArrow(lean(_shared), "members long, key long").distinct()
     shared = materialize(shared, "jaccard-tiles")
     with_bits = _in_blocks(shared.join(one, "key").select("members", "id", "n", "bits"), "members", "id").select("group", "side", "id", "n", "bits")
-    close = with_bits.repartition("group").sortWithinPartitions("group").mapInArrow(_candidates(rule), "a long, b long")
+    close = with_bits.repartition("group").sortWithinPartitions("group").mapInArrow(lean(_candidates(rule)), "a long, b long")
     clusters = components(close)
 
     # Root and members of each candidate cluster, with their texts.
@@ -348,7 +348,7 @@ def jaccard_classes(docs: DataFrame, id_col="doc_id", text_col="text", width: in
     # Candidates grow with the corpus, so this is a shuffle at every size, never a broadcast.
     placed = _in_blocks(member, "root", "node").hint("merge")
     texts = rows.join(placed, F.col("node") == F.col("id")).select("group", "side", "id", "text")
-    linked = texts.repartition("group").sortWithinPartitions("group").mapInArrow(_exact(width, rule), "a long, b long")
+    linked = texts.repartition("group").sortWithinPartitions("group").mapInArrow(lean(_exact(width, rule)), "a long, b long")
     root = components(linked)
 
     classes = one.join(root, F.col("id") == F.col("node"), "left").select("key", F.coalesce("root", "id").alias("root"))

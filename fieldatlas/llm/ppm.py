@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from fieldatlas.llm.text import free_name, held_out, numbered, ready_workers
+from fieldatlas.llm.text import free_name, held_out, lean, numbered, ready_workers
 
 #: Bytes that stand before every text, so that its first bytes have a context.
 LEAD = b"\n\n\n"
@@ -286,7 +286,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
 
     schema = StructType([StructField(f"c{k}", f.dataType) for k, f in enumerate(docs.schema)])
     schema = schema.add("p", "string").add("s", "double").add("b", "double")
-    return numbered(docs).select("*", letter.alias("ask")).mapInArrow(answer, schema).toDF(*docs.columns, *names)
+    return numbered(docs).select("*", letter.alias("ask")).mapInArrow(lean(answer), schema).toDF(*docs.columns, *names)
 
 
 def learn(docs: DataFrame, id_col="doc_id", text_col="text", lang_col="lang", most_bytes: int = 400_000) -> Model:

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import time
+from collections.abc import Callable, Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +29,49 @@ def ready_workers(spark: SparkSession) -> None:
     short_batches(spark)
 
 
+#: In a Python worker, by operator: the name of what it keeps from task to task, the thing itself, and when it was last asked for.
+_KEPT: dict[str, tuple[str, object, float]] = {}
+#: Operators may take turns in a worker; what one has not asked for in this time is from another stage.
+IDLE_S = 5.0
+
+
+def kept(owner: str, name: str, make: Callable[[], object]):
+    """What ``make`` makes, kept in this Python worker until ``owner`` asks for another name or :func:`let_go`."""
+    held = _KEPT.get(owner)
+    if held is None or held[0] != name:
+        held = None
+        _KEPT.pop(owner, None)  # the old one goes before the new one comes
+        held = name, make()
+    _KEPT[owner] = (*held[:2], time.monotonic())
+    return held[1]
+
+
+def let_go(idle_s: float | None = None) -> None:
+    """Drops what operators keep in this Python worker and have not asked for in ``idle_s`` seconds (``IDLE_S``).
+
+    Workers outlive stages: without this an operator's tables stay beside the memory of all later ones.
+    """
+    now = time.monotonic()
+    idle = [k for k, (_, _, at) in _KEPT.items() if now - at >= (IDLE_S if idle_s is None else idle_s)]
+    for k in idle:
+        del _KEPT[k]
+    if idle:
+        gc.collect()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's; elsewhere freed memory goes back in its own time
+        if trim:
+            trim(0)
+
+
+def lean(rows: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``rows`` for mapInArrow, in workers that first let go of what earlier stages kept."""
+
+    def run(batches: Iterator) -> Iterator:
+        let_go()
+        yield from rows(batches)
+
+    return run
+
+
 def whole(text: str | Column) -> Column:
     """The text, with null read as empty."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

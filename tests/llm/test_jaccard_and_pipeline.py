@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from fieldatlas.llm import jaccard
+from fieldatlas.llm import jaccard, ppm, text
 from fieldatlas.llm.graph import components
 from fieldatlas.llm.jaccard import Rule, bitmap, jaccard_classes, most_overlap
 from fieldatlas.llm.shingles import shingle_set, word_hashes
@@ -225,3 +225,27 @@ def test_exact_dedup_stage_keeps_one_row_per_text(spark, odd, empty):
     again = corpus_pipeline.exact_dedup(spark, docs.repartition(7), "").collect()
     assert Counter(map(tuple, again)) == Counter(map(tuple, rows))
     assert corpus_pipeline.exact_dedup(spark, empty, "").count() == 0
+
+
+def test_what_is_kept_goes_when_idle_or_renamed(monkeypatch):
+    monkeypatch.setattr(text, "_KEPT", {})
+    made = []
+    make = lambda: made.append(1) or object()
+    first = text.kept("bpe", "a", make)
+    assert text.kept("bpe", "a", make) is first and len(made) == 1
+    assert list(text.lean(iter)([1, 2])) == [1, 2] and text.kept("bpe", "a", make) is first  # just used: may take turns
+    monkeypatch.setattr(text, "IDLE_S", 0.0)
+    for rows in (jaccard._sets(2), jaccard._tiles(2, jaccard.Rule(8, 10)), jaccard._shared):
+        text.kept("bpe", "a", make)
+        assert list(text.lean(rows)(iter(()))) == [] and not text._KEPT
+    assert text.kept("bpe", "b", make) is not first and set(text._KEPT) == {"bpe"}
+
+
+def test_tasks_let_go_of_what_earlier_stages_kept(spark, monkeypatch):
+    seen = []
+    for module in (jaccard, ppm):
+        monkeypatch.setattr(module, "lean", lambda rows: seen.append(rows.__qualname__.split(".")[0]) or text.lean(rows))
+    docs = spark.createDataFrame([(1, "a b c d e f g", "x"), (2, "a b c d e f g h", "x")], "doc_id long, text string, lang string")
+    assert {r.doc_id: r.component_id for r in jaccard_classes(docs, width=4, num=80).collect()} == {1: 1, 2: 1}
+    assert set(seen) == {"_sets", "_tiles", "_shared", "_candidates", "_exact"}
+    assert ppm.identify(docs.drop("lang"), ppm.train({"x": [b"a b c"]})).count() == 2 and "identify" in seen

@@ -1,5 +1,6 @@
 import heapq
 import random
+import sys
 
 import duckdb
 import numpy as np
@@ -66,6 +67,20 @@ def test_words_of_a_large_vocabulary_are_merged_once(vocab, monkeypatch):
     assert len(cut) <= 2  # words of letters do not go through the pattern
 
 
+def test_memory_is_bounded_in_rows_and_bytes(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 1000)
+    made = []
+    memory = bpe.Memory(lambda piece: made.append(piece) or piece.encode() * 4)
+    held = lambda: [*memory.items(), *[i for t in ([memory.older] if isinstance(memory.older, dict) else memory.older) for i in t.items()]]
+    for _ in range(2):
+        assert [memory[f"w{k}"] for k in range(2900)] == [f"w{k}".encode() * 4 for k in range(2900)]
+    assert len(made) == 2900 and len(held()) <= 4000  # the last 3000 are known, few older ones are kept
+    for k in range(4000):
+        memory[f"{k:04}" + "漢" * 40]
+    assert sum(sys.getsizeof(a) + sys.getsizeof(b) for a, b in held()) < 1_000_000
+    assert memory["x" * 100] and "x" * 100 not in memory  # long ones are not kept
+
+
 def test_cuts_at_spaces_hold_for_the_public_pattern_only(vocab, oracle):
     for text in ("a  b", " a", "a ", "a \t b", "a\x1c \tb", "it 's", "a  b", "▁ a", "a. \n\n b  "):
         assert _ids(bpe.Coder(vocab), text) == oracle.encode_ordinary(text)
