@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from fieldatlas.llm.exact_dedup import exact_dedup, keep_distinct
-from fieldatlas.llm.line_dedup import line_dedup
+from fieldatlas.llm.line_dedup import line_dedup, repeated_units, sentences, unit_rows
 from fieldatlas.llm.mixing import mix, mix_plan
 from llm_rows import empty, odd  # noqa: F401
 
@@ -215,3 +215,21 @@ def test_line_dedup_goes_by_row(spark):
     rows = [(1, f"It says: {short} So it is."), (2, f"It does not say: {short} Not so."), (2, f"It does not say: {short} Not so.")]
     got = line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert all(r.n_removed == 0 for r in got)  # a short run inside a line, however often the row is
+
+
+def test_line_dedup_shuffles_numbers_not_units(spark, capsys):
+    """Of units only place and digest are dealt, and documents get back numbers: rows of offsets and windows over all units filled executors."""
+    passage = "Said here and there, and everywhere else. " * 3
+    rows = [(1, f"One line.\n{passage}\nLast."), (2, f"New.\nOne line.\nAnother {passage}"), (2, f"New.\nOne line.\nAnother {passage}"), (3, "Its own.")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert unit_rows(frame).columns == ["id", "tie", "unit", "digest"]
+    assert sorted((r.id, sorted(r.again)) for r in repeated_units(frame).collect()) == [(1, [3, 4]), (2, [1, 4, 5])]
+    line_dedup(frame).explain()
+    assert "Window" not in capsys.readouterr().out
+
+
+def test_sentences_end_at_their_marks():
+    cuts = lambda s: [s[a:b] for a, b in sentences(s)]
+    assert cuts("One. Two!\tThree? 3.14 is.") == ["One.", "Two!", "Three?", "3.14 is."]
+    assert cuts("一。二！？ 三.\n\n四") == ["一。", "二！？", " 三.", "四"]
+    assert cuts(" . 。 \n ") == [" .", "。"] and cuts("") == cuts(" \t") == []
