@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import sys
 from array import array
 from collections import deque
 from collections.abc import Callable, Iterator
@@ -33,17 +32,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, StructField, StructType
 
-from fieldatlas.llm.chunks import at_spaces
+from fieldatlas.llm.chunks import at_spaces, no_gc
 from fieldatlas.llm.text import free_name, kept, numbered, ready_workers
 
 #: Rows of a table, of pre-tokens or of chunks: a new word costs a hundred times a remembered one.
 #: ``TABLES`` small tables hold fewer rows than two large ones that are as long in forgetting.
-REMEMBERED = 100_000
+REMEMBERED = 130_000
 TABLES = 4
 REMEMBER_LENGTH = 48
-#: Bytes of a row, about, that fill a table as well: text and ids as Python has them, and a place in the table.
+#: Bytes of a row, about, that fill a table as well: text, ids, and what Python adds to both and to their place in the table.
 ROW_BYTES = 240
-PLACE_BYTES = 80
+PLACE_BYTES = 160
 PIECE_BYTES = 2 << 20
 
 
@@ -124,7 +123,7 @@ class Memory(dict):
                 self.clear()
                 self.bytes = 0
             self[piece] = ids
-            self.bytes += sys.getsizeof(piece) + sys.getsizeof(ids) + PLACE_BYTES
+            self.bytes += (1 if piece.isascii() else 4) * len(piece) + len(ids) + PLACE_BYTES
         return ids
 
 
@@ -155,48 +154,38 @@ class Coder:
         """Second tier: heap over linked bytes.
 
         A part begins at a byte and ends where ``after`` points; ``found`` has
-        its id and ``now`` the heap's entry for its pair with the next part. An
-        entry holds rank and place; it is stale once ``now`` says otherwise.
+        its id and ``now`` the rank of its pair with the next part, if it has
+        one. A heap's entry holds rank and place; it is stale once ``now`` says
+        otherwise: a place's pairs only grow, so none comes back.
         """
         n, rank_of, push, pop = len(data), self.ranks.get, heappush, heappop
         found = list(map(self.single.__getitem__, data))
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         shift = n.bit_length()
         mask = (1 << shift) - 1
-        now, heap = [-1] * n, []
-        for at, pair in enumerate(zip(data, data[1:])):
-            r = self.pairs.get(pair)
-            if r is not None:
-                now[at] = r = r << shift | at
-                heap.append(r)
+        now = [*map(self.pairs.get, zip(data, data[1:])), None]
+        heap = [r << shift | at for at, r in enumerate(now) if r is not None]
         heapify(heap)
         while heap:
             entry = pop(heap)
-            at = entry & mask
-            if now[at] != entry:
+            at, rank = entry & mask, entry >> shift
+            if now[at] != rank:
                 continue
             gone = after[at]
             end = after[at] = after[gone]
-            found[at], now[gone], now[at] = entry >> shift, -2, -1
+            found[at], found[gone], now[gone], r = rank, None, None, None
             if end < n:
                 before[end] = at
                 r = rank_of(data[at : after[end]])
                 if r is not None:
-                    now[at] = r = r << shift | at
-                    push(heap, r)
+                    push(heap, r << shift | at)
+            now[at] = r
             left = before[at]
             if left >= 0:
-                r = rank_of(data[left:end])
-                if r is None:
-                    now[left] = -1
-                else:
-                    now[left] = r = r << shift | left
-                    push(heap, r)
-        out, at = [], 0
-        while at < n:
-            out.append(found[at])
-            at = after[at]
-        return out
+                now[left] = r = rank_of(data[left:end])
+                if r is not None:
+                    push(heap, r << shift | left)
+        return [r for r in found if r is not None]
 
     def _pre_token(self, piece: str) -> bytes:
         data = piece.encode()
@@ -207,8 +196,11 @@ class Coder:
         return b"".join(map(self.pre_tokens.__getitem__, self.split(text)))
 
     def _chunk(self, chunk: str) -> bytes:
-        """The ids of a space and ``chunk``; ASCII letters are one pre-token with it."""
-        return self.pre_tokens[" " + chunk] if chunk.isascii() and chunk.isalpha() else self._split(" " + chunk)
+        """The ids of a space and ``chunk``; ASCII letters are one pre-token with it, which is kept as a chunk only."""
+        if _letters(chunk):
+            return self._pre_token(" " + chunk)
+        own = self.chunks
+        return b"".join([own[p[1:]] if p[0] == " " and _letters(p[1:]) else self.pre_tokens[p] for p in self.split(" " + chunk)])
 
     def encode(self, text: str) -> bytes:
         """The ids of ``text``, packed as 32-bit integers."""
@@ -218,6 +210,10 @@ class Coder:
         return b"".join([self._split(first), *map(self.chunks.__getitem__, rest)])
 
 
+def _letters(text: str) -> bool:
+    return text.isascii() and text.isalpha()
+
+
 def coder(vocab: Vocabulary) -> Coder:
     return kept("bpe", vocab.name, lambda: Coder(vocab))
 
@@ -253,7 +249,8 @@ def _with_columns(docs: DataFrame, source: str, none, made: list[tuple[str, Data
 
 def _encoded(vocab: Vocabulary, texts: pa.Array) -> pa.Array:
     encode_one = coder(vocab).encode
-    packed = [encode_one(t) for t in texts.to_pylist()]
+    with no_gc():
+        packed = [encode_one(t) for t in texts.to_pylist()]
     offsets = np.cumsum([0] + [len(p) // 4 for p in packed], dtype=np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), np.int32)))
 
@@ -291,7 +288,8 @@ def encode_and_decode(docs: DataFrame, vocab: Vocabulary, text_col: str = "text"
     held = docs.sparkSession.sparkContext.broadcast(vocab)
 
     def both(texts: pa.Array) -> list[pa.Array]:
-        ids = _encoded(held.value, texts)
-        return [ids, _decoded(held.value, ids)]
+        with no_gc():
+            ids = _encoded(held.value, texts)
+            return [ids, _decoded(held.value, ids)]
 
     return _with_columns(docs, text_col, F.lit(""), [("ids", _IDS), ("decoded", _BYTES)], both)

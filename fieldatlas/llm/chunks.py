@@ -51,7 +51,7 @@ class Chunks:
 
     def of(self, texts: list) -> list[list]:
         """For every text, what its chunks became, in order."""
-        with _no_gc():
+        with no_gc():
             if len(self.young) >= REMEMBERED:
                 self.old, self.young = self.young, {}
             cuts = list(map(self.cut, texts))
@@ -69,7 +69,7 @@ class Chunks:
 
 
 @contextmanager
-def _no_gc():
+def no_gc():
     """The tables hold no cycles; looking for some among many small lists takes a quarter of the time."""
     was = gc.isenabled()
     gc.disable()

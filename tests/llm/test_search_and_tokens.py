@@ -67,6 +67,17 @@ def test_words_of_a_large_vocabulary_are_merged_once(vocab, monkeypatch):
     assert len(cut) <= 2  # words of letters do not go through the pattern
 
 
+def test_words_are_remembered_once(vocab, oracle):
+    """A word of ASCII letters is a row among the chunks only, met alone or beside a sign; it is merged once."""
+    coder, merged = bpe.Coder(vocab), []
+    merge = coder.merge
+    coder.merge = lambda data: merged.append(data) or merge(data)
+    text = "It zqvxkj (zqvxkj zqvxkj, and zqvxkj. zqvxkj"
+    assert _ids(coder, text) == oracle.encode_ordinary(text)
+    assert merged.count(b" zqvxkj") == 1
+    assert "zqvxkj" in coder.chunks and " zqvxkj" not in coder.pre_tokens
+
+
 def test_memory_is_bounded_in_rows_and_bytes(monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 1000)
     made = []
