@@ -37,7 +37,7 @@ from fieldatlas.llm.text import free_name, kept, numbered, ready_workers
 
 #: Rows of a table, of pre-tokens or of chunks: a new word costs a hundred times a remembered one.
 #: ``TABLES`` small tables hold fewer rows than two large ones that are as long in forgetting.
-REMEMBERED = 130_000
+REMEMBERED = 115_000
 TABLES = 4
 REMEMBER_LENGTH = 48
 #: Bytes of a row, about, that fill a table as well: text, ids, and what Python adds to both and to their place in the table.
