@@ -22,6 +22,7 @@ from collections import deque
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
+from operator import getitem
 
 import numpy as np
 import public_tokenizers
@@ -103,12 +104,12 @@ def vocabulary(ranks: dict[bytes, int], pattern: str) -> Vocabulary:
 
 
 class Memory(dict):
-    """Text to what ``make`` makes of it; short texts are remembered, the last ``REMEMBERED`` * (``TABLES`` - 1) at least if they are small."""
+    """Text to what ``make`` makes of it; short texts are remembered, the last ``rows`` * (``TABLES`` - 1) at least if they are small."""
 
-    def __init__(self, make: Callable[[str], bytes]):
+    def __init__(self, make: Callable[[str], bytes], rows: int | None = None):
         super().__init__()
         self.older: deque[dict[str, bytes]] = deque(maxlen=TABLES - 1)
-        self.make, self.bytes = make, 0
+        self.make, self.bytes, self.rows = make, 0, rows or REMEMBERED
 
     def __missing__(self, piece: str) -> bytes:
         for table in self.older:
@@ -118,7 +119,7 @@ class Memory(dict):
         else:
             ids = self.make(piece)
         if len(piece) <= REMEMBER_LENGTH:
-            if len(self) >= REMEMBERED or self.bytes >= REMEMBERED * ROW_BYTES:
+            if len(self) >= self.rows or self.bytes >= self.rows * ROW_BYTES:
                 self.older.appendleft(dict(self))
                 self.clear()
                 self.bytes = 0
@@ -128,16 +129,20 @@ class Memory(dict):
 
 
 class Coder:
-    """Packed ids of texts; pre-tokens and chunks are worked out once while they are remembered."""
+    """Packed ids of texts; pre-tokens and chunks are worked out once while they are remembered, ``rows`` of each a table (``REMEMBERED``)."""
 
-    def __init__(self, vocab: Vocabulary):
+    def __init__(self, vocab: Vocabulary, rows: int | None = None):
         self.vocab = vocab
         self.split = regex.compile(vocab.pattern).findall
         self.packed = [array("i", [k]).tobytes() for k in range(len(vocab.tokens))]
         self.ranks = {t: k for k, t in enumerate(vocab.tokens) if t}
-        self.pairs = {tuple(t): k for t, k in self.ranks.items() if len(t) == 2}
+        # Ranks of two bytes, a row for each first one.
+        self.pairs: list[list[int | None]] = [[None] * 256 for _ in range(256)]
+        for t, k in self.ranks.items():
+            if len(t) == 2:
+                self.pairs[t[0]][t[1]] = k
         self.single = [self.ranks.get(bytes([b]), -1) for b in range(256)]
-        self.pre_tokens, self.chunks = Memory(self._pre_token), Memory(self._chunk)
+        self.pre_tokens, self.chunks = Memory(self._pre_token, rows), Memory(self._chunk, rows)
         self.cuts = vocab.pattern == public_tokenizers.PATTERN
 
     def whole_token(self, data: bytes) -> int:
@@ -154,38 +159,44 @@ class Coder:
         """Second tier: heap over linked bytes.
 
         A part begins at a byte and ends where ``after`` points; ``found`` has
-        its id and ``now`` the rank of its pair with the next part, if it has
-        one. A heap's entry holds rank and place; it is stale once ``now`` says
-        otherwise: a place's pairs only grow, so none comes back.
+        its id and ``now`` the heap's entry (rank and place) of its pair with
+        the next part, if it has one. Other entries are stale: a place's pairs
+        only grow, so none comes back.
         """
         n, rank_of, push, pop = len(data), self.ranks.get, heappush, heappop
         found = list(map(self.single.__getitem__, data))
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         shift = n.bit_length()
         mask = (1 << shift) - 1
-        now = [*map(self.pairs.get, zip(data, data[1:])), None]
-        heap = [r << shift | at for at, r in enumerate(now) if r is not None]
+        pairs = map(getitem, map(self.pairs.__getitem__, data), data[1:])
+        now = [-1 if r is None else r << shift | at for at, r in enumerate(pairs)]
+        now.append(-1)
+        heap = [entry for entry in now if entry >= 0]
         heapify(heap)
         while heap:
             entry = pop(heap)
-            at, rank = entry & mask, entry >> shift
-            if now[at] != rank:
+            at = entry & mask
+            if now[at] != entry:
                 continue
             gone = after[at]
-            end = after[at] = after[gone]
-            found[at], found[gone], now[gone], r = rank, None, None, None
+            after[at] = end = after[gone]
+            found[at], found[gone] = entry >> shift, -2
+            now[gone] = now[at] = -1
             if end < n:
                 before[end] = at
                 r = rank_of(data[at : after[end]])
                 if r is not None:
-                    push(heap, r << shift | at)
-            now[at] = r
-            left = before[at]
-            if left >= 0:
-                now[left] = r = rank_of(data[left:end])
-                if r is not None:
-                    push(heap, r << shift | left)
-        return [r for r in found if r is not None]
+                    now[at] = entry = r << shift | at
+                    push(heap, entry)
+            if at:
+                left = before[at]
+                r = rank_of(data[left:end])
+                if r is None:
+                    now[left] = -1
+                else:
+                    now[left] = entry = r << shift | left
+                    push(heap, entry)
+        return [r for r in found if r != -2]
 
     def _pre_token(self, piece: str) -> bytes:
         data = piece.encode()
@@ -197,10 +208,10 @@ class Coder:
 
     def _chunk(self, chunk: str) -> bytes:
         """The ids of a space and ``chunk``; ASCII letters are one pre-token with it, which is kept as a chunk only."""
-        if _letters(chunk):
+        if chunk.isalpha() and chunk.isascii():
             return self._pre_token(" " + chunk)
-        own = self.chunks
-        return b"".join([own[p[1:]] if p[0] == " " and _letters(p[1:]) else self.pre_tokens[p] for p in self.split(" " + chunk)])
+        own, signs = self.chunks, self.pre_tokens
+        return b"".join([own[p[1:]] if p[0] == " " and p[1:].isalpha() and p.isascii() else signs[p] for p in self.split(" " + chunk)])
 
     def encode(self, text: str) -> bytes:
         """The ids of ``text``, packed as 32-bit integers."""
@@ -210,12 +221,8 @@ class Coder:
         return b"".join([self._split(first), *map(self.chunks.__getitem__, rest)])
 
 
-def _letters(text: str) -> bool:
-    return text.isascii() and text.isalpha()
-
-
-def coder(vocab: Vocabulary) -> Coder:
-    return kept("bpe", vocab.name, lambda: Coder(vocab))
+def coder(vocab: Vocabulary, rows: int | None = None) -> Coder:
+    return kept("bpe", f"{vocab.name} {rows}", lambda: Coder(vocab, rows))
 
 
 def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -247,8 +254,8 @@ def _with_columns(docs: DataFrame, source: str, none, made: list[tuple[str, Data
     return numbered(docs).select("*", given).mapInArrow(spread, schema).toDF(*docs.columns, *names)
 
 
-def _encoded(vocab: Vocabulary, texts: pa.Array) -> pa.Array:
-    encode_one = coder(vocab).encode
+def _encoded(vocab: Vocabulary, texts: pa.Array, rows: int | None = None) -> pa.Array:
+    encode_one = coder(vocab, rows).encode
     with no_gc():
         packed = [encode_one(t) for t in texts.to_pylist()]
     offsets = np.cumsum([0] + [len(p) // 4 for p in packed], dtype=np.int32)
@@ -256,10 +263,12 @@ def _encoded(vocab: Vocabulary, texts: pa.Array) -> pa.Array:
 
 
 def _decoded(vocab: Vocabulary, lists: pa.Array) -> pa.Array:
-    token = vocab.tokens.__getitem__
-    ids, edge = lists.flatten().to_numpy(), lists.offsets.to_numpy()
-    edge = (edge - edge[0]).tolist()
-    return pa.array([b"".join(map(token, ids[a:b].tolist())) for a, b in zip(edge[:-1], edge[1:], strict=True)], pa.binary())
+    tokens, sizes = kept("bpe-tokens", vocab.name, lambda: (pa.array(vocab.tokens, pa.binary()), np.array([len(t) for t in vocab.tokens], np.int64)))
+    ids, edge = lists.flatten(), lists.offsets.to_numpy()
+    # The tokens stand one after the other as a list's bytes do, so only its ends are worked out.
+    ends = np.append(0, np.cumsum(sizes[ids.to_numpy()]))[edge - edge[0]].astype(np.int32)
+    joined = tokens.take(ids).buffers()[2] if len(ids) else None
+    return pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(ends), joined or pa.py_buffer(b"")])
 
 
 _IDS, _BYTES = ArrayType(IntegerType()), BinaryType()
@@ -283,13 +292,16 @@ def decode(docs: DataFrame, vocab: Vocabulary, ids_col: str = "ids") -> DataFram
     return _with_columns(docs, ids_col, none, [("decoded", _BYTES)], lambda lists: [_decoded(held.value, lists)])
 
 
-def encode_and_decode(docs: DataFrame, vocab: Vocabulary, text_col: str = "text") -> DataFrame:
-    """``decode(encode(docs))`` in one pass over the rows: all columns, ids and decoded."""
+def encode_and_decode(docs: DataFrame, vocab: Vocabulary, text_col: str = "text", remembered: int | None = None) -> DataFrame:
+    """``decode(encode(docs))`` in one pass over the rows: all columns, ids and decoded.
+
+    ``remembered``: rows of a table of words (``REMEMBERED``); more take less time and more memory of a worker.
+    """
     held = docs.sparkSession.sparkContext.broadcast(vocab)
 
     def both(texts: pa.Array) -> list[pa.Array]:
         with no_gc():
-            ids = _encoded(held.value, texts)
+            ids = _encoded(held.value, texts, remembered)
             return [ids, _decoded(held.value, ids)]
 
     return _with_columns(docs, text_col, F.lit(""), [("ids", _IDS), ("decoded", _BYTES)], both)

@@ -68,7 +68,7 @@ def tokenizer() -> bpe.Vocabulary:
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded, and the ids decoded."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.encode_and_decode(docs, tokenizer())
+    coded = bpe.encode_and_decode(docs, tokenizer(), remembered=200_000)  # nothing else runs in these workers
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -5,6 +5,7 @@ import sys
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -92,6 +93,32 @@ def test_memory_is_bounded_in_rows_and_bytes(monkeypatch):
     assert memory["x" * 100] and "x" * 100 not in memory  # long ones are not kept
 
 
+def test_tables_of_a_size_of_their_own(vocab, oracle, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 5)
+    coder, made = bpe.Coder(vocab, 1000), []
+    merge = coder.merge
+    monkeypatch.setattr(coder, "merge", lambda data: made.append(data) or merge(data))
+    text = "x " + " ".join(f"zqv{chr(97 + k // 26)}{chr(97 + k % 26)}xj" for k in range(600))
+    assert _ids(coder, text) == oracle.encode_ordinary(text) == _ids(coder, text)
+    assert len(made) == len(set(made))  # none worked out again
+
+
+def test_decoding_makes_no_python_object_a_token(vocab):
+    class Counted(tuple):
+        asked = 0
+
+        def __getitem__(self, k):
+            Counted.asked += 1
+            return super().__getitem__(k)
+
+    counted = bpe.Vocabulary(Counted(vocab.tokens), vocab.pattern, vocab.seeds, vocab.slots, "counted")
+    lists = pa.array([[9], [], [300, 301, 302] * 50, [5]], pa.list_(pa.int32()))
+    want = [b"".join(vocab.tokens[i] for i in ids) for ids in lists.to_pylist()]
+    assert bpe._decoded(counted, lists).to_pylist() == want and Counted.asked == 0
+    assert bpe._decoded(vocab, lists.slice(1, 2)).to_pylist() == want[1:3]
+    assert bpe._decoded(vocab, lists.slice(1, 1)).to_pylist() == [b""] and bpe._decoded(vocab, lists.slice(0, 0)).to_pylist() == []
+
+
 def test_cuts_at_spaces_hold_for_the_public_pattern_only(vocab, oracle):
     for text in ("a  b", " a", "a ", "a \t b", "a\x1c \tb", "it 's", "a  b", "▁ a", "a. \n\n b  "):
         assert _ids(bpe.Coder(vocab), text) == oracle.encode_ordinary(text)
