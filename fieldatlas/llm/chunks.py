@@ -41,18 +41,19 @@ class Chunks:
     """Chunk to whatever ``encode_many`` makes of it, in two tables of bounded size.
 
     When the younger table is full it becomes the older one; what is found
-    there moves back, so frequent chunks stay. Long chunks are not kept.
+    there moves back, so frequent chunks stay. Long chunks are not kept. A table
+    holds about ``share`` times ``REMEMBERED`` chunks.
     """
 
-    def __init__(self, cut: Callable[[str], list], encode_many: Callable[[list], list]):
-        self.cut, self.encode_many = cut, encode_many
+    def __init__(self, cut: Callable[[str], list], encode_many: Callable[[list], list], share: float = 1):
+        self.cut, self.encode_many, self.share = cut, encode_many, share
         self.young: dict = {}
         self.old: dict = {}
 
     def of(self, texts: list) -> list[list]:
         """For every text, what its chunks became, in order."""
         with no_gc():
-            if len(self.young) >= REMEMBERED:
+            if len(self.young) >= REMEMBERED * self.share:
                 self.old, self.young = self.young, {}
             cuts = list(map(self.cut, texts))
             missing, old = set(chain.from_iterable(cuts)).difference(self.young), self.old
@@ -67,6 +68,19 @@ class Chunks:
                     del self.young[chunk]
             return out
 
+    def parts(self, cuts: list[list], encode_new: Callable[[list], list]) -> list[bytes]:
+        """The packed ids of chunks that are cut into smaller ones, which are remembered as chunks are."""
+        young, old = self.young, self.old
+        wanted = set(chain.from_iterable(cuts))
+        own = {p: young[p] for p in wanted if p in young}
+        missing = wanted.difference(own)
+        found = {p: old[p] for p in missing if p in old}
+        new = list(missing.difference(found))
+        found.update(zip(new, encode_new(new), strict=True))
+        young.update((p, ids) for p, ids in found.items() if len(p) <= REMEMBER_LENGTH)
+        own.update(found)
+        return [own[c[0]] if len(c) == 1 else b"".join([own[p] for p in c]) for c in cuts]
+
 
 @contextmanager
 def no_gc():

@@ -92,6 +92,8 @@ def _body(shard: int, part: int, doc_ids: list, sizes: list[int], ids: list[byte
     return b"".join([head, encode(np.cumsum(sizes, dtype=np.int64)), encode(above), *ids])
 
 
+#: Chunks and words in one table are fewer than in one each, so it may hold more.
+SHARE = 1.5
 #: What a chunk without white space is cut into: runs of letters (ASCII and Latin up to U+023F, but for U+0130, which folds to two signs), and of other ASCII signs.
 #: An apostrophe stays with the letters behind it, and what touches any other character stays whole.
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -123,8 +125,8 @@ class Coder:
         if cut is not None and cut.pre_tokenize_str(_LETTERS) == [(_LETTERS, (0, 26))] and (normal is None or normal.normalize_str(_LETTERS) == _LETTERS):
             self.plain = json_tokenizer(data, True)
             self.plain.normalizer, self.plain.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
-        self.units = Chunks(self._cut, self._encode)
-        self.chunks = Chunks(bytes.split, lambda chunks: list(map(b"".join, self.units.of(chunks))))
+        # One table for chunks and for what they are cut into: most words are met as both.
+        self.units = Chunks(bytes.split, lambda chunks: self.units.parts(list(map(self._cut, chunks)), self._encode), SHARE)
 
     def _cut(self, chunk: bytes) -> list[bytes]:
         if chunk.isalpha():
@@ -142,7 +144,7 @@ class Coder:
 
     def of(self, texts: list[bytes]) -> list[bytes]:
         """The packed ids of every text."""
-        return list(map(b"".join, self.chunks.of(list(map(self._folded, texts)))))
+        return list(map(b"".join, self.units.of(list(map(self._folded, texts)))))
 
     def _folded(self, text: bytes) -> bytes:
         """With A-Z lower-cased, unless a special token would come of it, or a letter and a mark (U+0300 to U+037F) that are one sign in one case only."""

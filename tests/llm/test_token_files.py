@@ -71,6 +71,15 @@ def test_chunks_equal_whole_texts(monkeypatch, remembered, together):
         assert max(map(len, coder.units.young)) <= chunks.REMEMBER_LENGTH
 
 
+def test_words_are_in_one_table_with_chunks():
+    with open(PATH, "rb") as f:
+        coder = token_files.Coder(f.read(), False)
+    plain, text = Tokenizer.from_file(PATH), "zqvx zqvx. (ZQVX wkqj, wkqj " + "v" * 60 + "."
+    assert np.frombuffer(coder.of([text.encode()])[0], coder.kind).tolist() == plain.encode(text, add_special_tokens=False).ids
+    held = [k for c in vars(coder).values() if isinstance(c, chunks.Chunks) for k in c.young]
+    assert held.count(b"zqvx") == held.count(b"wkqj") == held.count(b"wkqj,") == 1 and max(map(len, held)) <= chunks.REMEMBER_LENGTH
+
+
 def test_chunks_are_made_once_while_they_are_remembered(monkeypatch):
     made = []
     memory = chunks.Chunks(str.split, lambda new: made.extend(new) or [c.upper() for c in new])
