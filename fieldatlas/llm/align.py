@@ -23,6 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -77,7 +78,8 @@ class ByteLevel:
         # A space and ASCII letters are one pre-token, spelled by the letter for the space and themselves.
         self.plain, self.space = json_tokenizer(data, special_as_text=True), next(c for c, b in letters.items() if b == 0x20)
         self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-        self.units = Chunks(lambda text: _PRE_TOKEN.findall(text) if text.isascii() else [text], self._encode)
+        # Half the rows of the table of chunks, which asks for them: a worker's memory is short.
+        self.units = Chunks(lambda text: _PRE_TOKEN.findall(text) if text.isascii() else [text], self._encode, 0.5)
 
     def _encode(self, units: list[str]) -> list[bytes]:
         words = lambda found: encode_words(self.plain, [self.space + w[1:] for w in found], " ", self.edge, False, self.kind)
@@ -113,26 +115,23 @@ class Pair:
         self.a, self.b = ((ByteLevel if s.byte_level else Sentence)(s.data) for s in (a, b))
         for side in (self.a, self.b):
             side.sizes = np.array([len(t) for t in side.tokens], np.int64)
+            side.spelling = pa.array(side.tokens, pa.binary())
         self.chunks = Chunks(at_spaces, self._many)
         self.spelled: list[list[str]] | None = None
 
     def _many(self, chunks: list[str]) -> list[tuple[bytes, bytes, bool]]:
         """Ids of A and B, and whether both sides' bytes are those of space + chunk."""
+        given = pa.array([" " + c for c in chunks], pa.string()).cast(pa.binary())
         coded = [(side.many(chunks), side) for side in (self.a, self.b)]
-        same = [True] * len(chunks)
-        for packed, side in coded:
-            token, code = side.tokens.__getitem__, "H" if side.kind.itemsize == 2 else "I"
-            for k, (c, ids) in enumerate(zip(chunks, packed, strict=True)):
-                if b"".join(map(token, memoryview(ids).cast(code))) != b" " + c.encode():
-                    same[k] = False
-        return list(zip(coded[0][0], coded[1][0], same, strict=True))
+        same = pc.and_(*[pc.equal(_spelled(side, packed), given) for packed, side in coded])
+        return list(zip(coded[0][0], coded[1][0], same.to_pylist(), strict=True))
 
     def of(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Ids of A and of B of every text; none where their bytes are not those of space + text."""
         for text, coded in zip(texts, self.chunks.of(texts), strict=True):
-            a = np.frombuffer(b"".join([c[0] for c in coded]), self.a.kind)
-            b = np.frombuffer(b"".join([c[1] for c in coded]), self.b.kind)
-            if not text or not all(c[2] for c in coded):
+            own_a, own_b, same = zip(*coded, strict=True)
+            a, b = np.frombuffer(b"".join(own_a), self.a.kind), np.frombuffer(b"".join(own_b), self.b.kind)
+            if not text or not all(same):
                 given = b" " + text.encode()
                 if not text or any(b"".join(map(s.tokens.__getitem__, x.tolist())) != given for s, x in ((self.a, a), (self.b, b))):
                     a, b = a[:0], b[:0]
@@ -146,6 +145,16 @@ class Pair:
         return self.spelled, len(self.a.tokens)
 
 
+def _spelled(side: ByteLevel | Sentence, packed: list[bytes]) -> pa.Array:
+    """The bytes of the tokens of every run of packed ids."""
+    ids = np.frombuffer(b"".join(packed), side.kind)
+    edge = np.cumsum([0, *map(len, packed)]) // side.kind.itemsize
+    # The tokens stand one after the other as a run's bytes do, so only its ends are worked out.
+    ends = np.append(0, np.cumsum(side.sizes[ids]))[edge].astype(np.int32)
+    joined = side.spelling.take(pa.array(ids)).buffers()[2] if len(ids) else None
+    return pa.Array.from_buffers(pa.binary(), len(packed), [None, pa.py_buffer(ends), joined or pa.py_buffer(b"")])
+
+
 _pairs: dict[tuple[str, str], Pair] = {}
 
 
@@ -357,18 +366,20 @@ def _counted(stored: DataFrame, known: DataFrame, a: Side, b: Side, many: bool)
     schema = _PART if many else _ONE
 
     def count(own: pa.Table, table: pa.Table) -> pa.Table:
-        pair, out = pair_of(*held.value), []
-        keys, counts, best = (table[c].to_numpy() for c in ("pair", "count", "best"))
-        order = np.argsort(keys, kind="stable")
-        keys, counts, best = keys[order], counts[order], best[order]
-        for row in own.to_pylist():
-            links, closing, x, y = _links(pair, row)
-            at = np.searchsorted(keys, links)
+        pair, out, rows = pair_of(*held.value), [], own.to_pylist()
+        found = [_links(pair, row) for row in rows]
+        # One hash of the block's pairs answers for all of its links.
+        links = np.concatenate([np.empty(0, np.int64), *[f[0] for f in found]])
+        at = pc.index_in(pa.array(links), value_set=pa.array(table["pair"].to_numpy())).to_numpy()
+        edge = np.cumsum([0, *[len(f[0]) for f in found]])
+        counts, best = (np.append(0, np.cumsum(table[c].to_numpy()[at], dtype=np.int64))[edge] for c in ("count", "best"))
+        counts, best = np.diff(counts).tolist(), np.diff(best).tolist()
+        for row, (links, closing, x, y), n, n_best in zip(rows, found, counts, best, strict=True):
             spelled = spell(pair, x, y, row["lag"], closing) if len(links) else Groups(0, "", "", "", "", "")
             out.append(
                 {
                     "key": row["key"], "doc_id": row["doc_id"], "piece": row["piece"], "n_a": row["n_a"], "n_b": row["n_b"],
-                    "n_groups": spelled.closed, "n_links": len(links), "n_best": int(best[at].sum()), "count_sum": int(counts[at].sum()),
+                    "n_groups": spelled.closed, "n_links": len(links), "n_best": n_best, "count_sum": n,
                     **({c: getattr(spelled, c) for c in _TEXTS} if many else {"groups": stitch([spelled])}),
                 }
             )

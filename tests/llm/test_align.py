@@ -141,6 +141,14 @@ def test_chunks_equal_whole_texts(sides, whole, monkeypatch):
             assert a.tolist() == [i for i, _ in want_a] and b.tolist() == [i for i, _ in want_b], repr(text)
 
 
+def test_bytes_of_many_runs_of_ids(sides):
+    pair, runs = Pair(*sides), [[7, 300, 301], [], [12], [500, 7]]
+    for side in (pair.a, pair.b):
+        packed = [np.array(ids, side.kind).tobytes() for ids in runs]
+        assert al._spelled(side, packed).to_pylist() == [b"".join(side.tokens[i] for i in ids) for ids in runs]
+        assert al._spelled(side, []).to_pylist() == [] and al._spelled(side, [b""]).to_pylist() == [b""]
+
+
 @pytest.mark.parametrize("steps,block", [(1 << 16, 1 << 20), (50, 400)])
 def test_odd_rows(spark, odd, empty, sides, whole, monkeypatch, steps, block):
     monkeypatch.setattr(al, "STEPS", steps)
