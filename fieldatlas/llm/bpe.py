@@ -44,7 +44,7 @@ REMEMBER_LENGTH = 48
 #: Bytes of a row, about, that fill a table as well: text, ids, and what Python adds to both and to their place in the table.
 ROW_BYTES = 240
 PLACE_BYTES = 160
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 19
 
 
 @dataclass(frozen=True)
